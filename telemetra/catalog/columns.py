@@ -320,11 +320,13 @@ def min_max(spark, folder):
            CASE WHEN pct >= 80 THEN 'good' WHEN pct >= 50 THEN 'degraded'
                 WHEN pct IS NOT NULL THEN 'critical' END AS status,
            CASE WHEN k <= 0 THEN 'rated_capacity_kw must be greater than 0' END AS error
-    FROM (SELECT event_id, k, CASE WHEN k > 0 THEN round(value / k * 100, 2) END AS pct
+    FROM (SELECT event_id, k, CASE WHEN k > 0 THEN CAST(round(CAST(CAST(value / k * 100 AS VARCHAR)
+                             AS DECIMAL(38, 18)), 2) AS DOUBLE) END AS pct
           FROM (SELECT event_id, value,
                        CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events))""",
 )
 def power_efficiency(spark, folder):
+    """Energy against the auxiliary channel as capacity; halves in the printed value round up."""
     result = tools.power_efficiency(F.col("energy"), F.col("channel_k"))
     return roles.telemetry(spark, folder).select("event_id", result.alias("answer")).select(
         "event_id",

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from telemetra.catalog.registry import query, rounded, sql
-from telemetra.functions.columns import rule_score
 from telemetra.operators import joins, latest, quality, stats
 from telemetra.plans import gold
 from telemetra.sources import roles

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from telemetra.catalog.registry import query, sql
 from telemetra.functions import registered, text
 from telemetra.operators import retrieval
-from telemetra.operators.latest import top_per_key
+from telemetra.session import spread
 from telemetra.sources import roles
 
 TOP = 5
@@ -37,7 +37,7 @@ _BLOCKS = f"""
     ),
 )
 def page_elements(spark, folder):
-    return text.page_elements(roles.table(spark, folder, "pages"))
+    return text.page_elements(spread(roles.table(spark, folder, "pages").select("page_id", "html")))
 
 
 @query(
@@ -48,7 +48,7 @@ def page_elements(spark, folder):
     ),
 )
 def page_text(spark, folder):
-    return text.page_text(roles.table(spark, folder, "pages"))
+    return text.page_text(spread(roles.table(spark, folder, "pages").select("page_id", "html")))
 
 
 @query(
@@ -186,8 +186,6 @@ def collect_guides(spark, folder):
 )
 def guide_fn(spark, folder):
     """The same retrieval behind a SQL function that returns an array."""
-    from pyspark.sql import Window
-
     order = Window.partitionBy("question_id").orderBy(F.col("similarity").desc(), "vec_id")
     answers = batch_of(spark, folder).select(
         "question_id",
@@ -204,7 +202,7 @@ def guide_fn(spark, folder):
 @query("text_topk")
 def text_topk(spark, folder):
     """The first benchmark passage as a question to all documents, whole texts on both sides."""
-    documents = roles.table(spark, folder, "documents").select("doc_id", "text")
+    documents = spread(roles.table(spark, folder, "documents").select("doc_id", "text"))
     question = roles.table(spark, folder, "benchmark").orderBy("item_id").first()["text"]
     model = retrieval.text_index(documents, "text")
     return retrieval.nearest_texts(model, documents, "doc_id", "text", question, TOP)

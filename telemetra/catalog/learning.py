@@ -8,6 +8,7 @@ from telemetra.catalog.registry import query, rounded, sql
 from telemetra.functions.columns import rule_score
 from telemetra.operators.sampling import random_split as split_rows
 from telemetra.plans import gold, learning
+from telemetra.session import scratch_path
 from telemetra.sources import roles
 
 
@@ -123,9 +124,9 @@ _RANKED = """
     SELECT class, hit, rank() OVER (PARTITION BY class ORDER BY score)
            + (count(*) OVER (PARTITION BY class, score) - 1) / 2 AS midrank
     FROM (SELECT 'channel_b' AS class, abnormal_channel = 'channel_b' AS hit,
-                 round(std_energy, 2) AS score FROM features
-          UNION ALL SELECT 'channel_d', abnormal_channel = 'channel_d', -round(avg_energy, 2) FROM features
-          UNION ALL SELECT 'ok', abnormal_channel = 'ok', round(avg_energy, 2) FROM features)"""
+                 floor(std_energy + 0.0037) AS score FROM features
+          UNION ALL SELECT 'channel_d', abnormal_channel = 'channel_d', -floor(avg_energy + 0.0037) FROM features
+          UNION ALL SELECT 'ok', abnormal_channel = 'ok', floor(avg_energy + 0.0037) FROM features)"""
 _AUC = """
     SELECT class, CAST(count(*) FILTER (hit) AS BIGINT) AS support,
            (sum(midrank) FILTER (hit) - count(*) FILTER (hit) * (count(*) FILTER (hit) + 1) / 2)
@@ -134,12 +135,16 @@ _AUC = """
 
 
 def class_scores(spark, folder):
-    """A hand-made score per class, rounded so that ties occur."""
+    """A hand-made score per class in whole units, so that ties occur.
+
+    The small shift keeps exact integers away from the unit edge, where the last bit of a
+    mean, which depends on the order of the rows, would decide.
+    """
     return features_of(spark, folder).withColumns(
         {
-            "score_b": F.round("std_energy", 2),
-            "score_d": -F.round("avg_energy", 2),
-            "score_ok": F.round("avg_energy", 2),
+            "score_b": F.floor(F.col("std_energy") + 0.0037),
+            "score_d": -F.floor(F.col("avg_energy") + 0.0037),
+            "score_ok": F.floor(F.col("avg_energy") + 0.0037),
         }
     )
 
@@ -188,11 +193,14 @@ def train_gbt(spark, folder):
 
 @query("model_score")
 def model_score(spark, folder):
-    """A trained forest applied to every feature row."""
+    """A trained forest, stored and loaded again, applied to every feature row."""
     train, _ = parted(spark, folder)
-    model = learning.train_forest(train, trees=5)
+    path = scratch_path(spark, "forest")
+    learning.store_model(learning.train_forest(train, trees=5), path)
     timed = learning.with_time_features(features_of(spark, folder))
-    return model.transform(timed).select("asset_id", "bucket", "predicted")
+    return learning.score_with(learning.load_model(path), timed).select(
+        "asset_id", "bucket", "prediction"
+    )
 
 
 @query("param_search")

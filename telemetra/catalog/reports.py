@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from telemetra.catalog.columns import NOW
 from telemetra.catalog.registry import query, rounded, sql
-from telemetra.functions.columns import hours_ahead
+from telemetra.functions.columns import hours_ahead, numeric_coordinates
 from telemetra.operators import stats
 from telemetra.plans import gold, reports
 from telemetra.sources import roles
@@ -133,8 +133,6 @@ def efficiency_loss_total(spark, folder):
     ),
 )
 def status_label(spark, folder):
-    from telemetra.functions.columns import numeric_coordinates
-
     labelled = reports.labelled_status(status_of(spark, folder))
     return numeric_coordinates(labelled).select("asset_id", "status", "lat", "lon")
 

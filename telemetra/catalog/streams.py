@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from telemetra.catalog.fleet import RULES
 from telemetra.catalog.landing import READING_COLUMNS, landing_copy, plain_readings
 from telemetra.catalog.registry import query, rounded, sql
-from telemetra.plans import gold
+from telemetra.plans import gold, refresh
 from telemetra.schemas import READING
 from telemetra.session import scratch_path
 from telemetra.sources import roles
@@ -229,3 +229,51 @@ def stream_expect(spark, folder):
         )
     )
     return spark.createDataFrame(list(ingest.observed(done).items()), "counter string, value bigint")
+
+
+def landed(spark, folder):
+    return refresh.Landing(
+        readings=landing_copy(spark, roles.telemetry(spark, folder), "raw-readings", "parquet"),
+        assets=landing_copy(spark, roles.assets(spark, folder), "raw-assets"),
+        intervals=landing_copy(spark, roles.status_intervals(spark, folder), "raw-intervals"),
+    )
+
+
+@query(
+    "end_to_end_status",
+    sql(
+        "SELECT asset_id, bucket, round(avg_energy, 6) AS avg_energy, model, location, prediction "
+        "FROM status",
+        "status",
+    ),
+)
+def end_to_end_status(spark, folder):
+    """Raw files through streams and stored tables to scored assets."""
+    tables = refresh.run_all(
+        spark, landed(spark, folder), scratch_path(spark, "end-to-end"), grain="day"
+    )
+    return rounded(
+        tables["status"].select(
+            "asset_id", "bucket", "avg_energy", "model", "location", "prediction"
+        )
+    )
+
+
+@query(
+    "end_to_end_training",
+    sql(
+        "SELECT asset_id || '-' || start_time AS composite_key, bucket, "
+        "round(std_energy, 6) AS v0, abnormal_channel FROM labelled",
+        "labelled",
+    ),
+)
+def end_to_end_training(spark, folder):
+    """The labelled training table of the same run."""
+    tables = refresh.run_all(
+        spark, landed(spark, folder), scratch_path(spark, "end-to-end"), grain="day"
+    )
+    return rounded(
+        tables["training"].select(
+            "composite_key", "bucket", F.col("feature_vector")[0].alias("v0"), "abnormal_channel"
+        )
+    )

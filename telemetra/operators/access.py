@@ -6,12 +6,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+BROADCAST_ROWS = 10_000
 MASK = "***"  # fixed value shown in place of a hidden one
 
 
 def entitlements(spark: SparkSession, rows: Sequence[tuple[str, int]]) -> DataFrame:
-    """User to depot assignments from literal rows."""
-    return spark.createDataFrame(list(rows), "email string, depot int")
+    """User to depot assignments from literal rows.
+
+    The caller holds the rows, so their number is known: a list below the bound is broadcast,
+    which spares the parts a shuffle on their depot, where one depot may dominate.
+    """
+    frame = spark.createDataFrame(list(rows), "email string, depot int")
+    return F.broadcast(frame) if len(rows) <= BROADCAST_ROWS else frame
 
 
 def masked(column: str, allowed: bool) -> Column:

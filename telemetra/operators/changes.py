@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -49,6 +50,24 @@ def as_of(snapshots: DataFrame, version: int) -> DataFrame:
     return snapshots.where(F.col(SNAPSHOT) == version).drop(SNAPSHOT)
 
 
+def as_of_time(snapshots: DataFrame, history: DataFrame, moment: dt.datetime) -> DataFrame:
+    """The version that was newest at a moment; ``history`` holds version and commit time.
+
+    The wanted version is a one-row aggregate, whose value prunes the version folders.
+    """
+    wanted = (
+        history.where(F.col("committed_at") <= F.lit(moment))
+        .agg(F.max(SNAPSHOT).alias(SNAPSHOT))
+    )
+    # exactly one row, by construction of a global aggregate
+    return snapshots.join(F.broadcast(wanted), [SNAPSHOT], "left_semi").drop(SNAPSHOT)
+
+
+def clone_snapshot(spark: SparkSession, path: str, version: int, target: str) -> None:
+    """An independent copy of one version."""
+    spark.read.parquet(f"{path}/{SNAPSHOT}={version}").write.mode("overwrite").parquet(target)
+
+
 def restore_snapshot(spark: SparkSession, path: str, version: int, as_version: int) -> None:
     """Make an old version the newest one by writing it again."""
     write_snapshot(spark.read.parquet(f"{path}/{SNAPSHOT}={version}"), path, as_version)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 SECONDS_PER_BIN = 86_400
+FINE_BINS = 64  # longer intervals move to coarse bins
+COARSE = 1024
 
 
 def enrich(facts: DataFrame, assets: DataFrame, key: str = "asset_id") -> DataFrame:
@@ -16,6 +18,29 @@ def enrich(facts: DataFrame, assets: DataFrame, key: str = "asset_id") -> DataFr
     return facts.join(assets, [key], "inner")
 
 
+def interval_bins(intervals: DataFrame, bin_seconds: int) -> DataFrame:
+    """One row per time bin an interval touches.
+
+    Short intervals use fine bins and long ones bins ``COARSE`` times as wide, so even an
+    open-ended interval stays a modest number of rows.
+    """
+    span = F.col("end_time") - F.col("start_time")
+    long = span > bin_seconds * FINE_BINS
+    width = F.when(long, F.lit(bin_seconds * COARSE)).otherwise(F.lit(bin_seconds))
+    return (
+        intervals.where(F.col("start_time") < F.col("end_time"))
+        .withColumn("_coarse", long)
+        .withColumn(
+            "_bin",
+            F.explode(
+                F.sequence(
+                    F.floor(F.col("start_time") / width), F.floor(F.col("end_time") / width)
+                )
+            ),
+        )
+    )
+
+
 def label_by_interval(
     stats: DataFrame,
     intervals: DataFrame,
@@ -26,24 +51,25 @@ def label_by_interval(
     """Attach every interval of the asset that strictly contains the row's time.
 
     Overlapping intervals fan out. Both sides are keyed by asset and time bin: an interval is
-    repeated once per bin it touches, a row lies in exactly one bin, so each match is found
-    once. An asset with very many rows and intervals is thereby cut into day-sized pieces
-    instead of comparing all its rows with all its intervals in one task.
+    repeated once per bin it touches, and a row lies in one fine and one coarse bin, so each
+    match is found exactly once. An asset with very many rows and intervals is thereby cut
+    into day-sized pieces instead of comparing all its rows with all its intervals in one task.
     """
-    width = F.lit(bin_seconds)
-    at = F.unix_micros(time)
-    left = stats.withColumn("_bin", F.floor(F.unix_seconds(time) / width))
-    touched = F.sequence(
-        F.floor(F.col("start_time") / width), F.floor(F.col("end_time") / width)
-    )
-    right = (
-        intervals.where(F.col("start_time") < F.col("end_time"))
-        .withColumn("_bin", F.explode(touched))
+    seconds = F.unix_seconds(time)
+    places = F.array(
+        F.struct(
+            F.lit(False).alias("_coarse"), F.floor(seconds / bin_seconds).alias("_bin")
+        ),
+        F.struct(
+            F.lit(True).alias("_coarse"), F.floor(seconds / (bin_seconds * COARSE)).alias("_bin")
+        ),
     )
-    matched = left.join(right, [key, "_bin"], "inner").where(
+    left = stats.withColumn("_place", F.explode(places)).select(*stats.columns, "_place.*")
+    matched = left.join(interval_bins(intervals, bin_seconds), [key, "_coarse", "_bin"], "inner")
+    at = F.unix_micros(time)
+    return matched.where(
         (F.col("start_time") * 1_000_000 < at) & (F.col("end_time") * 1_000_000 > at)
-    )
-    return matched.drop("_bin")
+    ).drop("_coarse", "_bin")
 
 
 def label_by_key(
@@ -60,9 +86,11 @@ def training_rows(
 
     ``skip_nulls`` selects the join of the non-null key parts instead of a null key.
     """
-    joiner = F.concat_ws if skip_nulls else None
     parts = [F.col(key).cast("string"), F.col("start_time").cast("string")]
-    composite = joiner("-", *parts) if joiner else F.concat(parts[0], F.lit("-"), parts[1])
+    if skip_nulls:
+        composite = F.concat_ws("-", *parts)
+    else:
+        composite = F.concat(parts[0], F.lit("-"), parts[1])
     return labelled.select(
         composite.alias("composite_key"),
         F.array(*features).alias("feature_vector"),

@@ -28,10 +28,11 @@ def _counters(rules: Sequence[Expectation]) -> list[Column]:
 
 
 def keep_valid(df: DataFrame, rules: Sequence[Expectation]) -> DataFrame:
-    """Only the dropping rules filter; plain conditions, so they reach the scan."""
+    """Only the dropping rules filter. A filter drops null outcomes by itself, so the bare
+    predicate is used, which reaches the scan."""
     for rule in rules:
         if rule.drop:
-            df = df.where(rule.holds)
+            df = df.where(rule.predicate)
     return df
 
 

@@ -15,6 +15,10 @@ SETTINGS = {
     # Percentile sketches use object hash aggregation; the default of 128 groups
     # sends every real fleet straight to the sort-based path.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "8192",
+    # Streaming state off the heap, with only changes uploaded per batch.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.ui.enabled": "false",
 }
 
@@ -71,3 +75,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows to all cores before expensive per-row work, if the input has too few splits.
+
+    Inputs of many files or row groups pass through untouched, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

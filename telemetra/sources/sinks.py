@@ -39,7 +39,7 @@ def insert_into(df: DataFrame, name: str, overwrite: bool = False) -> None:
 
 def truncate(spark: SparkSession, name: str) -> None:
     """Empty a table but keep its definition."""
-    insert_into(spark.table(name).where(F.lit(False)), name, overwrite=True)
+    insert_into(spark.createDataFrame([], spark.table(name).schema), name, overwrite=True)
 
 
 def compact(
@@ -47,29 +47,25 @@ def compact(
 ) -> int:
     """Rewrite many small files as files of about ``target_bytes`` each; returns the file count.
 
-    The folder size is taken from the file listing. Rows are dealt round-robin, which keeps
-    the files even whatever the key distribution.
+    The folder size is taken from the file listing. The scan already packs small files into
+    splits, and coalescing merges neighbouring splits, so no row is shuffled.
     """
     total = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(source)
         .agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()["bytes"]
     )
     files = max(1, -(-int(total) // target_bytes))
-    write_files(spark.read.parquet(source), target, files)
+    spark.read.parquet(source).coalesce(files).write.mode("overwrite").parquet(target)
     return files
 
 
-def cluster_by(df: DataFrame, path: str, *keys: str) -> None:
+def cluster_by(df: DataFrame, path: str, *keys: str, files: int | None = None) -> None:
     """Range-partition and sort by key, so slices by key prune row groups.
 
     ``_spread`` orders rows of equal key, letting the range boundaries cut through a hot key
-    instead of sending all of it to one file.
+    instead of sending all of it to one file. Without ``files`` small output is merged.
     """
-    spread = F.xxhash64(*[F.col(c) for c in df.columns])
-    (
-        df.withColumn("_spread", spread)
-        .repartitionByRange(*keys, "_spread")
-        .sortWithinPartitions(*keys)
-        .drop("_spread")
-        .write.mode("overwrite").parquet(path)
-    )
+    marked = df.withColumn("_spread", F.xxhash64(*[F.col(c) for c in df.columns]))
+    order = [*keys, "_spread"]
+    ranged = marked.repartitionByRange(files, *order) if files else marked.repartitionByRange(*order)
+    ranged.sortWithinPartitions(*keys).drop("_spread").write.mode("overwrite").parquet(path)
