@@ -4,18 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+BROADCAST_BYTES = 32 << 20
 SECONDS_PER_BIN = 86_400
 FINE_BINS = 64  # longer intervals move to coarse bins
 COARSE = 1024
 
 
-def enrich(facts: DataFrame, assets: DataFrame, key: str = "asset_id") -> DataFrame:
+def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a join side for broadcast if its measured size is below the limit.
+
+    The size is summed over all rows in a distributed pass, because Spark's own estimate for
+    a joined or filtered frame can be far off and would shuffle the facts for nothing. A
+    larger side is returned as it is: Spark then shuffles both sides and splits skewed
+    partitions.
+    """
+    text = F.to_json(F.struct(*df.columns))
+    size = df.agg(F.sum(F.octet_length(text)).alias("bytes")).first()["bytes"] or 0
+    return F.broadcast(df) if size <= limit else df
+
+
+def enrich(
+    facts: DataFrame, assets: DataFrame, key: str = "asset_id", measure: bool = True
+) -> DataFrame:
     """Inner join with asset metadata, key merged.
 
-    No broadcast hint: Spark broadcasts the metadata only when its measured size is below
-    the threshold, and otherwise splits skewed partitions of the sort-merge join.
+    ``measure`` sizes the metadata first, so that raw readings need no shuffle when it is
+    small. For facts that are already aggregated it can be turned off; Spark then decides
+    while it runs.
     """
-    return facts.join(assets, [key], "inner")
+    return facts.join(small_side(assets) if measure else assets, [key], "inner")
 
 
 def interval_bins(intervals: DataFrame, bin_seconds: int) -> DataFrame:

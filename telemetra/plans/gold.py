@@ -31,7 +31,8 @@ def bucketed(
 def current_features(bucket_stats: DataFrame, assets: DataFrame) -> DataFrame:
     """The latest bucket of every known asset with its metadata."""
     slim = bucket_stats.drop(*stats.channels_like(bucket_stats, "percentiles_"))
-    return joins.enrich(latest.latest_per_key(slim, ["asset_id"], "bucket"), assets)
+    newest = latest.latest_per_key(slim, ["asset_id"], "bucket")
+    return joins.enrich(newest, assets, measure=False)
 
 
 def current_features_every_bucket(bucket_stats: DataFrame, assets: DataFrame) -> DataFrame:
@@ -41,7 +42,7 @@ def current_features_every_bucket(bucket_stats: DataFrame, assets: DataFrame) ->
     :func:`telemetra.operators.latest.dedupe_by_key` first on input that is not.
     """
     slim = bucket_stats.drop(*stats.channels_like(bucket_stats, "percentiles_"))
-    return joins.enrich(slim.where(F.col("asset_id").isNotNull()), assets)
+    return joins.enrich(slim.where(F.col("asset_id").isNotNull()), assets, measure=False)
 
 
 def score(features: DataFrame) -> DataFrame:
@@ -56,7 +57,8 @@ def current_status(readings: DataFrame, assets: DataFrame, grain: str = "day") -
 def training_set(
     bucket_stats: DataFrame, assets: DataFrame, intervals: DataFrame, skip_nulls: bool = False
 ) -> DataFrame:
-    labelled = joins.label_by_interval(joins.enrich(bucket_stats, assets), intervals)
+    known = joins.enrich(bucket_stats, assets, measure=False)
+    labelled = joins.label_by_interval(known, intervals)
     return joins.training_rows(labelled, [f"std_{c}" for c in CHANNELS], skip_nulls=skip_nulls)
 
 

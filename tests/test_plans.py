@@ -5,7 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as contract
-from telemetra.operators import latest, quality, stats
+from telemetra.operators import joins, latest, quality, stats
 from telemetra.plans import gold, reports
 from telemetra.sources import roles
 
@@ -64,3 +64,17 @@ def test_wide_stats_shuffle_once(spark, folder):
     text = plan(stats.bucket_stats(readings, "energy", ["channel_a"], "month"))
     assert text.count("Exchange hashpartitioning") == 1
     assert "partial_percentile_approx" in text
+
+
+def test_facts_are_not_shuffled_for_small_metadata(spark, folder):
+    readings, assets = roles.telemetry(spark, folder), roles.assets(spark, folder)
+    facts_shuffled = r"Exchange hashpartitioning\(asset_id"
+    assert not re.search(facts_shuffled, plan(joins.enrich(readings, assets)))
+    assert "BroadcastHashJoin" in plan(joins.enrich(readings, assets))
+
+
+def test_large_side_is_not_marked(spark, folder):
+    assets = roles.assets(spark, folder)
+    marked = joins.small_side(assets, limit=10)
+    assert "ResolvedHint" not in marked._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" in joins.small_side(assets)._jdf.queryExecution().analyzed().toString()
