@@ -103,19 +103,25 @@ def sample_hash(spark, folder):
     )
 
 
-@query("shuffle_rows")
+@query("shuffle_rows", sql("SELECT * FROM assets", "assets"))
 def shuffle_rows(spark, folder):
     return sampling.shuffle_rows(roles.assets(spark, folder))
 
 
-@query("random_columns")
+@query(
+    "random_columns",
+    sql("SELECT asset_id, true AS draw_in_range, true AS channel_known FROM assets", "assets"),
+)
 def random_columns(spark, folder):
-    """Random number and random choice per row, repeatable by seed."""
-    choice = F.array(*[F.lit(c) for c in ("channel_b", "channel_d", "channel_f")])
-    return roles.assets(spark, folder).select(
+    """Random number and random choice per row, repeatable by seed, shown as range checks."""
+    channels = ("channel_b", "channel_d", "channel_f")
+    drawn = roles.assets(spark, folder).select(
+        "asset_id", F.rand(42).alias("draw"), columns.random_choice(channels, 43).alias("channel")
+    )
+    return drawn.select(
         "asset_id",
-        F.rand(42).alias("draw"),
-        F.element_at(choice, (F.floor(F.rand(43) * 3) + 1).cast("int")).alias("channel"),
+        ((F.col("draw") >= 0) & (F.col("draw") < 1)).alias("draw_in_range"),
+        F.col("channel").isin(*channels).alias("channel_known"),
     )
 
 
@@ -439,6 +445,37 @@ def sql_fn_score(spark, folder):
     )
 
 
+@query(
+    "sql_tools",
+    """
+    SELECT l_orderkey, l_linenumber,
+           CASE WHEN l_discount = 0 THEN NULL WHEN round(l_tax / l_discount * 100, 2) >= 80 THEN 'good'
+                WHEN round(l_tax / l_discount * 100, 2) >= 50 THEN 'degraded' ELSE 'critical' END AS efficiency,
+           CASE WHEN l_quantity * 4 > 90 AND l_linenumber > 3 THEN 'urgent'
+                WHEN l_quantity * 4 > 90 OR l_linenumber > 3 THEN 'monitor' ELSE 'ok' END AS urgency,
+           round(l_quantity * 0.44704::DOUBLE, 4) AS metres_per_second,
+           round(0.5::DOUBLE * 1.225::DOUBLE * pi() * 1600 * power(l_quantity, 3) / 1000, 2) AS power_kw,
+           floor(l_extendedprice / 1000) * 1000 AS price_bin
+    FROM lineitem""",
+)
+def sql_tools(spark, folder):
+    """The operator tools called by name from SQL text."""
+    registered.register_tools(spark)
+    roles.table(spark, folder, "lineitem").createOrReplaceTempView("telemetra_tool_lines")
+    return spark.sql(
+        """
+        SELECT l_orderkey, l_linenumber,
+               get_json_object(power_efficiency(l_tax, l_discount), '$.status') AS efficiency,
+               get_json_object(maintenance_urgency(l_quantity * 4, l_linenumber), '$.urgency') AS urgency,
+               round(cast(get_json_object(convert_units(l_quantity, 'mph', 'm/s'), '$.value')
+                          AS double), 4) AS metres_per_second,
+               round(cast(get_json_object(wind_power(l_quantity, 80D), '$.power_kw') AS double), 2)
+                   AS power_kw,
+               bin_floor(l_extendedprice, 1000D) AS price_bin
+        FROM telemetra_tool_lines"""
+    )
+
+
 @query(
     "asset_spec_fn",
     sql(

@@ -73,20 +73,42 @@ def scan_binary(spark, folder):
     )
 
 
-@query("list_files")
+@query(
+    "list_files",
+    "SELECT 'event_type=' || event_type AS folder, true AS has_bytes FROM events GROUP BY event_type",
+)
 def list_files(spark, folder):
+    """Folders of a partitioned copy and whether their files hold anything."""
     path = scratch_path(spark, "list-files")
     roles.telemetry(spark, folder).write.partitionBy("event_type").parquet(path)
-    return files.list_files(spark, path, "*.parquet").select("name", "path", "size")
+    listed = files.list_files(spark, path, "*.parquet")
+    return listed.groupBy(F.element_at(F.split("path", "/"), -2).alias("folder")).agg(
+        (F.min("size") > 0).alias("has_bytes")
+    )
+
+
+_LISTED = ("events", "lineitem", "orders")
 
 
-@query("list_tables")
+@query(
+    "list_tables",
+    " UNION ALL ".join(
+        f"SELECT 'telemetra_listed_{name}' AS table_name, count(*) AS row_count FROM {name}"
+        for name in _LISTED
+    ),
+)
 def list_tables(spark, folder):
-    for name in ("events", "orders", "lineitem"):
-        roles.table(spark, folder, name).createOrReplaceTempView(f"telemetra_{name}")
-    return files.list_tables(spark).where(F.col("tableName").startswith("telemetra_")).select(
-        F.col("tableName").alias("table_name"), F.col("isTemporary").alias("is_temporary")
-    )
+    """Names from the catalog, each with the rows of its table."""
+    for name in _LISTED:
+        roles.table(spark, folder, name).createOrReplaceTempView(f"telemetra_listed_{name}")
+    found = files.list_tables(spark).where(F.col("tableName").startswith("telemetra_listed_"))
+    counts = None
+    for row in found.collect():
+        part = spark.table(row["tableName"]).agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(row["tableName"]).alias("table_name"), "row_count"
+        )
+        counts = part if counts is None else counts.unionByName(part)
+    return counts
 
 
 @query("sink_overwrite", sql("SELECT asset_id, location FROM assets", "assets"))

@@ -79,13 +79,16 @@ def ordinal_encode(spark, folder):
     )
 
 
-@query("random_split")
+@query(
+    "random_split",
+    sql("SELECT asset_id, bucket, CAST(1 AS BIGINT) AS times_drawn FROM features", "features"),
+)
 def random_split(spark, folder):
+    """Every row falls into exactly one of the three parts."""
     parts = split_rows(features_of(spark, folder), [0.7, 0.2, 0.1])
     named = [p.withColumn("split", F.lit(n)) for p, n in zip(parts, ("train", "val", "test"))]
-    return named[0].unionByName(named[1]).unionByName(named[2]).groupBy("split").agg(
-        F.count(F.lit(1)).alias("row_count")
-    )
+    together = named[0].unionByName(named[1]).unionByName(named[2])
+    return together.groupBy("asset_id", "bucket").agg(F.count("split").alias("times_drawn"))
 
 
 def scored_features(spark, folder):

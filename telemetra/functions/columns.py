@@ -103,3 +103,9 @@ def rule_score(mean: Column | str = "avg_energy", spread: Column | str = "std_en
 
 def add_if_missing(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df if name in df.columns else df.withColumn(name, value)
+
+
+def random_choice(values: Sequence[str], seed: int) -> Column:
+    """One of the values per row, all equally likely."""
+    place = (F.floor(F.rand(seed) * len(values)) + 1).cast("int")
+    return F.element_at(F.array(*[F.lit(v) for v in values]), place)

@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from telemetra.functions import tools
 from telemetra.functions.columns import RULE_INPUTS, RULE_SPREAD, RULE_STRONG, RULE_WEAK
 
 
@@ -82,3 +83,51 @@ def register_answers(spark: SparkSession, answers: DataFrame, name: str = "guide
                 FROM {view} a WHERE a.question_id = {name}.question)"""
     )
     return name
+
+
+def register_tools(spark: SparkSession) -> list[str]:
+    """The operator tools and the histogram bin as SQL functions; returns their names."""
+    percent = "round(actual_kw / nullif(rated_kw, 0D) * 100, 2)"
+    branches = " ".join(
+        f"WHEN lower(source) = '{a}' AND lower(target) = '{b}' THEN amount * {factor!r}D + {shift!r}D"
+        for (a, b), (factor, shift) in tools.CONVERSIONS.items()
+    )
+    level = (
+        f"CASE WHEN days > {tools.SERVICE_DAYS} AND anomalies > {tools.SERVICE_ANOMALIES} THEN 'urgent' "
+        f"WHEN days > {tools.SERVICE_DAYS} OR anomalies > {tools.SERVICE_ANOMALIES} THEN 'monitor' "
+        "ELSE 'ok' END"
+    )
+    bodies = {
+        "power_efficiency(actual_kw DOUBLE, rated_kw DOUBLE) RETURNS STRING "
+        "COMMENT 'Output as percent of capacity, with a tier, as JSON'": f"""
+            CASE WHEN rated_kw <= 0 THEN
+                to_json(named_struct('error', 'rated_capacity_kw must be greater than 0'))
+            ELSE to_json(named_struct('efficiency_pct', {percent}, 'status',
+                CASE WHEN {percent} >= {tools.GOOD_PERCENT} THEN 'good'
+                     WHEN {percent} >= {tools.DEGRADED_PERCENT} THEN 'degraded'
+                     WHEN {percent} IS NOT NULL THEN 'critical' END)) END""",
+        "wind_power(speed DOUBLE, diameter DOUBLE) RETURNS STRING "
+        "COMMENT 'Theoretical output in kW from wind speed and rotor diameter, as JSON'": f"""
+            to_json(named_struct(
+                'power_kw', round(0.5D * {tools.AIR_DENSITY}D * pi() * pow(diameter / 2, 2D)
+                                  * pow(speed, 3D) / 1000, 2),
+                'meets_minimum', 0.5D * {tools.AIR_DENSITY}D * pi() * pow(diameter / 2, 2D)
+                                  * pow(speed, 3D) / 1000 >= {tools.MINIMUM_KW}))""",
+        "convert_units(amount DOUBLE, source STRING, target STRING) RETURNS STRING "
+        "COMMENT 'Amount in another unit, as JSON'": f"""
+            CASE WHEN (CASE {branches} END) IS NULL THEN
+                to_json(named_struct('error',
+                    concat('unsupported conversion: ', source, ' to ', target)))
+            ELSE to_json(named_struct('value', CASE {branches} END,
+                    'conversion', concat(source, ' to ', target))) END""",
+        "maintenance_urgency(days DOUBLE, anomalies INT) RETURNS STRING "
+        "COMMENT 'How urgent service is, with advice, as JSON'": f"""
+            to_json(named_struct('urgency', {level}, 'action', CASE {level}
+                WHEN 'urgent' THEN 'schedule service now'
+                WHEN 'monitor' THEN 'watch and plan service' ELSE 'no action' END))""",
+        "bin_floor(x DOUBLE, width DOUBLE) RETURNS DOUBLE "
+        "COMMENT 'Lower edge of the fixed-width bin'": "CAST(floor(x / width) * width AS DOUBLE)",
+    }
+    for head, body in bodies.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {head} RETURN {body}")
+    return [head.split("(")[0] for head in bodies]

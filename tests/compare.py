@@ -56,8 +56,8 @@ def difference(spark, connection, folder: str, name: str) -> str | None:
     got = rows_of(frame.columns, got_rows)
     if want == got:
         return None
-    extra = [r for r in got if r not in set(want)][:3]
-    missing = [r for r in want if r not in set(got)][:3]
+    extra = list(set(got) - set(want))[:3]
+    missing = list(set(want) - set(got))[:3]
     return f"{len(got)} rows against {len(want)}; only here {extra}; only there {missing}"
 
 

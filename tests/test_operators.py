@@ -429,6 +429,24 @@ def test_wind_power(spark):
     assert math.isclose(got["power_kw"], want, abs_tol=0.01) and got["meets_minimum"] is True
 
 
+def test_sql_tools_agree_with_columns(spark):
+    assert len(registered.register_tools(spark)) == 5
+    data = [
+        (a, b, "mph", "m/s") for a in (0.0, 49.996, 50.0, 91.0) for b in (-1.0, 0.0, 80.0, 100.0)
+    ] + [(20.0, 4.0, "Celsius", "fahrenheit"), (20.0, 4.0, "rpm", "mph"), (None, 1.0, "mph", "m/s")]
+    df = spark.createDataFrame(data, "a double, b double, u string, v string")
+    a, b, u, v = (F.col(c) for c in "abuv")
+    forms = [
+        (tools.power_efficiency(a, b), "power_efficiency(a, b)"),
+        (tools.wind_power(a, b), "wind_power(a, b)"),
+        (tools.unit_conversion(a, u, v), "convert_units(a, u, v)"),
+        (tools.maintenance_urgency(a, b.cast("int")), "maintenance_urgency(a, int(b))"),
+    ]
+    for column, text_ in forms:
+        for row in df.select("a", "b", "u", column.alias("x"), F.expr(text_).alias("y")).collect():
+            assert row.x == row.y, row
+
+
 def test_rule_forms_agree(spark):
     data = [(m, s) for m in (0.0, 24.99, 25.0, 120.0, 120.1) for s in (0.0, 60.0, 60.1)]
     df = spark.createDataFrame(data, "avg_energy double, std_energy double")
