@@ -64,7 +64,7 @@ def difference(spark, connection, folder: str, name: str) -> str | None:
 def main() -> None:
     folder = sys.argv[1]
     chosen = sys.argv[2:] or list(contract.queries())
-    spark = build_session("local[8]", **{"spark.sql.shuffle.partitions": "8"})
+    spark = build_session("local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     connection = oracle(folder)
     bad = 0
