@@ -92,8 +92,12 @@ def label_by_interval(
 def label_by_key(
     stats: DataFrame, assets: DataFrame, intervals: DataFrame, key: str = "asset_id"
 ) -> DataFrame:
-    """Three-way join on the key alone: every interval of the asset, whatever the time."""
-    return stats.join(assets, [key]).join(intervals, [key])
+    """Three-way join on the key alone: every interval of the asset, whatever the time.
+
+    With the metadata broadcast, only one join shuffles on the key, whose skewed partitions
+    Spark can then split.
+    """
+    return enrich(stats, assets, key).join(intervals, [key])
 
 
 def training_rows(

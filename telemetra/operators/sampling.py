@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from telemetra.session import materialize
+
 
 def sample_rows(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
     return df.sample(fraction=fraction, seed=seed)
@@ -26,4 +28,9 @@ def shuffle_rows(df: DataFrame, seed: int = 42) -> DataFrame:
 
 
 def random_split(df: DataFrame, weights: Sequence[float], seed: int = 42) -> list[DataFrame]:
-    return df.randomSplit(list(weights), seed=seed)
+    """Parts that together hold every row exactly once.
+
+    Each part is a scan of its own, so the rows are stored first: a frame computed anew could
+    deal them differently.
+    """
+    return materialize(df, "random-split").randomSplit(list(weights), seed=seed)

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot key even where a later join or aggregate on it needs one more shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Percentile sketches use object hash aggregation; the default of 128 groups
     # sends every real fleet straight to the sort-based path.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "8192",
@@ -78,7 +80,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal rows to all cores before expensive per-row work, if the input has too few splits.
+    """Deal the rows of a scan to all cores before expensive per-row work, if it has few splits.
 
     Inputs of many files or row groups pass through untouched, without a shuffle.
     """

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from telemetra.operators.quality import Expectation
+from telemetra.operators.stats import PERCENTILES
 from telemetra.plans import refresh
 from telemetra.schemas import ASSET, READING, STATUS_INTERVAL
 from telemetra.session import scratch_path
@@ -60,6 +61,15 @@ def test_update_replaces_an_open_window(spark):
     assert windows(hourly.read_upserts(spark, target)) == {(1, 5): 2}
 
 
+def test_percentiles_on_a_stream(spark):
+    folder, target, checkpoint = places(spark, "f", "t", "c")
+    land(spark, folder, *[(1, at(5, m), m) for m in range(1, 11)])
+    stream = ingest.read_folder(spark, folder, "parquet", schema=TIMED)
+    stats = hourly.windowed_stats(stream, "energy", ["energy"], percentiles=PERCENTILES)
+    ingest.finish(hourly.upsert_changed(stats, target, checkpoint))
+    assert hourly.read_upserts(spark, target).first().percentiles_energy == [1.0, 3.0, 6.0, 8.0, 10.0]
+
+
 def test_late_rows_are_dropped(spark):
     folder, target, checkpoint = places(spark, "f", "t", "c")
     land(spark, folder, (1, at(1), 1), (1, at(10), 1))
