@@ -19,7 +19,9 @@ def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     partitions.
     """
     text = F.to_json(F.struct(*df.columns))
-    size = df.agg(F.sum(F.octet_length(text)).alias("bytes")).first()["bytes"] or 0
+    fixed = 8 * (len(df.columns) + 1)  # numbers, offsets and null bits of a row
+    row = F.octet_length(text).cast("bigint") + fixed
+    size = df.agg(F.sum(row).alias("bytes")).first()["bytes"] or 0
     return F.broadcast(df) if size <= limit else df
 
 
