@@ -90,10 +90,10 @@ def mixed(docs: DataFrame) -> DataFrame:
     """
     stored = materialize(
         docs.select(F.struct(*docs.columns).alias("_doc"))
-        .withColumn("_id", F.monotonically_increasing_id()), "mix-rows")
-    fields = stored.select("_id", "_doc.doc_id", "_doc.source", "_doc.text")
-    taken = mix(fields, ("_id", "doc_id")).where("taken > 0").select("_id", "full", "cut")
-    rows = stored.join(taken, "_id")
+        .withColumn("row_key", F.monotonically_increasing_id()), "mix-rows")
+    fields = stored.select("row_key", "_doc.doc_id", "_doc.source", "_doc.text")
+    taken = mix(fields, ("row_key", "doc_id")).where("taken > 0").select("row_key", "full", "cut")
+    rows = stored.join(taken, "row_key")
     cut = F.array_join(
         F.slice(F.regexp_extract_all("_doc.text", F.lit(tx.WORD), F.lit(0)), 1, F.col("cut").cast("int")), " ")
     copies = F.filter(
