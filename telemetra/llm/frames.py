@@ -111,3 +111,33 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         state = found
     roots = now.select(F.col("v").alias("vertex"), F.col("v").alias("root")).distinct()
     return now.select(F.col("u").alias("vertex"), F.col("v").alias("root")).unionByName(roots)
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups from batches sorted by the keys, with the bounds of the groups.
+
+    A group is held until its last row has come; callers see to it that groups are bounded.
+    """
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        table = table if held is None else pa.concat_tables([held, table])
+        cuts = _changes(table, keys)
+        if len(cuts) > 1:
+            yield table.slice(0, cuts[-1]).combine_chunks(), cuts
+        held = table.slice(cuts[-1])
+    if held is not None:
+        cuts = np.append(_changes(held, keys), held.num_rows)
+        yield held.combine_chunks(), cuts
+
+
+def _changes(table: pa.Table, keys: list[str]) -> np.ndarray:
+    """Row numbers at which a group begins."""
+    differs = np.zeros(table.num_rows, bool)
+    differs[0] = True
+    for key in keys:
+        values = table.column(key).to_numpy()
+        differs[1:] |= values[1:] != values[:-1]
+    return np.flatnonzero(differs)

@@ -5,10 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from telemetra.llm import mixing, near, packing, quality, repeats, sharding
+from telemetra.llm import (
+    chat, langid, mixing, near, packing, quality, quantise, recurrent, repeats, sharding,
+)
 from telemetra.llm.frames import documents
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(
+        spark.read.parquet(f"{sf_dir}/pages.parquet"), documents(spark, sf_dir))
+
+
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.canonical(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -31,14 +42,23 @@ def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeated_spans(documents(spark, sf_dir))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent.rate(documents(spark, sf_dir))
+
+
 def op9_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).drop("full", "cut")
 
 
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quantise.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES = {
     f.__name__: f for f in (
-        op3_quality_rules, op4_best_fit_packing, op5_minhash_near_dedup, op6_sharding,
-        op7_suffix_array_dedup, op9_mixing_sources)
+        op1_language_id, op2_chat_formatting, op3_quality_rules, op4_best_fit_packing,
+        op5_minhash_near_dedup, op6_sharding, op7_suffix_array_dedup, op8_lm_scoring,
+        op9_mixing_sources, op10_embedding_near_dedup)
 } | {"pipeline": corpus_pipeline.run}
 
 CHECKS = {"op9_mixing_sources": mixing.check_sql()}
