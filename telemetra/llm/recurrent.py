@@ -23,7 +23,7 @@ WINDOW = 24  # steps that errors are carried back
 LANES = 512  # documents read side by side
 ROUNDS = 2  # parts of the training texts after which the trainers' weights are averaged
 TRAINERS = 24  # tasks that train side by side; each hands one set of weights to the driver
-LOOKUP_WORDS = 1_000_000  # frequent words whose counts every task holds (12 bytes each)
+LOOKUP_WORDS = 500_000  # frequent words whose counts every task holds (12 bytes each)
 FOLDS, HELD_FOLD = 5, 1
 RATE = 0.02
 
@@ -79,6 +79,14 @@ class Model:
         for (name, shape), begin, end in zip(shapes.items(), sizes[:-1], sizes[1:]):
             setattr(self, name, vector[begin:end].reshape(shape))
 
+    def start_from(self, counts: np.ndarray) -> None:
+        """Output biases that give each symbol its share of the training words."""
+        share = np.zeros(SYMBOLS)
+        share[: len(counts)] = counts
+        share = (share + 0.5).reshape(CLASSES, CLASSES)
+        self.class_bias[:] = np.log(share.sum(axis=1) / share.sum())
+        self.word_bias[:] = np.log(share / share.sum(axis=1, keepdims=True))
+
     def like(self, vector: np.ndarray) -> "Model":
         other = Model.__new__(Model)
         other.vector, other.shapes, other.sizes = vector, self.shapes, self.sizes
@@ -93,75 +101,100 @@ def forward(model: Model, symbols: np.ndarray, fresh: np.ndarray, state: np.ndar
     """
     h, kept = HIDDEN, []
     hidden = np.empty((*symbols.shape, h), np.float32)
+    driven = model.inputs[symbols] + model.bias
+    gating, recalling = np.ascontiguousarray(model.recur[:, : 2 * h]), np.ascontiguousarray(model.recur[:, 2 * h:])
+    some = fresh.any(axis=1)
     for t in range(len(symbols)):
-        state = np.where(fresh[t][:, None], np.float32(0), state)
+        if some[t]:
+            state = np.where(fresh[t][:, None], np.float32(0), state)
         hidden[t] = state
-        x = model.inputs[symbols[t]]
-        gates = x[:, : 2 * h] + state @ model.recur[:, : 2 * h] + model.bias[: 2 * h]
-        gates = 1 / (1 + np.exp(-gates))
-        reset, update = gates[:, :h], gates[:, h:]
-        inner = reset * state
-        new = np.tanh(x[:, 2 * h:] + inner @ model.recur[:, 2 * h:] + model.bias[2 * h:])
-        kept.append((state, reset, update, inner, new))
-        state = state + update * (new - state)
+        gates = state @ gating
+        gates += driven[t, :, : 2 * h]
+        np.negative(gates, out=gates)
+        np.exp(gates, out=gates)
+        gates += 1
+        np.reciprocal(gates, out=gates)
+        inner = gates[:, :h] * state
+        new = inner @ recalling
+        new += driven[t, :, 2 * h:]
+        np.tanh(new, out=new)
+        kept.append((gates, inner, new))
+        state = state + gates[:, h:] * (new - state)
     return hidden, kept, state
 
 
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def shares(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials and their sums by row. States lie in (-1, 1), so logits stay moderate."""
+    np.minimum(logits, 80, out=logits)
+    power = np.exp(logits)
+    return power, power @ np.ones(logits.shape[1], np.float32)
 
 
 def output(model: Model, hidden: np.ndarray, symbols: np.ndarray, grad: Model | None = None):
     """Log-probability of each symbol given the state before it, and the error of the states."""
-    n = len(symbols)
+    # in order of class, so that each class is one slice
+    order = np.argsort(symbols // CLASSES, kind="stable")
+    hidden, symbols = hidden[order], symbols[order]
     kind, inside = symbols // CLASSES, symbols % CLASSES
-    score = log_softmax(hidden @ model.classes + model.class_bias)
-    rows = np.arange(n)
-    logp = score[rows, kind]
+    cuts = np.searchsorted(kind, np.arange(CLASSES + 1))
+    rows = np.arange(len(symbols))
+    logits = hidden @ model.classes + model.class_bias
+    chosen = logits[rows, kind]
+    power, total = shares(logits)
+    logp = chosen - np.log(total)
     error = None
     if grad is not None:
-        d = np.exp(score)
-        d[rows, kind] -= 1
-        grad.classes += hidden.T @ d
-        grad.class_bias += d.sum(axis=0)
-        error = d @ model.classes.T
-    order = np.argsort(kind, kind="stable")
-    cuts = np.searchsorted(kind[order], np.arange(CLASSES + 1))
+        power /= total[:, None]
+        power[rows, kind] -= 1
+        grad.classes += hidden.T @ power
+        grad.class_bias += power.sum(axis=0)
+        error = power @ model.classes.T
     for c in range(CLASSES):
-        own = order[cuts[c]: cuts[c + 1]]
-        if not len(own):
+        own = slice(cuts[c], cuts[c + 1])
+        n = cuts[c + 1] - cuts[c]
+        if not n:
             continue
-        score = log_softmax(hidden[own] @ model.words[c] + model.word_bias[c])
-        at = np.arange(len(own))
-        logp[own] += score[at, inside[own]]
+        logits = hidden[own] @ model.words[c] + model.word_bias[c]
+        chosen = logits[rows[:n], inside[own]]
+        power, total = shares(logits)
+        logp[own] += chosen - np.log(total)
         if grad is not None:
-            d = np.exp(score)
-            d[at, inside[own]] -= 1
-            grad.words[c] += hidden[own].T @ d
-            grad.word_bias[c] += d.sum(axis=0)
-            error[own] += d @ model.words[c].T
-    return logp, error
+            power /= total[:, None]
+            power[rows[:n], inside[own]] -= 1
+            grad.words[c] += hidden[own].T @ power
+            grad.word_bias[c] += power.sum(axis=0)
+            error[own] += power @ model.words[c].T
+    back = np.empty_like(order)
+    back[order] = rows
+    return logp[back], None if error is None else error[back]
 
 
-def backward(model: Model, grad: Model, symbols, fresh, kept, errors) -> None:
+def backward(model: Model, grad: Model, symbols, fresh, hidden, kept, errors) -> None:
     """Errors carried back through the steps of one window."""
     h = HIDDEN
-    later = np.zeros_like(kept[0][0])
+    later = np.zeros_like(hidden[0])
     flows = np.empty((*symbols.shape, 3 * h), np.float32)
+    gating, recalling = np.ascontiguousarray(model.recur[:, : 2 * h].T), np.ascontiguousarray(model.recur[:, 2 * h:].T)
+    some = fresh.any(axis=1)
     for t in range(len(symbols) - 1, -1, -1):
-        state, reset, update, inner, new = kept[t]
-        d_new = later * update * (1 - new * new)
-        d_update = later * (new - state) * update * (1 - update)
-        d_inner = d_new @ model.recur[:, 2 * h:].T
-        d_reset = d_inner * state * reset * (1 - reset)
-        d_gates = np.concatenate([d_reset, d_update], axis=1)
-        flows[t, :, : 2 * h], flows[t, :, 2 * h:] = d_gates, d_new
-        grad.recur[:, : 2 * h] += state.T @ d_gates
-        grad.recur[:, 2 * h:] += inner.T @ d_new
-        back = later * (1 - update) + d_inner * reset + d_gates @ model.recur[:, : 2 * h].T
-        later = np.where(fresh[t][:, None], np.float32(0), back + errors[t])
+        gates, inner, new = kept[t]
+        reset, update, state = gates[:, :h], gates[:, h:], hidden[t]
+        moved = later * update
+        d_new = moved * (1 - new * new)
+        d_inner = d_new @ recalling
+        flow = flows[t]
+        flow[:, :h] = d_inner * inner * (1 - reset)
+        flow[:, h: 2 * h] = moved * (new - state) * (1 - update)
+        flow[:, 2 * h:] = d_new
+        later = later - moved
+        later += d_inner * reset
+        later += flow[:, : 2 * h] @ gating
+        later += errors[t]
+        if some[t]:
+            later[fresh[t]] = 0
     flat = flows.reshape(-1, 3 * h)
+    grad.recur[:, : 2 * h] += hidden.reshape(-1, h).T @ flat[:, : 2 * h]
+    grad.recur[:, 2 * h:] += np.concatenate([inner for _, inner, _ in kept]).T @ flat[:, 2 * h:]
     grad.bias += flat.sum(axis=0)
     order = np.argsort(symbols.ravel(), kind="stable")
     values, at = np.unique(symbols.ravel()[order], return_index=True)
@@ -233,7 +266,7 @@ def train(model: Model, optimiser: Adam, symbols: np.ndarray, begin: np.ndarray)
         grad = model.like(np.zeros_like(model.vector))
         errors = np.zeros((steps.size, HIDDEN), np.float32)
         _, errors[real] = output(model, hidden.reshape(-1, HIDDEN)[real], steps.ravel()[real], grad)
-        backward(model, grad, steps, fresh, kept, errors.reshape(hidden.shape))
+        backward(model, grad, steps, fresh, hidden, kept, errors.reshape(hidden.shape))
         optimiser.update(model.vector, grad.vector / max(1, int(real.sum())))
 
 
@@ -286,7 +319,7 @@ def joined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return np.concatenate([s for s, _ in parts]), begin
 
 
-def fitted(training: DataFrame, frequent: np.ndarray) -> Model:
+def fitted(training: DataFrame, frequent: np.ndarray, counts: np.ndarray) -> Model:
     """Weights after one pass over all training texts.
 
     Each trainer reads its share of the texts with truncated backpropagation, from the common
@@ -294,6 +327,7 @@ def fitted(training: DataFrame, frequent: np.ndarray) -> Model:
     ``TRAINERS`` weight vectors of fixed size come to the driver, whatever the number of texts.
     """
     model = Model()
+    model.start_from(counts)
     for turn in range(ROUNDS):
         start = model.vector
 
@@ -336,7 +370,9 @@ def rate(docs: DataFrame) -> DataFrame:
     distinct, tokens = summary[0] + (ends > 0), (summary[1] or 0) + ends
     top = counts.orderBy(F.desc("n"), "word").limit(SYMBOLS - 2).toPandas()
     frequent = top["word"].to_numpy(np.int64).view(np.uint64)
-    model = fitted(training, frequent)
+    rare_tokens = tokens - ends - int(top["n"].sum())
+    rare_words = distinct - (ends > 0) - len(top)
+    model = fitted(training, frequent, np.array([ends, rare_tokens, *top["n"]], float))
 
     # counts so high that at most LOOKUP_WORDS words reach them go to every task
     steps = counts.groupBy(F.least("n", F.lit(4096)).alias("n")).agg(F.count("word").alias("words"))
@@ -345,10 +381,10 @@ def rate(docs: DataFrame) -> DataFrame:
         if reach + r["words"] > LOOKUP_WORDS:
             break
         reach, least = reach + r["words"], r["n"]
-    common = counts.where(F.col("n") >= least).toPandas().sort_values("word")
-    common_words = common["word"].to_numpy(np.int64).view(np.uint64)
+    common = counts.where(F.col("n") >= least).toArrow()
+    common_words = common.column("word").to_numpy().view(np.uint64)
     order = np.argsort(common_words)
-    common_words, common_counts = common_words[order], common["n"].to_numpy(np.int64)[order]
+    common_words, common_counts = common_words[order], common.column("n").to_numpy()[order].astype(np.int32)
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((common_words, common_counts, frequent, model.vector))
     shapes = Model()
@@ -407,8 +443,6 @@ def rate(docs: DataFrame) -> DataFrame:
     looked = pairs.join(tail, "word", "left").groupBy("_key").agg(
         F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("_more_known"),
         F.sum(F.col("times") * F.log10(c + 0.5)).alias("_more_logs"))
-    rare_tokens = tokens - ends - int(top["n"].sum())
-    rare_words = distinct - (ends > 0) - len(top)
     whole = float(np.log10(tokens + 0.5 * (distinct + 1)))
     rare_whole = float(np.log10(rare_tokens + 0.5 * (rare_words + 1)))
     end = float(np.log10(ends + 0.5))
