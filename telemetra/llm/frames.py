@@ -141,3 +141,23 @@ def _changes(table: pa.Table, keys: list[str]) -> np.ndarray:
         values = table.column(key).to_numpy()
         differs[1:] |= values[1:] != values[:-1]
     return np.flatnonzero(differs)
+
+
+def rest_of_group(cuts: np.ndarray) -> np.ndarray:
+    """How many rows of its group come after each row."""
+    ends = np.repeat(cuts[1:], np.diff(cuts))
+    return ends - np.arange(len(ends)) - 1
+
+
+def pairs_within(partners: np.ndarray, most: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of each row with its next ``partners`` rows, a bounded number at a time."""
+    total = np.cumsum(partners)
+    at = 0
+    while at < len(partners):
+        done = total[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(total, done + most, "right")))
+        count = partners[at:end]
+        first = np.repeat(np.arange(at, end), count)
+        inside = np.arange(len(first)) - np.repeat(np.cumsum(count) - count, count)
+        yield first, first + 1 + inside
+        at = end

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from telemetra.llm.frames import arrow_map, components, sorted_groups
+from telemetra.llm.frames import arrow_map, components, pairs_within, rest_of_group, sorted_groups
 from telemetra.session import materialize
 
 COSINE = 0.93
@@ -55,22 +55,6 @@ def unit(lists) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
-def pairs_within(table, cuts: np.ndarray, most: int = 1 << 21):
-    """Row pairs inside groups, a bounded number at a time: first row, second row."""
-    ends = np.repeat(cuts[1:], np.diff(cuts))
-    partners = ends - np.arange(len(ends)) - 1
-    total = np.cumsum(partners)
-    at = 0
-    while at < len(partners):
-        done = total[at - 1] if at else 0
-        end = max(at + 1, int(np.searchsorted(total, done + most, "right")))
-        count = partners[at:end]
-        first = np.repeat(np.arange(at, end), count)
-        inside = np.arange(len(first)) - np.repeat(np.cumsum(count) - count, count)
-        yield first, first + 1 + inside
-        at = end
-
-
 def own_pairs(table, first: np.ndarray, second: np.ndarray) -> np.ndarray:
     """Which pairs are to be looked at here: close codes, and no other bucket has the pair.
 
@@ -164,7 +148,7 @@ def linked(classes: DataFrame) -> DataFrame:
     def candidates(batches):
         for table, cuts in sorted_groups(batches, GROUP):
             useful = np.zeros(table.num_rows, bool)
-            for first, second in pairs_within(table, cuts):
+            for first, second in pairs_within(rest_of_group(cuts)):
                 mine = own_pairs(table, first, second)
                 useful[first[mine]] = useful[second[mine]] = True
             rows = np.flatnonzero(useful)
@@ -181,7 +165,7 @@ def linked(classes: DataFrame) -> DataFrame:
             links, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
             flat = np.concatenate([unit([v]).ravel() for v in vectors])
             begin = np.cumsum([0, *map(len, vectors)])
-            for first, second in pairs_within(table, cuts, 1 << 18):
+            for first, second in pairs_within(rest_of_group(cuts), 1 << 18):
                 mine = own_pairs(table, first, second)
                 first, second = first[mine], second[mine]
                 near = np.zeros(len(first), bool)
