@@ -21,10 +21,11 @@ SIMILARITY = 0.8
 # Bands of six registers: at similarity 0.8 a pair shares none of 32 bands with probability
 # (1 - 0.8**6)**32 = 6e-5; pairs below 0.3 seldom share one.
 BANDS, BAND_ROWS = 32, 6
-# Of the 192 registers a pair at the threshold agrees in 80 %, give or take 2.9 points; pairs
-# four such deviations lower are not compared in full.
-PROMISING = 0.68
-BLOCK = 512  # texts of one bucket compared with as many others at a time
+REGISTERS = 1024  # of the finer sketch that decides which texts are compared
+# A pair at the threshold agrees in 80 % of these registers, give or take 1.25 points; pairs
+# more than four such deviations lower are not compared in full.
+PROMISING = 0.745
+BLOCK = 1024  # texts of one bucket compared with as many others at a time
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _NO_REGISTER = np.uint64(0xD1B54A32D192ED03)
 
@@ -79,8 +80,7 @@ def signatures(
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """``doc_id, digest, keys, sketch``: the text's digest, one key per band (null without
-    words) and one byte per register."""
+    """``doc_id, digest, keys``: the text's digest and one key per band, null without words."""
 
     def run(batches):
         for part, block in tx.blocks(batches):
@@ -91,11 +91,10 @@ def sketched(docs: DataFrame) -> DataFrame:
             keys = tx.mix(banded.sum(axis=1) + tx.mix(place)).view(np.int64).reshape(-1, BANDS)
             yield {
                 "doc_id": part.column("doc_id"), "digest": part.column("digest"),
-                "keys": [k if c else None for k, c in zip(list(keys), block.counts)],
-                "sketch": [w.tobytes() for w in (won >> np.uint64(56)).astype(np.uint8)]}
+                "keys": [k if c else None for k, c in zip(list(keys), block.counts)]}
 
     rows = docs.select("doc_id", tx.text_digest().alias("digest"), "text")
-    return arrow_map(rows, run, "doc_id long, digest binary, keys array<long>, sketch binary")
+    return arrow_map(rows, run, "doc_id long, digest binary, keys array<long>")
 
 
 def similarity(x: dict[str, np.ndarray], y: dict[str, np.ndarray]) -> float:
@@ -152,38 +151,28 @@ def texts_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFram
     return rows.join(chosen, met).select("digest", "text").dropDuplicates(["digest"])
 
 
-def agreement(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Share of registers in which rows of sketches agree."""
-    return (x == y).mean(axis=1)
-
-
-def promising(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """The rows ``a, b`` whose sketches agree well enough to compare the texts."""
-    joined = pairs.join(sketches.select(F.col("digest").alias("a"), F.col("sketch").alias("x")), "a").join(
-        sketches.select(F.col("digest").alias("b"), F.col("sketch").alias("y")), "b")
+def fine(texts: DataFrame) -> DataFrame:
+    """``digest, sketch`` of rows of ``digest, text``: one byte of each register's winner."""
 
     def run(batches):
-        for batch in batches:
-            x, y = (table_of(batch.column(c)) for c in ("x", "y"))
-            good = pa.array(agreement(x, y) >= PROMISING)
-            yield {c: batch.column(c).filter(good) for c in ("a", "b")}
-
-    return arrow_map(joined.select("a", "b", "x", "y"), run, "a binary, b binary")
-
+        for part, block in tx.blocks(batches):
+            hashes, owner, times = shingles(block)
+            won = signatures(hashes, owner, times.astype(float), len(block), REGISTERS)
+            yield {
+                "digest": part.column("digest"),
+                "sketch": [w.tobytes() for w in (won >> np.uint64(56)).astype(np.uint8)]}
 
-def table_of(sketches: pa.Array) -> np.ndarray:
-    flat = b"".join(sketches.to_pylist())
-    return np.frombuffer(flat, np.uint8).reshape(-1, BANDS * BAND_ROWS)
+    return arrow_map(texts, run, "digest binary, sketch binary")
 
 
 def across(members: DataFrame) -> DataFrame:
     """Promising pairs ``a, b`` of rows of one bucket that differ in ``root``.
 
-    ``members`` are rows of ``key, band, digest, root, sketch``. Large buckets are dealt in
-    blocks, every two of which meet in one task. Only rows outside a block's largest group
+    ``members`` are rows of ``key, band, digest, root, keys, sketch``. Large buckets are dealt
+    in blocks, every two of which meet in one task. Only rows outside a block's largest group
     look for partners. A pair is returned by the first band that it shares.
     """
-    keys = ["key", "low", "high"]
+    names = ["key", "low", "high"]
     sizes = members.groupBy("key").agg(F.ceil(F.count("digest") / BLOCK).cast("int").alias("_blocks"))
     met = (
         members.join(sizes, "key")
@@ -191,12 +180,12 @@ def across(members: DataFrame) -> DataFrame:
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
         .withColumns({"low": F.least("block", "_other"), "high": F.greatest("block", "_other"),
                       "group": F.xxhash64("root")})
-        .select(*keys, "block", "band", "group", "digest", "sketch")
-        .repartition(*keys).sortWithinPartitions(*keys, "digest")
+        .select(*names, "block", "band", "group", "digest", "keys", "sketch")
+        .repartition(*names).sortWithinPartitions(*names, "digest")
     )
 
     def run(batches):
-        for table, cuts in sorted_groups(batches, keys):
+        for table, cuts in sorted_groups(batches, names):
             group = table.column("group").to_numpy()
             order, partners = [], []
             for begin, end in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
@@ -206,20 +195,20 @@ def across(members: DataFrame) -> DataFrame:
                 few = int((~large).sum())
                 partners.append(np.where(np.arange(end - begin) < few, np.arange(end - begin)[::-1], 0))
             order, partners = np.concatenate(order), np.concatenate(partners)
-            sketch = table_of(table.column("sketch"))
+            sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, REGISTERS)
+            keys = np.array(table.column("keys").to_pylist(), np.int64)
             block, low, high, band = (table.column(c).to_numpy() for c in ("block", "low", "high", "band"))
             digests = np.array(table.column("digest").to_pylist(), object)
             out = {"a": [], "b": []}
-            for first, second in pairs_within(partners, 1 << 16):
+            for first, second in pairs_within(partners, 1 << 14):
                 first, second = order[first], order[second]
                 own = group[first] != group[second]
                 own &= np.minimum(block[first], block[second]) == low[first]
                 own &= np.maximum(block[first], block[second]) == high[first]
                 first, second = first[own], second[own]
-                same = sketch[first] == sketch[second]
-                good = same.mean(axis=1) >= PROMISING
-                shared = same.reshape(-1, BANDS, BAND_ROWS).all(axis=2).argmax(axis=1)
-                good &= shared == band[first]
+                own = (keys[first] == keys[second]).argmax(axis=1) == band[first]
+                first, second = first[own], second[own]
+                good = (sketch[first] == sketch[second]).mean(axis=1) >= PROMISING
                 x, y = digests[first[good]], digests[second[good]]
                 swap = x > y
                 out["a"] += np.where(swap, y, x).tolist()
@@ -232,47 +221,48 @@ def across(members: DataFrame) -> DataFrame:
 def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows with their digests, and ``digest, class_id, root`` of each distinct text.
 
-    Texts of one bucket are first compared with three of its texts (smallest, largest and a
-    hashed choice of digests), which joins most of a large group with a few comparisons per
-    member. Then every two texts that share a bucket but not a group are looked at, whatever
-    their number, so that no link between two groups is lost; pairs inside a group need none.
+    Texts of one bucket are first compared with the text that shares most buckets with others
+    (of a group of copies, the one nearest to all), which joins most of a large group with a
+    few comparisons per member. Then every two texts that share a bucket but not a group are
+    looked at, whatever their number, so that no link between two groups is lost; pairs inside
+    a group need none.
     """
     rows = materialize(sketched(docs), "sketches")
     classes = materialize(
-        rows.groupBy("digest").agg(
-            F.min("doc_id").alias("class_id"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")),
+        rows.groupBy("digest").agg(F.min("doc_id").alias("class_id"), F.first("keys").alias("keys")),
         "classes")
     banded = classes.select("digest", F.posexplode("keys").alias("band", "key"))
-    hubs = banded.groupBy("key").agg(
-        F.min("digest").alias("_low"), F.max("digest").alias("_high"),
-        F.min_by("digest", F.xxhash64("digest")).alias("_any")).where("_low <> _high")
-    members = materialize(banded.join(hubs, "key"), "buckets")
-    stars = members.select("digest", F.explode(F.array("_low", "_high", "_any")).alias("hub")).where(
-        "digest <> hub").select(
-        F.least("hub", "digest").alias("a"), F.greatest("hub", "digest").alias("b")).distinct()
-    tried = materialize(promising(stars, classes), "star-pairs")
-    links = compared(docs, classes, tried)
+    full = banded.groupBy("key").agg(F.count("digest").alias("_n")).where("_n > 1")
+    members = materialize(banded.join(full, "key"), "buckets")
+    reach = members.groupBy("digest").agg(F.sum("_n").alias("_reach"))
+    hubs = members.join(reach, "digest").groupBy("key").agg(
+        F.max(F.struct("_reach", "digest")).alias("_hub")).select("key", F.col("_hub.digest").alias("hub"))
+    tried = materialize(
+        members.join(hubs, "key").where("digest <> hub").select(
+            F.least("hub", "digest").alias("a"), F.greatest("hub", "digest").alias("b")).distinct(),
+        "star-pairs")
+    wanted = members.select("digest").distinct()
+    texts = materialize(texts_of(docs, classes, wanted), "texts")
+    links = materialize(verified(tried, texts), "links").drop("similarity")
     first = components(links)
 
     grouped = members.join(first.withColumnRenamed("vertex", "digest"), "digest", "left").select(
         "key", "band", "digest", F.coalesce("root", "digest").alias("root"))
     mixed = grouped.groupBy("key").agg(F.min("root").alias("_l"), F.max("root").alias("_h")).where(
         "_l <> _h").select("key")
-    open_ = grouped.join(mixed, "key").join(classes.select("digest", "sketch"), "digest")
-    untried = materialize(across(open_).join(tried, ["a", "b"], "left_anti"), "cross-pairs")
-    whole = components(links.unionByName(compared(docs, classes, untried)))
+    open_ = materialize(grouped.join(mixed, "key"), "open-buckets")
+    sketches = materialize(
+        fine(texts.join(open_.select("digest").distinct(), "digest")), "fine-sketches")
+    told = classes.select("digest", "keys").join(sketches, "digest")
+    untried = materialize(
+        across(open_.join(told, "digest")).join(tried, ["a", "b"], "left_anti"), "cross-pairs")
+    more = materialize(verified(untried, texts), "links").drop("similarity")
+    whole = components(links.unionByName(more))
     return rows, classes.select("digest", "class_id").join(
         whole.withColumnRenamed("vertex", "digest"), "digest", "left").select(
         "digest", "class_id", F.coalesce("root", "digest").alias("root"))
 
 
-def compared(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` that are links, after a look at their whole texts."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
-    texts = materialize(texts_of(docs, classes, wanted), "texts")
-    return materialize(verified(pairs, texts), "links").drop("similarity")
-
-
 def membership(docs: DataFrame) -> DataFrame:
     """One row per row of ``doc_id, text``: ``doc_id, class_id, component_id, kept``.
 
