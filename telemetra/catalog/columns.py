@@ -94,8 +94,8 @@ def sample_rows(spark, folder):
 @query(
     "sample_hash",
     "SELECT event_id, value AS energy FROM ("
-    "SELECT event_id, value, ('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 4))::INT AS slot "
-    "FROM events) WHERE slot < 6553",
+    "SELECT event_id, value, ('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 15))::BIGINT AS slot "
+    "FROM events) WHERE CAST(slot AS DOUBLE) < CAST(0.1 AS DOUBLE) * 1152921504606846976",
 )
 def sample_hash(spark, folder):
     return sampling.sample_by_hash(roles.telemetry(spark, folder), ["event_id"], 0.1).select(
@@ -325,7 +325,7 @@ def min_max(spark, folder):
     SELECT event_id, pct AS efficiency_pct,
            CASE WHEN pct >= 80 THEN 'good' WHEN pct >= 50 THEN 'degraded'
                 WHEN pct IS NOT NULL THEN 'critical' END AS status,
-           CASE WHEN k <= 0 THEN 'rated_capacity_kw must be greater than 0' END AS error
+           CASE WHEN k <= 0 THEN 'capacity is not positive' END AS error
     FROM (SELECT event_id, k, CASE WHEN k > 0 THEN CAST(round(CAST(CAST(value / k * 100 AS VARCHAR)
                              AS DECIMAL(38, 18)), 2) AS DOUBLE) END AS pct
           FROM (SELECT event_id, value,

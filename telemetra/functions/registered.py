@@ -101,7 +101,7 @@ def register_tools(spark: SparkSession) -> list[str]:
         "power_efficiency(actual_kw DOUBLE, rated_kw DOUBLE) RETURNS STRING "
         "COMMENT 'Output as percent of capacity, with a tier, as JSON'": f"""
             CASE WHEN rated_kw <= 0 THEN
-                to_json(named_struct('error', 'rated_capacity_kw must be greater than 0'))
+                to_json(named_struct('error', 'capacity is not positive'))
             ELSE to_json(named_struct('efficiency_pct', {percent}, 'status',
                 CASE WHEN {percent} >= {tools.GOOD_PERCENT} THEN 'good'
                      WHEN {percent} >= {tools.DEGRADED_PERCENT} THEN 'degraded'

@@ -42,7 +42,7 @@ def power_efficiency(actual: Column, rated: Column) -> Column:
     """JSON text with percentage and tier, or an error for a capacity that is not positive."""
     percent = efficiency_percent(actual, rated)
     good = F.to_json(F.struct(percent.alias("efficiency_pct"), efficiency_tier(percent).alias("status")))
-    bad = F.to_json(F.struct(F.lit("rated_capacity_kw must be greater than 0").alias("error")))
+    bad = F.to_json(F.struct(F.lit("capacity is not positive").alias("error")))
     return F.when(rated <= 0, bad).otherwise(good)
 
 

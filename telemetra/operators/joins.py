@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 BROADCAST_BYTES = 32 << 20
 SECONDS_PER_BIN = 86_400
-FINE_BINS = 64  # longer intervals move to coarse bins
-COARSE = 1024
+LEVEL_BINS = 64  # an interval uses the level at which it spans at most this many bins
+LEVELS = 4  # widths of 1, 64, 4,096 and 262,144 fine bins
 
 
 def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
@@ -18,11 +18,15 @@ def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     larger side is returned as it is: Spark then shuffles both sides and splits skewed
     partitions.
     """
+    return F.broadcast(df) if measured_bytes(df) <= limit else df
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """About the memory all rows take, summed in a distributed pass."""
     text = F.to_json(F.struct(*df.columns))
     fixed = 8 * (len(df.columns) + 1)  # numbers, offsets and null bits of a row
     row = F.octet_length(text).cast("bigint") + fixed
-    size = df.agg(F.sum(row).alias("bytes")).first()["bytes"] or 0
-    return F.broadcast(df) if size <= limit else df
+    return df.agg(F.sum(row).alias("bytes")).first()["bytes"] or 0
 
 
 def enrich(
@@ -38,17 +42,18 @@ def enrich(
 
 
 def interval_bins(intervals: DataFrame, bin_seconds: int) -> DataFrame:
-    """One row per time bin an interval touches.
+    """One row per time bin an interval touches, at the level that suits its length.
 
-    Short intervals use fine bins and long ones bins ``COARSE`` times as wide, so even an
-    open-ended interval stays a modest number of rows.
+    An interval gets at most ``LEVEL_BINS + 1`` rows, however long it is.
     """
     span = F.col("end_time") - F.col("start_time")
-    long = span > bin_seconds * FINE_BINS
-    width = F.when(long, F.lit(bin_seconds * COARSE)).otherwise(F.lit(bin_seconds))
+    level = F.lit(LEVELS - 1)
+    for lower in reversed(range(LEVELS - 1)):
+        level = F.when(span <= bin_seconds * LEVEL_BINS ** (lower + 1), lower).otherwise(level)
+    width = F.lit(bin_seconds) * F.pow(F.lit(LEVEL_BINS), F.col("_level")).cast("bigint")
     return (
         intervals.where(F.col("start_time") < F.col("end_time"))
-        .withColumn("_coarse", long)
+        .withColumn("_level", level)
         .withColumn(
             "_bin",
             F.explode(
@@ -70,25 +75,27 @@ def label_by_interval(
     """Attach every interval of the asset that strictly contains the row's time.
 
     Overlapping intervals fan out. Both sides are keyed by asset and time bin: an interval is
-    repeated once per bin it touches, and a row lies in one fine and one coarse bin, so each
-    match is found exactly once. An asset with very many rows and intervals is thereby cut
-    into day-sized pieces instead of comparing all its rows with all its intervals in one task.
+    repeated once per bin it touches, and a row lies in one bin of each level, so each match is
+    found exactly once. An asset with very many rows and intervals is thereby cut into
+    day-sized pieces instead of comparing all its rows with all its intervals in one task.
+    Spark cannot see how many rows the bins make, so they are broadcast only after they were
+    measured, and otherwise joined by sorting, where skewed partitions can be split.
     """
     seconds = F.unix_seconds(time)
-    places = F.array(
+    places = F.array(*[
         F.struct(
-            F.lit(False).alias("_coarse"), F.floor(seconds / bin_seconds).alias("_bin")
-        ),
-        F.struct(
-            F.lit(True).alias("_coarse"), F.floor(seconds / (bin_seconds * COARSE)).alias("_bin")
-        ),
-    )
+            F.lit(level).alias("_level"),
+            F.floor(seconds / (bin_seconds * LEVEL_BINS**level)).alias("_bin"))
+        for level in range(LEVELS)
+    ])
     left = stats.withColumn("_place", F.explode(places)).select(*stats.columns, "_place.*")
-    matched = left.join(interval_bins(intervals, bin_seconds), [key, "_coarse", "_bin"], "inner")
+    bins = interval_bins(intervals, bin_seconds)
+    side = F.broadcast(bins) if measured_bytes(bins) <= BROADCAST_BYTES else bins.hint("merge")
+    matched = left.join(side, [key, "_level", "_bin"], "inner")
     at = F.unix_micros(time)
     return matched.where(
         (F.col("start_time") * 1_000_000 < at) & (F.col("end_time") * 1_000_000 > at)
-    ).drop("_coarse", "_bin")
+    ).drop("_level", "_bin")
 
 
 def label_by_key(

@@ -14,13 +14,13 @@ def sample_rows(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
 
 
 def sample_by_hash(df: DataFrame, keys: Sequence[str], fraction: float) -> DataFrame:
-    """Keep a row when the leading 16 bits of its key's md5 fall below the fraction.
+    """Keep a row when the leading 60 bits of its key's md5 fall below the fraction.
 
     Repeatable across runs, partitionings and engines.
     """
     text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
-    slot = F.conv(F.substring(F.md5(text), 1, 4), 16, 10).cast("int")
-    return df.where(slot < int(fraction * 65_536))
+    slot = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("double")
+    return df.where(slot < fraction * 2.0**60)
 
 
 def shuffle_rows(df: DataFrame, seed: int = 42) -> DataFrame:

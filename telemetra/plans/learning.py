@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import itertools
-import random
+import hashlib
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -218,9 +217,14 @@ def weighted_auc(per_class: DataFrame) -> DataFrame:
 def search_trials(
     space: Mapping[str, Sequence[float]] = SEARCH_SPACE, count: int = 10, seed: int = SEED
 ) -> list[dict[str, float]]:
-    """A repeatable random choice of settings from the whole grid."""
-    grid = [dict(zip(space, values)) for values in itertools.product(*space.values())]
-    return random.Random(seed).sample(grid, min(count, len(grid)))
+    """The settings of the whole grid whose digests come first: a repeatable random choice."""
+    def digest(setting: dict[str, float]) -> str:
+        return hashlib.md5(f"{seed} {sorted(setting.items())}".encode()).hexdigest()
+
+    settings: list[dict[str, float]] = [{}]
+    for name, values in space.items():
+        settings = [{**setting, name: value} for setting in settings for value in values]
+    return sorted(settings, key=digest)[:count]
 
 
 def param_search(

@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-import datetime as dt
+from pyspark.sql import DataFrame, Window, functions as F
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
-
-from telemetra.functions.columns import hours_ahead, status_label
-from telemetra.schemas import FORECAST_ROWS, FORECAST_SCHEMA
+from telemetra.functions.columns import status_label
 
 REVENUE_FACTOR = 110  # fixed value: revenue per unit of energy
 
@@ -108,11 +105,6 @@ def example_asset(df: DataFrame, condition: str) -> DataFrame:
     return df.where(condition).agg(F.min("asset_id").alias("asset_id")).where("asset_id IS NOT NULL")
 
 
-def forecast(spark: SparkSession, start: dt.datetime) -> DataFrame:
-    rows = spark.createDataFrame(FORECAST_ROWS, FORECAST_SCHEMA)
-    return rows.withColumn("time", hours_ahead(start, "hour"))
-
-
 def forecast_hourly(rows: DataFrame) -> DataFrame:
     return rows.groupBy(F.date_trunc("hour", "time").alias("hourly_time")).agg(
         F.sum("low").alias("sum_low"),

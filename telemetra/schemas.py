@@ -55,12 +55,3 @@ QUEUE = _struct(
     ("technician_notes", T.StringType(), "free text"),
     ("last_updated", T.TimestampType(), "last change"),
 )
-
-# Hour, low, high and expected output of the day's forecast.
-FORECAST_ROWS = [
-    (0, 310.0, 340.0, 326.0), (1, 322.0, 365.0, 344.0), (2, 335.0, 392.0, 361.0),
-    (3, 318.0, 380.0, 350.0), (4, 270.0, 331.0, 299.0), (5, 190.0, 268.0, 228.0),
-    (6, 120.0, 205.0, 160.0), (7, 75.0, 148.0, 110.0), (8, 40.0, 96.0, 66.0),
-    (9, 42.0, 101.0, 71.0), (10, 28.0, 88.0, 57.0), (11, 15.0, 70.0, 39.0),
-]
-FORECAST_SCHEMA = "hour int, low double, high double, prediction double"

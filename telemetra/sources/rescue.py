@@ -12,7 +12,8 @@ def rescue_json(lines: DataFrame, schema: T.StructType, text: str = "value") ->
     """Parse JSON lines into ``schema`` columns plus ``_rescued_data``.
 
     A field is rescued when its name is unknown or its value does not convert to the
-    declared type; a line that is not a JSON object is rescued whole. ``_rescued_data`` is
+    declared type (NaN and infinities are no values); a line that is not exactly one JSON
+    object is rescued whole. ``_rescued_data`` is
     null exactly when the line fits. Works on batch and streaming frames alike and stays
     in the JVM. A line that fits costs one typed parse and one pass over its keys; only a
     misfit is taken apart field by field.
@@ -27,24 +28,33 @@ def rescue_json(lines: DataFrame, schema: T.StructType, text: str = "value") ->
         F.from_json(text, watched, {"columnNameOfCorruptRecord": _CORRUPT}).alias("_typed"),
     )
 
+    broken = [f.name for f in schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+
+    def value_of(known: str) -> Column:
+        got = F.col("_typed").getField(known)
+        return F.when(~F.isnan(got) & (F.abs(got) < float("inf")), got) if known in broken else got
+
     def misfit(name: Column, value: Column) -> Column:
         unconverted = F.lit(False)
         for known in names:
-            got = F.col("_typed").getField(known)
-            unconverted = unconverted | ((name == known) & value.isNotNull() & got.isNull())
+            unconverted = unconverted | (
+                (name == known) & value.isNotNull() & value_of(known).isNull())
         return ~name.isin(names) | unconverted
 
     known = F.array(*[F.lit(n) for n in names])
     fits = F.col("_typed").getField(_CORRUPT).isNull() & (
         F.size(F.array_except("_keys", known)) == 0
     )
+    for name in broken:
+        fits = fits & F.col("_typed").getField(name).isNull().eqNullSafe(value_of(name).isNull())
     fields = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
-    is_object = F.col("_keys").isNotNull()
+    # the lenient parser stops after the object; the strict one refuses text behind it
+    is_object = F.col("_keys").isNotNull() & F.try_parse_json(text).isNotNull()
     judged = staged.withColumn(
         "_left", F.when(is_object & ~fits, F.to_json(F.map_filter(fields, misfit)))
     )
     rescued = F.when(is_object & (F.col("_left") != "{}"), F.col("_left")).when(
         ~is_object | F.col("_left").isNotNull(), F.col(text)
     )
-    values = [F.when(is_object, F.col("_typed").getField(n)).alias(n) for n in names]
+    values = [F.when(is_object, value_of(n)).alias(n) for n in names]
     return judged.select(*other, *values, rescued.alias(RESCUED))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -51,24 +53,40 @@ def upsert_changed(
 
     A repeated batch overwrites its own folder, so the result stays exact after a failure and
     nothing already written is rewritten. :func:`read_upserts` shows the newest version of
-    every window.
+    every window. Batch numbers are those of the checkpoint, so a target that another
+    checkpoint has written to is refused.
     """
+    run = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()
+    if _runs(stats.sparkSession, path) - {run}:
+        raise ValueError(f"{path} holds versions of another checkpoint")
 
     def store(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        batch.write.mode("overwrite").parquet(f"{path}/run={run}/batch={number}")
 
     writer = stats.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.foreachBatch(store).start()
 
 
+def _runs(spark: SparkSession, path: str) -> set[str]:
+    """Checkpoints that have written to the path."""
+    try:
+        stored = spark.read.parquet(path)
+    except AnalysisException:
+        return set()  # nothing there yet
+    if "run" not in stored.columns:
+        return {""}
+    return {r["run"] for r in stored.select("run").distinct().collect()}
+
+
 def read_upserts(
     spark: SparkSession, path: str, keys: Sequence[str] = ("asset_id", "bucket")
 ) -> DataFrame:
-    return latest_per_key(spark.read.parquet(path), list(keys), "batch").drop("batch")
+    return latest_per_key(spark.read.parquet(path), list(keys), "batch").drop("batch", "run")
 
 
 def compact_upserts(spark: SparkSession, path: str, target: str) -> None:
     """Fold all versions into one folder at ``target``; later batches keep their numbers."""
-    newest = spark.read.parquet(path).agg(F.max("batch")).first()[0]
-    read_upserts(spark, path).write.mode("overwrite").parquet(f"{target}/batch={newest}")
+    newest = spark.read.parquet(path).agg(F.max("batch"), F.max("run")).first()
+    read_upserts(spark, path).write.mode("overwrite").parquet(
+        f"{target}/run={newest[1]}/batch={newest[0]}")

@@ -7,7 +7,7 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.sql import Observation, Row, functions as F
+from pyspark.sql import Observation, Row, functions as F, types as T
 
 from telemetra.functions import columns, registered, text, tools
 from telemetra.operators import (
@@ -201,13 +201,42 @@ def test_interval_bins_do_not_change_the_result(spark, width):
 
 
 def test_open_ended_interval(spark):
-    """An interval up to the year 9999 costs a few coarse bins, not one row per day."""
+    """An interval up to the year 9999 costs at most 65 bins of its level."""
     base = int(at(1).timestamp())
     stat = spark.createDataFrame([(1, at(1)), (1, at(2))], "asset_id long, bucket timestamp")
     spans = spark.createDataFrame([(1, "a", base, 253_402_300_799)], STATUS_INTERVAL)
     got = joins.label_by_interval(stat, spans)
     assert rows(got.select(F.dayofmonth("bucket"))) == [(2,)]
-    assert joins.interval_bins(spans, 86_400).count() < 4000
+    assert joins.interval_bins(spans, 86_400).count() <= 65
+
+
+def test_many_open_ended_intervals_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 1000)
+    stat = spark.createDataFrame([(1, at(2))], "asset_id long, bucket timestamp")
+    spans = spark.range(200).select(
+        F.col("id").alias("asset_id"), F.lit("a").alias("abnormal_channel"),
+        F.lit(0).cast("bigint").alias("start_time"), F.lit(253_402_300_799).alias("end_time"))
+    got = joins.label_by_interval(stat, spans)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BuildRight" not in plan
+    assert got.count() == 1
+
+
+@pytest.mark.parametrize("days", [1, 64, 65, 4096, 5000, 300_000])
+def test_interval_bins_are_bounded_and_complete(spark, days):
+    start = int(at(1).timestamp()) + 7
+    spans = spark.createDataFrame([(1, "a", start, start + days * 86_400)], STATUS_INTERVAL)
+    assert joins.interval_bins(spans, 86_400).count() <= 65
+    inside = [start + 1, start + days * 43_200, start + days * 86_400 - 1]
+    stat = spark.createDataFrame(
+        [(1, s) for s in [start, *inside, start + days * 86_400]], "asset_id long, s long"
+    ).select("asset_id", F.timestamp_seconds("s").alias("bucket"), "s")
+    assert rows(joins.label_by_interval(stat, spans).select("s"), "s") == [(s,) for s in inside]
+
+
+def test_hash_sample_of_small_fractions(spark):
+    many = spark.range(2_000_000)
+    assert 8 <= sampling.sample_by_hash(many, ["id"], 1e-5).count() <= 40
 
 
 def test_composite_key_with_null_part(spark):
@@ -257,11 +286,12 @@ def test_efficiency_loss_last_status_is_null(spark):
     assert got["ok"].efficiency_loss is None
 
 
-def test_forecast_starts_now(spark):
-    rows_ = reports.forecast(spark, at(3, 7, 30)).orderBy("hour").collect()
-    assert rows_[0].time.minute == 30 and len(rows_) == 12
-    hourly = reports.forecast_hourly(reports.forecast(spark, at(3, 7, 30)))
-    assert hourly.count() == 12
+def test_forecast_sums_by_hour(spark):
+    rows_ = spark.createDataFrame(
+        [(at(3, 7, 30), 1.0, 4.0, 2.0), (at(3, 7, 40), 2.0, 5.0, 3.0), (at(3, 8, 0), 1.0, 1.0, 1.0)],
+        "time timestamp, low double, high double, prediction double")
+    got = rows(reports.forecast_hourly(rows_), "hourly_time")
+    assert [r[1:] for r in got] == [(3.0, 9.0, 5.0), (1.0, 1.0, 1.0)]
 
 
 def test_unreadable_coordinates(spark):
@@ -393,11 +423,11 @@ def answer(spark, column):
 @pytest.mark.parametrize(
     "actual, rated, want",
     [
-        (5.0, 0.0, {"error": "rated_capacity_kw must be greater than 0"}),
-        (5.0, -1.0, {"error": "rated_capacity_kw must be greater than 0"}),
+        (5.0, 0.0, {"error": "capacity is not positive"}),
+        (5.0, -1.0, {"error": "capacity is not positive"}),
         (50.0, 100.0, {"efficiency_pct": 50.0, "status": "degraded"}),
         (80.0, 100.0, {"efficiency_pct": 80.0, "status": "good"}),
-        (980.0, 2500.0, {"efficiency_pct": 39.2, "status": "critical"}),
+        (330.0, 1200.0, {"efficiency_pct": 27.5, "status": "critical"}),
     ],
 )
 def test_power_efficiency(spark, actual, rated, want):
@@ -676,3 +706,14 @@ def test_shared_root_is_the_named_folder(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
     copy = materialize(spark.range(5), "five")
     assert copy.count() == 5 and copy.inputFiles()[0].startswith(f"file://{shared_root(spark)}")
+
+
+def test_rescue_of_trailing_text_and_nan(spark):
+    schema = T.StructType([
+        T.StructField("event_id", T.LongType()), T.StructField("energy", T.DoubleType())])
+    lines = ['{"event_id": 5} trailing', '{"event_id": 6, "energy": "NaN"}', '{"event_id": 7, "energy": 1.5}']
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    got = {r[2]: (r[0], r[1]) for r in rescue.rescue_json(df, schema).collect()}
+    assert got[lines[0]] == (None, None)
+    assert got['{"energy":"NaN"}'] == (6, None)
+    assert got[None] == (7, 1.5)

@@ -161,3 +161,21 @@ def test_refresh_takes_new_files_on_the_next_run(spark):
     second = refresh.run_all(spark, landing, root)
     assert second["status"].first().avg_energy == 15.0
     assert second["stats"].count() == 1
+
+
+def test_versions_of_another_checkpoint_are_refused(spark, tmp_path):
+    landing = str(tmp_path / "in")
+    spark.createDataFrame([(1, "2024-01-01 00:10:00", 2.0, 1.0)], "asset_id long, t string, energy double, channel_k double").selectExpr(
+        "asset_id", "CAST(t AS TIMESTAMP) AS event_time", "energy", "channel_k").write.parquet(landing)
+    schema = spark.read.parquet(landing).schema
+
+    def run(checkpoint):
+        stats = hourly.windowed_stats(
+            spark.readStream.schema(schema).parquet(landing), "energy", ["channel_k"])
+        ingest.finish(hourly.upsert_changed(stats, str(tmp_path / "out"), str(tmp_path / checkpoint)))
+
+    run("one")
+    run("one")
+    with pytest.raises(ValueError):
+        run("two")
+    assert hourly.read_upserts(spark, str(tmp_path / "out")).count() == 1
