@@ -48,8 +48,9 @@ def rescue_json(lines: DataFrame, schema: T.StructType, text: str = "value") ->
     for name in broken:
         fits = fits & F.col("_typed").getField(name).isNull().eqNullSafe(value_of(name).isNull())
     fields = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
-    # the lenient parser stops after the object; the strict one refuses text behind it
-    is_object = F.col("_keys").isNotNull() & F.try_parse_json(text).isNotNull()
+    # the parser stops after the object; as the only item of an array nothing may follow it
+    alone = F.json_array_length(F.concat(F.lit("["), F.col(text), F.lit("]")))
+    is_object = F.col("_keys").isNotNull() & F.coalesce(alone == 1, F.lit(False))
     judged = staged.withColumn(
         "_left", F.when(is_object & ~fits, F.to_json(F.map_filter(fields, misfit)))
     )
