@@ -199,10 +199,35 @@ def guide_fn(spark, folder):
     )
 
 
-@query("text_topk")
+_TERMS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
+
+
+@query(
+    "text_topk",
+    f"""
+    WITH asked AS (
+        SELECT DISTINCT unnest({_TERMS}) AS term
+        FROM (SELECT text FROM benchmark ORDER BY item_id LIMIT 1)),
+    cut AS (SELECT doc_id, coalesce({_TERMS}, []) AS terms FROM documents),
+    corpus AS (SELECT count(*) AS n, avg(len(terms)) AS mean_length FROM cut),
+    hits AS (
+        SELECT doc_id, term, count(*) AS c
+        FROM (SELECT doc_id, unnest(terms) AS term FROM cut) SEMI JOIN asked USING (term)
+        GROUP BY ALL),
+    weights AS (
+        SELECT term, ln(1 + ((SELECT n FROM corpus) - count(*) + 0.5) / (count(*) + 0.5)) AS w
+        FROM hits GROUP BY term),
+    scores AS (
+        SELECT doc_id, sum(w * c * 2.2 / (c + 1.2 * (0.25 + 0.75 * len(terms)
+               / (SELECT mean_length FROM corpus)))) AS score
+        FROM hits JOIN weights USING (term) JOIN cut USING (doc_id) GROUP BY doc_id)
+    SELECT doc_id, round(similarity, 4) AS similarity
+    FROM (SELECT doc_id, coalesce(score, 0) AS similarity
+          FROM cut LEFT JOIN scores USING (doc_id) ORDER BY similarity DESC, doc_id LIMIT {TOP})""",
+)
 def text_topk(spark, folder):
     """The first benchmark passage as a question to all documents, whole texts on both sides."""
     documents = spread(roles.table(spark, folder, "documents").select("doc_id", "text"))
     question = roles.table(spark, folder, "benchmark").orderBy("item_id").first()["text"]
-    model = retrieval.text_index(documents, "text")
-    return retrieval.nearest_texts(model, documents, "doc_id", "text", question, TOP)
+    found = retrieval.nearest_texts(documents, "doc_id", "text", question, TOP)
+    return found.select("doc_id", F.round("similarity", 4).alias("similarity"))

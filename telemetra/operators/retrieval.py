@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import (
-    IDF, BucketedRandomProjectionLSH, HashingTF, Normalizer, RegexTokenizer, VectorSlicer,
-)
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.feature import BucketedRandomProjectionLSH, Normalizer
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, functions as F
 
 from telemetra.operators.latest import top_per_key
+from telemetra.session import materialize
 
 QUESTION_BLOCK = 256
 
@@ -107,40 +106,61 @@ def nearest_hashed(
 
 # --- text questions ---------------------------------------------------------------------
 
+# The usual saturation and length weight of BM25.
+SATURATION = 1.2
+LENGTH_WEIGHT = 0.75
+TERM = r"[\p{L}\p{N}]+"
 
-def text_index(documents: DataFrame, text: str, features: int = 1 << 18) -> PipelineModel:
-    """Hashed, weighted term vectors of unit length.
 
-    The weights are one vector of fixed size, found in one pass, so no vocabulary table is
-    joined and a word in every document is no hot key.
+def terms_of(text: Column) -> Column:
+    """Lower-case runs of letters and digits; a null text has none."""
+    return F.coalesce(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)), F.array())
+
+
+def nearest_texts(documents: DataFrame, key: str, text: str, question: str, k: int) -> DataFrame:
+    """Top-k documents for a question by BM25 over exact terms, ties by key.
+
+    Every whole text is cut into terms once. What is stored per document is its length and
+    the counts of the question's terms; the corpus statistics are one mergeable aggregate
+    over that narrow table, so there is no vocabulary and no hot word. Documents without any
+    of the terms score 0.
     """
-    return Pipeline(
-        stages=[
-            RegexTokenizer(inputCol=text, outputCol="_terms", pattern=r"[^\p{L}\p{N}]+"),
-            HashingTF(inputCol="_terms", outputCol="_tf", numFeatures=features),
-            IDF(inputCol="_tf", outputCol="_tfidf"),
-            Normalizer(inputCol="_tfidf", outputCol="_unit", p=2.0),
-        ]
-    ).fit(documents)
-
-
-def nearest_texts(
-    model: PipelineModel, documents: DataFrame, key: str, text: str, question: str, k: int
-) -> DataFrame:
-    """Top-k documents for a question by cosine of the term vectors."""
     spark = documents.sparkSession
-    asked = model.transform(spark.createDataFrame([(question,)], f"{text} string")).first()["_unit"]
-    if asked.numNonzeros() == 0:
-        return documents.select(key, F.lit(0.0).alias("similarity")).orderBy(key).limit(k)
-    terms = [int(i) for i in asked.indices]
-    weights = F.array(*[F.lit(float(asked[i])) for i in terms])
-    # only the question's terms are cut out of each document vector
-    cut = VectorSlicer(inputCol="_unit", outputCol="_cut", indices=terms)
-    scored = cut.transform(model.transform(documents.select(key, text))).select(
-        key,
-        F.aggregate(
-            F.zip_with(vector_to_array("_cut"), weights, lambda a, b: a * b),
-            F.lit(0.0), lambda s, x: s + x,
-        ).alias("similarity"),
+    asked = spark.createDataFrame([(question,)], "q string").select(
+        F.array_sort(F.array_distinct(terms_of(F.col("q")))).alias("q")
+    ).first()["q"]
+    cut = documents.select(F.col(key), terms_of(F.col(text)).alias("_terms"))
+    matched = F.filter("_terms", lambda t: t.isin(asked) if asked else F.lit(False))
+    hits = cut.select(
+        key, F.size("_terms").cast("double").alias("_length"), matched.alias("_matched")
+    ).select(
+        key, "_length",
+        F.transform(
+            F.array(*[F.lit(t) for t in asked]).cast("array<string>"),
+            lambda q: F.size(F.filter("_matched", lambda t: t == q)).cast("double"),
+        ).alias("_counts"),
+    )
+    hits = materialize(hits, "text-hits")
+    corpus = hits.agg(
+        F.count(F.lit(1)).alias("documents"),
+        F.avg("_length").alias("length"),
+        *[F.count_if(F.col("_counts")[i] > 0).alias(f"in_{i}") for i in range(len(asked))],
+    ).first()
+    if not corpus["documents"] or not corpus["length"]:
+        return hits.select(key, F.lit(0.0).alias("similarity")).orderBy(key).limit(k)
+    total = float(corpus["documents"])
+    weights = [
+        math.log(1 + (total - corpus[f"in_{i}"] + 0.5) / (corpus[f"in_{i}"] + 0.5))
+        for i in range(len(asked))
+    ]
+    damping = SATURATION * (
+        1 - LENGTH_WEIGHT + LENGTH_WEIGHT * F.col("_length") / float(corpus["length"])
+    )
+    parts = F.transform("_counts", lambda c: c * (SATURATION + 1) / (c + F.col("_damping")))
+    score = F.aggregate(
+        F.zip_with(parts, F.array(*[F.lit(w) for w in weights]).cast("array<double>"),
+                   lambda a, b: a * b),
+        F.lit(0.0), lambda s, x: s + x,
     )
+    scored = hits.withColumn("_damping", damping).select(key, score.alias("similarity"))
     return scored.orderBy(F.col("similarity").desc(), F.col(key)).limit(k)

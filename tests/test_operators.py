@@ -547,25 +547,32 @@ def test_text_question_against_brute_force(spark):
     documents = [
         (1, "Blade crack near the root, replace blade"), (2, "yaw motor noise; yaw drive worn"),
         (3, "the brake disc is worn"), (4, "controller card error, replace card"), (5, ""),
+        (6, None), (7, "the brake disc is worn"),
     ]
     df = spark.createDataFrame(documents, "doc_id long, text string")
-    model = retrieval.text_index(df, "text")
-    got = retrieval.nearest_texts(model, df, "doc_id", "text", "Replace the worn blade", 5).collect()
-    words = {i: [w for w in "".join(c if c.isalnum() else " " for c in t.lower()).split()] for i, t in documents}
-    n = len(documents)
-    found = {w: sum(w in set(ws) for ws in words.values()) for ws in words.values() for w in ws}
-    weight = lambda w: math.log((n + 1) / (found.get(w, 0) + 1))
-    vector = lambda ws: {w: ws.count(w) * weight(w) for w in ws}
-    norm = lambda v: math.sqrt(sum(x * x for x in v.values())) or 1.0
-    question = vector(["replace", "the", "worn", "blade"])
-    want = {}
-    for i, ws in words.items():
-        v = vector(ws)
-        want[i] = sum(v.get(w, 0) * x for w, x in question.items()) / norm(v) / norm(question)
+    got = retrieval.nearest_texts(df, "doc_id", "text", "Replace the worn blade, the", 7).collect()
+    words = {i: "".join(c if c.isalnum() else " " for c in (t or "").lower()).split()
+             for i, t in documents}
+    n, mean = len(words), sum(map(len, words.values())) / len(words)
+    want = dict.fromkeys(words, 0.0)
+    for term in ("replace", "the", "worn", "blade"):
+        holding = sum(term in ws for ws in words.values())
+        weight = math.log(1 + (n - holding + 0.5) / (holding + 0.5))
+        for i, ws in words.items():
+            c = ws.count(term)
+            want[i] += weight * c * 2.2 / (c + 1.2 * (0.25 + 0.75 * len(ws) / mean))
     assert [r.doc_id for r in got] == sorted(want, key=lambda i: (-round(want[i], 9), i))
     assert all(math.isclose(r.similarity, want[r.doc_id], abs_tol=1e-9) for r in got)
 
 
+@pytest.mark.parametrize("question", ["", "...", "absent"])
+def test_text_question_without_a_hit(spark, question):
+    df = spark.createDataFrame([(2, "a"), (1, None)], "doc_id long, text string")
+    got = retrieval.nearest_texts(df, "doc_id", "text", question, 5).collect()
+    assert [(r.doc_id, r.similarity) for r in got] == [(1, 0.0), (2, 0.0)]
+    assert retrieval.nearest_texts(df.limit(0), "doc_id", "text", question, 5).count() == 0
+
+
 def test_answers_function(spark):
     answers = spark.createDataFrame(
         [(1, 2, "b"), (1, 1, "a"), (2, 1, "c")], "question_id long, position int, guide string"
