@@ -199,7 +199,7 @@ def model_score(spark, folder):
     """A trained forest, stored and loaded again, applied to every feature row."""
     train, _ = parted(spark, folder)
     path = scratch_path(spark, "forest")
-    learning.store_model(learning.train_forest(train, trees=5), path)
+    learning.store_model(learning.train_forest(train), path)
     timed = learning.with_time_features(features_of(spark, folder))
     return learning.score_with(learning.load_model(path), timed).select(
         "asset_id", "bucket", "prediction"

@@ -63,7 +63,7 @@ def ingest_folder(spark, folder):
     table = "telemetra_bronze_" + scratch_path(spark, "x")[-12:]
     spark.sql(
         f"CREATE TABLE {table} (asset_id BIGINT, country STRING, lat STRING, location STRING, "
-        f"lon STRING, model STRING, site_id BIGINT) USING parquet "
+        f"lon STRING, model STRING, site_id BIGINT, {RESCUED} STRING) USING parquet "
         f"LOCATION '{scratch_path(spark, 'asset-bronze')}'"
     )
     ingest.finish(
@@ -100,16 +100,21 @@ def restart_idempotent(spark, folder):
 @query(
     "evolve_schema",
     sql(
-        "SELECT event_id, energy, CASE WHEN event_type = 'error' THEN channel_k END AS channel_k "
-        "FROM telemetry",
+        """
+        SELECT event_id, energy, CASE WHEN event_type = 'error' THEN channel_k END AS channel_k,
+               CASE WHEN event_type = 'error' THEN NULL ELSE event_id END AS units,
+               CASE WHEN event_type = 'error' THEN '{"units":"' || event_id || '.5"}' END AS rescued
+        FROM telemetry""",
         "telemetry",
     ),
 )
 def evolve_schema(spark, folder):
-    """Errors arrive later and bring a new column; the stored schema grows with them."""
+    """Errors arrive later and bring a new column, by which the stored schema grows, and
+    fractions in a column stored as whole numbers, which are rescued."""
     readings = roles.telemetry(spark, folder)
     late = F.col("event_type") == "error"
-    landing = landing_copy(spark, readings.where(~late).select("event_id", "energy"), "evolving")
+    landing = landing_copy(spark, readings.where(~late).select(
+        "event_id", "energy", F.col("event_id").alias("units")), "evolving")
     target = scratch_path(spark, "evolving-bronze")
     checkpoint = scratch_path(spark, "evolving-checkpoint")
     store = scratch_path(spark, "evolving-schema")
@@ -122,11 +127,13 @@ def evolve_schema(spark, folder):
         )
 
     drain()
-    readings.where(late).select("event_id", "energy", "channel_k").write.mode("append").json(landing)
+    half = F.concat("event_id", F.lit(".5")).cast("decimal(22,1)").alias("units")
+    readings.where(late).select("event_id", "energy", "channel_k", half).write.mode(
+        "append").json(landing)
     drain()
     return (
         spark.read.option("mergeSchema", "true").parquet(target)
-        .select("event_id", "energy", "channel_k")
+        .select("event_id", "energy", "channel_k", "units", F.col(RESCUED).alias("rescued"))
     )
 
 
@@ -220,15 +227,16 @@ def late_rows(spark, folder):
     UNION ALL SELECT 'failed_strong_energy', count(*) FILTER (value IS NULL OR value <= 100) FROM events""",
 )
 def stream_expect(spark, folder):
-    """Rule counters reported by the running query itself."""
+    """Rule counters kept beside the stream, one file per micro-batch."""
     landing = landing_copy(spark, plain_readings(spark, folder), "expect-landing", "parquet")
-    done = ingest.finish(
-        ingest.ingest_folder(
-            spark, landing, "parquet", scratch_path(spark, "expect-checkpoint"),
-            path=scratch_path(spark, "expect-bronze"), schema=UNTIMED, rules=RULES,
+    kept = scratch_path(spark, "expect-counters")
+    ingest.finish(
+        ingest.count_rules(
+            ingest.read_folder(spark, landing, "parquet", schema=UNTIMED, files_per_trigger=1),
+            RULES, kept, scratch_path(spark, "expect-checkpoint"),
         )
     )
-    return spark.createDataFrame(list(ingest.observed(done).items()), "counter string, value bigint")
+    return ingest.rule_totals(spark, kept)
 
 
 def landed(spark, folder):
@@ -277,3 +285,25 @@ def end_to_end_training(spark, folder):
             "composite_key", "bucket", F.col("feature_vector")[0].alias("v0"), "abnormal_channel"
         )
     )
+
+
+@query(
+    "refresh_metrics",
+    sql(
+        """
+        SELECT 'readings' AS source, 'rows' AS counter, count(*) AS value FROM telemetry
+        UNION ALL SELECT 'readings', 'failed_has_asset', count(*) FILTER (asset_id IS NULL) FROM telemetry
+        UNION ALL SELECT 'readings', 'failed_positive_energy',
+                         count(*) FILTER (energy IS NULL OR energy <= 0) FROM telemetry
+        UNION ALL SELECT 'assets', 'rows', count(*) FROM assets
+        UNION ALL SELECT 'assets', 'failed_correct_schema', 0 * count(*) FROM assets
+        UNION ALL SELECT 'intervals', 'rows', count(*) FROM status_intervals
+        UNION ALL SELECT 'intervals', 'failed_correct_schema', 0 * count(*) FROM status_intervals""",
+        "telemetry", "assets", "status_intervals",
+    ),
+)
+def refresh_metrics(spark, folder):
+    """The rule counters that a refresh leaves behind."""
+    root = scratch_path(spark, "refresh")
+    refresh.refresh_bronze(spark, landed(spark, folder), root)
+    return refresh.rule_metrics(spark, root)

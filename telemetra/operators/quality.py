@@ -27,6 +27,11 @@ def _counters(rules: Sequence[Expectation]) -> list[Column]:
     ]
 
 
+def rule_counts(df: DataFrame, rules: Sequence[Expectation]) -> DataFrame:
+    """One row: all rows seen and, per rule, those that failed it."""
+    return df.agg(*_counters(rules))
+
+
 def keep_valid(df: DataFrame, rules: Sequence[Expectation]) -> DataFrame:
     """Only the dropping rules filter. A filter drops null outcomes by itself, so the bare
     predicate is used, which reaches the scan."""
@@ -48,7 +53,7 @@ def expect(
 
 def expectation_metrics(df: DataFrame, rules: Sequence[Expectation]) -> DataFrame:
     """One row per rule: rows seen, failed and kept. A single aggregate without a shuffle key."""
-    totals = df.agg(*_counters(rules))
+    totals = rule_counts(df, rules)
     rows = [
         F.struct(
             F.lit(r.name).alias("rule"),

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from telemetra.operators.quality import Expectation
 from telemetra.plans import gold
@@ -13,6 +14,7 @@ from telemetra.sources.rescue import RESCUED
 from telemetra.streaming import ingest
 
 FITS = Expectation("correct_schema", f"{RESCUED} IS NULL")
+BRONZE_RULES = {"assets": [FITS], "intervals": [FITS], "readings": gold.READING_RULES}
 
 
 @dataclass(frozen=True)
@@ -30,23 +32,43 @@ def _store(df: DataFrame, path: str) -> DataFrame:
 
 
 def refresh_bronze(spark: SparkSession, landing: Landing, root: str) -> None:
-    """Drain new files of the three folders side by side; re-runs take only what is new."""
-
-    def drain(name: str, folder: str, data_format: str, schema, rules, rescue: bool):
-        return ingest.ingest_folder(
-            spark, folder, data_format, f"{root}/checkpoints/{name}", path=f"{root}/bronze/{name}",
-            schema=schema, rules=rules, rescue=rescue,
-        )
+    """Drain new files of the three folders side by side, rows and rule counters; re-runs take
+    only what is new."""
+
+    def drain(name: str, folder: str, data_format: str, schema, rescue: bool):
+        reading = {"schema": schema, "rescue": rescue}
+        checkpoints = f"{root}/checkpoints"
+        return [
+            ingest.ingest_folder(
+                spark, folder, data_format, f"{checkpoints}/{name}", path=f"{root}/bronze/{name}",
+                rules=BRONZE_RULES[name], **reading,
+            ),
+            ingest.count_rules(
+                ingest.read_folder(spark, folder, data_format, **reading), BRONZE_RULES[name],
+                f"{root}/metrics/{name}", f"{checkpoints}/{name}-metrics",
+            ),
+        ]
 
     running = [
-        drain("assets", landing.assets, "json", ASSET, [FITS], True),
-        drain("intervals", landing.intervals, "json", STATUS_INTERVAL, [FITS], True),
-        drain("readings", landing.readings, "parquet", READING, gold.READING_RULES, False),
+        *drain("assets", landing.assets, "json", ASSET, True),
+        *drain("intervals", landing.intervals, "json", STATUS_INTERVAL, True),
+        *drain("readings", landing.readings, "parquet", READING, False),
     ]
     for query in running:
         ingest.finish(query)
 
 
+def rule_metrics(spark: SparkSession, root: str) -> DataFrame:
+    """Rule counters of every refresh under ``root`` so far, by bronze table."""
+    parts = [
+        ingest.rule_totals(spark, f"{root}/metrics/{name}").select(
+            F.lit(name).alias("source"), "counter", "value"
+        )
+        for name in BRONZE_RULES
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def run_all(spark: SparkSession, landing: Landing, root: str, grain: str = "hour") -> dict[str, DataFrame]:
     """Refresh every table under ``root`` and return the stored frames by name.
 

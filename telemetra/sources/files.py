@@ -67,7 +67,8 @@ def load_schema(spark: SparkSession, path: str) -> T.StructType | None:
 
 
 def union_schema(old: T.StructType, new: T.StructType) -> T.StructType:
-    """Old columns keep their place and type; unseen columns are added at the end."""
+    """Old columns keep their place and type, as the files already stored have them; unseen
+    columns are added at the end. Values that no longer fit are the reader's to rescue."""
     known = {f.name.lower() for f in old}
     return T.StructType(list(old) + [f for f in new if f.name.lower() not in known])
 

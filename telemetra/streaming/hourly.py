@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from telemetra.operators.latest import latest_per_key
 from telemetra.operators.stats import channel_stats
+from telemetra.streaming.versions import write_versions
 
 LATENESS = "3 hours"
 
@@ -51,32 +50,10 @@ def upsert_changed(
 ) -> StreamingQuery:
     """Write the windows each micro-batch changed as one version folder.
 
-    A repeated batch overwrites its own folder, so the result stays exact after a failure and
-    nothing already written is rewritten. :func:`read_upserts` shows the newest version of
-    every window. Batch numbers are those of the checkpoint, so a target that another
-    checkpoint has written to is refused.
+    Nothing already written is rewritten. :func:`read_upserts` shows the newest version of
+    every window.
     """
-    run = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()
-    if _runs(stats.sparkSession, path) - {run}:
-        raise ValueError(f"{path} holds versions of another checkpoint")
-
-    def store(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/run={run}/batch={number}")
-
-    writer = stats.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    return writer.foreachBatch(store).start()
-
-
-def _runs(spark: SparkSession, path: str) -> set[str]:
-    """Checkpoints that have written to the path."""
-    try:
-        stored = spark.read.parquet(path)
-    except AnalysisException:
-        return set()  # nothing there yet
-    if "run" not in stored.columns:
-        return {""}
-    return {r["run"] for r in stored.select("run").distinct().collect()}
+    return write_versions(stats, path, checkpoint, "update", every)
 
 
 def read_upserts(

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from telemetra.operators.quality import Expectation, expect
+from telemetra.operators.quality import Expectation, expect, rule_counts
 from telemetra.sources.files import resolve_schema
 from telemetra.sources.rescue import rescue_json
+from telemetra.streaming.versions import sum_versions, write_versions
 
 
 def read_folder(
@@ -25,12 +26,14 @@ def read_folder(
 
     Without a schema it is inferred, merged with the one in ``schema_store`` and kept there;
     a restart then picks up added columns. ``rescue`` reads JSON lines as text and keeps what
-    does not fit in ``_rescued_data``.
+    does not fit in ``_rescued_data``; an inferred JSON schema always does so, because later
+    files may hold values wider than the type a column was stored with.
     """
     if schema is None:
         if schema_store is None:
             raise ValueError("give a schema or a place to keep the inferred one")
         schema = resolve_schema(spark, folder, data_format, schema_store)
+        rescue = rescue or data_format == "json"
     reader = spark.readStream
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
@@ -72,10 +75,8 @@ def ingest_folder(
     every: str | None = None,
     **reading,
 ) -> StreamingQuery:
-    """Read, check and store a landing folder; rule counters appear in the query's progress."""
-    stream = read_folder(spark, folder, data_format, **reading)
-    if rules:
-        stream = expect(stream, rules, observe="expectations")
+    """Read, check and store a landing folder; :func:`count_rules` keeps the rule counters."""
+    stream = expect(read_folder(spark, folder, data_format, **reading), rules)
     return write_stream(stream, checkpoint, path, table, every)
 
 
@@ -85,12 +86,22 @@ def finish(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
-def observed(query: StreamingQuery, name: str = "expectations") -> dict[str, int]:
-    """Rule counters summed over the micro-batches the query still remembers."""
-    totals: dict[str, int] = {}
-    for progress in query.recentProgress:
-        row = progress.observedMetrics.get(name)
-        if row is not None:
-            for key, value in row.asDict().items():
-                totals[key] = totals.get(key, 0) + (value or 0)
-    return totals
+def count_rules(
+    stream: DataFrame,
+    rules: Sequence[Expectation],
+    path: str,
+    checkpoint: str,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Keep the rule counters of every micro-batch, before any row is dropped.
+
+    A query of its own over the same source, which reads only the columns the rules name;
+    :func:`rule_totals` sums what it stored, whatever the number of batches and restarts.
+    """
+    return write_versions(
+        stream, path, checkpoint, "append", every, lambda batch: rule_counts(batch, rules)
+    )
+
+
+def rule_totals(spark: SparkSession, path: str) -> DataFrame:
+    return sum_versions(spark, path)
