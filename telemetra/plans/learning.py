@@ -101,7 +101,10 @@ def train_boosted(train: DataFrame, params: Mapping[str, float] = BOOSTING) -> P
         stepSize=float(params["learning_rate"]), subsamplingRate=float(params["subsample"]),
         seed=SEED,
     )
-    return _learned(train, OneVsRest(classifier=trees, labelCol="label", featuresCol="features"))
+    one_by_class = OneVsRest(
+        classifier=trees, labelCol="label", featuresCol="features", parallelism=4
+    )
+    return _learned(train, one_by_class)
 
 
 def train_forest(train: DataFrame, trees: int = 100) -> PipelineModel:
