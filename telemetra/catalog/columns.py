@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from telemetra.catalog.registry import query, rounded, sql
 from telemetra.functions import columns, registered, tools
@@ -110,18 +110,31 @@ def shuffle_rows(spark, folder):
 
 @query(
     "random_columns",
-    sql("SELECT asset_id, true AS draw_in_range, true AS channel_known FROM assets", "assets"),
+    "SELECT DISTINCT channel, true AS in_range, true AS fair_share, true AS centred, true AS varied "
+    "FROM events, (VALUES ('channel_b'), ('channel_d'), ('channel_f')) c(channel)",
 )
 def random_columns(spark, folder):
-    """Random number and random choice per row, repeatable by seed, shown as range checks."""
+    """Random number and random choice per reading, repeatable by seed.
+
+    Per channel: draws lie in [0, 1), share of readings and mean draw within five deviations
+    of what fair draws give, and nearly all draws differ.
+    """
     channels = ("channel_b", "channel_d", "channel_f")
-    drawn = roles.assets(spark, folder).select(
-        "asset_id", F.rand(42).alias("draw"), columns.random_choice(channels, 43).alias("channel")
+    drawn = roles.telemetry(spark, folder).select(
+        F.rand(42).alias("draw"), columns.random_choice(channels, 43).alias("channel")
     )
-    return drawn.select(
-        "asset_id",
-        ((F.col("draw") >= 0) & (F.col("draw") < 1)).alias("draw_in_range"),
-        F.col("channel").isin(*channels).alias("channel_known"),
+    seen = drawn.groupBy("channel").agg(
+        F.count("draw").alias("n"), F.avg("draw").alias("mean"), F.min("draw").alias("low"),
+        F.max("draw").alias("high"), F.approx_count_distinct("draw").alias("values"),
+    )
+    # three rows, so one window over them is no bottleneck
+    total = F.sum("n").over(Window.partitionBy(F.lit(0)))
+    return seen.select(
+        "channel",
+        ((F.col("low") >= 0) & (F.col("high") < 1)).alias("in_range"),
+        (F.abs(F.col("n") - total / 3) <= 5 * F.sqrt(total * 2 / 9)).alias("fair_share"),
+        (F.abs(F.col("mean") - 0.5) <= 5 / F.sqrt(12 * F.col("n"))).alias("centred"),
+        (F.col("values") > 0.8 * F.col("n")).alias("varied"),
     )
 
 
@@ -212,7 +225,38 @@ def cast_int(spark, folder):
     )
 
 
-@query("severity_hash")
+def _murmur_steps(word: str, state: str) -> tuple[str, str]:
+    """One 32-bit word into the running hash, as two SQL expressions over unsigned numbers."""
+    def turned(x: str, by: int) -> str:
+        return f"((({x} << {by}) | ({x} >> {32 - by})) & 4294967295::UBIGINT)"
+
+    first = f"(({word} * 3432918353::UBIGINT) & 4294967295::UBIGINT)"
+    mixed = f"(({turned(first, 15)} * 461845907::UBIGINT) & 4294967295::UBIGINT)"
+    return mixed, f"((({turned(f'xor({state}, m)', 13)}) * 5 + 3864292196::UBIGINT) & 4294967295::UBIGINT)"
+
+
+_LOW, _NEXT = _murmur_steps("low", "42::UBIGINT")
+_HIGH, _LAST = _murmur_steps("high", "h")
+_TIMES = "SELECT asset_id, (xor(h, h >> {}) * {}::UBIGINT) & 4294967295::UBIGINT AS h FROM {}"
+
+
+@query(
+    "severity_hash",
+    sql(
+        "SELECT asset_id, CAST(abs(CASE WHEN h >= 2147483648 THEN CAST(h AS BIGINT) - 4294967296 "
+        "ELSE CAST(h AS BIGINT) END) % 100 AS DOUBLE) / 100 AS severity_score "
+        "FROM (SELECT asset_id, xor(h, h >> 16) AS h FROM f2)",
+        "assets",
+        w="SELECT asset_id, CAST(asset_id & 4294967295 AS UBIGINT) AS low, "
+          "CAST((asset_id >> 32) & 4294967295 AS UBIGINT) AS high FROM assets",
+        m1=f"SELECT *, {_LOW} AS m FROM w",
+        h1=f"SELECT asset_id, high, {_NEXT} AS h FROM m1",
+        m2=f"SELECT *, {_HIGH} AS m FROM h1",
+        h2=f"SELECT asset_id, xor({_LAST}, 8::UBIGINT) AS h FROM m2",
+        f1=_TIMES.format(16, 2246822507, "h2"),
+        f2=_TIMES.format(13, 3266489909, "f1"),
+    ),
+)
 def severity_hash(spark, folder):
     return roles.assets(spark, folder).select(
         "asset_id", columns.severity_hash("asset_id").alias("severity_score")

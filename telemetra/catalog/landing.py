@@ -75,15 +75,18 @@ def scan_binary(spark, folder):
 
 @query(
     "list_files",
-    "SELECT 'event_type=' || event_type AS folder, true AS has_bytes FROM events GROUP BY event_type",
+    "SELECT 'event_type=' || event_type AS folder, CAST(1 AS BIGINT) AS file_count, "
+    "CAST(sum(strlen(CAST(event_id AS VARCHAR)) + 1) AS BIGINT) AS total_bytes "
+    "FROM events GROUP BY event_type",
 )
 def list_files(spark, folder):
-    """Folders of a partitioned copy and whether their files hold anything."""
+    """Folders of a partitioned copy, one text file of reading numbers each, and their bytes."""
     path = scratch_path(spark, "list-files")
-    roles.telemetry(spark, folder).write.partitionBy("event_type").parquet(path)
-    listed = files.list_files(spark, path, "*.parquet")
+    roles.telemetry(spark, folder).select("event_type", F.col("event_id").cast("string")).repartition(
+        "event_type").write.partitionBy("event_type").text(path)
+    listed = files.list_files(spark, path, "*.txt")
     return listed.groupBy(F.element_at(F.split("path", "/"), -2).alias("folder")).agg(
-        (F.min("size") > 0).alias("has_bytes")
+        F.count("name").alias("file_count"), F.sum("size").alias("total_bytes")
     )
 
 
@@ -274,3 +277,29 @@ def rescue_unmatched(spark, folder):
         F.count("event_id").alias("typed_ids"),
         F.count("energy").alias("typed_energies"),
     )
+
+
+@query(
+    "rescue_parquet",
+    sql(
+        """
+        SELECT event_id, event_type, CASE WHEN event_type <> 'click' THEN energy END AS energy,
+               CASE event_type WHEN 'click' THEN '{"energy":"n/a"}'
+                    WHEN 'view' THEN '{"unknown":' || event_id || '}' END AS rescued
+        FROM telemetry""",
+        "telemetry",
+    ),
+)
+def rescue_parquet(spark, folder):
+    """Files with energies as text and a column nobody declared: clicks carry no number, views
+    something unknown."""
+    kind = F.col("event_type")
+    sent = roles.telemetry(spark, folder).select(
+        "event_id", "event_type",
+        F.when(kind == "click", "n/a").otherwise(F.col("energy").cast("string")).alias("energy"),
+        F.when(kind == "view", F.col("event_id")).alias("unknown"),
+    )
+    landing = landing_copy(spark, sent, "rescue-parquet", "parquet")
+    fields = type(READING)([f for f in READING if f.name in ("event_id", "energy", "event_type")])
+    return rescue.rescue_columns(files.scan_parquet(spark, landing), fields).withColumnRenamed(
+        rescue.RESCUED, "rescued")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from telemetra.catalog.registry import query, rounded, sql
 from telemetra.functions.columns import rule_score
@@ -91,6 +91,27 @@ def random_split(spark, folder):
     return together.groupBy("asset_id", "bucket").agg(F.count("split").alias("times_drawn"))
 
 
+@query(
+    "random_split_shares",
+    sql("SELECT DISTINCT split, true AS fair_share FROM features, "
+        "(VALUES ('train'), ('val'), ('test')) s(split)", "features"),
+)
+def random_split_shares(spark, folder):
+    """Each part's share of all rows lies within five deviations of its weight."""
+    weights = {"train": 0.7, "val": 0.2, "test": 0.1}
+    parts = split_rows(features_of(spark, folder), list(weights.values()))
+    counts = [
+        p.agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(name).alias("split"), F.lit(share).alias("share"), "n")
+        for p, (name, share) in zip(parts, weights.items())
+    ]
+    # three rows, so one window over them is no bottleneck
+    total = F.sum("n").over(Window.partitionBy(F.lit(0)))
+    room = 5 * F.sqrt(total * F.col("share") * (1 - F.col("share")))
+    return counts[0].unionByName(counts[1]).unionByName(counts[2]).select(
+        "split", (F.abs(F.col("n") - total * F.col("share")) <= room).alias("fair_share"))
+
+
 def scored_features(spark, folder):
     return features_of(spark, folder).withColumn("prediction", rule_score())
 

@@ -52,6 +52,25 @@ def ingest_parquet_stream(spark, folder):
     return spark.read.parquet(target).select(*READING_COLUMNS.split(", "))
 
 
+@query(
+    "continuous_ingest",
+    sql(f"SELECT {READING_COLUMNS} FROM telemetry WHERE energy > 0", "telemetry"),
+)
+def continuous_ingest(spark, folder):
+    """A job that keeps running, stopped once everything landed so far is stored."""
+    landing = landing_copy(spark, plain_readings(spark, folder), "continuous-landing", "parquet")
+    target = scratch_path(spark, "continuous-bronze")
+    job = ingest.ingest_folder(
+        spark, landing, "parquet", scratch_path(spark, "continuous-checkpoint"), path=target,
+        schema=UNTIMED, rules=gold.READING_RULES, every="1 second",
+    )
+    try:
+        job.processAllAvailable()
+    finally:
+        job.stop()
+    return spark.read.parquet(target).select(*READING_COLUMNS.split(", "))
+
+
 @query(
     "ingest_folder",
     sql("SELECT asset_id, model, lat, lon, location, country, CAST(site_id AS BIGINT) AS site_id "
@@ -295,6 +314,7 @@ def end_to_end_training(spark, folder):
         UNION ALL SELECT 'readings', 'failed_has_asset', count(*) FILTER (asset_id IS NULL) FROM telemetry
         UNION ALL SELECT 'readings', 'failed_positive_energy',
                          count(*) FILTER (energy IS NULL OR energy <= 0) FROM telemetry
+        UNION ALL SELECT 'readings', 'failed_correct_schema', 0 * count(*) FROM telemetry
         UNION ALL SELECT 'assets', 'rows', count(*) FROM assets
         UNION ALL SELECT 'assets', 'failed_correct_schema', 0 * count(*) FROM assets
         UNION ALL SELECT 'intervals', 'rows', count(*) FROM status_intervals

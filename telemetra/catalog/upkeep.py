@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from telemetra.catalog.columns import NOW, TODAY
@@ -45,6 +47,19 @@ def queue_build_repeats(spark, folder):
     )
 
 
+@query(
+    "queue_flagged_now",
+    sql("SELECT asset_id, status, true AS just_flagged FROM queue", "queue"),
+)
+def queue_flagged_now(spark, folder):
+    """Without a given moment, entries carry the time at which the query runs."""
+    age = F.unix_seconds(F.current_timestamp()) - F.unix_seconds("flagged_at")
+    return queues.build_queue(status_of(spark, folder)).select(
+        "asset_id", "status",
+        (age.between(0, 86_400) & (F.col("flagged_at") == F.col("last_updated"))).alias("just_flagged"),
+    )
+
+
 @query("queue_sorted", sql("SELECT * FROM queue ORDER BY severity_score DESC, asset_id", "queue"))
 def queue_sorted(spark, folder):
     return queues.sorted_queue(queue_of(spark, folder))
@@ -231,6 +246,25 @@ def as_of_snapshot(spark, folder):
     return changes.as_of(changes.read_snapshots(spark, path), 1)
 
 
+@query("as_of_time", _FIRST)
+def as_of_time(spark, folder):
+    """Between the two commits the first version is the newest."""
+    path = stored_versions(spark, folder, "as-of-time")
+    commits = [(1, dt.datetime(2024, 1, 1, 8)), (2, dt.datetime(2024, 1, 2, 8))]
+    history = spark.createDataFrame(commits, "snapshot_id int, committed_at timestamp")
+    return changes.as_of_time(
+        changes.read_snapshots(spark, path), history, dt.datetime(2024, 1, 2, 7))
+
+
+@query("clone_snapshot", _SECOND)
+def clone_snapshot(spark, folder):
+    """The copy keeps the second version when the original's folder is written anew."""
+    path, copy = stored_versions(spark, folder, "clone"), scratch_path(spark, "cloned")
+    changes.clone_snapshot(spark, path, 2, copy)
+    changes.restore_snapshot(spark, path, 1, 2)
+    return spark.read.parquet(copy)
+
+
 @query("restore_snapshot", _FIRST)
 def restore_snapshot(spark, folder):
     path = stored_versions(spark, folder, "restore")
@@ -283,3 +317,15 @@ def secured_parts(spark, folder):
 def secured_parts_admin(spark, folder):
     grants = access.entitlements(spark, GRANTS)
     return access.secured_parts(roles.parts(spark, folder), grants, "root@example.com", admin=True)
+
+
+@query(
+    "secured_parts_own",
+    sql("SELECT '***' AS ean, p.* EXCLUDE (ean) FROM parts p JOIN grants ON stock_location = depot "
+        "AND email = 'ann@example.com'", "parts", grants=_GRANTS_SQL),
+)
+def secured_parts_own(spark, folder):
+    """The session's own user, who is granted what one of the listed users is."""
+    me = spark.range(1).select(F.current_user()).first()[0]
+    own = [(me if user == "ann@example.com" else user, depot) for user, depot in GRANTS]
+    return access.secured_parts(roles.parts(spark, folder), access.entitlements(spark, own))

@@ -24,14 +24,18 @@ def masked(column: str, allowed: bool) -> Column:
     return F.when(F.lit(allowed), F.col(column)).otherwise(F.lit(MASK))
 
 
-def secured_parts(parts: DataFrame, grants: DataFrame, user: str, admin: bool = False) -> DataFrame:
-    """Parts of the user's depots with the article number hidden.
+def secured_parts(
+    parts: DataFrame, grants: DataFrame, user: str | None = None, admin: bool = False
+) -> DataFrame:
+    """Parts of the user's depots with the article number hidden; by default those of the
+    session's own user.
 
     An administrator matches every grant: parts of a depot appear once per user granted
     there, and parts of a depot granted to nobody do not appear, as in the secured view
     this reproduces.
     """
-    mine = grants if admin else grants.where(F.col("email") == user)
+    mine = grants if admin else grants.where(
+        F.col("email") == (F.current_user() if user is None else F.lit(user)))
     joined = parts.join(mine, parts.stock_location == mine.depot, "inner")
     rest = [parts[c] for c in parts.columns if c != "ean"]
     return joined.select(masked("ean", admin).alias("ean"), *rest)

@@ -14,11 +14,15 @@ STATUSES = ("Pending", "In Progress", "Resolved")
 
 
 def build_queue(
-    status: DataFrame, now: dt.datetime, severity: Column | None = None, time: str = "bucket"
+    status: DataFrame, now: dt.datetime | None = None, severity: Column | None = None,
+    time: str = "bucket",
 ) -> DataFrame:
-    """Faulty assets, one row each from their latest state, all pending."""
+    """Faulty assets, one row each from their latest state, all pending.
+
+    They are flagged at ``now``, which is the moment the query runs unless it is given.
+    """
     score = severity_md5("asset_id") if severity is None else severity
-    stamp = F.lit(now).cast("timestamp")
+    stamp = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
     return latest_per_key(
         status.where(F.col("prediction") != "ok"), ["asset_id"], time, ["prediction"]
     ).select(

@@ -14,7 +14,7 @@ from telemetra.sources.rescue import RESCUED
 from telemetra.streaming import ingest
 
 FITS = Expectation("correct_schema", f"{RESCUED} IS NULL")
-BRONZE_RULES = {"assets": [FITS], "intervals": [FITS], "readings": gold.READING_RULES}
+BRONZE_RULES = {"assets": [FITS], "intervals": [FITS], "readings": [FITS, *gold.READING_RULES]}
 
 
 @dataclass(frozen=True)
@@ -35,8 +35,8 @@ def refresh_bronze(spark: SparkSession, landing: Landing, root: str) -> None:
     """Drain new files of the three folders side by side, rows and rule counters; re-runs take
     only what is new."""
 
-    def drain(name: str, folder: str, data_format: str, schema, rescue: bool):
-        reading = {"schema": schema, "rescue": rescue}
+    def drain(name: str, folder: str, data_format: str, schema):
+        reading = {"schema": schema, "rescue": True, "schema_store": f"{root}/schemas/{name}"}
         checkpoints = f"{root}/checkpoints"
         return [
             ingest.ingest_folder(
@@ -50,9 +50,9 @@ def refresh_bronze(spark: SparkSession, landing: Landing, root: str) -> None:
         ]
 
     running = [
-        *drain("assets", landing.assets, "json", ASSET, True),
-        *drain("intervals", landing.intervals, "json", STATUS_INTERVAL, True),
-        *drain("readings", landing.readings, "parquet", READING, False),
+        *drain("assets", landing.assets, "json", ASSET),
+        *drain("intervals", landing.intervals, "json", STATUS_INTERVAL),
+        *drain("readings", landing.readings, "parquet", READING),
     ]
     for query in running:
         ingest.finish(query)
@@ -76,7 +76,7 @@ def run_all(spark: SparkSession, landing: Landing, root: str, grain: str = "hour
     the scored table calls the model once per row.
     """
     refresh_bronze(spark, landing, root)
-    readings = spark.read.parquet(f"{root}/bronze/readings")
+    readings = spark.read.parquet(f"{root}/bronze/readings").drop(RESCUED)
     assets = spark.read.parquet(f"{root}/bronze/assets").drop(RESCUED)
     intervals = spark.read.parquet(f"{root}/bronze/intervals").drop(RESCUED)
 

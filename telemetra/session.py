@@ -34,9 +34,15 @@ def build_session(master: str | None = None, app: str = "telemetra", **extra: st
     return builder.getOrCreate()
 
 
-def pin_utc(spark: SparkSession) -> SparkSession:
-    """Epoch and calendar arithmetic here is defined in UTC."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+def pin_settings(spark: SparkSession) -> SparkSession:
+    """Give the caller's session the SQL settings that results and plans here rely on.
+
+    Epoch and calendar arithmetic is defined in UTC; hot keys are split by adaptive execution.
+    Settings that only a new session can take are left as they are.
+    """
+    for key, value in SETTINGS.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
     return spark
 
 

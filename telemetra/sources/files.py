@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -49,21 +50,30 @@ def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
 
 # --- inferred schemas that are kept and grow -------------------------------------------
 
+SLACK_MS = 2_000
 
-def save_schema(spark: SparkSession, schema: T.StructType, path: str) -> None:
-    spark.createDataFrame([(schema.json(),)], "schema string").coalesce(1).write.mode(
-        "overwrite"
-    ).text(path)
 
+def save_schema(
+    spark: SparkSession, schema: T.StructType, path: str, newest: int | None = None
+) -> None:
+    """Keep a schema, with the time (epoch ms) of the newest file it was inferred from."""
+    stored = json.dumps({"schema": schema.jsonValue(), "newest": newest})
+    spark.createDataFrame([(stored,)], "schema string").coalesce(1).write.mode("overwrite").text(path)
 
-def load_schema(spark: SparkSession, path: str) -> T.StructType | None:
+
+def _stored(spark: SparkSession, path: str) -> dict | None:
     try:
         rows = spark.read.text(path).head(1)
     except Exception as error:  # the folder does not exist before the first run
         if "PATH_NOT_FOUND" in str(error):
             return None
         raise
-    return T.StructType.fromJson(json.loads(rows[0][0])) if rows else None
+    return json.loads(rows[0][0]) if rows else None
+
+
+def load_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    stored = _stored(spark, path)
+    return T.StructType.fromJson(stored["schema"]) if stored else None
 
 
 def union_schema(old: T.StructType, new: T.StructType) -> T.StructType:
@@ -74,13 +84,24 @@ def union_schema(old: T.StructType, new: T.StructType) -> T.StructType:
 
 
 def resolve_schema(spark: SparkSession, folder: str, data_format: str, store: str) -> T.StructType:
-    """Infer the folder's schema, merge it with the stored one and store the result.
+    """Infer the schema of the folder's new files, merge it with the stored one and store both.
 
-    The stored copy is replaced only when a column was added, so re-runs leave it alone.
+    Only files at least as new as the newest one seen so far are read (less ``SLACK_MS``, for
+    files that land while others are listed), so a run costs no more than what came in since
+    the last. The listing itself reads no content.
     """
-    seen = spark.read.option("mergeSchema", "true").format(data_format).load(folder).schema
-    stored = load_schema(spark, store)
-    merged = seen if stored is None else union_schema(stored, seen)
-    if stored is None or len(merged) != len(stored):
-        save_schema(spark, merged, store)
+    kept = _stored(spark, store)
+    known = T.StructType.fromJson(kept["schema"]) if kept else None
+    newest = list_files(spark, folder).agg(F.unix_millis(F.max("modified")).alias("at")).first()["at"]
+    reader = spark.read.option("mergeSchema", "true")
+    if kept and kept["newest"] is not None:
+        after = kept["newest"] - SLACK_MS
+        if newest is None or newest <= after:  # landed files may have been cleared away
+            return known
+        moment = dt.datetime.fromtimestamp(after / 1000, dt.timezone.utc)
+        reader = reader.option("modifiedAfter", f"{moment:%Y-%m-%dT%H:%M:%S}Z")
+    seen = reader.format(data_format).load(folder).schema
+    merged = seen if known is None else union_schema(known, seen)
+    if known is None or len(merged) != len(known) or newest != kept["newest"]:
+        save_schema(spark, merged, store, newest)
     return merged

@@ -59,3 +59,37 @@ def rescue_json(lines: DataFrame, schema: T.StructType, text: str = "value") ->
     )
     values = [F.when(is_object, value_of(n)).alias(n) for n in names]
     return judged.select(*other, *values, rescued.alias(RESCUED))
+
+
+def rescue_columns(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Typed files, read with their own columns, as ``schema`` columns plus ``_rescued_data``.
+
+    A value is rescued when its column is not declared or when it does not convert to the
+    declared type without loss of its meaning (a failed cast, NaN or infinity in a declared
+    float). Columns that the files lack are null. ``_rescued_data`` is a JSON object of the
+    rescued values and null exactly when the row fits. Works on batch and streaming frames.
+    """
+    own = {c.lower(): c for c in rows.columns}
+    declared = {f.name.lower() for f in schema}
+    values, left = [], []
+    for field in schema:
+        name = own.get(field.name.lower())
+        if name is None:
+            values.append(F.lit(None).cast(field.dataType).alias(field.name))
+            continue
+        given = F.col(f"`{name}`")
+        if rows.schema[name].dataType == field.dataType:
+            got = given
+        else:
+            got = given.try_cast(field.dataType)
+        if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+            got = F.when(~F.isnan(got) & (F.abs(got) < float("inf")), got)
+        whole = isinstance(field.dataType, T.IntegralType)
+        fraction = isinstance(rows.schema[name].dataType, T.FractionalType)
+        if whole and fraction:
+            got = F.when(got.cast(rows.schema[name].dataType) == given, got)
+        values.append(got.alias(field.name))
+        left.append(F.when(got.isNull(), given).alias(field.name))
+    left += [F.col(f"`{c}`") for key, c in own.items() if key not in declared]
+    rescued = F.nullif(F.to_json(F.struct(*left)), F.lit("{}")) if left else F.lit(None).cast("string")
+    return rows.select(*values, rescued.alias(RESCUED))

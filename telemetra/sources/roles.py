@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from telemetra.session import pin_utc
+from telemetra.session import pin_settings
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return pin_utc(spark).read.parquet(f"{folder}/{name}.parquet")
+    return pin_settings(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
 def telemetry(spark: SparkSession, folder: str) -> DataFrame:

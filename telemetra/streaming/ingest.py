@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from telemetra.operators.quality import Expectation, expect, rule_counts
 from telemetra.sources.files import resolve_schema
-from telemetra.sources.rescue import rescue_json
+from telemetra.sources.rescue import rescue_columns, rescue_json
 from telemetra.streaming.versions import sum_versions, write_versions
 
 
@@ -25,9 +25,10 @@ def read_folder(
     """New files of a folder as a stream.
 
     Without a schema it is inferred, merged with the one in ``schema_store`` and kept there;
-    a restart then picks up added columns. ``rescue`` reads JSON lines as text and keeps what
-    does not fit in ``_rescued_data``; an inferred JSON schema always does so, because later
-    files may hold values wider than the type a column was stored with.
+    a restart then picks up added columns. ``rescue`` keeps what does not fit in
+    ``_rescued_data``: JSON lines are read as text, Parquet files with their own columns, which
+    ``schema_store`` remembers. An inferred JSON schema always rescues, because later files may
+    hold values wider than the type a column was stored with.
     """
     if schema is None:
         if schema_store is None:
@@ -37,10 +38,13 @@ def read_folder(
     reader = spark.readStream
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    if rescue:
-        if data_format != "json":
-            raise ValueError("only JSON lines can be rescued")
+    if rescue and data_format == "json":
         return rescue_json(reader.text(folder), schema)
+    if rescue:
+        if data_format != "parquet" or schema_store is None:
+            raise ValueError("rescue takes JSON lines, or Parquet and a place to keep its schema")
+        own = resolve_schema(spark, folder, data_format, schema_store)
+        return rescue_columns(reader.schema(own).parquet(folder), schema)
     return reader.schema(schema).format(data_format).load(folder)
 
 

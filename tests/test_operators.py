@@ -3,6 +3,8 @@
 import datetime as dt
 import json
 import math
+import os
+import pathlib
 import random
 
 import numpy as np
@@ -685,6 +687,37 @@ def test_schema_store_grows(spark):
     assert files.load_schema(spark, store).names == ["a", "b"]
 
 
+def test_schema_is_inferred_from_new_files_only(spark):
+    folder, store = scratch_path(spark, "new-only"), scratch_path(spark, "new-only-store")
+    spark.createDataFrame([(1,)], "a long").write.json(folder)
+    assert files.resolve_schema(spark, folder, "json", store).names == ["a"]
+    # an older file that was there before: its column would be found by reading everything
+    spark.createDataFrame([(1,)], "old long").coalesce(1).write.mode("append").json(folder)
+    for path in pathlib.Path(folder).glob("part-*"):
+        if '"old"' in path.read_text():
+            os.utime(path, (1_000_000_000, 1_000_000_000))
+    assert files.resolve_schema(spark, folder, "json", store).names == ["a"]
+    # the landing folder was cleared: the stored schema stands
+    empty = pathlib.Path(scratch_path(spark, "emptied"))
+    empty.mkdir(parents=True)
+    assert files.resolve_schema(spark, str(empty), "json", store).names == ["a"]
+
+
+def test_typed_files_are_rescued(spark):
+    schema = T.StructType().add("id", "integer").add("energy", "double").add("note", "string")
+    rows = spark.createDataFrame(
+        [(1.0, "2.5", None), (1.5, "x", 7), (None, "NaN", None), (3e12, None, None)],
+        "ID double, energy string, extra int")
+    got = [tuple(r) for r in rescue.rescue_columns(rows, schema).collect()]
+    assert got[0] == (1, 2.5, None, None)
+    assert got[1][:3] == (None, None, None)
+    assert json.loads(got[1][3]) == {"id": 1.5, "energy": "x", "extra": 7}
+    assert got[2][:3] == (None, None, None) and json.loads(got[2][3]) == {"energy": "NaN"}
+    assert got[3][0] is None and json.loads(got[3][3]) == {"id": 3e12}
+    nothing = rescue.rescue_columns(rows.limit(0), schema)
+    assert nothing.count() == 0 and nothing.columns == ["id", "energy", "note", "_rescued_data"]
+
+
 def test_compaction_and_clustering(spark):
     small, large, clustered = (scratch_path(spark, x) for x in ("small", "large", "clustered"))
     df = spark.range(3000).selectExpr("IF(id % 3 = 0, 0, id) AS asset_id", "id AS v")

@@ -15,7 +15,7 @@ EXPENSIVE = {
     "train_gbt", "param_search", "model_score", "stream_hourly", "stream_hourly_append",
     "late_rows", "evolve_schema", "restart_idempotent", "ingest_folder", "ingest_json_stream",
     "ingest_parquet_stream", "stream_expect", "text_topk", "vector_topk_lsh", "end_to_end_status",
-    "end_to_end_training", "refresh_metrics",
+    "end_to_end_training", "refresh_metrics", "continuous_ingest",
 }
 
 
