@@ -1,8 +1,9 @@
 """Document scores of a gated recurrent language model over words.
 
-The model is a numpy GRU with a class-factored softmax over the most frequent words, one symbol
-for all rarer words and one for the end. A rarer word's own share of that symbol comes from
-corpus counts, so each text gets a proper probability whatever words it has.
+The model is a numpy GRU with a class-factored softmax over every word that is not rare, one
+symbol for all rare words and one for the end. A rare word's own share of that symbol comes from
+corpus counts, so each text gets a proper probability whatever words it has. Vocabulary, classes
+and hidden units grow with the corpus.
 """
 
 from __future__ import annotations
@@ -15,10 +16,13 @@ from telemetra.llm import text as tx
 from telemetra.llm.frames import arrow_map
 from telemetra.session import materialize
 
-CLASSES = 32  # of symbols, each of as many symbols
+CLASSES = 32  # of symbols, each of as many symbols; this and HIDDEN are the smallest sizes
 SYMBOLS = CLASSES * CLASSES
 END, RARE = 0, 1
 HIDDEN = 16
+MIN_COUNT = 5  # training occurrences from which a word is a symbol of its own
+PIECE = 64  # weights that are updated and averaged together
+SLICE = 1024  # pieces that one row carries from a trainer to the averages
 WINDOW = 24  # steps that errors are carried back
 LANES = 512  # documents read side by side
 ROUNDS = 2  # parts of the training texts after which the trainers' weights are averaged
@@ -62,36 +66,42 @@ def word_counts(docs: DataFrame) -> DataFrame:
 class Model:
     """Weights of the network, all in one vector so that they can be averaged."""
 
-    def __init__(self, seed: int = 5):
-        h, random = HIDDEN, np.random.default_rng(seed)
+    def __init__(self, classes: int = CLASSES, width: int = HIDDEN, vector=None, seed: int = 5):
+        h, symbols = width, classes * classes
+        self.n_classes, self.width = classes, width
         shapes = {
-            "inputs": (SYMBOLS, 3 * h), "recur": (h, 3 * h), "bias": (3 * h,),
-            "classes": (h, CLASSES), "class_bias": (CLASSES,),
-            "words": (CLASSES, h, CLASSES), "word_bias": (CLASSES, CLASSES),
+            "inputs": (symbols, h), "enter": (h, 3 * h), "recur": (h, 3 * h), "bias": (3 * h,),
+            "classes": (h, classes), "class_bias": (classes,),
+            "words": (classes, h, classes), "word_bias": (classes, classes),
         }
         sizes = np.cumsum([0, *(int(np.prod(s)) for s in shapes.values())])
-        self.vector = (random.normal(size=sizes[-1]) * 0.08).astype(np.float32)
-        self.view(self.vector, shapes, sizes)
-        self.shapes, self.sizes = shapes, sizes
-        self.bias[:] = 0
-
-    def view(self, vector, shapes, sizes):
+        if vector is None:
+            size = -(-int(sizes[-1]) // PIECE) * PIECE
+            vector = np.random.default_rng(seed).standard_normal(size, np.float32) * np.float32(0.08)
+        self.vector = vector
         for (name, shape), begin, end in zip(shapes.items(), sizes[:-1], sizes[1:]):
             setattr(self, name, vector[begin:end].reshape(shape))
 
+    @classmethod
+    def sized(cls, words: int) -> "Model":
+        """As many classes as hold the words, the end and the rare symbol; units to match."""
+        classes = max(CLASSES, int(np.ceil(np.sqrt(words + 2))))
+        width = HIDDEN * (classes / CLASSES) ** 0.5
+        model = cls(classes, 8 * round(width / 8))
+        model.enter *= np.float32(1 / (0.08 * model.width**0.5))
+        model.bias[:] = 0
+        return model
+
     def start_from(self, counts: np.ndarray) -> None:
         """Output biases that give each symbol its share of the training words."""
-        share = np.zeros(SYMBOLS)
+        share = np.zeros(self.n_classes**2)
         share[: len(counts)] = counts
-        share = (share + 0.5).reshape(CLASSES, CLASSES)
+        share = (share + 0.5).reshape(self.n_classes, self.n_classes)
         self.class_bias[:] = np.log(share.sum(axis=1) / share.sum())
         self.word_bias[:] = np.log(share / share.sum(axis=1, keepdims=True))
 
     def like(self, vector: np.ndarray) -> "Model":
-        other = Model.__new__(Model)
-        other.vector, other.shapes, other.sizes = vector, self.shapes, self.sizes
-        other.view(vector, self.shapes, self.sizes)
-        return other
+        return Model(self.n_classes, self.width, vector)
 
 
 def forward(model: Model, symbols: np.ndarray, fresh: np.ndarray, state: np.ndarray):
@@ -99,9 +109,9 @@ def forward(model: Model, symbols: np.ndarray, fresh: np.ndarray, state: np.ndar
 
     The state is set to zero where a new document begins. Returns what training needs.
     """
-    h, kept = HIDDEN, []
+    h, kept = model.width, []
     hidden = np.empty((*symbols.shape, h), np.float32)
-    driven = model.inputs[symbols] + model.bias
+    driven = model.inputs[symbols] @ model.enter + model.bias
     gating, recalling = np.ascontiguousarray(model.recur[:, : 2 * h]), np.ascontiguousarray(model.recur[:, 2 * h:])
     some = fresh.any(axis=1)
     for t in range(len(symbols)):
@@ -133,10 +143,10 @@ def shares(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def output(model: Model, hidden: np.ndarray, symbols: np.ndarray, grad: Model | None = None):
     """Log-probability of each symbol given the state before it, and the error of the states."""
     # in order of class, so that each class is one slice
-    order = np.argsort(symbols // CLASSES, kind="stable")
+    order = np.argsort(symbols // model.n_classes, kind="stable")
     hidden, symbols = hidden[order], symbols[order]
-    kind, inside = symbols // CLASSES, symbols % CLASSES
-    cuts = np.searchsorted(kind, np.arange(CLASSES + 1))
+    kind, inside = symbols // model.n_classes, symbols % model.n_classes
+    cuts = np.searchsorted(kind, np.arange(model.n_classes + 1))
     rows = np.arange(len(symbols))
     logits = hidden @ model.classes + model.class_bias
     chosen = logits[rows, kind]
@@ -149,7 +159,7 @@ def output(model: Model, hidden: np.ndarray, symbols: np.ndarray, grad: Model |
         grad.classes += hidden.T @ power
         grad.class_bias += power.sum(axis=0)
         error = power @ model.classes.T
-    for c in range(CLASSES):
+    for c in range(model.n_classes):
         own = slice(cuts[c], cuts[c + 1])
         n = cuts[c + 1] - cuts[c]
         if not n:
@@ -171,7 +181,7 @@ def output(model: Model, hidden: np.ndarray, symbols: np.ndarray, grad: Model |
 
 def backward(model: Model, grad: Model, symbols, fresh, hidden, kept, errors) -> None:
     """Errors carried back through the steps of one window."""
-    h = HIDDEN
+    h = model.width
     later = np.zeros_like(hidden[0])
     flows = np.empty((*symbols.shape, 3 * h), np.float32)
     gating, recalling = np.ascontiguousarray(model.recur[:, : 2 * h].T), np.ascontiguousarray(model.recur[:, 2 * h:].T)
@@ -196,26 +206,39 @@ def backward(model: Model, grad: Model, symbols, fresh, hidden, kept, errors) ->
     grad.recur[:, : 2 * h] += hidden.reshape(-1, h).T @ flat[:, : 2 * h]
     grad.recur[:, 2 * h:] += np.concatenate([inner for _, inner, _ in kept]).T @ flat[:, 2 * h:]
     grad.bias += flat.sum(axis=0)
+    grad.enter += model.inputs[symbols.ravel()].T @ flat
     order = np.argsort(symbols.ravel(), kind="stable")
     values, at = np.unique(symbols.ravel()[order], return_index=True)
-    grad.inputs[values] += np.add.reduceat(flat[order], at, axis=0)
+    grad.inputs[values] += np.add.reduceat((flat @ model.enter.T)[order], at, axis=0)
 
 
 class Adam:
+    """Adam over those pieces of the weights that a window touches, so that a large vocabulary
+    costs a window only the words and classes that occur in it."""
+
     def __init__(self, size: int):
-        self.first, self.second = np.zeros((2, size), np.float32)
+        self.first, self.second = np.zeros((2, size // PIECE, PIECE), np.float32)
+        self.steps = np.zeros(size // PIECE, np.int64)
+        self.gradient = np.zeros(size, np.float32)  # zero between updates
         self.step = 0
 
-    def update(self, vector: np.ndarray, gradient: np.ndarray) -> None:
+    def update(self, vector: np.ndarray, share: float) -> None:
+        """One step along the collected gradient times ``share``, which is cleared."""
         self.step += 1
-        norm = float(np.sqrt((gradient * gradient).sum()))
-        gradient = gradient * min(1.0, 1.0 / max(norm, 1e-12))
-        self.first += 0.1 * (gradient - self.first)
-        self.second += 0.01 * (gradient * gradient - self.second)
-        ahead = self.first / (1 - 0.9**self.step)
-        spread = np.sqrt(self.second / (1 - 0.99**self.step))
+        pieces = self.gradient.reshape(-1, PIECE)
+        at = np.flatnonzero(pieces.any(axis=1))
+        gradient = pieces[at] * np.float32(share)
+        pieces[at] = 0
+        self.steps[at] += 1
+        gradient *= min(1.0, 1.0 / max(float(np.linalg.norm(gradient)), 1e-12))
+        first = self.first[at] * np.float32(0.9) + np.float32(0.1) * gradient
+        second = self.second[at] * np.float32(0.99) + np.float32(0.01) * gradient * gradient
+        self.first[at], self.second[at] = first, second
+        steps = self.steps[at][:, None]
+        first /= (1 - 0.9**steps).astype(np.float32)
+        second /= (1 - 0.99**steps).astype(np.float32)
         rate = RATE / (1 + self.step / 300) ** 0.5
-        vector -= rate * ahead / (spread + 1e-8)
+        vector.reshape(-1, PIECE)[at] -= np.float32(rate) * first / (np.sqrt(second) + np.float32(1e-8))
 
 
 def lanes(lengths: np.ndarray) -> list[list[int]]:
@@ -239,7 +262,7 @@ def windows(symbols: np.ndarray, begin: np.ndarray):
     rows = lanes(lengths)
     totals = np.array([int(lengths[docs].sum()) for docs in rows])
     width = int(totals[0])
-    table = np.zeros((len(rows), width), np.int16)
+    table = np.zeros((len(rows), width), np.int32)
     fresh = np.zeros((len(rows), width), bool)
     owner = np.full((len(rows), width), -1, np.int32)
     for row, docs in enumerate(rows):
@@ -259,26 +282,26 @@ def windows(symbols: np.ndarray, begin: np.ndarray):
 def train(model: Model, optimiser: Adam, symbols: np.ndarray, begin: np.ndarray) -> None:
     state = None
     for steps, fresh, owner in windows(symbols, begin):
-        state = np.zeros((steps.shape[1], HIDDEN), np.float32) if state is None else state[: steps.shape[1]]
+        state = np.zeros((steps.shape[1], model.width), np.float32) if state is None else state[: steps.shape[1]]
         steps = steps.astype(np.int64)
         hidden, kept, state = forward(model, steps, fresh, state)
         real = owner.ravel() >= 0
-        grad = model.like(np.zeros_like(model.vector))
-        errors = np.zeros((steps.size, HIDDEN), np.float32)
-        _, errors[real] = output(model, hidden.reshape(-1, HIDDEN)[real], steps.ravel()[real], grad)
+        grad = model.like(optimiser.gradient)
+        errors = np.zeros((steps.size, model.width), np.float32)
+        _, errors[real] = output(model, hidden.reshape(-1, model.width)[real], steps.ravel()[real], grad)
         backward(model, grad, steps, fresh, hidden, kept, errors.reshape(hidden.shape))
-        optimiser.update(model.vector, grad.vector / max(1, int(real.sum())))
+        optimiser.update(model.vector, 1 / max(1, int(real.sum())))
 
 
 def score(model: Model, symbols: np.ndarray, begin: np.ndarray) -> np.ndarray:
     """Natural log-probability of each document, its state carried through all windows."""
     total, state = np.zeros(len(begin) - 1), None
     for steps, fresh, owner in windows(symbols, begin):
-        state = np.zeros((steps.shape[1], HIDDEN), np.float32) if state is None else state[: steps.shape[1]]
+        state = np.zeros((steps.shape[1], model.width), np.float32) if state is None else state[: steps.shape[1]]
         steps = steps.astype(np.int64)
         hidden, _, state = forward(model, steps, fresh, state)
         real = owner.ravel() >= 0
-        logp, _ = output(model, hidden.reshape(-1, HIDDEN)[real], steps.ravel()[real])
+        logp, _ = output(model, hidden.reshape(-1, model.width)[real], steps.ravel()[real])
         total += np.bincount(owner.ravel()[real], logp.astype(np.float64), len(total))
     return total
 
@@ -293,9 +316,9 @@ class Coder:
     def __call__(self, block: tx.Block, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.minimum(np.searchsorted(self.sorted, hashes), max(0, len(self.sorted) - 1))
         known = self.sorted[at] == hashes if len(self.sorted) else np.zeros(len(hashes), bool)
-        symbol = np.where(known, self.order[at] + 2 if len(self.sorted) else RARE, RARE).astype(np.int16)
+        symbol = np.where(known, self.order[at] + 2 if len(self.sorted) else RARE, RARE).astype(np.int32)
         begin = block.first + np.arange(len(block) + 1)
-        out = np.full(begin[-1], END, np.int16)
+        out = np.full(begin[-1], END, np.int32)
         out[np.arange(len(hashes)) + block.owners()] = symbol
         return out, begin
 
@@ -323,35 +346,77 @@ def fitted(training: DataFrame, frequent: np.ndarray, counts: np.ndarray) -> Mod
     """Weights after one pass over all training texts.
 
     Each trainer reads its share of the texts with truncated backpropagation, from the common
-    weights of the round; the trainers' weights are averaged by the words they saw. At most
-    ``TRAINERS`` weight vectors of fixed size come to the driver, whatever the number of texts.
+    weights of the round. A piece of the weights becomes the average over the trainers that
+    moved it, by the words they saw. Trainers hand on only such pieces, and the averages are
+    made in tasks: one weight vector comes to the driver, however many trainers there are.
     """
-    model = Model()
+    model = Model.sized(len(frequent))
     model.start_from(counts)
+    spark = training.sparkSession
+    classes, width, size = model.n_classes, model.width, len(model.vector)
     for turn in range(ROUNDS):
-        start = model.vector
+        shared = spark.sparkContext.broadcast((frequent, model.vector))
 
         def run(batches):
-            own, optimiser, coder = model.like(start.copy()), Adam(len(start)), Coder(frequent)
+            known, start = shared.value
+            own, optimiser, coder = Model(classes, width, start.copy()), Adam(size), Coder(known)
             optimiser.step = 60 * turn
             seen = 0
             for group in gathered(tx.blocks(batches, fold=True)):
                 symbols, begin = joined([coder(b, b.hashes()) for _, b in group])
                 seen += len(symbols)
                 train(own, optimiser, symbols, begin)
-            if seen:
-                yield {"weights": [own.vector.tobytes()], "seen": [seen]}
+            moved = np.flatnonzero(optimiser.steps)
+            pieces = own.vector.reshape(-1, PIECE)
+            cuts = np.flatnonzero(np.diff(moved // SLICE)) + 1
+            for at in np.split(moved, cuts) if len(moved) else ():
+                yield {"slice": [at[0] // SLICE], "at": [(at % SLICE).astype("<i4").tobytes()],
+                       "weights": [pieces[at].tobytes()], "seen": [seen]}
+
+        def average(batches):
+            sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+            for batch in batches:
+                for row in batch.to_pylist():
+                    total, seen = sums.setdefault(
+                        row["slice"], (np.zeros((SLICE, PIECE)), np.zeros(SLICE)))
+                    at = np.frombuffer(row["at"], "<i4")
+                    weights = np.frombuffer(row["weights"], np.float32).reshape(-1, PIECE)
+                    total[at] += weights * float(row["seen"])
+                    seen[at] += row["seen"]
+            for number, (total, seen) in sums.items():
+                at = np.flatnonzero(seen)
+                yield {"slice": [number], "at": [at.astype("<i4").tobytes()],
+                       "weights": [(total[at] / seen[at][:, None]).astype(np.float32).tobytes()],
+                       "seen": [0]}
 
         part = training.where(F.pmod(F.xxhash64("text", "doc_id"), F.lit(ROUNDS)) == turn)
-        found = arrow_map(
-            part.select("text").coalesce(TRAINERS), run, "weights binary, seen long").collect()
-        if found:
-            seen = np.array([r["seen"] for r in found], np.float64)
-            vectors = np.array([np.frombuffer(r["weights"], np.float32) for r in found])
-            model = model.like((seen @ vectors / seen.sum()).astype(np.float32))
+        kinds = "slice long, at binary, weights binary, seen long"
+        trained = arrow_map(part.select("text").coalesce(TRAINERS), run, kinds)
+        found = arrow_map(trained.repartition("slice"), average, kinds)
+        vector = model.vector.copy()
+        pieces = vector.reshape(-1, PIECE)
+        for row in found.toLocalIterator():
+            at = np.frombuffer(row["at"], "<i4") + row["slice"] * SLICE
+            pieces[at] = np.frombuffer(row["weights"], np.float32).reshape(-1, PIECE)
+        model = model.like(vector)
+        shared.unpersist()
     return model
 
 
+def vocabulary(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Words that are symbols of their own and their counts, the most frequent first.
+
+    Every word of ``MIN_COUNT`` occurrences or more, and in a small corpus as many rarer ones as
+    the smallest network holds. They and the weights are held by the driver and every task.
+    """
+    often = counts.where(F.col("n") >= MIN_COUNT).toArrow()
+    if often.num_rows < SYMBOLS - 2:
+        often = counts.orderBy(F.desc("n"), "word").limit(SYMBOLS - 2).toArrow()
+    words, n = (often.column(c).to_numpy().astype(np.int64) for c in ("word", "n"))
+    order = np.lexsort((words, -n))
+    return words[order].view(np.uint64), n[order]
+
+
 def rate(docs: DataFrame) -> DataFrame:
     """Scores of every row of ``doc_id, text``; learning leaves out held-out rows.
 
@@ -368,11 +433,10 @@ def rate(docs: DataFrame) -> DataFrame:
     ends = training.count()
     summary = counts.agg(F.count("word"), F.sum("n")).first()
     distinct, tokens = summary[0] + (ends > 0), (summary[1] or 0) + ends
-    top = counts.orderBy(F.desc("n"), "word").limit(SYMBOLS - 2).toPandas()
-    frequent = top["word"].to_numpy(np.int64).view(np.uint64)
-    rare_tokens = tokens - ends - int(top["n"].sum())
-    rare_words = distinct - (ends > 0) - len(top)
-    model = fitted(training, frequent, np.array([ends, rare_tokens, *top["n"]], float))
+    frequent, often = vocabulary(counts)
+    rare_tokens = tokens - ends - int(often.sum())
+    rare_words = distinct - (ends > 0) - len(frequent)
+    model = fitted(training, frequent, np.concatenate([[ends, rare_tokens], often]).astype(float))
 
     # counts so high that at most LOOKUP_WORDS words reach them go to every task
     steps = counts.groupBy(F.least("n", F.lit(4096)).alias("n")).agg(F.count("word").alias("words"))
@@ -387,11 +451,11 @@ def rate(docs: DataFrame) -> DataFrame:
     common_words, common_counts = common_words[order], common.column("n").to_numpy()[order].astype(np.int32)
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((common_words, common_counts, frequent, model.vector))
-    shapes = Model()
+    classes, width = model.n_classes, model.width
 
     def run(batches):
         words, times, symbols_of, vector = shared.value
-        own, coder = shapes.like(np.array(vector)), Coder(symbols_of)
+        own, coder = Model(classes, width, vector), Coder(symbols_of)
         part, number = TaskContext.get().partitionId(), 0
         for group in gathered(tx.blocks(batches, fold=True)):
             coded, out = [], []

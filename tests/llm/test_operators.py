@@ -285,6 +285,17 @@ def test_training_beats_the_unigram():
     assert recurrent.score(model, symbols, begin).sum() > 0.7 * unigram
 
 
+def test_vocabulary_grows_with_the_corpus(spark):
+    words = [f"w{i}" for i in range(3000)]
+    few = spark.createDataFrame([(" ".join(words[:40]),)] * 6, "text string")
+    many = spark.createDataFrame([(" ".join(words) + f" once{i}",) for i in range(6)], "text string")
+    assert len(recurrent.vocabulary(recurrent.word_counts(few))[0]) == 40
+    found, n = recurrent.vocabulary(recurrent.word_counts(many))
+    assert len(found) == 3000 and (n == 6).all()
+    model = recurrent.Model.sized(len(found))
+    assert model.n_classes**2 >= 3002 and model.width > recurrent.HIDDEN
+
+
 def test_near_vectors(spark):
     random = np.random.default_rng(8)
     base = random.normal(size=(60, 32))
