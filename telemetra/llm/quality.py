@@ -18,7 +18,7 @@ SYMBOLS = b"#*$%&|<>"  # fixed values
 MIN_WORDS = 20
 REPEAT_WINDOW = 8
 REPEAT_PERCENT = 30
-MIN_GROUP = 200  # documents a language or script needs for a band of its own
+SHRINK = 20  # documents that the script weighs in the band of a language
 
 # A document is rejected when a measure leaves the band of its language: this many robust
 # deviations and at least this share of the median away from the median.
@@ -68,7 +68,7 @@ def measured(docs: DataFrame, carry: list[str], model: str | None = None) -> Dat
     Tokens are those of a public sentencepiece vocabulary with byte fallback, applied word by
     word. Entropy is that of the document's own token frequencies, as a share of the most that
     so many tokens could have (0 to 1; 1 for fewer than two tokens). Null and empty texts have
-    no words. ``script`` is null where the language column names a language.
+    no words.
     """
     path = model or public_tokenizers.path("piece_bpe_32k.model")
     schema = T.StructType([
@@ -95,7 +95,6 @@ def measured(docs: DataFrame, carry: list[str], model: str | None = None) -> Dat
             symbol = np.isin(block.data, np.frombuffer(SYMBOLS, np.uint8))
             symbols = np.concatenate([[0], np.cumsum(symbol)])[block.offsets]
             texts = part.column("text").to_pylist()
-            named = part.column("_named").to_pylist()
             yield {c: part.column(c) for c in carry} | {
                 "n_words": block.counts,
                 "word_chars": np.bincount(block.owners(), length, n).astype(np.int64),
@@ -105,10 +104,10 @@ def measured(docs: DataFrame, carry: list[str], model: str | None = None) -> Dat
                 "n_tokens": tokens,
                 "n_fallback": np.bincount(owner, fallback[ids], n).astype(np.int64),
                 "token_entropy": entropy,
-                "script": [None if k else script_of(t or "") for t, k in zip(texts, named)],
+                "script": [script_of(t or "") for t in texts],
             }
 
-    return arrow_map(docs.withColumn("_named", named_language()), run, schema)
+    return arrow_map(docs, run, schema)
 
 
 def named_language() -> Column:
@@ -127,60 +126,67 @@ def group_name() -> Column:
 
 
 def bands(measures: DataFrame) -> DataFrame:
-    """Median and median deviation of each measure per language or script.
+    """Median, median deviation and ``widen`` of each measure per language or script.
 
-    All documents that pass the base rules count. One row per group with at least
-    ``MIN_GROUP`` documents, and one row with a null group over all documents.
+    All documents that pass the base rules count, and every group of them has a row. The values
+    of a language lie between its own and those of its most frequent script, of which the script
+    weighs ``SHRINK`` documents; a script has its own, as nothing else tells what is usual for
+    it, and documents without letters lean on all. ``widen`` goes from 2 for the smallest group
+    towards 1.
     """
+    script = F.coalesce("script", F.lit("none"))
+    everything = F.lit("")
     rows = measures.where(~base_failed()).select(
-        F.explode(F.array(group_name(), F.lit(None).cast("string"))).alias("band"),
+        F.explode(F.array_distinct(F.array(
+            group_name(), F.concat(F.lit("script:"), script), everything))).alias("band"),
+        script.alias("script"),
         (F.col("word_chars") / F.col("n_tokens")).alias("fertility"),
         (F.col("n_fallback") / F.col("n_tokens")).alias("fallback"),
         F.col("token_entropy").alias("entropy"))
     values = ("fertility", "fallback", "entropy")
     # the interquartile range stands for the deviation: 1.349 of them in a normal distribution
     found = rows.groupBy("band").agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count(F.lit(1)).alias("n"), F.mode("script", True).alias("script"),
         *[F.percentile_approx(v, [0.25, 0.5, 0.75], 10_000).alias(v) for v in values])
-    return found.where((F.col("n") >= MIN_GROUP) | F.col("band").isNull()).select(
-        "band",
+    own = found.select(
+        "band", (F.col("n") / (F.col("n") + SHRINK)).alias("_share"),
+        F.when(F.col("script") == "none", everything)
+        .when(F.col("band").startswith("script:"), F.col("band"))
+        .otherwise(F.concat(F.lit("script:"), "script")).alias("_parent"),
         *[F.col(v)[1].alias(f"{v}_mid") for v in values],
         *[((F.col(v)[2] - F.col(v)[0]) / 1.349).alias(f"{v}_dev") for v in values])
+    names = [f"{v}_{kind}" for v in values for kind in ("mid", "dev")]
+    parents = own.select(F.col("band").alias("_parent"), *[F.col(c).alias(f"_{c}") for c in names])
+    return own.where(F.col("band") != everything).join(F.broadcast(parents), "_parent").select(
+        "band", (2 - F.col("_share")).alias("widen"),
+        *[(F.col("_share") * F.col(c) + (1 - F.col("_share")) * F.col(f"_{c}")).alias(c) for c in names])
 
 
 def judged(measures: DataFrame, limits: DataFrame) -> DataFrame:
     """``base_failed`` and ``kept``: false where a measure leaves the band of its group.
 
-    Documents of a group without a band of its own are held against that of all documents;
-    without any band (no document passes the base rules) only the base rules decide. The bands
-    are broadcast: two-letter languages and Unicode scripts, under 1,000 rows.
+    Every document that passes the base rules has a group in ``limits``, which is broadcast:
+    two-letter languages and Unicode scripts, under 1,000 rows.
     """
-    overall = limits.where(F.col("band").isNull()).drop("band")
-    own = limits.where(F.col("band").isNotNull())
     joined = measures.withColumn("_band", group_name()).join(
-        F.broadcast(own.withColumnRenamed("band", "_band")), "_band", "left")
-    names = overall.columns
-    fallback_row = overall.first()
-    pick = {
-        c: F.coalesce(F.col(c), F.lit(fallback_row[c] if fallback_row else None).cast("double"))
-        for c in names
-    }
+        F.broadcast(limits.withColumnRenamed("band", "_band")), "_band", "left")
     fertility = F.col("word_chars") / F.greatest("n_tokens", F.lit(1))
     share = F.col("n_fallback") / F.greatest("n_tokens", F.lit(1))
 
-    def room(v: str, width: float, least: float) -> Column:
-        return F.greatest(width * pick[f"{v}_dev"], least * pick[f"{v}_mid"])
+    def room(v: str, width: float, least: Column) -> Column:
+        return F.col("widen") * F.greatest(width * F.col(f"{v}_dev"), least)
 
     outside = (
-        (F.abs(fertility - pick["fertility_mid"]) > room("fertility", FERTILITY_WIDTH, FERTILITY_SHARE))
-        | (share > pick["fallback_mid"] + F.greatest(
-            FERTILITY_WIDTH * pick["fallback_dev"], F.lit(FALLBACK_SLACK)))
-        | (F.col("token_entropy") < pick["entropy_mid"] - room("entropy", ENTROPY_WIDTH, ENTROPY_SHARE))
+        (F.abs(fertility - F.col("fertility_mid")) > room(
+            "fertility", FERTILITY_WIDTH, FERTILITY_SHARE * F.col("fertility_mid")))
+        | (share > F.col("fallback_mid") + room("fallback", FERTILITY_WIDTH, F.lit(FALLBACK_SLACK)))
+        | (F.col("token_entropy") < F.col("entropy_mid") - room(
+            "entropy", ENTROPY_WIDTH, ENTROPY_SHARE * F.col("entropy_mid")))
     )
     return (
         joined.withColumn("base_failed", base_failed())
         .withColumn("kept", ~F.col("base_failed") & ~F.coalesce(outside, F.lit(False)))
-        .drop("_band", *names)
+        .drop("_band", *[c for c in limits.columns if c != "band"])
     )
 
 

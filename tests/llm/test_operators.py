@@ -63,6 +63,24 @@ def test_fertility_bands_reject_byte_noise(spark):
     assert wrong == {900}
 
 
+def test_small_groups_are_not_rejected_for_their_script(spark):
+    random = np.random.default_rng(2)
+
+    def prose(words, n):
+        return " ".join(random.choice(words.split(), n))
+
+    english = "the house garden water morning people story window evening letter river market"
+    rows = [(i, prose(english, 60), "en") for i in range(400)]
+    for at, (lang, words) in enumerate([
+            ("el", "το σπίτι είναι μεγάλο και ο κήπος έχει πολλά δέντρα κοντά στη θάλασσα"),
+            ("hi", "यह घर बहुत बड़ा है और बगीचे में कई पेड़ नदी के पास खड़े हैं"),
+            ("ko", "이 집은 매우 크고 정원에는 강가에 나무가 많이 서 있습니다 아침마다 새들이")]):
+        rows += [(1000 + 10 * at + i, prose(words, 60), [lang, None][i % 2]) for i in range(6)]
+    rows.append((2000, " ".join(chr(0x1F300 + int(c)) * 3 for c in random.integers(0, 200, 60)), "en"))
+    got = quality.rate(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert {r.doc_id for r in got.where("not kept and not base_failed").collect()} == {2000}
+
+
 def test_filter_keeps_columns(docs):
     kept = quality.filtered(docs)
     assert kept.columns == docs.columns
