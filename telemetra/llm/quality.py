@@ -18,17 +18,18 @@ SYMBOLS = b"#*$%&|<>"  # fixed values
 MIN_WORDS = 20
 REPEAT_WINDOW = 8
 REPEAT_PERCENT = 30
+WINDOW = 64  # tokens whose entropy is taken together
 SHRINK = 20  # documents that the script weighs in the band of a language
 
 # A document is rejected when a measure leaves the band of its language: this many robust
 # deviations and at least this share of the median away from the median.
 FERTILITY_WIDTH, FERTILITY_SHARE = 8.0, 0.25
-ENTROPY_WIDTH, ENTROPY_SHARE = 4.0, 0.5
+ENTROPY_WIDTH, ENTROPY_SHARE = 8.0, 0.18
 FALLBACK_SLACK = 0.05
 
 MEASURES = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "n_tokens long, n_fallback long, token_entropy double, script string"
+    "n_tokens long, n_fallback long, token_entropy double, window_entropy double, script string"
 )
 
 
@@ -48,6 +49,27 @@ def repeated_words(block: tx.Block) -> np.ndarray:
     return np.bincount(owners, np.cumsum(covered)[:n] > 0, len(block)).astype(np.int64)
 
 
+def window_entropy(ids: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """Per text, the entropy of its windows of ``WINDOW`` tokens, averaged, as a share of the most.
+
+    The last window ends with the text and may overlap the one before; a shorter text is one
+    window. So the value does not drift with the length of the text.
+    """
+    size = np.minimum(tokens, WINDOW)
+    count = -(-tokens // WINDOW)
+    owner = np.repeat(np.arange(len(tokens)), count)
+    number = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+    begin = (np.cumsum(tokens) - tokens)[owner] + np.minimum(number * WINDOW, (tokens - size)[owner])
+    each = size[owner]
+    window = np.repeat(np.arange(len(owner)), each)
+    place = np.arange(len(window)) - np.repeat(np.cumsum(each) - each, each) + np.repeat(begin, each)
+    pair, times = np.unique(window * 65536 + ids[place], return_counts=True)
+    spread = np.bincount(pair // 65536, times * np.log2(times), len(owner))
+    safe = np.maximum(each, 2)
+    share = np.where(each > 1, (np.log2(safe) - spread / safe) / np.log2(safe), 1.0)
+    return np.where(count > 0, np.bincount(owner, share, len(tokens)) / np.maximum(count, 1), 1.0)
+
+
 def duplicate_lines(raw: bytes) -> int:
     lines = Counter(line for line in raw.split(b"\n") if line.split())
     return sum(lines.values()) - len(lines)
@@ -67,8 +89,8 @@ def measured(docs: DataFrame, carry: list[str], model: str | None = None) -> Dat
 
     Tokens are those of a public sentencepiece vocabulary with byte fallback, applied word by
     word. Entropy is that of the document's own token frequencies, as a share of the most that
-    so many tokens could have (0 to 1; 1 for fewer than two tokens). Null and empty texts have
-    no words.
+    so many tokens could have (0 to 1; 1 for fewer than two tokens); it falls with the length of the
+    text, so verdicts use ``window_entropy``. Null and empty texts have no words.
     """
     path = model or public_tokenizers.path("piece_bpe_32k.model")
     schema = T.StructType([
@@ -104,6 +126,7 @@ def measured(docs: DataFrame, carry: list[str], model: str | None = None) -> Dat
                 "n_tokens": tokens,
                 "n_fallback": np.bincount(owner, fallback[ids], n).astype(np.int64),
                 "token_entropy": entropy,
+                "window_entropy": window_entropy(ids, tokens),
                 "script": [script_of(t or "") for t in texts],
             }
 
@@ -142,7 +165,7 @@ def bands(measures: DataFrame) -> DataFrame:
         script.alias("script"),
         (F.col("word_chars") / F.col("n_tokens")).alias("fertility"),
         (F.col("n_fallback") / F.col("n_tokens")).alias("fallback"),
-        F.col("token_entropy").alias("entropy"))
+        F.col("window_entropy").alias("entropy"))
     values = ("fertility", "fallback", "entropy")
     # the interquartile range stands for the deviation: 1.349 of them in a normal distribution
     found = rows.groupBy("band").agg(
@@ -180,7 +203,7 @@ def judged(measures: DataFrame, limits: DataFrame) -> DataFrame:
         (F.abs(fertility - F.col("fertility_mid")) > room(
             "fertility", FERTILITY_WIDTH, FERTILITY_SHARE * F.col("fertility_mid")))
         | (share > F.col("fallback_mid") + room("fallback", FERTILITY_WIDTH, F.lit(FALLBACK_SLACK)))
-        | (F.col("token_entropy") < F.col("entropy_mid") - room(
+        | (F.col("window_entropy") < F.col("entropy_mid") - room(
             "entropy", ENTROPY_WIDTH, ENTROPY_SHARE * F.col("entropy_mid")))
     )
     return (

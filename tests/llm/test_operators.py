@@ -81,6 +81,19 @@ def test_small_groups_are_not_rejected_for_their_script(spark):
     assert {r.doc_id for r in got.where("not kept and not base_failed").collect()} == {2000}
 
 
+def test_entropy_does_not_measure_length(spark):
+    random = np.random.default_rng(12)
+    vocabulary = ["".join(random.choice(list("abcdefghilmnoprstu"), 5)) for _ in range(500)]
+    rows = [(i, " ".join(random.choice(vocabulary, 150)), "en") for i in range(250)]
+    rows.append((1000, " ".join(random.choice(vocabulary, 400_000)), "en"))
+    rows.append((2000, " ".join(w for v in vocabulary[:30] for w in [v] * 7), "en"))
+    got = {r.doc_id: r for r in quality.rate(
+        spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert not any(got[i].base_failed for i in (1000, 2000))
+    assert got[1000].kept and not got[2000].kept
+    assert got[1000].window_entropy == pytest.approx(got[0].window_entropy, rel=0.05)
+
+
 def test_filter_keeps_columns(docs):
     kept = quality.filtered(docs)
     assert kept.columns == docs.columns
