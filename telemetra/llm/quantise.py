@@ -14,17 +14,21 @@ TABLES, SUB_BITS = 4, 16
 SUB_RADIUS = 2  # differing bits inside one sub-code at which two vectors still meet
 RADIUS = 24  # differing bits of whole codes at which vectors are compared
 FIT_ROWS = 10_000  # distinct vectors that the rotation is learned from
+RECALL = 0.99  # share of checked pairs at the cosine that the codes must bring together
+CHECK_ROWS = 1_000  # vectors that the check takes partners for
 BLOCK = 512  # vectors of one bucket compared with as many others at a time
 
 
-def learn(sample: np.ndarray, rounds: int = 30, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and projection (dimensions x 64) whose signs are balanced binary codes.
+def learn(
+    sample: np.ndarray, rounds: int = 30, seed: int = 7, centring: float = 1.0
+) -> tuple[np.ndarray, np.ndarray]:
+    """Centre and projection (dimensions x 64) whose signs are balanced binary codes.
 
     Principal directions, then a rotation that is alternately fitted to the signs it gives
     (iterative quantisation). With fewer dimensions than bits, random directions fill up.
     """
     random = np.random.default_rng(seed)
-    mean = sample.mean(axis=0)
+    mean = centring * sample.mean(axis=0)
     centred = sample - mean
     size = sample.shape[1]
     bits = min(size, BITS)
@@ -55,6 +59,38 @@ def unit(lists) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
+def met(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether two codes become a candidate pair."""
+    apart = np.bitwise_count(sub_codes(a ^ b)).min(axis=1)
+    return (apart <= SUB_RADIUS) & (np.bitwise_count(a ^ b) <= RADIUS)
+
+
+def fitted(sample: np.ndarray, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
+    """The most centred codes that still bring pairs at the cosine together.
+
+    Links are cosines of uncentred vectors. Where vectors share a strong direction, a pair that
+    links is far apart once the mean is taken away, so less of it is, down to nothing. Checked
+    on the vectors nearest to the mean, which centring hurts most, each with one partner in any
+    direction and one in the direction of another vector, both at exactly the cosine.
+    """
+    random = np.random.default_rng(seed)
+    apart = np.linalg.norm(sample - sample.mean(axis=0), axis=1)
+    checked = sample[np.argsort(apart, kind="stable")[:CHECK_ROWS]]
+    pairs = []
+    for aim in (random.normal(size=checked.shape), sample[random.integers(0, len(sample), len(checked))]):
+        aside = aim - np.einsum("ij,ij->i", aim, checked)[:, None] * checked
+        size = np.linalg.norm(aside, axis=1, keepdims=True)
+        usable = size[:, 0] > 1e-6
+        other = COSINE * checked[usable] + (1 - COSINE**2) ** 0.5 * aside[usable] / size[usable]
+        if len(other):
+            pairs.append((checked[usable], other))
+    for centring in (1.0, 0.75, 0.5, 0.25, 0.0):
+        model = learn(sample, centring=centring)
+        if all(met(codes(x, *model), codes(y, *model)).mean() >= RECALL for x, y in pairs):
+            break
+    return model
+
+
 def own_pairs(table, first: np.ndarray, second: np.ndarray) -> np.ndarray:
     """Which pairs are to be looked at here: close codes, and no other bucket has the pair.
 
@@ -106,7 +142,7 @@ def linked(classes: DataFrame) -> DataFrame:
     ]
     lengths = [len(v) for v in sample]
     usual = max(set(lengths), key=lengths.count) if lengths else 1
-    model = learn(unit([v for v in sample if len(v) == usual])) if lengths else None
+    model = fitted(unit([v for v in sample if len(v) == usual])) if lengths else None
 
     def coded(batches):
         random = {}

@@ -356,6 +356,19 @@ def test_near_vectors(spark):
         assert {i: r.component_id for i, r in got.items()} == brute.roots([r[0] for r in rows], edges)
 
 
+@pytest.mark.parametrize("dimensions", [64, 128])
+def test_near_vectors_with_a_common_direction(spark, dimensions):
+    random = np.random.default_rng(3)
+    own = quantise.unit(random.normal(size=(300, dimensions)))
+    vectors = quantise.unit(0.9**0.5 * quantise.unit([random.normal(size=dimensions)]) + 0.1**0.5 * own)
+    links = np.triu(vectors @ vectors.T >= 0.93, 1).sum()
+    assert links > 20
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(vectors)]
+    got = quantise.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    found = got.agg(F.sum("n_links")).first()[0]
+    assert 0.9 * 2 * links <= found <= 2 * links
+
+
 def test_languages(spark):
     random = np.random.default_rng(9)
     spoken = {"en": "the of and house water thing", "de": "der die und haus wasser ding schön"}
