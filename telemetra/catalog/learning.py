@@ -226,8 +226,7 @@ def model_score(spark, folder):
 @query("param_search")
 def param_search(spark, folder):
     train, test = parted(spark, folder)
-    space = {**learning.SEARCH_SPACE, "n_estimators": [2, 4], "max_depth": [2, 3]}
-    return learning.param_search(train, test, learning.search_trials(space, count=2))
+    return learning.param_search(train, test, learning.search_trials())
 
 
 @query(

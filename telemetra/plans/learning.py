@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import (
@@ -25,6 +27,7 @@ NUMBER_FEATURES = (
 # Learner settings and search space.
 BOOSTING = {"n_estimators": 200, "max_depth": 5, "learning_rate": 0.1, "subsample": 0.8}
 SEED = 42
+SIDE_BY_SIDE = 4  # trials of a search that are fitted at the same time
 SEARCH_SPACE = {
     "n_estimators": [50, 100, 150, 200],
     "max_depth": [3, 5, 7],
@@ -233,17 +236,21 @@ def search_trials(
 def param_search(
     train: DataFrame, test: DataFrame, trials: Sequence[Mapping[str, float]]
 ) -> DataFrame:
-    """Fit every setting on the same split; one row of settings and metrics per trial."""
+    """Fit every setting on the same split, ``SIDE_BY_SIDE`` at a time; one row of settings and
+    metrics per trial."""
     spark = train.sparkSession
-    rows = []
-    for number, params in enumerate(trials, start=1):
+
+    def run(number: int, params: Mapping[str, float]) -> tuple:
         scored = train_boosted(train, params).transform(test)
         metrics = score_metrics(scored, LABEL, "predicted").first()
-        rows.append((
+        return (
             number, int(params["n_estimators"]), int(params["max_depth"]),
             float(params["learning_rate"]), float(params["subsample"]),
             metrics["accuracy"], metrics["weighted_f1"],
-        ))
+        )
+
+    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+        rows = list(pool.map(inheritable_thread_target(spark)(run), range(1, len(trials) + 1), trials))
     return spark.createDataFrame(
         rows,
         "trial int, n_estimators int, max_depth int, learning_rate double, subsample double, "

@@ -757,3 +757,23 @@ def test_rescue_of_trailing_text_and_nan(spark):
     assert got[lines[0]] == (None, None)
     assert got['{"energy":"NaN"}'] == (6, None)
     assert got[None] == (7, 1.5)
+
+
+def test_registered_search_runs_every_trial_in_full(spark, folder, monkeypatch):
+    from telemetra.catalog import learning as registered_learning
+
+    whole = learning.param_search
+    asked = []
+
+    def small(train, test, trials):
+        asked.extend(trials)
+        few = [{**t, "n_estimators": 1, "max_depth": 1} for t in trials[:2]]
+        return whole(train.limit(200), test.limit(200), few)
+
+    monkeypatch.setattr(learning, "param_search", small)
+    got = registered_learning.param_search(spark, folder).collect()
+    assert asked == learning.search_trials()
+    assert min(t["n_estimators"] for t in asked) >= 50 and min(t["max_depth"] for t in asked) >= 3
+    assert [r.trial for r in got] == [1, 2]
+    assert [(r.learning_rate, r.subsample) for r in got] == [
+        (t["learning_rate"], t["subsample"]) for t in asked[:2]]
