@@ -227,18 +227,22 @@ class Adam:
         self.step += 1
         pieces = self.gradient.reshape(-1, PIECE)
         at = np.flatnonzero(pieces.any(axis=1))
-        gradient = pieces[at] * np.float32(share)
-        pieces[at] = 0
-        self.steps[at] += 1
-        gradient *= min(1.0, 1.0 / max(float(np.linalg.norm(gradient)), 1e-12))
-        first = self.first[at] * np.float32(0.9) + np.float32(0.1) * gradient
-        second = self.second[at] * np.float32(0.99) + np.float32(0.01) * gradient * gradient
-        self.first[at], self.second[at] = first, second
-        steps = self.steps[at][:, None]
-        first /= (1 - 0.9**steps).astype(np.float32)
-        second /= (1 - 0.99**steps).astype(np.float32)
+        parts = [at[k: k + SLICE] for k in range(0, len(at), SLICE)]  # no copy of all weights
+        norm = share * sum(float((pieces[k] ** 2).sum()) for k in parts) ** 0.5
+        share *= min(1.0, 1.0 / max(norm, 1e-12))
         rate = RATE / (1 + self.step / 300) ** 0.5
-        vector.reshape(-1, PIECE)[at] -= np.float32(rate) * first / (np.sqrt(second) + np.float32(1e-8))
+        weights = vector.reshape(-1, PIECE)
+        self.steps[at] += 1
+        for k in parts:
+            gradient = pieces[k] * np.float32(share)
+            pieces[k] = 0
+            first = self.first[k] * np.float32(0.9) + np.float32(0.1) * gradient
+            second = self.second[k] * np.float32(0.99) + np.float32(0.01) * gradient * gradient
+            self.first[k], self.second[k] = first, second
+            steps = self.steps[k][:, None]
+            first /= (1 - 0.9**steps).astype(np.float32)
+            second /= (1 - 0.99**steps).astype(np.float32)
+            weights[k] -= np.float32(rate) * first / (np.sqrt(second) + np.float32(1e-8))
 
 
 def lanes(lengths: np.ndarray) -> list[list[int]]:
