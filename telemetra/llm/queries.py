@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from telemetra.llm import (
-    chat, langid, mixing, near, packing, quality, quantise, recurrent, repeats, sharding,
+    audit, chat, langid, mixing, near, packing, quality, quantise, recurrent, repeats, sharding,
 )
 from telemetra.llm.frames import documents
 
@@ -54,11 +54,18 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quantise.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op12_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_language_id, op2_chat_formatting, op3_quality_rules, op4_best_fit_packing,
         op5_minhash_near_dedup, op6_sharding, op7_suffix_array_dedup, op8_lm_scoring,
-        op9_mixing_sources, op10_embedding_near_dedup)
+        op9_mixing_sources, op10_embedding_near_dedup, op12_filter_interaction_audit)
 } | {"pipeline": corpus_pipeline.run}
 
-CHECKS = {"op9_mixing_sources": mixing.check_sql()}
+CHECKS = {
+    "op9_mixing_sources": mixing.check_sql(),
+    "op12_filter_interaction_audit": audit.check_sql(),
+}
