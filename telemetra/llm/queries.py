@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from telemetra.llm import (
-    audit, chat, langid, mixing, near, packing, quality, quantise, recurrent, repeats, sharding,
+    audit, chat, collocations, langid, mixing, near, packing, quality, quantise, recurrent,
+    repeats, secretscan, sharding,
 )
 from telemetra.llm.frames import documents
 
@@ -54,18 +55,29 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quantise.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op11_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.scan(documents(spark, sf_dir))
+
+
 def op12_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op13_phrase_collocation_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(documents(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_language_id, op2_chat_formatting, op3_quality_rules, op4_best_fit_packing,
         op5_minhash_near_dedup, op6_sharding, op7_suffix_array_dedup, op8_lm_scoring,
-        op9_mixing_sources, op10_embedding_near_dedup, op12_filter_interaction_audit)
+        op9_mixing_sources, op10_embedding_near_dedup, op11_secret_scans,
+        op12_filter_interaction_audit, op13_phrase_collocation_mining)
 } | {"pipeline": corpus_pipeline.run}
 
 CHECKS = {
     "op9_mixing_sources": mixing.check_sql(),
+    "op11_secret_scans": secretscan.check_sql(),
     "op12_filter_interaction_audit": audit.check_sql(),
+    "op13_phrase_collocation_mining": collocations.check_sql(),
 }
