@@ -344,7 +344,7 @@ def check_sql() -> str:
     """The same rows in SQL over ``documents``."""
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     cuts = ", ".join(
-        f"CASE WHEN m > {k} THEN list_value({k}, coalesce(f{k}.f, 0), coalesce(g{k}.f, 0)) END"
+        f"CASE WHEN c.m > {k} THEN list_value({k}, coalesce(f{k}.f, 0), coalesce(g{k}.f, 0)) END"
         for k in range(1, LONGEST))
     joins = " ".join(
         f"LEFT JOIN f f{k} ON f{k}.lang = c.lang AND c.m > {k} AND f{k}.p = array_to_string(c.ws[1:{k}], ' ') "

@@ -91,9 +91,10 @@ def uses(found: DataFrame) -> DataFrame:
     placed = (
         opened.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(sofar))
         .withColumn("start", F.col("end") - F.col("size")).where(long_enough))
-    along = Window.partitionBy("row").orderBy("start")
-    before = along.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    after = along.rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    # both windows grow with their rows; one that shrinks would look at all pairs
+    grows = (Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy("row").orderBy("start").rangeBetween(*grows)
+    after = Window.partitionBy("row").orderBy(F.desc("start")).rangeBetween(*grows)
     base = F.col("kind") != _OWNED
     alone = (
         F.coalesce(F.max(F.when(base, F.col("end"))).over(before) <= F.col("start"), F.lit(True))

@@ -95,3 +95,121 @@ def repeated_words(docs, size=50):
 
 def sequences_needed(lengths, capacity):
     return math.ceil(sum(lengths) / capacity)
+
+
+# --- secrets, filters, phrases -----------------------------------------------------------
+
+_SECRETS = (
+    ("assign", re.compile(
+        r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+        re.I | re.A), 2, 12),
+    ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 18),
+    ("hex", re.compile(r"[0-9a-f]+"), 0, 16),
+)
+_LOOSE = re.compile(r"[A-Za-z0-9_-]+")
+
+
+def _looks_live(value):
+    kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "-" for c in value]
+    changes = sum((a, b) in {("l", "u"), ("l", "d"), ("u", "d"), ("d", "l"), ("d", "u")}
+                  for a, b in zip(kinds, kinds[1:]))
+    return len(value) >= 20 and kinds.count("d") >= 3 and changes >= 5 and len(set(value)) >= 10
+
+
+def secrets(rows, owners_of_example=4):
+    """Per row of (doc_id, text, owner): base counts, base spans and all spans."""
+    uses = []
+    for at, (_, text, owner) in enumerate(rows):
+        text = text or ""
+        base = [(m.start(), k, m.end(), m.group(group))
+                for k, (_, pattern, group, least) in enumerate(_SECRETS)
+                for m in pattern.finditer(text) if len(m.group(group)) >= least]
+        loose = [(m.start(), 3, m.end(), m.group()) for m in _LOOSE.finditer(text)
+                 if len(m.group()) >= 12 and re.search("[0-9]", m.group())
+                 and not any(b < m.end() and m.start() < e for b, _, e, _ in base)]
+        uses += [(at, owner, s, k, e, v.strip("+/_.=-"), _looks_live(v) or k < 2)
+                 for s, k, e, v in base + loose]
+    owners, assigned = {}, set()
+    for _, owner, _, kind, _, key, _ in uses:
+        owners.setdefault(key, set()).add(owner)
+        if kind < 2:
+            assigned.add(key)
+    out = []
+    names = [*(n for n, *_ in _SECRETS), "owned"]
+    for at, (doc, _, _) in enumerate(rows):
+        own = sorted((s, k, e, len(owners[v]) < owners_of_example and (live or v in assigned))
+                     for i, _, s, k, e, v, live in uses if i == at)
+        out.append((
+            doc, *(sum(k == i for _, k, _, _ in own) for i in range(3)),
+            ",".join(f"{names[k]}:{s}:{e}" for s, k, e, _ in own if k < 3),
+            ",".join(f"{names[k]}:{s}:{e}" for s, k, e, good in own if k < 3 or good)))
+    return out
+
+
+def filter_figures(rows, labels):
+    """All figures by walking every document through every order of the filters."""
+    from itertools import permutations
+
+    good = {d for d, q, _ in labels if q == 1} - {None}
+    toxic = {d for d, _, t in labels if t == 1} - {None}
+    first = {}
+    for doc, text, _ in rows:
+        if doc is not None:
+            first[text or ""] = min(doc, first.get(text or "", doc))
+    out = {}
+    for doc, text, part in rows:
+        text, part = text or "", part or ""
+        own = words(text)
+        fails = {
+            "A": len(own) < 50, "B": 100 * len(set(own)) < 65 * len(own),
+            "C": 100 * len(re.findall("[A-Z]", text)) > 5 * len(text),
+            "D": bool(re.search("[#$%&*|]", text)),
+            "E": doc is not None and doc > first[text]}
+        for order in map("".join, permutations("ABCDE")):
+            gone = False
+            for step, name in enumerate(order, 1):
+                row = out.setdefault((part, order, step), [0] * 6)
+                if fails[name]:
+                    row[3] += sum(fails.values()) == 1
+                    row[2] += gone
+                    row[1] += not gone
+                    row[4] += not gone and doc in good
+                    row[5] += not gone and doc in toxic
+                    gone = True
+                row[0] += not gone
+    total = {}
+    for (part, order, step), row in out.items():
+        total[part, order[step - 1]] = total.get((part, order[step - 1]), 0) + row[1]
+    return {k: (*row, total[k[0], k[1][k[2] - 1]]) for k, row in out.items()}
+
+
+def phrases(rows, least, best, longest=5):
+    """Scored phrases per language of rows of (text, lang)."""
+    found, totals = {}, Counter()
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", low):
+            own = [w for w in re.split(r"[\x20\x09]+", piece) if w]
+            totals[lang] += len(own)
+            for size in range(1, longest + 1):
+                for i in range(len(own) - size + 1):
+                    key = lang, tuple(own[i: i + size])
+                    found[key] = found.get(key, 0) + 1
+    out = []
+    for lang in totals:
+        held = {p: f for (l, p), f in found.items() if l == lang and len(p) > 1 and f >= least}
+        rows_ = []
+        for p, a in held.items():
+            inside = any(
+                len(o) > len(p) and f >= a and any(o[i: i + len(p)] == p for i in range(len(o)))
+                for o, f in held.items())
+            if inside:
+                continue
+            cuts = [(1000 * a * totals[lang] // (found[lang, p[:k]] * found[lang, p[k:]]), k)
+                    for k in range(1, len(p))]
+            score, k = min(cuts)
+            rows_.append((-score, -a, " ".join(p).encode(), found[lang, p[:k]], found[lang, p[k:]]))
+        for rank, (score, a, text, l, r) in enumerate(sorted(rows_)[:best], 1):
+            out.append((lang, rank, text.decode(), -a, l, r, totals[lang], -score))
+    return out
