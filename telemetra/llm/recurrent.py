@@ -1,33 +1,38 @@
 """Document scores of a gated recurrent language model over words.
 
-The model is a numpy GRU with a class-factored softmax over every word that is not rare, one
-symbol for all rare words and one for the end. A rare word's own share of that symbol comes from
-corpus counts, so each text gets a proper probability whatever words it has. Vocabulary, classes
-and hidden units grow with the corpus.
+The model is a numpy GRU with a class-factored softmax over frequent words, hashed symbols of rare
+words and one symbol for the end. A rare word's symbol comes from its last letters, and its own
+share of that symbol from corpus counts, so each text gets a proper probability whatever words it
+has. The vocabulary grows with the corpus by a power of its tokens; classes follow frequency, so
+that the classes met often are small and the cost of a token grows much more slowly.
 """
 
 from __future__ import annotations
 
 import numpy as np
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from telemetra.llm import text as tx
 from telemetra.llm.frames import arrow_map
-from telemetra.session import materialize
+from telemetra.session import materialize, spread
 
-CLASSES = 32  # of symbols, each of as many symbols; this and HIDDEN are the smallest sizes
-SYMBOLS = CLASSES * CLASSES
-END, RARE = 0, 1
+END = 0
 HIDDEN = 16
-MIN_COUNT = 5  # training occurrences from which a word is a symbol of its own
+VOCABULARY, POWER = 16, 0.4  # a corpus of n tokens has VOCABULARY * n**POWER words of its own
+RARE_SHARE = 8  # and a symbol of rare words for each so many of those, LEAST_RARE at least
+LEAST_RARE = 64
+ENDING = 3  # bytes by which a rare word is given its symbol
 PIECE = 64  # weights that are updated and averaged together
 SLICE = 1024  # pieces that one row carries from a trainer to the averages
+FAN = 64  # trainers whose weights one task adds up
 WINDOW = 24  # steps that errors are carried back
 LANES = 512  # documents read side by side
+LANE_TOKENS = 2048  # of a trainer, from which it takes one more lane
 ROUNDS = 2  # parts of the training texts after which the trainers' weights are averaged
-TRAINERS = 24  # tasks that train side by side; each hands one set of weights to the driver
-LOOKUP_WORDS = 500_000  # frequent words whose counts every task holds (12 bytes each)
+TRAINER_TOKENS = 1 << 21  # trainers number 4 times the root of the tokens divided by this
+LOOKUP_WORDS = 500_000  # words whose counts every task holds, if not more are in the vocabulary
+LEVELS = 16  # of counts for each doubling, when words are divided by count
 FOLDS, HELD_FOLD = 5, 1
 RATE = 0.02
 
@@ -37,71 +42,90 @@ def held_out():
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """``word`` (64-bit hash), ``n`` over all words of the rows, merged inside tasks first."""
+    """``word`` (64-bit hash), ``ending`` (hash of its last letters), ``n`` over all words of the
+    rows, merged inside tasks first."""
     def merge(parts):
-        hashes = np.concatenate([h for h, _ in parts])
-        counts = np.concatenate([c for _, c in parts])
-        values, at = np.unique(hashes, return_inverse=True)
-        return values, np.bincount(at, counts, len(values)).astype(np.int64)
+        hashes, endings, counts = (np.concatenate(side) for side in zip(*parts))
+        values, first, at = np.unique(hashes, return_index=True, return_inverse=True)
+        return values, endings[first], np.bincount(at, counts, len(values)).astype(np.int64)
+
+    def rows(values, endings, counts):
+        return {"word": values.view(np.int64), "ending": endings, "n": counts}
 
     def run(batches):
         parts, held = [], 0
         for _, block in tx.blocks(batches, fold=True):
-            parts.append(np.unique(block.hashes(), return_counts=True))
-            held += len(parts[-1][0])
+            values, first, counts = np.unique(block.hashes(), return_index=True, return_counts=True)
+            parts.append((values, endings(block)[first], counts))
+            held += len(values)
             if held > 1_500_000:
                 parts = [merge(parts)]
                 held = 2 * len(parts[0][0])
                 if len(parts[0][0]) > 750_000:
-                    yield {"word": parts[0][0].view(np.int64), "n": parts[0][1]}
+                    yield rows(*parts[0])
                     parts, held = [], 0
         if parts:
-            values, counts = merge(parts)
-            yield {"word": values.view(np.int64), "n": counts}
+            yield rows(*merge(parts))
+
+    return arrow_map(docs.select("text"), run, "word long, ending int, n long").groupBy("word").agg(
+        F.first("ending").alias("ending"), F.sum("n").alias("n"))
+
+
+def endings(block: tx.Block) -> np.ndarray:
+    """Non-negative hashes of the last bytes of all words."""
+    tails = block.runs.between(np.maximum(block.starts, block.ends - ENDING), block.ends)
+    return (tails >> np.uint64(33)).astype(np.int32)
 
-    return arrow_map(docs.select("text"), run, "word long, n long").groupBy("word").agg(
-        F.sum("n").alias("n"))
+
+def class_cuts(counts: np.ndarray) -> np.ndarray:
+    """Bounds of the classes over symbols in order of falling count.
+
+    Each class holds the same sum of roots of counts, which makes the sizes that are met on
+    average as small as so many classes can.
+    """
+    size = len(counts)
+    classes = max(2, round(2 * (size / np.log(size + 2)) ** 0.5))
+    weight = np.cumsum((counts + 0.5) ** 0.5)
+    cuts = np.searchsorted(weight, weight[-1] * np.arange(1, classes) / classes)
+    return np.unique(np.concatenate([[0], cuts, [size]]))
 
 
 class Model:
-    """Weights of the network, all in one vector so that they can be averaged."""
+    """Weights of the network, all in one vector so that they can be averaged.
 
-    def __init__(self, classes: int = CLASSES, width: int = HIDDEN, vector=None, seed: int = 5):
-        h, symbols = width, classes * classes
-        self.n_classes, self.width = classes, width
+    ``cuts`` are the bounds of the classes over symbol numbers.
+    """
+
+    def __init__(self, cuts: np.ndarray, width: int = HIDDEN, vector=None, seed: int = 5):
+        h, symbols, classes = width, int(cuts[-1]), len(cuts) - 1
+        self.cuts, self.width, self.n_classes = cuts, width, classes
+        self.class_of = np.repeat(np.arange(classes), np.diff(cuts))
         shapes = {
-            "inputs": (symbols, h), "enter": (h, 3 * h), "recur": (h, 3 * h), "bias": (3 * h,),
-            "classes": (h, classes), "class_bias": (classes,),
-            "words": (classes, h, classes), "word_bias": (classes, classes),
+            "enter": (h, 3 * h), "recur": (h, 3 * h), "bias": (3 * h,),
+            "classes": (h, classes), "class_bias": (classes,), "word_bias": (symbols,),
+            "inputs": (symbols, h), "words": (symbols, h),
         }
         sizes = np.cumsum([0, *(int(np.prod(s)) for s in shapes.values())])
-        if vector is None:
+        fresh = vector is None
+        if fresh:
             size = -(-int(sizes[-1]) // PIECE) * PIECE
             vector = np.random.default_rng(seed).standard_normal(size, np.float32) * np.float32(0.08)
         self.vector = vector
         for (name, shape), begin, end in zip(shapes.items(), sizes[:-1], sizes[1:]):
             setattr(self, name, vector[begin:end].reshape(shape))
-
-    @classmethod
-    def sized(cls, words: int) -> "Model":
-        """As many classes as hold the words, the end and the rare symbol; units to match."""
-        classes = max(CLASSES, int(np.ceil(np.sqrt(words + 2))))
-        width = HIDDEN * (classes / CLASSES) ** 0.5
-        model = cls(classes, 8 * round(width / 8))
-        model.enter *= np.float32(1 / (0.08 * model.width**0.5))
-        model.bias[:] = 0
-        return model
+        if fresh:
+            self.enter *= np.float32(1 / (0.08 * h**0.5))
+            self.bias[:] = 0
 
     def start_from(self, counts: np.ndarray) -> None:
         """Output biases that give each symbol its share of the training words."""
-        share = np.zeros(self.n_classes**2)
-        share[: len(counts)] = counts
-        share = (share + 0.5).reshape(self.n_classes, self.n_classes)
-        self.class_bias[:] = np.log(share.sum(axis=1) / share.sum())
-        self.word_bias[:] = np.log(share / share.sum(axis=1, keepdims=True))
+        share = counts + 0.5
+        whole = np.add.reduceat(share, self.cuts[:-1])
+        self.class_bias[:] = np.log(whole / share.sum())
+        self.word_bias[:] = np.log(share / whole[self.class_of])
 
     def like(self, vector: np.ndarray) -> "Model":
-        return Model(self.n_classes, self.width, vector)
+        return Model(self.cuts, self.width, vector)
 
 
 def forward(model: Model, symbols: np.ndarray, fresh: np.ndarray, state: np.ndarray):
@@ -143,10 +167,10 @@ def shares(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def output(model: Model, hidden: np.ndarray, symbols: np.ndarray, grad: Model | None = None):
     """Log-probability of each symbol given the state before it, and the error of the states."""
     # in order of class, so that each class is one slice
-    order = np.argsort(symbols // model.n_classes, kind="stable")
-    hidden, symbols = hidden[order], symbols[order]
-    kind, inside = symbols // model.n_classes, symbols % model.n_classes
-    cuts = np.searchsorted(kind, np.arange(model.n_classes + 1))
+    kind = model.class_of[symbols]
+    order = np.argsort(kind, kind="stable")
+    hidden, symbols, kind = hidden[order], symbols[order], kind[order]
+    cuts = np.searchsorted(kind, np.arange(model.n_classes + 1)).tolist()
     rows = np.arange(len(symbols))
     logits = hidden @ model.classes + model.class_bias
     chosen = logits[rows, kind]
@@ -159,21 +183,25 @@ def output(model: Model, hidden: np.ndarray, symbols: np.ndarray, grad: Model |
         grad.classes += hidden.T @ power
         grad.class_bias += power.sum(axis=0)
         error = power @ model.classes.T
+    bounds = model.cuts.tolist()
     for c in range(model.n_classes):
-        own = slice(cuts[c], cuts[c + 1])
+        begin, end = bounds[c], bounds[c + 1]
         n = cuts[c + 1] - cuts[c]
-        if not n:
-            continue
-        logits = hidden[own] @ model.words[c] + model.word_bias[c]
-        chosen = logits[rows[:n], inside[own]]
+        if not n or end - begin == 1:
+            continue  # a class of one symbol leaves nothing to choose
+        own = slice(cuts[c], cuts[c + 1])
+        inside = symbols[own] - begin
+        logits = hidden[own] @ model.words[begin:end].T
+        logits += model.word_bias[begin:end]
+        chosen = logits[rows[:n], inside]
         power, total = shares(logits)
         logp[own] += chosen - np.log(total)
         if grad is not None:
             power /= total[:, None]
-            power[rows[:n], inside[own]] -= 1
-            grad.words[c] += hidden[own].T @ power
-            grad.word_bias[c] += power.sum(axis=0)
-            error[own] += power @ model.words[c].T
+            power[rows[:n], inside] -= 1
+            grad.words[begin:end] += power.T @ hidden[own]
+            grad.word_bias[begin:end] += power.sum(axis=0)
+            error[own] += power @ model.words[begin:end]
     back = np.empty_like(order)
     back[order] = rows
     return logp[back], None if error is None else error[back]
@@ -247,7 +275,8 @@ class Adam:
 
 def lanes(lengths: np.ndarray) -> list[list[int]]:
     """Documents dealt to lanes of similar length, the longest first."""
-    count = min(LANES, len(lengths))
+    fair = int(lengths.sum()) // LANE_TOKENS + 8
+    count = min(LANES, len(lengths), fair)
     found: list[list[int]] = [[] for _ in range(count)]
     order = np.argsort(-lengths, kind="stable")
     # back and forth over the lanes evens them out
@@ -284,13 +313,12 @@ def windows(symbols: np.ndarray, begin: np.ndarray):
 
 
 def train(model: Model, optimiser: Adam, symbols: np.ndarray, begin: np.ndarray) -> None:
-    state = None
+    state, grad = None, model.like(optimiser.gradient)
     for steps, fresh, owner in windows(symbols, begin):
         state = np.zeros((steps.shape[1], model.width), np.float32) if state is None else state[: steps.shape[1]]
         steps = steps.astype(np.int64)
         hidden, kept, state = forward(model, steps, fresh, state)
         real = owner.ravel() >= 0
-        grad = model.like(optimiser.gradient)
         errors = np.zeros((steps.size, model.width), np.float32)
         _, errors[real] = output(model, hidden.reshape(-1, model.width)[real], steps.ravel()[real], grad)
         backward(model, grad, steps, fresh, hidden, kept, errors.reshape(hidden.shape))
@@ -310,115 +338,227 @@ def score(model: Model, symbols: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return total
 
 
-class Coder:
-    """Symbols of words: frequent words by hash, the rest as one symbol; each text has an end."""
-
-    def __init__(self, frequent: np.ndarray):
-        self.order = np.argsort(frequent, kind="stable")
-        self.sorted = frequent[self.order]
-
-    def __call__(self, block: tx.Block, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.minimum(np.searchsorted(self.sorted, hashes), max(0, len(self.sorted) - 1))
-        known = self.sorted[at] == hashes if len(self.sorted) else np.zeros(len(hashes), bool)
-        symbol = np.where(known, self.order[at] + 2 if len(self.sorted) else RARE, RARE).astype(np.int32)
-        begin = block.first + np.arange(len(block) + 1)
-        out = np.full(begin[-1], END, np.int32)
-        out[np.arange(len(hashes)) + block.owners()] = symbol
-        return out, begin
-
-
-def gathered(blocks, words: int = 1_500_000):
-    """Lists of blocks with enough words to fill the lanes, or what is left."""
-    held, n = [], 0
-    for item in blocks:
-        held.append(item)
-        n += len(item[1].starts)
-        if n >= words:
-            yield held
-            held, n = [], 0
+def joined(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols of some texts one after the other, and where each begins."""
+    begin = np.cumsum([0, *map(len, parts)])
+    return np.concatenate(parts), begin
+
+
+def gathered(batches, words: int = 1_500_000):
+    """Rows and symbols of enough texts to fill the lanes, or of what is left."""
+    rows, held, n = [], [], 0
+    for batch in batches:
+        done = 0
+        for i, coded in enumerate(batch.column("symbols")):
+            held.append(np.frombuffer(coded.as_py(), "<u4").astype(np.int32))
+            n += len(held[-1])
+            if n >= words:
+                yield [*rows, batch.slice(done, i + 1 - done)], held
+                rows, held, n, done = [], [], 0, i + 1
+        if done < batch.num_rows:
+            rows.append(batch.slice(done))
     if held:
-        yield held
+        yield rows, held
+
 
+_WEIGHTS = "slice long, at binary, weights binary, seen binary, trainer long"
 
-def joined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    shift = np.cumsum([0, *(b[-1] for _, b in parts)])
-    begin = np.concatenate([[0], *(b[1:] + s for (_, b), s in zip(parts, shift))])
-    return np.concatenate([s for s, _ in parts]), begin
 
+def averaged(trained: DataFrame, trainers: int) -> DataFrame:
+    """Sums over trainers of weight changes times words seen, in steps of ``FAN`` trainers.
 
-def fitted(training: DataFrame, frequent: np.ndarray, counts: np.ndarray) -> Model:
-    """Weights after one pass over all training texts.
+    No task holds more than one slice's sums at a time for the slices it has.
+    """
+    def add_up(batches):
+        sums: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                total, seen = sums.setdefault(
+                    (row["slice"], row["trainer"]), (np.zeros((SLICE, PIECE), np.float32), np.zeros(SLICE)))
+                at = np.frombuffer(row["at"], "<i4")
+                own = np.frombuffer(row["seen"], np.float64)
+                weights = np.frombuffer(row["weights"], np.float16).reshape(-1, PIECE).astype(np.float32)
+                total[at] += weights * own.astype(np.float32)[:, None]
+                seen[at] += own
+        for (number, trainer), (total, seen) in sums.items():
+            at = np.flatnonzero(seen)
+            mean = (total[at] / seen[at].astype(np.float32)[:, None]).astype(np.float16)
+            yield {"slice": [number], "at": [at.astype("<i4").tobytes()], "weights": [mean.tobytes()],
+                   "seen": [seen[at].tobytes()], "trainer": [trainer]}
+
+    while True:
+        trainers = -(-trainers // FAN)
+        grouped = trained.withColumn("trainer", F.col("trainer") % trainers)
+        # in a fixed order, as sums of floats depend on it
+        placed = grouped.repartition("slice", "trainer").sortWithinPartitions(
+            "slice", "trainer", F.xxhash64("at", "weights"))
+        trained = arrow_map(placed, add_up, _WEIGHTS)
+        if trainers == 1:
+            return trained
+
+
+def fitted(training: DataFrame, cuts: np.ndarray, counts: np.ndarray, tokens: int) -> Model:
+    """Weights after one pass over all training texts in rows of ``deal, symbols``.
 
     Each trainer reads its share of the texts with truncated backpropagation, from the common
-    weights of the round. A piece of the weights becomes the average over the trainers that
-    moved it, by the words they saw. Trainers hand on only such pieces, and the averages are
-    made in tasks: one weight vector comes to the driver, however many trainers there are.
+    weights of the round. A piece of the weights moves by the average over the trainers that
+    moved it, by the words they saw. Trainers hand on only such pieces, as half-precision
+    differences, and the averages are made in tasks: one vector of differences comes to the
+    driver, however many trainers there are.
     """
-    model = Model.sized(len(frequent))
+    model = Model(cuts)
     model.start_from(counts)
-    spark = training.sparkSession
-    classes, width, size = model.n_classes, model.width, len(model.vector)
+    spark, size, width = training.sparkSession, len(model.vector), model.width
+    trainers = max(1, round(4 * (tokens / TRAINER_TOKENS) ** 0.5))
     for turn in range(ROUNDS):
-        shared = spark.sparkContext.broadcast((frequent, model.vector))
+        shared = spark.sparkContext.broadcast((cuts, model.vector))
 
         def run(batches):
-            known, start = shared.value
-            own, optimiser, coder = Model(classes, width, start.copy()), Adam(size), Coder(known)
+            bounds, start = shared.value
+            own, optimiser = Model(bounds, width, start.copy()), Adam(size)
             optimiser.step = 60 * turn
             seen = 0
-            for group in gathered(tx.blocks(batches, fold=True)):
-                symbols, begin = joined([coder(b, b.hashes()) for _, b in group])
+            for _, held in gathered(batches):
+                symbols, begin = joined(held)
                 seen += len(symbols)
                 train(own, optimiser, symbols, begin)
             moved = np.flatnonzero(optimiser.steps)
-            pieces = own.vector.reshape(-1, PIECE)
-            cuts = np.flatnonzero(np.diff(moved // SLICE)) + 1
-            for at in np.split(moved, cuts) if len(moved) else ():
+            changes = (own.vector - start).reshape(-1, PIECE)
+            parts = np.flatnonzero(np.diff(moved // SLICE)) + 1
+            for at in np.split(moved, parts) if len(moved) else ():
                 yield {"slice": [at[0] // SLICE], "at": [(at % SLICE).astype("<i4").tobytes()],
-                       "weights": [pieces[at].tobytes()], "seen": [seen]}
-
-        def average(batches):
-            sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-            for batch in batches:
-                for row in batch.to_pylist():
-                    total, seen = sums.setdefault(
-                        row["slice"], (np.zeros((SLICE, PIECE)), np.zeros(SLICE)))
-                    at = np.frombuffer(row["at"], "<i4")
-                    weights = np.frombuffer(row["weights"], np.float32).reshape(-1, PIECE)
-                    total[at] += weights * float(row["seen"])
-                    seen[at] += row["seen"]
-            for number, (total, seen) in sums.items():
-                at = np.flatnonzero(seen)
-                yield {"slice": [number], "at": [at.astype("<i4").tobytes()],
-                       "weights": [(total[at] / seen[at][:, None]).astype(np.float32).tobytes()],
-                       "seen": [0]}
-
-        part = training.where(F.pmod(F.xxhash64("text", "doc_id"), F.lit(ROUNDS)) == turn)
-        kinds = "slice long, at binary, weights binary, seen long"
-        trained = arrow_map(part.select("text").coalesce(TRAINERS), run, kinds)
-        found = arrow_map(trained.repartition("slice"), average, kinds)
+                       "weights": [changes[at].astype(np.float16).tobytes()],
+                       "seen": [np.full(len(at), float(seen)).tobytes()],
+                       "trainer": [TaskContext.get().partitionId()]}
+
+        part = training.where(F.pmod("deal", F.lit(ROUNDS)) == turn)
+        dealt = part.repartition(trainers, "deal").sortWithinPartitions("deal").select("symbols")
         vector = model.vector.copy()
         pieces = vector.reshape(-1, PIECE)
-        for row in found.toLocalIterator():
+        for row in averaged(arrow_map(dealt, run, _WEIGHTS), trainers).toLocalIterator():
             at = np.frombuffer(row["at"], "<i4") + row["slice"] * SLICE
-            pieces[at] = np.frombuffer(row["weights"], np.float32).reshape(-1, PIECE)
+            pieces[at] += np.frombuffer(row["weights"], np.float16).reshape(-1, PIECE)
         model = model.like(vector)
         shared.unpersist()
     return model
 
 
-def vocabulary(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Words that are symbols of their own and their counts, the most frequent first.
+def vocabulary_size(tokens: int) -> int:
+    return int(VOCABULARY * tokens**POWER)
+
+
+def _level() -> Column:
+    return F.floor(F.log2("n") * LEVELS)
+
 
-    Every word of ``MIN_COUNT`` occurrences or more, and in a small corpus as many rarer ones as
-    the smallest network holds. They and the weights are held by the driver and every task.
+def least_counts(counts: DataFrame, *sizes: int) -> list[int]:
+    """For each size the level of counts from which at most so many words are left.
+
+    A level holds counts that differ by a few percent; there are a few hundred levels. A level
+    that no count reaches stands for no words.
+    """
+    levels = sorted(
+        counts.groupBy(_level().alias("level")).agg(F.count("word").alias("words")).collect(),
+        key=lambda r: -r["level"])
+    found = []
+    for size in sizes:
+        reach, least = 0, levels[0]["level"] + 1 if levels else 1
+        for r in levels:
+            reach += r["words"]
+            if reach > size:
+                break
+            least = r["level"]
+        found.append(least)
+    return found
+
+
+class Vocabulary:
+    """Symbols and counts of the words that tasks hold.
+
+    ``words`` (sorted hashes) have ``counts``, and ``symbols`` if they are in the vocabulary
+    (else -1). ``rare`` are the symbols of the rare words, ``rare_logs`` the log10 of what their
+    counts are shares of. Symbols are numbered by count, the most frequent first.
     """
-    often = counts.where(F.col("n") >= MIN_COUNT).toArrow()
-    if often.num_rows < SYMBOLS - 2:
-        often = counts.orderBy(F.desc("n"), "word").limit(SYMBOLS - 2).toArrow()
-    words, n = (often.column(c).to_numpy().astype(np.int64) for c in ("word", "n"))
-    order = np.lexsort((words, -n))
-    return words[order].view(np.uint64), n[order]
+
+    def __init__(self, counts: DataFrame, tokens: int, ends: int):
+        own, shared = least_counts(counts, vocabulary_size(tokens), LOOKUP_WORDS)
+        self.held = min(own, shared)  # level from which words are held by tasks
+        rare = max(LEAST_RARE, vocabulary_size(tokens) // RARE_SHARE)
+        level = _level()
+        table = counts.where(level >= self.held).select("word", "n", (level >= own).alias("own")).toArrow()
+        words, n, frequent = (table.column(c).to_numpy() for c in ("word", "n", "own"))
+        order = np.argsort(words.view(np.uint64))
+        self.words, self.counts, frequent = words.view(np.uint64)[order], n[order], frequent[order]
+        sums = np.zeros((rare, 2))
+        for r in counts.where(level < own).groupBy((F.col("ending") % rare).alias("rare")).agg(
+                F.sum("n").alias("n"), F.count("word").alias("words")).collect():
+            sums[r["rare"]] = r["n"], r["words"]
+        self.rare_logs = np.log10(sums[:, 0] + 0.5 * (sums[:, 1] + 1))
+        found = np.flatnonzero(frequent)
+        weights = np.concatenate([[ends], sums[:, 0], self.counts[found]]).astype(float)
+        # the end is symbol 0 and a class of its own
+        rank = np.concatenate([[0], 1 + np.argsort(-weights[1:], kind="stable")])
+        number = np.empty(len(rank), np.int32)
+        number[rank] = np.arange(len(rank), dtype=np.int32)
+        self.rare = number[1: 1 + rare]
+        self.symbols = np.full(len(self.words), -1, np.int32)
+        self.symbols[found] = number[1 + rare:]
+        self.weights = weights[rank]
+        self.cuts = np.concatenate([[0], 1 + class_cuts(self.weights[1:])])
+
+    def coded(self, hashes: np.ndarray, tails: np.ndarray):
+        """Of each word: symbol, whether it is rare, and its count or -1 if tasks don't hold it."""
+        if not len(self.words):
+            return self.rare[tails % len(self.rare)], np.ones(len(hashes), bool), np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+        known = self.words[at] == hashes
+        symbol = np.where(known, self.symbols[at], -1)
+        rare = symbol < 0
+        return np.where(rare, self.rare[tails % len(self.rare)], symbol), rare, np.where(known, self.counts[at], -1)
+
+
+def coded(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Symbols and count sums of each row, and the words whose counts a join must find."""
+    shared = rows.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def run(batches):
+        part, number = TaskContext.get().partitionId(), 0
+        for rows_, block in tx.blocks(batches, fold=True):
+            held, size = shared.value, len(block)
+            hashes, tails, owner = block.hashes(), endings(block), block.owners()
+            symbol, rare, n = held.coded(hashes, tails)
+            known = n >= 0
+            logs = np.log10(np.maximum(n, 0) + 0.5)
+            begin = block.first + np.arange(size + 1)
+            text = np.full(begin[-1], END, "<u4")
+            text[np.arange(len(hashes)) + owner] = symbol
+            key = (part << 33) + number + np.arange(size)
+            number += size
+            # words beyond the shared counts are looked up by a join, once per text
+            open_ = np.flatnonzero(~known)
+            pair = tx.mix(hashes[open_] ^ tx.mix(owner[open_].astype(np.uint64)))
+            _, first, repeat = np.unique(pair, return_index=True, return_counts=True)
+            first = open_[first]
+            where = np.argsort(owner[first], kind="stable")
+            cuts = np.searchsorted(owner[first][where], np.arange(size + 1))
+            looked, often = hashes[first][where].view(np.int64), repeat[where]
+            yield {
+                "doc_id": rows_.column("doc_id"), "held_out": rows_.column("held_out"),
+                "_key": key, "n_tokens": block.counts + 1,
+                "_known": np.bincount(owner[known], minlength=size),
+                "_logs": np.bincount(owner[known], logs[known], size),
+                "_rare_logs": np.bincount(owner[known & rare], logs[known & rare], size)
+                - np.bincount(owner[rare], held.rare_logs[tails[rare] % len(held.rare)], size),
+                "_rare": np.bincount(owner[rare], minlength=size),
+                "_words": [looked[a:b] for a, b in zip(cuts[:-1], cuts[1:])],
+                "_times": [often[a:b] for a, b in zip(cuts[:-1], cuts[1:])],
+                "symbols": [text[a:b].tobytes() for a, b in zip(begin[:-1], begin[1:])]}
+
+    found = arrow_map(
+        rows, run, "doc_id long, held_out boolean, _key long, n_tokens long, _known long, "
+        "_logs double, _rare_logs double, _rare long, _words array<long>, _times array<long>, "
+        "symbols binary")
+    return materialize(found.withColumn("deal", F.xxhash64("doc_id", "symbols")), "coded")
 
 
 def rate(docs: DataFrame) -> DataFrame:
@@ -427,99 +567,52 @@ def rate(docs: DataFrame) -> DataFrame:
     Held out are rows whose id's text has a crc32 of 1 modulo 5 (a null id counts as an empty
     text). Words are lower-cased in A-Z and told apart by 64-bit hashes; every text ends in one
     end token, and a null or empty text is that token alone. ``base_score`` is the add-half
-    unigram log10 probability, ``score`` the network's. Repeated rows are scored alike; without
-    training rows both fall back to equal shares of one unknown word. An empty table gives no
-    rows.
+    unigram log10 probability, ``score`` the network's; ``n_rare`` counts words that share a
+    symbol with others. Repeated rows are scored alike; without training rows both fall back to
+    equal shares of one unknown word. An empty table gives no rows.
     """
-    rows = docs.select("doc_id", "text").withColumn("held_out", held_out())
+    rows = spread(docs.select("doc_id", "text")).withColumn("held_out", held_out())
     training = rows.where("not held_out")
     counts = materialize(word_counts(training), "word-counts")
     ends = training.count()
     summary = counts.agg(F.count("word"), F.sum("n")).first()
     distinct, tokens = summary[0] + (ends > 0), (summary[1] or 0) + ends
-    frequent, often = vocabulary(counts)
-    rare_tokens = tokens - ends - int(often.sum())
-    rare_words = distinct - (ends > 0) - len(frequent)
-    model = fitted(training, frequent, np.concatenate([[ends, rare_tokens], often]).astype(float))
-
-    # counts so high that at most LOOKUP_WORDS words reach them go to every task
-    steps = counts.groupBy(F.least("n", F.lit(4096)).alias("n")).agg(F.count("word").alias("words"))
-    reach, least = 0, 4097
-    for r in sorted(steps.collect(), key=lambda r: -r["n"]):
-        if reach + r["words"] > LOOKUP_WORDS:
-            break
-        reach, least = reach + r["words"], r["n"]
-    common = counts.where(F.col("n") >= least).toArrow()
-    common_words = common.column("word").to_numpy().view(np.uint64)
-    order = np.argsort(common_words)
-    common_words, common_counts = common_words[order], common.column("n").to_numpy()[order].astype(np.int32)
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((common_words, common_counts, frequent, model.vector))
-    classes, width = model.n_classes, model.width
+    vocabulary = Vocabulary(counts, tokens, ends)
+    texts = coded(rows, vocabulary)
+    model = fitted(
+        texts.where("not held_out").select("deal", "symbols"), vocabulary.cuts, vocabulary.weights, tokens)
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary.cuts, model.vector))
+    width = model.width
 
     def run(batches):
-        words, times, symbols_of, vector = shared.value
-        own, coder = Model(classes, width, vector), Coder(symbols_of)
-        part, number = TaskContext.get().partitionId(), 0
-        for group in gathered(tx.blocks(batches, fold=True)):
-            coded, out = [], []
-            for rows_, block in group:
-                hashes = block.hashes()
-                symbols, begin = coder(block, hashes)
-                coded.append((symbols, begin))
-                at = np.minimum(np.searchsorted(words, hashes), max(0, len(words) - 1))
-                known = words[at] == hashes if len(words) else np.zeros(len(hashes), bool)
-                n = np.where(known, times[at] if len(words) else 0, 0)
-                owner = block.owners()
-                rare = symbols[np.arange(len(hashes)) + owner] == RARE
-                logs = np.log10(n + 0.5)
-                key = (part << 33) + number + np.arange(len(block))
-                number += len(block)
-                # words beyond the shared counts are looked up by a join, once per text
-                open_ = np.flatnonzero(~known)
-                pair = tx.mix(hashes[open_] ^ tx.mix(owner[open_].astype(np.uint64)))
-                _, first, repeat = np.unique(pair, return_index=True, return_counts=True)
-                first = open_[first]
-                where = np.argsort(owner[first], kind="stable")
-                cuts = np.searchsorted(owner[first][where], np.arange(len(block) + 1))
-                looked, often = hashes[first][where].view(np.int64), repeat[where]
-                size = len(block)
-                out.append({
-                    "doc_id": rows_.column("doc_id"), "held_out": rows_.column("held_out"),
-                    "_key": key, "n_tokens": block.counts + 1,
-                    "_known": np.bincount(owner[known], minlength=size),
-                    "_logs": np.bincount(owner[known], logs[known], size),
-                    "_rare": np.bincount(owner[rare], minlength=size),
-                    "_rare_logs": np.bincount(owner[known & rare], logs[known & rare], size),
-                    "_words": [looked[a:b] for a, b in zip(cuts[:-1], cuts[1:])],
-                    "_times": [often[a:b] for a, b in zip(cuts[:-1], cuts[1:])]})
-            logp = score(own, *joined(coded))
-            done = 0
-            for columns in out:
-                n = len(columns["_key"])
-                yield columns | {"_network": logp[done: done + n]}
-                done += n
-
-    partial = materialize(arrow_map(
-        rows, run, "doc_id long, held_out boolean, _key long, n_tokens long, _known long, "
-        "_logs double, _rare long, _rare_logs double, _words array<long>, _times array<long>, "
-        "_network double"), "partial-scores")
-    pairs = partial.select("_key", F.explode(F.arrays_zip("_words", "_times")).alias("p")).select(
+        cuts, vector = shared.value
+        own = Model(cuts, width, vector)
+        for parts, held in gathered(batches):
+            logp, done = score(own, *joined(held)), 0
+            for part in parts:
+                yield {c: part.column(c) for c in part.schema.names if c != "symbols"} | {
+                    "_network": logp[done: done + part.num_rows]}
+                done += part.num_rows
+
+    scored = arrow_map(
+        texts.drop("_words", "_times", "deal"), run,
+        "doc_id long, held_out boolean, _key long, n_tokens long, _known long, _logs double, "
+        "_rare_logs double, _rare long, _network double")
+    pairs = texts.select("_key", F.explode(F.arrays_zip("_words", "_times")).alias("p")).select(
         "_key", F.col("p._words").alias("word"), F.col("p._times").alias("times"))
-    tail = counts.where(F.col("n") < least).withColumnRenamed("n", "c")
+    tail = counts.where(_level() < vocabulary.held).select("word", F.col("n").alias("c"))
     c = F.coalesce("c", F.lit(0))
     looked = pairs.join(tail, "word", "left").groupBy("_key").agg(
         F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("_more_known"),
         F.sum(F.col("times") * F.log10(c + 0.5)).alias("_more_logs"))
     whole = float(np.log10(tokens + 0.5 * (distinct + 1)))
-    rare_whole = float(np.log10(rare_tokens + 0.5 * (rare_words + 1)))
     end = float(np.log10(ends + 0.5))
     more_known = F.coalesce("_more_known", F.lit(0))
     more_logs = F.coalesce("_more_logs", F.lit(0.0))
-    return partial.drop("_words", "_times").join(looked, "_key", "left").select(
+    return scored.join(looked, "_key", "left").select(
         "doc_id", "held_out", "n_tokens",
         (F.col("_known") + more_known + int(ends > 0)).alias("n_known"),
         F.lit(int(tokens)).cast("bigint").alias("train_tokens"),
         (F.col("_logs") + more_logs + end - F.col("n_tokens") * whole).alias("base_score"),
-        (F.col("_network") / float(np.log(10)) + F.col("_rare_logs") + more_logs
-         - F.col("_rare") * rare_whole).alias("score"))
+        (F.col("_network") / float(np.log(10)) + F.col("_rare_logs") + more_logs).alias("score"),
+        F.col("_rare").alias("n_rare"))

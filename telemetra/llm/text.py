@@ -8,6 +8,7 @@ are, so memory is bounded by the block or by one longest text.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -90,8 +91,13 @@ class Block:
         """Text number of each word."""
         return np.repeat(np.arange(len(self)), self.counts)
 
+    @cached_property
+    def runs(self) -> RunHashes:
+        """Hashes of any run of the bytes."""
+        return RunHashes(self.data.astype(np.uint64) + np.uint64(1))
+
     def hashes(self) -> np.ndarray:
-        return RunHashes(self.data.astype(np.uint64) + np.uint64(1)).between(self.starts, self.ends)
+        return self.runs.between(self.starts, self.ends)
 
     def word(self, i: int) -> bytes:
         return self.data[self.starts[i]: self.ends[i]].tobytes()

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tests.llm import brute
@@ -275,16 +276,42 @@ def test_scores(docs):
     assert all(r.score < 0 for r in got)
 
 
+def small_model(symbols=90, seed=6):
+    model = recurrent.Model(np.concatenate([[0], 1 + recurrent.class_cuts(1000.0 / np.arange(1, symbols))]))
+    model.vector[:] = np.random.default_rng(seed).normal(size=len(model.vector)) * 0.3
+    return model
+
+
+def plain_score(model, symbols):
+    """Log-probability of one text, symbol by symbol in doubles."""
+    def squash(x):
+        return 1 / (1 + np.exp(-x))
+
+    h, w = model.width, {k: getattr(model, k).astype(float) for k in (
+        "enter", "recur", "bias", "classes", "class_bias", "word_bias", "inputs", "words")}
+    state, total = np.zeros(h), 0.0
+    for s in symbols:
+        c = int(model.class_of[s])
+        begin, end = model.cuts[c], model.cuts[c + 1]
+        logits = state @ w["classes"] + w["class_bias"]
+        total += logits[c] - np.log(np.exp(logits).sum())
+        logits = w["words"][begin:end] @ state + w["word_bias"][begin:end]
+        total += logits[s - begin] - np.log(np.exp(logits).sum())
+        driven = w["inputs"][s] @ w["enter"] + w["bias"]
+        gates = squash(state @ w["recur"][:, : 2 * h] + driven[: 2 * h])
+        new = np.tanh((gates[:h] * state) @ w["recur"][:, 2 * h:] + driven[2 * h:])
+        state = state + gates[h:] * (new - state)
+    return total
+
+
 def test_network_gradient_and_carried_state():
-    random = np.random.default_rng(6)
-    model = recurrent.Model()
-    model.vector[:] = random.normal(size=len(model.vector)) * 0.3
-    symbols = random.integers(0, 40, 60).astype(np.int16)
+    random, model = np.random.default_rng(6), small_model()
+    symbols = random.integers(0, 80, 60).astype(np.int32)
     begin = np.array([0, 25, 26, 60])
-    apart = [recurrent.score(model, symbols[a:b], np.array([0, b - a]))[0] for a, b in zip(begin[:-1], begin[1:])]
+    apart = [plain_score(model, symbols[a:b]) for a, b in zip(begin[:-1], begin[1:])]
     assert recurrent.score(model, symbols, begin) == pytest.approx(apart, rel=1e-4)
 
-    steps = np.array([[1, 2], [3, 4], [5, 6], [7, 8]])
+    steps = np.array([[1, 2], [30, 4], [5, 60], [7, 88]])
     fresh = np.array([[1, 1], [0, 0], [0, 1], [0, 0]], bool)
     zero = np.zeros((2, recurrent.HIDDEN), np.float32)
 
@@ -306,25 +333,93 @@ def test_network_gradient_and_carried_state():
 def test_training_beats_the_unigram():
     random = np.random.default_rng(7)
     symbols = np.concatenate([
-        np.append(np.tile([3, 9, 27, 40], 30) + random.integers(0, 2), 0) for _ in range(400)]).astype(np.int16)
+        np.append(np.tile([3, 9, 27, 40], 30) + random.integers(0, 2), 0) for _ in range(400)]).astype(np.int32)
     begin = np.concatenate([[0], np.flatnonzero(symbols == 0) + 1])
-    model, optimiser = recurrent.Model(), recurrent.Adam(len(recurrent.Model().vector))
-    for _ in range(32):
+    model = recurrent.Model(np.concatenate([[0], 1 + recurrent.class_cuts(np.ones(60))]))
+    optimiser = recurrent.Adam(len(model.vector))
+    for _ in range(12):
         recurrent.train(model, optimiser, symbols, begin)
     share = np.bincount(symbols) / len(symbols)
     unigram = float(np.log(share[symbols]).sum())
     assert recurrent.score(model, symbols, begin).sum() > 0.7 * unigram
 
 
+def test_score_equals_a_plain_pass_over_words(spark, monkeypatch):
+    """Frequent and rare words, words that only a join finds, and words never seen."""
+    monkeypatch.setattr(recurrent, "VOCABULARY", 2)
+    monkeypatch.setattr(recurrent, "LOOKUP_WORDS", 60)
+    random = np.random.default_rng(9)
+    words = [f"w{i}x{'aeiou'[i % 5]}" for i in range(400)]
+    rows = [(i, " ".join(random.choice(words, 60, p=np.arange(400, 0, -1) / 80200))) for i in range(60)]
+    rows += [(500 + i, t) for i, t in enumerate(["", None, "Never W0XA seen é", "w399xe " * 700])]
+    kept = {}
+    fit = recurrent.fitted
+
+    def watched(training, cuts, counts, tokens):
+        kept["model"] = fit(training, cuts, counts, tokens)
+        return kept["model"]
+
+    code = recurrent.coded
+
+    def listened(rows_, vocabulary):
+        kept["vocabulary"] = vocabulary
+        return code(rows_, vocabulary)
+
+    monkeypatch.setattr(recurrent, "fitted", watched)
+    monkeypatch.setattr(recurrent, "coded", listened)
+    got = {r.doc_id: r for r in recurrent.rate(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    model, vocabulary = kept["model"], kept["vocabulary"]
+
+    def tokens(text):
+        return [w.lower() for w in (text or "").encode().split()]
+
+    counts = Counter(w for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1 for w in tokens(t))
+    block = tx.Block(pa.array([" ".join(w.decode() for w in counts)]))
+    symbol, rare, held = vocabulary.coded(block.hashes(), recurrent.endings(block))
+    known = {block.word(i): (int(symbol[i]), bool(rare[i])) for i in range(len(symbol))}
+    assert 0 < rare.sum() < len(rare) and (held < 0).any()
+    groups = {}
+    for w, (s, is_rare) in known.items():
+        if is_rare:
+            n, v = groups.get(s, (0, 0))
+            groups[s] = n + counts[w], v + 1
+    for i, text in rows:
+        own, total, n_rare = [], 0.0, 0
+        for w in tokens(text):
+            if w not in known:
+                fresh_block = tx.Block(pa.array([w.decode()]))
+                known[w] = int(vocabulary.coded(fresh_block.hashes(), recurrent.endings(fresh_block))[0][0]), True
+            s, is_rare = known[w]
+            own.append(s)
+            if is_rare:
+                n, v = groups.get(s, (0, 0))
+                total += np.log10((counts[w] + 0.5) / (n + 0.5 * (v + 1)))
+                n_rare += 1
+        total += plain_score(model, [*own, recurrent.END]) / np.log(10)
+        assert got[i].score == pytest.approx(total, rel=1e-3) and got[i].n_rare == n_rare
+
+
 def test_vocabulary_grows_with_the_corpus(spark):
     words = [f"w{i}" for i in range(3000)]
     few = spark.createDataFrame([(" ".join(words[:40]),)] * 6, "text string")
-    many = spark.createDataFrame([(" ".join(words) + f" once{i}",) for i in range(6)], "text string")
-    assert len(recurrent.vocabulary(recurrent.word_counts(few))[0]) == 40
-    found, n = recurrent.vocabulary(recurrent.word_counts(many))
-    assert len(found) == 3000 and (n == 6).all()
-    model = recurrent.Model.sized(len(found))
-    assert model.n_classes**2 >= 3002 and model.width > recurrent.HIDDEN
+    many = spark.createDataFrame([(" ".join(words[: 3000 // (i + 1)]),) for i in range(12)], "text string")
+    sizes = []
+    for docs, tokens in ((few, 246), (many, 9300)):
+        found = recurrent.Vocabulary(recurrent.word_counts(docs), tokens, 6)
+        own = int((found.symbols >= 0).sum())
+        assert own <= recurrent.vocabulary_size(tokens)
+        assert len(found.weights) == 1 + len(found.rare) + own == found.cuts[-1]
+        assert (np.diff(found.weights[1:]) <= 0).all() and found.cuts[1] == 1
+        sizes.append(own)
+    assert sizes[0] == 40 and sizes[1] > 300
+    assert recurrent.vocabulary_size(10**10) > 10 * recurrent.vocabulary_size(10**7)
+
+
+def test_classes_met_often_are_small():
+    cuts = recurrent.class_cuts(1e6 / np.arange(1, 20_001))
+    sizes = np.diff(cuts)
+    share = np.add.reduceat(1 / np.arange(1, 20_001), cuts[:-1])
+    assert sizes.sum() == 20_000 and sizes[0] == 1 and (share / share.sum() * sizes).sum() < 150
 
 
 def test_near_vectors(spark):
