@@ -6,6 +6,7 @@ from pyspark.sql import Window, functions as F
 
 from telemetra.catalog.registry import query, rounded, sql
 from telemetra.functions.columns import rule_score
+from telemetra.operators import boosting
 from telemetra.operators.sampling import random_split as split_rows
 from telemetra.plans import gold, learning
 from telemetra.session import scratch_path
@@ -223,6 +224,84 @@ def model_score(spark, folder):
     )
 
 
+_FIRST_SPLITS = """
+    SELECT abnormal_channel AS class, unnest([
+             {'i': 0, 'f': 'avg_energy', 'x': avg_energy}, {'i': 1, 'f': 'std_energy', 'x': std_energy},
+             {'i': 2, 'f': 'std_channel_k', 'x': std_channel_k},
+             {'i': 3, 'f': 'ts_hour', 'x': CAST(hour(bucket) AS DOUBLE)},
+             {'i': 4, 'f': 'ts_dayofweek', 'x': CAST(isodow(bucket) - 1 AS DOUBLE)},
+             {'i': 5, 'f': 'ts_month', 'x': CAST(month(bucket) AS DOUBLE)},
+             {'i': 6, 'f': 'ts_is_weekend', 'x': CAST(isodow(bucket) >= 6 AS DOUBLE)},
+             {'i': 7, 'f': 'ts_quarter', 'x': CAST(quarter(bucket) AS DOUBLE)},
+             {'i': 8, 'f': 'location', 'x': CAST(dense_rank() OVER (ORDER BY location) - 1 AS DOUBLE)},
+             {'i': 9, 'f': 'model', 'x': CAST(dense_rank() OVER (ORDER BY model) - 1 AS DOUBLE)},
+             {'i': 10, 'f': 'country', 'x': CAST(dense_rank() OVER (ORDER BY country) - 1 AS DOUBLE)}]) AS v
+    FROM parted WHERE split = 'train'"""
+_EDGES = """
+    SELECT DISTINCT i, f, unnest(q) AS edge FROM (
+      SELECT v.i AS i, v.f AS f,
+             quantile_disc(v.x, list_transform(range(1, 255), lambda k: k / 256.0)) AS q
+      FROM long GROUP BY ALL)"""
+
+
+@query(
+    "gbt_first_splits",
+    sql(
+        """
+        SELECT class, f AS feature, round(edge, 6) AS largest_left, round(gain, 6) AS gain FROM (
+          SELECT class, i, f, edge, round(
+              power(p * nl - yl, 2) / (p * (1 - p) * nl + 1)
+              + power(p * (n - nl) - (y - yl), 2) / (p * (1 - p) * (n - nl) + 1)
+              - power(p * n - y, 2) / (p * (1 - p) * n + 1), 9) AS gain
+          FROM sums JOIN (SELECT class, y, n, y / n AS p FROM
+              (SELECT abnormal_channel AS class, count(*) AS y FROM parted WHERE split = 'train' GROUP BY 1),
+              (SELECT count(*) AS n FROM parted WHERE split = 'train')) USING (class))
+        WHERE gain > 1e-9
+        QUALIFY row_number() OVER (PARTITION BY class ORDER BY gain DESC, i, edge) = 1""",
+        "features", parted=_SPLIT, long=_FIRST_SPLITS, edges=_EDGES,
+        sums="""
+        SELECT c.class, e.i, e.f, e.edge, count(*) AS nl, count(*) FILTER (l.class = c.class) AS yl
+        FROM edges e JOIN long l ON l.v.i = e.i AND l.v.x <= e.edge,
+             (SELECT DISTINCT class FROM long) c GROUP BY ALL""",
+    ),
+)
+def gbt_first_splits(spark, folder):
+    """The root split of each class's first tree, from one pass of histogram sums."""
+    train, _ = parted(spark, folder)
+    model = learning.train_boosted(train, {**learning.BOOSTING, "n_estimators": 1, "max_depth": 1, "subsample": 1.0})
+    return rounded(spark.createDataFrame(
+        boosting.first_splits(model), "class string, feature string, largest_left double, gain double"))
+
+
+@query("model_metrics")
+def model_metrics(spark, folder):
+    """Accuracy, weighted F1 and weighted AUC of the fully trained boosted model."""
+    train, test = parted(spark, folder)
+    return learning.model_metrics(learning.train_boosted(train), test)
+
+
+@query(
+    "model_signature",
+    sql("SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS differing FROM features", "features"),
+)
+def model_signature(spark, folder):
+    """A stored model finds its inputs by name: shuffled and extra columns change no label."""
+    train, _ = parted(spark, folder)
+    path = scratch_path(spark, "boosted")
+    few = {**learning.BOOSTING, "n_estimators": 20}
+    learning.store_model(learning.train_boosted(train, few), path)
+    model = learning.load_boosted(spark, path)
+    timed = learning.with_time_features(features_of(spark, folder))
+    plain = learning.score_with(model, timed.select("asset_id", "bucket", *learning.model_inputs(model)))
+    turned = timed.select(
+        F.lit("x").alias("predicted"), *reversed(timed.columns), F.lit(1.5).alias("probabilities"))
+    other = learning.score_with(model, turned, "other").select("asset_id", "bucket", "other")
+    both = plain.select("asset_id", "bucket", "prediction").join(other, ["asset_id", "bucket"])
+    return both.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_if(~F.col("prediction").eqNullSafe(F.col("other"))).alias("differing"))
+
+
 @query("param_search")
 def param_search(spark, folder):
     train, test = parted(spark, folder)

@@ -4,18 +4,18 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import (
     IndexToString, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler,
 )
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from telemetra.functions.columns import time_features
+from telemetra.operators import boosting
 from telemetra.operators.ordering import global_row_number, running_total
+from telemetra.session import materialize
 
 LABEL = "abnormal_channel"
 TEXT_FEATURES = ("location", "model", "country")
@@ -27,7 +27,6 @@ NUMBER_FEATURES = (
 # Learner settings and search space.
 BOOSTING = {"n_estimators": 200, "max_depth": 5, "learning_rate": 0.1, "subsample": 0.8}
 SEED = 42
-SIDE_BY_SIDE = 4  # trials of a search that are fitted at the same time
 SEARCH_SPACE = {
     "n_estimators": [50, 100, 150, 200],
     "max_depth": [3, 5, 7],
@@ -97,17 +96,17 @@ def _learned(train: DataFrame, learner) -> PipelineModel:
     return Pipeline(stages=[labels, texts, plain, features, learner, names]).fit(train)
 
 
-def train_boosted(train: DataFrame, params: Mapping[str, float] = BOOSTING) -> PipelineModel:
-    """Gradient-boosted trees, one binary model per class."""
-    trees = GBTClassifier(
-        maxIter=int(params["n_estimators"]), maxDepth=int(params["max_depth"]),
-        stepSize=float(params["learning_rate"]), subsamplingRate=float(params["subsample"]),
-        seed=SEED,
-    )
-    one_by_class = OneVsRest(
-        classifier=trees, labelCol="label", featuresCol="features", parallelism=4
-    )
-    return _learned(train, one_by_class)
+def trial_of(params: Mapping[str, float]) -> boosting.Trial:
+    return boosting.Trial(
+        int(params["n_estimators"]), int(params["max_depth"]),
+        float(params["learning_rate"]), float(params["subsample"]))
+
+
+def train_boosted(
+    train: DataFrame, params: Mapping[str, float] = BOOSTING
+) -> boosting.BoostedModel:
+    """Gradient-boosted trees for all classes together."""
+    return boosting.fit(train, NUMBER_FEATURES, TEXT_FEATURES, LABEL, [trial_of(params)])[0]
 
 
 def train_forest(train: DataFrame, trees: int = 100) -> PipelineModel:
@@ -116,16 +115,28 @@ def train_forest(train: DataFrame, trees: int = 100) -> PipelineModel:
     return _learned(filled, RandomForestClassifier(numTrees=trees, seed=SEED))
 
 
-def store_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+Model = PipelineModel | boosting.BoostedModel
+
+
+def store_model(model: Model, path: str, spark: SparkSession | None = None) -> None:
+    if isinstance(model, boosting.BoostedModel):
+        model.store(spark or SparkSession.active(), path)
+    else:
+        model.write().overwrite().save(path)
 
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def model_inputs(model: PipelineModel) -> list[str]:
+def load_boosted(spark: SparkSession, path: str) -> boosting.BoostedModel:
+    return boosting.BoostedModel.load(spark, path)
+
+
+def model_inputs(model: Model) -> list[str]:
     """Columns a stored model needs, read from its own stages."""
+    if isinstance(model, boosting.BoostedModel):
+        return model.binning.features
     needed: list[str] = []
     made: set[str] = set()
     for stage in model.stages:
@@ -137,7 +148,7 @@ def model_inputs(model: PipelineModel) -> list[str]:
     return needed
 
 
-def score_with(model: PipelineModel, features: DataFrame, name: str = "prediction") -> DataFrame:
+def score_with(model: Model, features: DataFrame, name: str = "prediction") -> DataFrame:
     """The given columns plus the predicted class; only the model's inputs are read for it."""
     keep = [c for c in features.columns if c != name]
     return model.transform(features).select(*keep, F.col("predicted").alias(name))
@@ -148,26 +159,31 @@ def score_with(model: PipelineModel, features: DataFrame, name: str = "predictio
 
 def score_metrics(scored: DataFrame, label: str, predicted: str) -> DataFrame:
     """Accuracy and support-weighted F1 from the confusion counts."""
-    cells = scored.groupBy(F.col(label).alias("_t"), F.col(predicted).alias("_p")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
+    return cell_metrics(scored.groupBy(F.col(label).alias("truth"), F.col(predicted).alias("guess")).agg(
+        F.count(F.lit(1)).alias("n")))
+
+
+def cell_metrics(cells: DataFrame, *by: str) -> DataFrame:
+    """Accuracy and support-weighted F1 of counts ``truth, guess, n``, for each value of ``by``."""
     # one row per class: as truth, as prediction, as both
+    none = F.lit(0).cast("bigint")
+    hit = F.when(F.col("truth") == F.col("guess"), F.col("n")).otherwise(none)
     sides = cells.select(
+        *by,
         F.explode(
             F.array(
-                F.struct(F.col("_t").alias("c"), F.col("_n").alias("truth"),
-                         F.lit(0).cast("bigint").alias("guess"),
-                         F.when(F.col("_t") == F.col("_p"), F.col("_n")).otherwise(0).alias("hit")),
-                F.struct(F.col("_p").alias("c"), F.lit(0).cast("bigint").alias("truth"),
-                         F.col("_n").alias("guess"), F.lit(0).cast("bigint").alias("hit")),
+                F.struct(F.col("truth").alias("c"), F.col("n").alias("truth"),
+                         none.alias("guess"), hit.alias("hit")),
+                F.struct(F.col("guess").alias("c"), none.alias("truth"),
+                         F.col("n").alias("guess"), none.alias("hit")),
             )
-        ).alias("s")
-    ).select("s.*")
-    per_class = sides.groupBy("c").agg(
+        ).alias("s"),
+    ).select(*by, "s.*")
+    per_class = sides.groupBy(*by, "c").agg(
         F.sum("truth").alias("truth"), F.sum("guess").alias("guess"), F.sum("hit").alias("hit")
     )
     f1 = 2 * F.col("hit") / F.nullif(F.col("truth") + F.col("guess"), F.lit(0))
-    return per_class.agg(
+    return per_class.groupBy(*by).agg(
         F.sum("truth").alias("row_count"),
         (F.sum("hit") / F.sum("truth")).alias("accuracy"),
         (F.sum(f1 * F.col("truth")) / F.sum("truth")).alias("weighted_f1"),
@@ -236,26 +252,28 @@ def search_trials(
 def param_search(
     train: DataFrame, test: DataFrame, trials: Sequence[Mapping[str, float]]
 ) -> DataFrame:
-    """Fit every setting on the same split, ``SIDE_BY_SIDE`` at a time; one row of settings and
-    metrics per trial."""
-    spark = train.sparkSession
-
-    def run(number: int, params: Mapping[str, float]) -> tuple:
-        scored = train_boosted(train, params).transform(test)
-        metrics = score_metrics(scored, LABEL, "predicted").first()
-        return (
-            number, int(params["n_estimators"]), int(params["max_depth"]),
-            float(params["learning_rate"]), float(params["subsample"]),
-            metrics["accuracy"], metrics["weighted_f1"],
-        )
+    """Fit every setting on the same histograms; one row of settings and metrics per trial."""
+    models = boosting.fit(train, NUMBER_FEATURES, TEXT_FEATURES, LABEL, [*map(trial_of, trials)])
+    metrics = cell_metrics(boosting.confusion(test, models, LABEL), "trial")
+    settings = train.sparkSession.createDataFrame(
+        [(number, int(t["n_estimators"]), int(t["max_depth"]), float(t["learning_rate"]),
+          float(t["subsample"])) for number, t in enumerate(trials, 1)],
+        "trial int, n_estimators int, max_depth int, learning_rate double, subsample double")
+    return settings.join(metrics.drop("row_count"), "trial", "left")
 
-    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
-        rows = list(pool.map(inheritable_thread_target(spark)(run), range(1, len(trials) + 1), trials))
-    return spark.createDataFrame(
-        rows,
-        "trial int, n_estimators int, max_depth int, learning_rate double, subsample double, "
-        "accuracy double, weighted_f1 double",
-    )
+
+def model_metrics(model: boosting.BoostedModel, test: DataFrame) -> DataFrame:
+    """Row count, accuracy, weighted F1 and weighted one-vs-rest AUC of a model, in one row.
+
+    The scored rows are stored, as the metrics read them twice.
+    """
+    scored = materialize(model.transform(test).select(LABEL, "probabilities", "predicted"), "scored")
+    columns = {c: f"_p{i}" for i, c in enumerate(model.binning.classes)}
+    opened = scored.select(LABEL, *[
+        F.col("probabilities")[i].alias(column) for i, column in enumerate(columns.values())])
+    auc = weighted_auc(auc_one_vs_rest(opened, LABEL, columns))
+    both = score_metrics(scored, LABEL, "predicted").unionByName(auc, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
 def leaderboard(trials: DataFrame, metric: str) -> DataFrame:
