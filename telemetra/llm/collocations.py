@@ -24,9 +24,10 @@ from telemetra.session import materialize, spread
 MIN_COUNT = 100
 LONGEST = 5
 BEST = 2000  # phrases reported per language
+LANES = 64  # parts of a language whose best phrases are found apart
 TILE = 2048
 DENSE = TILE * TILE // 16  # pairs in a tile from which it is counted by address
-CHUNK = 1 << 22  # pairs that a task counts at a time
+CHUNK = 1 << 21  # pairs that a task counts at a time
 TEXT_BYTES = 1 << 20  # text of one language that is cut into words at a time
 HELD_BYTES = 1 << 23  # text of all languages that waits for that
 COUNTED_WORDS = 200_000  # distinct words that a task holds
@@ -38,6 +39,7 @@ _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _UPPER = bytes(range(65, 91))
 _PLAIN = bytes.maketrans(_UPPER + b"\t" + _BREAKS, _UPPER.lower() + b" " + b"." * len(_BREAKS))
 BREAK = b"."
+_BITS, _LOW = np.uint64(11), np.uint64(TILE - 1)  # of a place inside a tile
 
 
 def tokens(texts: list[bytes]) -> list[bytes]:
@@ -96,9 +98,11 @@ def word_counts(docs: DataFrame, least: int) -> DataFrame:
 
 
 def ranked(counts: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Ids from 1, the most frequent first."""
-    return materialize(
-        global_row_number(counts, [F.col("n").desc(), *map(F.col, key)], "id"), "ranked")
+    """Ids from 1, the most frequent first; they fit in 32 bits."""
+    numbered = global_row_number(counts, [F.col("n").desc(), *map(F.col, key)], "id")
+    fits = F.when(F.col("id") < 1 << 32, F.col("id")).otherwise(
+        F.raise_error(F.lit("more frequent phrases than ids")).cast("bigint"))
+    return materialize(numbered.withColumn("id", fits), "ranked")
 
 
 def _packed(ids: np.ndarray) -> np.ndarray:
@@ -154,20 +158,30 @@ def neighbours(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def count_tiles(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Pairs and their counts: dense tiles by direct address, the others by sorting."""
-    tile = ((x // TILE) << 32) | (y // TILE)
-    order = np.argsort(tile, kind="stable")
-    x, y, tile = x[order], y[order], tile[order]
-    starts = np.flatnonzero(np.append(True, tile[1:] != tile[:-1]))
+    # a tile's number stands in front of the place in it, so sorting by one sorts by both
+    x, y = x.astype(np.uint64), y.astype(np.uint64)
+    codes = ((x >> _BITS) << np.uint64(43)) | ((y >> _BITS) << np.uint64(22)) | ((x & _LOW) << _BITS) | (y & _LOW)
+    del x, y
+    codes.sort()
+    tile = codes >> np.uint64(22)
+    starts = np.flatnonzero(np.append(True, tile[1:] != tile[:-1])[: len(tile)])
     sizes = np.diff(np.append(starts, len(tile)))
-    sparse = np.repeat(sizes < DENSE, sizes)
-    for start, size in zip(starts[sizes >= DENSE].tolist(), sizes[sizes >= DENSE].tolist()):
-        part = slice(start, start + size)
-        counts = np.bincount((x[part] % TILE) * TILE + y[part] % TILE, minlength=TILE * TILE)
+    dense = sizes >= DENSE
+    place = np.uint64(TILE * TILE - 1)
+
+    def pairs(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        left = (codes >> np.uint64(43)) << _BITS | (codes >> _BITS) & _LOW
+        right = ((codes >> np.uint64(22)) & np.uint64((1 << 21) - 1)) << _BITS | codes & _LOW
+        return left.astype(np.int64), right.astype(np.int64)
+
+    for start, size in zip(starts[dense].tolist(), sizes[dense].tolist()):
+        part = codes[start: start + size]
+        counts = np.bincount((part & place).astype(np.int64), minlength=TILE * TILE)
         hit = np.flatnonzero(counts)
-        left, top = x[start] // TILE * TILE, y[start] // TILE * TILE
-        yield left + hit // TILE, top + hit % TILE, counts[hit]
-    codes, counts = np.unique((x[sparse] << 32) | y[sparse], return_counts=True)
-    yield codes >> 32, codes & 0xFFFFFFFF, counts
+        yield *pairs(part[0] & ~place | hit.astype(np.uint64)), counts[hit]
+    rest = codes[~np.repeat(dense, sizes)]
+    first = np.flatnonzero(np.append(True, rest[1:] != rest[:-1])[: len(rest)])
+    yield *pairs(rest[first]), np.diff(np.append(first, len(rest)))
 
 
 def pair_counts(blocks: DataFrame, least: int) -> DataFrame:
@@ -335,8 +349,12 @@ def mine(docs: DataFrame, best: int = BEST, **options) -> DataFrame:
     if found is None:
         return docs.sparkSession.createDataFrame(
             [], "lang string, rank long, phrase string, a long, l long, r long, n long, score long")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= best).select(
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    # the best of a language are among the best of its parts, so no task ranks all its phrases
+    part = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(LANES))).orderBy(*order)
+    first = found.withColumn("_part", F.row_number().over(part)).where(F.col("_part") <= best)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    return first.withColumn("rank", rank).where(F.col("rank") <= best).select(
         "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
