@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ("landing", "columns", "fleet", "reports", "upkeep", "learning", "guides", "streams")
+AREAS = ("landing", "columns", "fleet", "reports", "upkeep", "learning", "guides", "streams", "kept")
 
 
 def load_all() -> None:

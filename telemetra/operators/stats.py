@@ -54,6 +54,67 @@ def bucket_stats(
     )
 
 
+# --- mergeable states -------------------------------------------------------------------
+
+SKETCH_K = 800  # size of a quantile sketch; its rank error stays below half a percent
+
+
+def channel_states(
+    readings: DataFrame, channels: Sequence[str], grain: str = "hour",
+    time: Column | str = "event_time", key: str = "asset_id",
+) -> DataFrame:
+    """Count, mean, squared deviation and quantile sketch per channel, asset and bucket.
+
+    States of the same bucket from other rows merge with these (:func:`merged_states`), so a
+    bucket never needs its raw readings again. A channel without values has count 0.
+    """
+    at = F.col(time) if isinstance(time, str) else time
+    exprs = []
+    for c in channels:
+        exprs += [
+            F.count(c).alias(f"n_{c}"), F.avg(c).alias(f"mean_{c}"),
+            (F.var_pop(c) * F.count(c)).alias(f"m2_{c}"),
+            F.kll_sketch_agg_double(F.col(c).cast("double"), SKETCH_K).alias(f"sketch_{c}"),
+        ]
+    return (
+        readings.withColumn("bucket", F.date_trunc(grain, at))
+        .where(F.col(key).isNotNull() & F.col("bucket").isNotNull())
+        .groupBy(key, "bucket").agg(*exprs)
+    )
+
+
+def merged_states(states: DataFrame, channels: Sequence[str], *by: str) -> DataFrame:
+    """States of all rows with the same ``by`` as one."""
+    exprs = []
+    for c in channels:
+        n, mean = F.sum(f"n_{c}"), F.sum(F.col(f"n_{c}") * F.col(f"mean_{c}")) / F.sum(f"n_{c}")
+        spread = F.sum(F.col(f"m2_{c}") + F.col(f"n_{c}") * F.col(f"mean_{c}") ** 2)
+        exprs += [
+            n.alias(f"n_{c}"), F.when(n > 0, mean).alias(f"mean_{c}"),
+            F.when(n > 0, F.greatest(spread - n * mean**2, F.lit(0.0))).alias(f"m2_{c}"),
+            F.kll_merge_agg_double(f"sketch_{c}", SKETCH_K).alias(f"sketch_{c}"),
+        ]
+    return states.groupBy(*by).agg(*exprs)
+
+
+def sketch_quantiles(sketch: str, count: str, shares: Sequence[float]) -> Column:
+    """Quantiles of a stored sketch, null if it holds no value."""
+    wanted = F.array(*[F.lit(float(p)) for p in shares])
+    return F.when(F.col(count) > 0, F.kll_sketch_get_quantile_double(sketch, wanted))
+
+
+def stats_of_states(
+    states: DataFrame, measure: str, channels: Sequence[str], keys: Sequence[str],
+    percentiles: Sequence[float] = PERCENTILES,
+) -> DataFrame:
+    """The columns of :func:`bucket_stats` from states; percentiles come from the sketches."""
+    spread = [F.sqrt(F.col(f"m2_{c}") / F.col(f"n_{c}")).alias(f"std_{c}") for c in channels]
+    points = [
+        sketch_quantiles(f"sketch_{c}", f"n_{c}", percentiles).alias(f"percentiles_{c}")
+        for c in channels] if percentiles else []
+    return states.select(*keys, F.col(f"mean_{measure}").alias(f"avg_{measure}"), *spread, *points)
+
+
 def spread_percentiles(df: DataFrame, channels: Sequence[str]) -> DataFrame:
     """Percentile arrays as one column per point, named p10_x, p30_x and so on."""
     points = {

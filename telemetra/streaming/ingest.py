@@ -77,13 +77,34 @@ def ingest_folder(
     table: str | None = None,
     rules: Sequence[Expectation] = (),
     every: str | None = None,
+    unique: Sequence[str] = (),
+    time: str = "event_time",
+    lateness: str = "3 hours",
     **reading,
 ) -> StreamingQuery:
-    """Read, check and store a landing folder; :func:`count_rules` keeps the rule counters."""
+    """Read, check and store a landing folder; :func:`count_rules` keeps the rule counters.
+
+    With ``unique`` only the first row of each such key is stored, within one file, across
+    files and across restarts.
+    """
     stream = expect(read_folder(spark, folder, data_format, **reading), rules)
+    if unique:
+        stream = without_copies(stream, unique, time, lateness)
     return write_stream(stream, checkpoint, path, table, every)
 
 
+def without_copies(
+    stream: DataFrame, keys: Sequence[str], time: str, lateness: str
+) -> DataFrame:
+    """The first row of each key; later ones are dropped while its state is kept.
+
+    The state of a key is dropped when the watermark has passed its time by the lateness, so it
+    stays bounded. A copy that arrives later still is itself behind the watermark and does not
+    get through, as long as copies carry the time of the first.
+    """
+    return stream.withWatermark(time, lateness).dropDuplicatesWithinWatermark(list(keys))
+
+
 def finish(query: StreamingQuery) -> StreamingQuery:
     """Wait for a draining query; a failure is raised here."""
     query.awaitTermination()

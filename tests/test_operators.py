@@ -13,7 +13,7 @@ from pyspark.sql import Observation, Row, functions as F, types as T
 
 from telemetra.functions import columns, registered, text, tools
 from telemetra.operators import (
-    access, boosting, changes, joins, latest, ordering, quality, retrieval, sampling, stats,
+    access, boosting, changes, joins, latest, ordering, quality, retrieval, sampling, stats, stored,
 )
 from telemetra.plans import gold, learning, queue as queues, reports
 from telemetra.schemas import ASSET, PART, QUEUE, READING, STATUS_INTERVAL
@@ -853,3 +853,96 @@ def test_registered_search_runs_every_trial_in_full(spark, folder, monkeypatch):
     assert [r.trial for r in got] == [1, 2]
     assert [(r.learning_rate, r.subsample) for r in got] == [
         (t["learning_rate"], t["subsample"]) for t in asked[:2]]
+
+
+# --- stored tables ----------------------------------------------------------------------
+
+
+def stored_numbers(spark, n=60, folders=8):
+    table = stored.StoredTable(spark, scratch_path(spark, "numbers"))
+    rows_ = spark.createDataFrame([(i, f"v{i}", None, at(1)) for i in range(n)], "k int, v string, note string, at timestamp")
+    table.create(rows_, ["k"], stored.hashed(["k"], folders))
+    return table
+
+
+def file_set(spark, table):
+    return {(r.path, r.size) for r in files.list_files(spark, f"{table.path}/data", "*.parquet").collect()}
+
+
+def test_stored_update_takes_the_newest_and_touches_few_folders(spark):
+    table = stored_numbers(spark)
+    before = file_set(spark, table)
+    updates = spark.createDataFrame(
+        [(3, "old", "x", at(2)), (3, "new", None, at(3)), (999, "none", "n", at(2)), (None, "null", "n", at(2))],
+        "k int, v string, note string, at timestamp")
+    assert table.update(updates, ["v", "note", "at"], "at") == 2
+    got = {r.k: (r.v, r.note) for r in table.read().collect()}
+    assert len(got) == 60 and got[3] == ("new", None) and got[4] == ("v4", None)
+    assert before <= file_set(spark, table)
+    assert table.log().where("version = 2").first().folders_written == 1
+    assert len(table.changed_places(1, 2)) == 1
+    assert {r.k: r.v for r in table.read(version=1).collect()}[3] == "v3"
+
+
+def test_stored_delete_and_upsert(spark):
+    table = stored_numbers(spark)
+    table.delete(F.col("k") < 0)  # nothing: a version without new files
+    assert table.log().where("version = 2").first().folders_written == 0
+    table.delete(F.col("k") >= 10)
+    assert sorted(r.k for r in table.read().collect()) == list(range(10))
+    table.delete(F.lit(True))
+    assert table.read().count() == 0 and table.read(version=3).count() == 10
+    table.upsert(spark.createDataFrame([(5, "five", None, at(2)), (70, "new", None, at(2))], table.read().schema))
+    table.upsert(spark.createDataFrame([(5, "six", None, at(3))], table.read().schema))
+    assert {r.k: r.v for r in table.read().collect()} == {5: "six", 70: "new"}
+    table.replace(table.read(version=1))
+    assert table.read().count() == 60
+
+
+def test_a_change_that_died_leaves_the_old_table(spark, monkeypatch):
+    table = stored_numbers(spark)
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(table, "_commit", dies)
+    with pytest.raises(RuntimeError):
+        table.delete(F.col("k") < 30)
+    assert stored.StoredTable(spark, table.path).read().count() == 60
+    monkeypatch.undo()
+    table.delete(F.col("k") == 1)  # the next attempt overwrites what was left
+    assert sorted(r.k for r in table.read().collect()) == [0, *range(2, 60)]
+
+
+def test_two_writers_do_not_both_commit(spark):
+    table = stored_numbers(spark)
+    entry = table.entry()
+    table.delete(F.col("k") == 1)
+    with pytest.raises(RuntimeError):
+        table._rewrite(entry, "late", set(), table.read())
+    assert table.read().count() == 59
+
+
+def test_states_merge_to_the_whole(spark):
+    generator = random.Random(4)
+    data = [(i % 3, at(1 + i % 2, 5, i % 60), generator.gauss(5, 2) if i % 7 else None) for i in range(900)]
+    df = spark.createDataFrame([*data, (9, at(1), None)], "asset_id int, event_time timestamp, energy double")
+    parts = [stats.channel_states(df.where(f"hash(event_time, energy) % 3 = {r}"), ["energy"], "day") for r in (-2, -1, 0, 1, 2)]
+    together = parts[0]
+    for part in parts[1:]:
+        together = together.unionByName(part)
+    merged = stats.merged_states(together, ["energy"], "asset_id", "bucket")
+    got = stats.stats_of_states(merged, "energy", ["energy"], ["asset_id", "bucket"])
+    want = stats.bucket_stats(df, "energy", ["energy"], "day")
+    left, right = (
+        {(r.asset_id, r.bucket): r for r in x.collect()} for x in (got, want))
+    assert left.keys() == right.keys()
+    for key, r in right.items():
+        for name in ("avg_energy", "std_energy"):
+            assert (left[key][name] is None and r[name] is None) or math.isclose(left[key][name], r[name], rel_tol=1e-9)
+        if r.percentiles_energy is None:
+            assert left[key].percentiles_energy is None
+            continue
+        values = sorted(v for a, t, v in data if v is not None and (a, t.day) == (key[0], key[1].day))
+        for share, q in zip(stats.PERCENTILES, left[key].percentiles_energy):
+            assert abs(sum(v <= q for v in values) / len(values) - share) < 0.02

@@ -15,7 +15,10 @@ EXPENSIVE = {
     "train_gbt", "param_search", "model_score", "stream_hourly", "stream_hourly_append",
     "late_rows", "evolve_schema", "restart_idempotent", "ingest_folder", "ingest_json_stream",
     "ingest_parquet_stream", "stream_expect", "text_topk", "vector_topk_lsh", "end_to_end_status",
-    "end_to_end_training", "refresh_metrics", "continuous_ingest",
+    "end_to_end_training", "refresh_metrics", "continuous_ingest", "gbt_first_splits",
+    "model_metrics", "model_signature", "incremental_status", "incremental_training",
+    "incremental_reads", "stream_label_by_interval", "stream_without_copies", "stored_update",
+    "stored_update_before", "stored_delete", "stored_upsert", "stored_untouched",
 }
 
 

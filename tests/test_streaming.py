@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from telemetra.operators.quality import Expectation
 from telemetra.operators.stats import PERCENTILES
+from telemetra.operators.stored import StoredTable
 from telemetra.plans import refresh
 from telemetra.schemas import ASSET, READING, STATUS_INTERVAL
 from telemetra.session import scratch_path
-from telemetra.streaming import hourly, ingest
+from telemetra.streaming import hourly, ingest, labels
 
 UTC = dt.timezone.utc
 TIMED = type(READING)([f for f in READING if f.name != "epoch_s"])
@@ -25,6 +26,11 @@ def land(spark, folder, *readings):
     spark.createDataFrame(data, TIMED).coalesce(1).write.mode("append").parquet(folder)
 
 
+def land_ids(spark, folder, *readings):
+    data = [(i, 1, time, "view", 1.0, 0.0) for i, time in readings]
+    spark.createDataFrame(data, TIMED).coalesce(1).write.mode("append").parquet(folder)
+
+
 def places(spark, *names):
     return [scratch_path(spark, n) for n in names]
 
@@ -206,6 +212,83 @@ def test_refresh_takes_new_files_on_the_next_run(spark):
     assert second["stats"].count() == 1
 
 
+def test_refresh_in_parts_equals_one_run(spark):
+    """Late metadata, a new interval and late readings of an old bucket reach every table."""
+    readings, assets, intervals, root = places(spark, "r", "a", "i", "root")
+    base = int(at(0).timestamp())
+    landing = refresh.Landing(readings, assets, intervals)
+
+    def send(rows, owners, spans):
+        spark.createDataFrame(
+            [(i, a, base, at(h), "view", float(v), k) for i, a, h, v, k in rows], READING
+        ).write.mode("append").parquet(readings)
+        spark.createDataFrame([(a, "m", "1", "2", f"x{a}", "y", 3) for a in owners], ASSET).write.mode(
+            "append").json(assets)
+        spark.createDataFrame([(a, kind, base + s, base + e) for a, kind, s, e in spans], STATUS_INTERVAL
+                              ).write.mode("append").json(intervals)
+
+    parts = [
+        ([(1, 1, 1, 10, 1.0), (2, 1, 2, 20, None), (3, 2, 1, 30, 4.0), (4, 3, 5, 9, 2.0)], [1], [(1, "ok", 0, 7200)]),
+        ([(5, 1, 1, 50, 7.0), (6, 2, 3, 70, 8.0)], [2], [(2, "channel_b", 0, 99_000)]),
+        ([], [3], [(1, "channel_d", 5000, 9000)]),
+    ]
+    for part in parts:
+        send(*part)
+        tables = refresh.run_all(spark, landing, root)
+    other, = places(spark, "whole")
+    whole = refresh.run_all(spark, landing, other)
+    for name in ("stats", "status", "training"):
+        left, right = (sorted(map(tuple, t[name].select(*whole[name].columns).collect()), key=str) for t in (tables, whole))
+        assert len(left) == len(right) > 0
+        for x, y in zip(left, right):
+            assert str(x) == str(y) or all(
+                a == b or a == pytest.approx(b, rel=1e-9, nan_ok=True) for a, b in zip(x, y))
+    assert tables["status"].count() == 3 and tables["training"].where("asset_id = 1").count() == 2
+    again = refresh.run_all(spark, landing, root)
+    assert [StoredTable(spark, f"{root}/{p}").entry()["version"] for p in (
+        "silver/states", "silver/latest", "gold/current_status", "gold/training")] == [2, 2, 3, 3]
+    assert again["training"].count() == tables["training"].count()
+
+
+def test_copies_leave_one_row_across_files_and_restarts(spark):
+    folder, target, checkpoint = places(spark, "f", "t", "c")
+
+    def drain():
+        ingest.finish(ingest.ingest_folder(
+            spark, folder, "parquet", checkpoint, path=target, schema=TIMED, unique=["event_id"]))
+
+    land_ids(spark, folder, (1, at(1)), (1, at(1)), (2, at(2)))
+    land_ids(spark, folder, (1, at(1)), (3, at(3)))
+    drain()
+    land_ids(spark, folder, (3, at(3)), (4, at(4)))
+    drain()
+    got = sorted(r.event_id for r in spark.read.parquet(target).collect())
+    assert got == [1, 2, 3, 4]
+
+
+def test_label_stream_drops_old_state(spark):
+    readings, spans, target, checkpoint = places(spark, "r", "s", "t", "c")
+    base = int(at(0).timestamp())
+    kept = []
+    for day in range(4):
+        land_ids(spark, readings, *[
+            (10 * day + i, at(i) + dt.timedelta(days=day)) for i in range(1, 5)])
+        start = base + 86_400 * day
+        spark.createDataFrame([(1, f"d{day}", start, start + 3 * 3600), (1, "long", start, start + 30 * 86_400)][: 2 - (day > 0)],
+                              STATUS_INTERVAL).write.mode("append").parquet(spans)
+        stream = labels.label_stream(
+            ingest.read_folder(spark, readings, "parquet", schema=TIMED),
+            ingest.read_folder(spark, spans, "parquet", schema=STATUS_INTERVAL))
+        query = ingest.finish(ingest.write_stream(stream, checkpoint, target))
+        kept.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    got = sorted((r.event_id, r.abnormal_channel) for r in spark.read.parquet(target).collect())
+    want = [(10 * d + i, f"d{d}") for d in range(4) for i in (1, 2)]
+    want += [(10 * d + i, "long") for d in range(4) for i in range(1, 5)]
+    assert got == sorted(want)
+    # 16 readings and 35 pieces came in; pieces of days to come stay, the past goes
+    assert kept[-1] <= 40
+
+
 def test_versions_of_another_checkpoint_are_refused(spark, tmp_path):
     landing = str(tmp_path / "in")
     spark.createDataFrame([(1, "2024-01-01 00:10:00", 2.0, 1.0)], "asset_id long, t string, energy double, channel_k double").selectExpr(
