@@ -29,14 +29,15 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, _part
 
 
 class WordIds:
-    """Ids of one word. Plain lower-case Latin letters go to the BPE model directly.
+    """Ids of one word. Plain Latin letters go to the BPE model directly, folded in A-Z.
 
-    The tokeniser's normaliser and splitter leave such words as they are, and its byte alphabet
-    is asked for once per letter; any other word takes the whole tokeniser. White space always
-    separates tokens, so ids of a text are those of its words in order.
+    The tokeniser's normaliser and splitter leave such words as they are but for that folding,
+    and its byte alphabet is asked for once per letter. Any other word takes the whole tokeniser
+    as it is, because special tokens are looked for before anything is folded. White space
+    always separates tokens, so ids of a text are those of its words in order.
     """
 
-    plain = re.compile("([a-zß-öø-ÿ]+)([.,]?)")
+    plain = re.compile("([A-Za-zß-öø-ÿ]+)([.,]?)")
 
     def __init__(self, path: str):
         self.whole = Tokenizer.from_file(path)
@@ -44,6 +45,7 @@ class WordIds:
         spelled = self.whole.pre_tokenizer.pre_tokenize_str
         letters = [*range(0x61, 0x7B), *range(0xDF, 0xF7), *range(0xF8, 0x100)]
         self.table = {c: spelled(chr(c))[0][0] for c in letters}
+        self.table |= {c - 32: self.table[c] for c in range(0x61, 0x7B)}
         self.marks = {m: self.full(m) if m else [] for m in ("", ".", ",")}
 
     def full(self, word: str) -> list[int]:
@@ -72,7 +74,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -
         vocabulary = tx.Vocabulary(WordIds(path), 2)
         seen: Counter = Counter()
         part = TaskContext.get().partitionId()
-        for rows, block in tx.blocks(batches, fold=True):
+        for rows, block in tx.blocks(batches):
             ids, per_word = vocabulary.ids(block)
             end = np.concatenate([[0], np.cumsum(per_word)])[block.first]
             out = {c.split()[0]: [] for c in PIECES.split(", ")}
