@@ -42,8 +42,9 @@ def trigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages, and log-probabilities of trigram bins per language.
 
-    All documents with a two-letter language count. The counts that come to the driver are at
-    most ``BINS`` for each of at most 676 language codes, however many documents there are.
+    All documents with a language code count, by the code's first part (``pt-br`` and ``pt_BR``
+    as ``pt``, ``fil`` as itself). The counts that come to the driver are at most ``BINS`` for
+    each language, however many documents there are.
     """
     def run(batches):
         total: dict[str, np.ndarray] = {}
@@ -57,8 +58,9 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
             at = np.flatnonzero(counts)
             yield {"lang": [name] * len(at), "bin": at.astype(np.int32), "n": counts[at]}
 
-    used = docs.select(F.lower("lang").alias("lang"), "text").where(
-        F.col("lang").rlike("^[a-z]{2}$") & F.col("text").isNotNull())
+    used = docs.select(
+        F.regexp_extract(F.lower("lang"), "^([a-z]{2,3})(?:[-_].*)?$", 1).alias("lang"), "text"
+    ).where((F.col("lang") != "") & F.col("text").isNotNull())
     counts = arrow_map(used, run, "lang string, bin int, n long").groupBy("lang", "bin").agg(
         F.sum("n").alias("n")).toPandas()
     names = sorted(counts["lang"].unique())
@@ -73,13 +75,13 @@ def evidence(pages: DataFrame, names: list[str], table: np.ndarray) -> DataFrame
 
     ``text_score`` is the log-likelihood per language, scaled down to that of ``EFFECTIVE``
     trigrams because neighbouring trigrams are not independent; ``weight`` are the shares it
-    gives under equal priors. ``declared`` is the two-letter code of the html element's
+    gives under equal priors. ``declared`` is the first part of the html element's
     language, ``other`` if it is none of the languages, and empty without one.
     """
     url = F.coalesce("url", F.lit(""))
     address = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     markup = F.lower(F.regexp_extract(
-        F.coalesce("html", F.lit("")), r"""(?is)<html\b[^>]*?\blang\s*=\s*["']?\s*([a-z]{2})\b""", 1))
+        F.coalesce("html", F.lit("")), r"""(?is)<html\b[^>]*?\blang\s*=\s*["']?\s*([a-z]{2,3})\b""", 1))
     rows = pages.select(
         "page_id", "html", address.alias("host"),
         F.regexp_extract(address, r"([^.]+\.[^.]+)$", 1).alias("site"),
@@ -111,17 +113,21 @@ def evidence(pages: DataFrame, names: list[str], table: np.ndarray) -> DataFrame
     return arrow_map(rows, run, schema)
 
 
+TABLES = ("declared", "suffix", "site", "host")
+
+
 def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
     """Language of each row of ``page_id, url, html``, learned from ``text, lang`` of ``docs``.
 
     log P(language | page) = text + log P(declared | language) + log P(suffix | language)
-    + log prior of the host, up to a constant. The three tables are sums of the text shares of
+    + log prior of the host, up to a constant. The four tables are sums of the text shares of
     all pages, grouped by declared language, suffix, site and host. A host's prior is smoothed
-    with its site's, that with the whole corpus's; a page's own share is taken out of every
-    table before it is judged. Pages without address, markup or text are judged by what they
-    have; ids may repeat or be null, each row is judged alone. Without labelled documents the
-    language is null. Returns ``page_id, language, probability, text_language, declared,
-    suffix, host, host_prior``.
+    with its site's, that with the whole corpus's; a page without address, whose host and site
+    are empty, gets the corpus's. A page's own share is taken out of every table before it is
+    judged. Pages without address, markup or text are judged by what they have; ids may repeat
+    or be null, each row is judged alone. Without labelled documents the language is null; an
+    empty table gives no rows. Returns ``page_id, language, probability, text_language,
+    declared, suffix, host, host_prior``.
     """
     names, table = learn(docs)
     found = materialize(evidence(pages, names, table), "page-evidence")
@@ -136,48 +142,61 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
     def sums(name: str) -> Column:
         return F.array(*[F.sum(F.col("weight")[i]) for i in range(size)]).alias(name)
 
-    def of(column: str, name: str) -> DataFrame:
-        return found.groupBy(column).agg(sums(name))
-
-    whole = found.agg(sums("all")).first()["all"] or [0.0] * size  # one number per language
-    # at most one row per language, "other" and none
-    joined = found.join(F.broadcast(of("declared", "_declared")), "declared")
-    for column in ("suffix", "site", "host"):
-        joined = joined.join(of(column, f"_{column}"), column)
-
-    def own(i: int) -> Column:
-        return F.col("weight")[i]
-
-    everything = [F.greatest(F.lit(float(whole[i])) - own(i), F.lit(0.0)) + 1.0 for i in range(size)]
-    total = sum(everything[1:], everything[0])
-
-    def rest(name: str, i: int) -> Column:
-        return F.greatest(F.col(name)[i] - own(i), F.lit(0.0))
-
-    def smoothed(name: str, above: list[Column]) -> list[Column]:
-        parts = [rest(name, i) + STRENGTH * above[i] for i in range(size)]
-        return [p / sum(parts[1:], parts[0]) for p in parts]
-
-    prior = smoothed("_host", smoothed("_site", [e / total for e in everything]))
-    joined = joined.withColumn("_prior", F.array(*prior)).withColumn("_total", F.array(*everything))
-
-    def likelihood(name: str, i: int) -> Column:
-        """P(value | language): seen with the language, smoothed towards how often it is seen."""
-        seen = sum((rest(name, j) for j in range(1, size)), rest(name, 0))
-        all_ = sum((F.col("_total")[j] for j in range(1, size)), F.col("_total")[0])
-        return (rest(name, i) + STRENGTH * (seen + 1.0) / (all_ + 1.0)) / (F.col("_total")[i] + STRENGTH)
-
-    scores = F.array(*[
-        F.col("text_score")[i] + F.log(likelihood("_declared", i)) + F.log(likelihood("_suffix", i))
-        + F.log(F.col("_prior")[i]) for i in range(size)])
-    judged = joined.withColumn("_score", scores).withColumn(
-        "_best", F.array_position("_score", F.array_max("_score")).cast("int"))
-    mass = F.aggregate(
-        "_score", F.lit(0.0), lambda sum_, s: sum_ + F.exp(s - F.array_max("_score")))
-    known = F.array(*map(F.lit, names))
-    return judged.select(
-        "page_id", F.element_at(known, F.col("_best")).alias("language"),
-        (F.lit(1.0) / mass).alias("probability"),
-        F.element_at(known, F.array_position("weight", F.array_max("weight")).cast("int"))
-        .alias("text_language"),
-        "declared", "suffix", "host", F.element_at("_prior", F.col("_best")).alias("host_prior"))
+    whole = np.array(found.agg(sums("all")).first()["all"] or [0.0] * size)  # a number per language
+    joined = found
+    for column in TABLES:
+        # stored before the join, so that Spark can split a host that very many pages share
+        totals = materialize(found.groupBy(column).agg(sums(f"_{column}")), f"pages-by-{column}")
+        joined = joined.join(totals, column)
+
+    def run(batches):
+        known = np.array(names, object)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                n = part.num_rows
+
+                def numbers(column: str) -> np.ndarray:
+                    return part.column(column).flatten().to_numpy().reshape(n, size)
+
+                text, own = numbers("text_score"), numbers("weight")
+                addressed = {
+                    c: np.array([bool(v) for v in part.column(c).to_pylist()]) for c in ("site", "host")}
+                score, prior = fused(
+                    text, own, whole, *(numbers(f"_{c}") for c in TABLES), **addressed)
+                best = score.argmax(axis=1)
+                rows = np.arange(n)
+                yield {c: part.column(c) for c in ("page_id", "declared", "suffix", "host")} | {
+                    "language": known[best], "text_language": known[own.argmax(axis=1)],
+                    "probability": 1 / np.exp(score - score[rows, best][:, None]).sum(axis=1),
+                    "host_prior": prior[rows, best]}
+
+    names_out = ["page_id", "language", "probability", "text_language", "declared", "suffix", "host", "host_prior"]
+    kinds = {"probability": "double", "host_prior": "double"}
+    schema = ", ".join(f"{c} {kinds.get(c, 'string')}" for c in names_out[1:])
+    judged = arrow_map(joined, run, T.StructType(
+        [joined.schema["page_id"], *T._parse_datatype_string(schema)]))
+    return judged.select(*names_out)
+
+
+def fused(
+    text: np.ndarray, own: np.ndarray, whole: np.ndarray, declared: np.ndarray, suffix: np.ndarray,
+    site_sums: np.ndarray, host_sums: np.ndarray, site: np.ndarray, host: np.ndarray,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Scores and host priors of pages, all arrays of pages x languages.
+
+    ``own`` is a page's share in the sums; ``site`` and ``host`` tell whether it has any.
+    """
+    everything = np.maximum(whole - own, 0) + 1
+    total = everything.sum(axis=1, keepdims=True)
+    prior = everything / total
+    for sums, has in ((site_sums, site), (host_sums, host)):
+        parts = np.maximum(sums - own, 0) + STRENGTH * prior
+        prior = np.where(has[:, None], parts / parts.sum(axis=1, keepdims=True), prior)
+    score = text + np.log(prior)
+    for sums in (declared, suffix):
+        # P(value | language): seen with the language, smoothed towards how often it is seen
+        rest = np.maximum(sums - own, 0)
+        often = (rest.sum(axis=1, keepdims=True) + 1) / (total + 1)
+        score = score + np.log((rest + STRENGTH * often) / (everything + STRENGTH))
+    return score, prior
