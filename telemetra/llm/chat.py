@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,8 @@ MARKED = 0.97  # how often a speaker's name tells the role
 STAY = 0.995  # an unmarked line goes on with the speaker of the line before
 FEATURES = 48
 CHUNK = 256  # rows of a conversation that are decoded together
+FAN = 256  # chunks that are combined to one
+SLICE = 8192  # lines whose scores are held at a time
 _LOW = -1e30
 
 
@@ -106,45 +109,73 @@ def learn(rows: DataFrame) -> dict[str, np.ndarray]:
         "move": np.log(move / move.sum(axis=1, keepdims=True)), "start": np.log(start / start.sum())}
 
 
-def steps(table: pa.Table, begin: int, end: int, model: dict[str, np.ndarray]):
-    """Lines of some rows and the score of each step from role to role.
-
-    States are the roles and, last, the one before a conversation starts.
-    """
+class Lines:
+    """Lines of some rows as arrays: row, number in the row, kind, and named role or -1."""
+
+    def __init__(self, table: pa.Table, begin: int, end: int):
+        part = table.slice(begin, end - begin)
+        self.rest: list[str] = []
+        row, number, kind, named = [], [], [], []
+        for at, (text, role) in enumerate(zip(
+                part.column("text").to_pylist(), part.column("role").to_pylist())):
+            for i, (name, what, rest) in enumerate(parsed(text, role)):
+                row.append(at)
+                number.append(i)
+                kind.append(what)
+                named.append(-1 if name is None else name)
+                self.rest.append(rest)
+        self.row, self.number, self.kind, self.named = (
+            np.array(x, np.int32) for x in (row, number, kind, named))
+
+    def steps(self, model: dict[str, np.ndarray]) -> Iterator[np.ndarray]:
+        """Scores of each step from role to role (lines x states x states), ``SLICE`` at a time.
+
+        States are the roles and, last, the one before a conversation starts.
+        """
+        size = len(ROLES)
+        told = np.vstack([_certain(MARKED), np.zeros(size)])  # the last row is for no name
+        stay = _certain(STAY)
+        for at in range(0, len(self.rest), SLICE):
+            part = slice(at, at + SLICE)
+            turns = (self.number[part] == 0) | (self.named[part] >= 0)
+            seen = model["emit"][:, self.kind[part]].T + told[self.named[part]]
+            step = np.full((len(seen), size + 1, size + 1), _LOW)
+            step[:, :size, :size] = np.where(turns[:, None, None], model["move"], stay) + seen[:, None, :]
+            step[:, size, :size] = model["start"] + seen
+            yield step
+
+
+def _certain(share: float) -> np.ndarray:
+    """Log-probabilities of the same role, and of each other one."""
     size = len(ROLES)
-    named = np.log(np.full((size, size), (1 - MARKED) / (size - 1)) + np.eye(size) * (MARKED - (1 - MARKED) / (size - 1)))
-    stay = np.log(np.full((size, size), (1 - STAY) / (size - 1)) + np.eye(size) * (STAY - (1 - STAY) / (size - 1)))
-    lines, scores = [], []
-    part = table.slice(begin, end - begin)
-    for row, (text, role) in enumerate(zip(part.column("text").to_pylist(), part.column("role").to_pylist())):
-        for i, (name, kind, rest) in enumerate(parsed(text, role)):
-            turn = model["move"] if i == 0 or name is not None else stay
-            seen = model["emit"][:, kind] + (0.0 if name is None else named[name])
-            step = np.full((size + 1, size + 1), _LOW)
-            step[:size, :size] = turn + seen
-            step[size, :size] = model["start"] + seen
-            lines.append((row, i, name, rest))
-            scores.append(step)
-    return lines, scores
-
-
-def through(scores: list[np.ndarray]) -> np.ndarray:
-    """Best score from each state before the lines to each state after them."""
-    total = scores[0]
-    for step in scores[1:]:
-        total = (total[:, :, None] + step[None]).max(axis=1)
+    other = (1 - share) / (size - 1)
+    return np.log(np.full((size, size), other) + np.eye(size) * (share - other))
+
+
+def through(steps: Iterable[np.ndarray]) -> np.ndarray:
+    """Best score from each state before the steps to each state after them."""
+    total = None
+    for part in steps:
+        while len(part) > 1:  # two neighbours at a time become one step
+            even = len(part) // 2 * 2
+            both = (part[:even:2, :, :, None] + part[1:even:2, None, :, :]).max(axis=2)
+            part = np.concatenate([both, part[even:]])
+        total = part[0] if total is None else (total[:, :, None] + part[0][None]).max(axis=1)
     return total
 
 
-def best_path(scores: list[np.ndarray], entry: np.ndarray, leave: np.ndarray) -> list[int]:
+def best_path(steps: Iterable[np.ndarray], entry: np.ndarray, leave: np.ndarray) -> list[int]:
     """Viterbi states, given the scores of reaching the first line and of what follows."""
     reach, back = entry, []
-    for step in scores:
-        all_ = reach[:, None] + step
-        back.append(all_.argmax(axis=0))
-        reach = all_.max(axis=0)
+    for part in steps:
+        came = np.empty((len(part), len(entry)), np.int8)
+        for i, step in enumerate(part):
+            all_ = reach[:, None] + step
+            came[i] = all_.argmax(axis=0)
+            reach = all_.max(axis=0)
+        back.append(came)
     state, path = int((reach + leave).argmax()), []
-    for came in reversed(back):
+    for came in np.concatenate(back)[::-1]:
         path.append(state)
         state = int(came[state])
     return path[::-1]
@@ -155,6 +186,62 @@ def render(role: str, text: str) -> str:
 
 
 _KEY = ["conv", "_nil"]
+_STATES = len(ROLES) + 1
+
+
+def _matrices(table: pa.Table, column: str) -> np.ndarray:
+    return table.column(column).combine_chunks().flatten().to_numpy().reshape(table.num_rows, _STATES, -1)
+
+
+def summarised(level: DataFrame, label: str) -> DataFrame:
+    """Rows ``conv, _nil, chunk, best`` with ``FAN`` neighbours combined to one."""
+    def run(batches):
+        for table, cuts in sorted_groups(batches, [*_KEY, "up"]):
+            best = _matrices(table, "best")
+            out = [through([best[b:e]]).ravel() for b, e in zip(cuts[:-1], cuts[1:])]
+            yield {k: table.column(k).to_numpy()[cuts[:-1]] for k in _KEY} | {
+                "chunk": table.column("up").to_numpy()[cuts[:-1]], "best": out}
+
+    grouped = level.withColumn("up", F.floor(F.col("chunk") / FAN))
+    placed = grouped.repartition(*_KEY, "up").sortWithinPartitions(*_KEY, "up", "chunk")
+    return materialize(arrow_map(placed, run, "conv long, _nil int, chunk long, best array<double>"), label)
+
+
+def scanned(level: DataFrame, above: DataFrame | None) -> DataFrame:
+    """``before`` and ``after`` of each chunk: the best scores of reaching it and of what follows.
+
+    ``above`` has them for the groups of ``FAN`` chunks; without it there is one group for each
+    conversation.
+    """
+    def run(batches):
+        for table, cuts in sorted_groups(batches, [*_KEY, "up"]):
+            best = _matrices(table, "best")
+            enter, leave = _matrices(table, "enter")[:, :, 0], _matrices(table, "leave")[:, :, 0]
+            before, after = np.empty((len(best), _STATES)), np.empty((len(best), _STATES))
+            for b, e in zip(cuts[:-1], cuts[1:]):
+                reach, rest = enter[b], leave[b]
+                for i in range(b, e):
+                    before[i] = reach
+                    reach = (reach[:, None] + best[i]).max(axis=0)
+                for i in range(e - 1, b - 1, -1):
+                    after[i] = rest
+                    rest = (best[i] + rest).max(axis=1)
+            yield {k: table.column(k).to_numpy() for k in [*_KEY, "chunk"]} | {
+                "before": list(before), "after": list(after)}
+
+    grouped = level.withColumn("up", F.floor(F.col("chunk") / FAN))
+    if above is None:
+        start = [_LOW] * len(ROLES) + [0.0]
+        grouped = grouped.withColumns({
+            "enter": F.array(*map(F.lit, start)), "leave": F.array(*[F.lit(0.0)] * _STATES)})
+    else:
+        grouped = grouped.join(above.select(
+            *_KEY, F.col("chunk").alias("up"), F.col("before").alias("enter"), F.col("after").alias("leave")),
+            [*_KEY, "up"])
+    placed = grouped.repartition(*_KEY, "up").sortWithinPartitions(*_KEY, "up", "chunk")
+    return materialize(arrow_map(
+        placed, run, "conv long, _nil int, chunk long, before array<double>, after array<double>"),
+        "chunk-ends")
 
 
 def canonical(turns: DataFrame) -> DataFrame:
@@ -162,10 +249,11 @@ def canonical(turns: DataFrame) -> DataFrame:
 
     Lines come in order of turn; a speaker's name at a line's start or the row's role column is
     evidence, not truth. Transition and emission tables are counted over all rows with a known
-    role. The best path over a whole conversation is found in chunks: each chunk's best scores
-    from state to state, a scan over the chunks from both ends, then Viterbi inside each chunk
-    with what comes before and after it, so a conversation of any length is decoded exactly
-    without meeting in one task. Lines of one row and role form a turn.
+    role. The best path over a whole conversation is found in chunks of rows: each chunk's best
+    scores from state to state, combined ``FAN`` at a time until a conversation is one group,
+    then what comes before and after each chunk, level by level down, then Viterbi inside each
+    chunk. So a conversation of any length is decoded exactly, and no task ever needs more than
+    ``FAN`` chunks of it together. Lines of one row and role form a turn.
 
     Returns ``conv_id, turn, part, role, text, rendered``; ``part`` counts the turns of a row.
     A null or empty text is one empty line; null ids are one conversation; repeated rows and
@@ -173,38 +261,24 @@ def canonical(turns: DataFrame) -> DataFrame:
     """
     rows = numbered(turns)
     model = learn(rows)
-    size = len(ROLES) + 1
     keys = [*_KEY, "chunk"]
 
     def measured(batches):
         for table, cuts in sorted_groups(batches, keys):
-            out = [through(steps(table, b, e, model)[1]).ravel() for b, e in zip(cuts[:-1], cuts[1:])]
+            out = [through(Lines(table, int(b), int(e)).steps(model)).ravel()
+                   for b, e in zip(cuts[:-1], cuts[1:])]
             yield {k: table.column(k).to_numpy()[cuts[:-1]] for k in keys} | {"best": out}
 
     sorted_rows = rows.repartition(*keys).sortWithinPartitions(*keys, "place")
-    chunks = materialize(arrow_map(
-        sorted_rows, measured, "conv long, _nil int, chunk long, best array<double>"), "chunks")
-
-    def scanned(batches):
-        for table, cuts in sorted_groups(batches, _KEY):
-            best = np.array(table.column("best").to_pylist()).reshape(-1, size, size)
-            before, after = np.empty((len(best), size)), np.empty((len(best), size))
-            for b, e in zip(cuts[:-1], cuts[1:]):
-                reach = np.full(size, _LOW)
-                reach[-1] = 0.0
-                for i in range(b, e):
-                    before[i] = reach
-                    reach = (reach[:, None] + best[i]).max(axis=0)
-                leave = np.zeros(size)
-                for i in range(e - 1, b - 1, -1):
-                    after[i] = leave
-                    leave = (best[i] + leave).max(axis=1)
-            yield {k: table.column(k).to_numpy() for k in keys} | {
-                "before": list(before), "after": list(after)}
-
-    ends = materialize(arrow_map(
-        chunks.repartition(*_KEY).sortWithinPartitions(*keys), scanned,
-        "conv long, _nil int, chunk long, before array<double>, after array<double>"), "chunk-ends")
+    levels = [materialize(arrow_map(
+        sorted_rows, measured, "conv long, _nil int, chunk long, best array<double>"), "chunks")]
+    last = rows.agg(F.max("chunk")).first()[0] or 0
+    while last >= FAN:
+        levels.append(summarised(levels[-1], "chunk-groups"))
+        last //= FAN
+    ends = None
+    for level in reversed(levels):
+        ends = scanned(level, ends)
 
     def decoded(batches):
         for table, cuts in sorted_groups(batches, keys):
@@ -212,11 +286,11 @@ def canonical(turns: DataFrame) -> DataFrame:
             convs, numbers = table.column("conv_id").to_pylist(), table.column("turn").to_pylist()
             firsts = [table.column(c).take(pa.array(cuts[:-1])).to_pylist() for c in ("before", "after")]
             for b, e, entry, leave in zip(cuts[:-1], cuts[1:], *firsts):
-                lines, scores = steps(table, int(b), int(e), model)
-                path = best_path(scores, np.array(entry), np.array(leave))
+                lines = Lines(table, int(b), int(e))
+                path = best_path(lines.steps(model), np.array(entry), np.array(leave))
                 turn: list = []
-                for (row, i, name, rest), state in zip(lines, path):
-                    if turn and turn[0] == row and turn[1] == state and name is None:
+                for row, name, rest, state in zip(lines.row.tolist(), lines.named.tolist(), lines.rest, path):
+                    if turn and turn[0] == row and turn[1] == state and name < 0:
                         turn[3].append(rest)
                         continue
                     part = turn[2] + 1 if turn and turn[0] == row else 0
