@@ -168,15 +168,13 @@ def fine(texts: DataFrame) -> DataFrame:
 def across(members: DataFrame) -> DataFrame:
     """Promising pairs ``a, b`` of rows of one bucket that differ in ``root``.
 
-    ``members`` are rows of ``key, band, digest, root, keys, sketch``. Large buckets are dealt
+    ``members`` are rows of ``key, band, digest, root, _blocks, keys, sketch``. Large buckets are dealt
     in blocks, every two of which meet in one task. Only rows outside a block's largest group
     look for partners. A pair is returned by the first band that it shares.
     """
     names = ["key", "low", "high"]
-    sizes = members.groupBy("key").agg(F.ceil(F.count("digest") / BLOCK).cast("int").alias("_blocks"))
     met = (
-        members.join(sizes, "key")
-        .withColumn("block", F.pmod(F.xxhash64("digest"), F.col("_blocks")).cast("int"))
+        members.withColumn("block", F.pmod(F.xxhash64("digest"), F.col("_blocks")).cast("int"))
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
         .withColumns({"low": F.least("block", "_other"), "high": F.greatest("block", "_other"),
                       "group": F.xxhash64("root")})
@@ -232,11 +230,14 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         rows.groupBy("digest").agg(F.min("doc_id").alias("class_id"), F.first("keys").alias("keys")),
         "classes")
     banded = classes.select("digest", F.posexplode("keys").alias("band", "key"))
-    full = banded.groupBy("key").agg(F.count("digest").alias("_n")).where("_n > 1")
+    # aggregates are stored before they are joined, so that Spark can split a full bucket
+    full = materialize(
+        banded.groupBy("key").agg(F.count("digest").alias("_n")).where("_n > 1"), "full-buckets")
     members = materialize(banded.join(full, "key"), "buckets")
     reach = members.groupBy("digest").agg(F.sum("_n").alias("_reach"))
-    hubs = members.join(reach, "digest").groupBy("key").agg(
-        F.max(F.struct("_reach", "digest")).alias("_hub")).select("key", F.col("_hub.digest").alias("hub"))
+    hubs = materialize(members.join(reach, "digest").groupBy("key").agg(
+        F.max(F.struct("_reach", "digest")).alias("_hub")).select("key", F.col("_hub.digest").alias("hub")),
+        "hubs")
     tried = materialize(
         members.join(hubs, "key").where("digest <> hub").select(
             F.least("hub", "digest").alias("a"), F.greatest("hub", "digest").alias("b")).distinct(),
@@ -248,8 +249,10 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     grouped = members.join(first.withColumnRenamed("vertex", "digest"), "digest", "left").select(
         "key", "band", "digest", F.coalesce("root", "digest").alias("root"))
-    mixed = grouped.groupBy("key").agg(F.min("root").alias("_l"), F.max("root").alias("_h")).where(
-        "_l <> _h").select("key")
+    mixed = materialize(grouped.groupBy("key").agg(
+        F.min("root").alias("_l"), F.max("root").alias("_h"),
+        F.ceil(F.count("digest") / BLOCK).cast("int").alias("_blocks")).where(
+        "_l <> _h").select("key", "_blocks"), "mixed-buckets")
     open_ = materialize(grouped.join(mixed, "key"), "open-buckets")
     sketches = materialize(
         fine(texts.join(open_.select("digest").distinct(), "digest")), "fine-sketches")
