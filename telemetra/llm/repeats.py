@@ -145,10 +145,10 @@ def shared_passages(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         (F.col("uid") == F.col("_uid")) & F.col("doc_id").eqNullSafe(F.col("_first")),
     ).select("uid", "text", "places")
     held = materialize(extended(texts), "passages")
-    groups = (
+    # stored before the join, so that Spark can split a passage that very many texts hold
+    groups = materialize(
         held.groupBy("hash", "check").agg(F.min("uid").alias("_low"), F.max("uid").alias("_high"))
-        .where("_low <> _high").drop("_high")
-    )
+        .where("_low <> _high").drop("_high"), "shared-passages")
     several = held.join(groups, ["hash", "check"]).groupBy("uid").agg(F.collect_set(
         2 * F.col("start") + (F.col("uid") != F.col("_low")).cast("int")).alias("starts"))
     return rows, materialize(several, "shared")
