@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from telemetra.llm.frames import arrow_map, components, pairs_within, rest_of_group, sorted_groups
 from telemetra.session import materialize
@@ -123,7 +123,7 @@ def own_pairs(table, first: np.ndarray, second: np.ndarray) -> np.ndarray:
 
 
 GROUP = ["label", "bucket", "low", "high"]
-_ROW = "label int, bucket long, low int, high int, block int, id long, code long"
+_ROW = "label long, bucket long, low int, high int, block int, id long, code long"
 
 
 def dealt(df: DataFrame) -> DataFrame:
@@ -170,9 +170,11 @@ def linked(classes: DataFrame) -> DataFrame:
 
     reached = materialize(arrow_map(
         classes.select("id", "label", "embedding"), coded,
-        "label int, bucket long, id long, code long"), "codes")
-    full = reached.groupBy("label", "bucket").agg(F.count("id").alias("_n")).where("_n > 1").withColumn(
-        "_blocks", F.ceil(F.col("_n") / BLOCK).cast("int"))
+        "label long, bucket long, id long, code long"), "codes")
+    # stored before the join, so that Spark can split a full bucket
+    full = materialize(
+        reached.groupBy("label", "bucket").agg(F.count("id").alias("_n")).where("_n > 1").withColumn(
+            "_blocks", F.ceil(F.col("_n") / BLOCK).cast("int")), "full-buckets")
     met = (
         reached.join(full, ["label", "bucket"])
         .withColumn("block", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int"))
@@ -240,6 +242,7 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
     learned codes (a pair is met if one piece differs in two bits or less) and every candidate
     is reranked with the original vectors, so no link is false; a few true ones near the
     threshold may be missed. Equal vectors are one class, compared once and counted in full.
+    Labels that are no whole numbers are told apart by 64-bit hashes.
 
     Returns one row per row: ``vec_id, n_links, component_id, kept``. Null ids get null
     components unless they link with a vector that has one.
@@ -248,7 +251,10 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
     good = F.coalesce(
         F.col("label").isNotNull() & (F.size("embedding") > 0) & finite
         & F.exists("embedding", lambda x: x != 0), F.lit(False))
-    rows = vectors.select("vec_id", F.col("label").cast("int"), "embedding").withColumn("_good", good)
+    whole = isinstance(vectors.schema["label"].dataType, T.IntegralType)
+    label = F.col("label").cast("long") if whole else F.when(
+        F.col("label").isNotNull(), F.xxhash64(F.col("label").cast("string")))
+    rows = vectors.withColumn("_good", good).select("vec_id", label.alias("label"), "embedding", "_good")
     usable = rows.where("_good")
     classes = materialize(
         usable.groupBy("label", "embedding")
