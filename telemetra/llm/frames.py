@@ -10,11 +10,15 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from telemetra.session import materialize
+from telemetra.session import materialize, pin_settings
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return pin_settings(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return table(spark, sf_dir, "documents")
 
 
 def arrow_map(df: DataFrame, run, schema: T.StructType | str) -> DataFrame:
@@ -86,7 +90,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     The root is the smallest vertex of the component and is listed as a vertex too. Large-star
     and small-star rounds repeat until the edges no longer change; every round is stored, and
     only a count and a checksum come to the driver. The minimum over neighbours merges before
-    the shuffle, so a hub is a skewed join key at most, which adaptive execution splits.
+    the shuffle and is stored before it is joined, so a hub is a skewed join key at most, which
+    adaptive execution can split (it does not where an aggregate and its join share a stage).
     """
     def tidy(df):
         return df.where(F.col("u") != F.col("v")).distinct()
@@ -96,12 +101,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     state = None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        lowest = both.groupBy("u").agg(F.min("v").alias("_m")).select(
-            "u", F.least("u", "_m").alias("m"))
+        lowest = materialize(both.groupBy("u").agg(F.min("v").alias("_m")).select(
+            "u", F.least("u", "_m").alias("m")), "lowest")
         large = both.join(lowest, "u").where(F.col("v") > F.col("u")).select(
             F.col("v").alias("u"), F.col("m").alias("v"))
         large = materialize(tidy(large), "large-star")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = materialize(
             tidy(small.unionByName(least.select("u", F.col("m").alias("v")))), "small-star")

@@ -9,16 +9,16 @@ from telemetra.llm import (
     audit, chat, collocations, langid, mixing, near, packing, quality, quantise, recurrent,
     repeats, secretscan, sharding,
 )
-from telemetra.llm.frames import documents
+from telemetra.llm.frames import documents, table
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(
-        spark.read.parquet(f"{sf_dir}/pages.parquet"), documents(spark, sf_dir))
+        table(spark, sf_dir, "pages"), documents(spark, sf_dir))
 
 
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.canonical(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return chat.canonical(table(spark, sf_dir, "conversations"))
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +52,7 @@ def op9_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quantise.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return quantise.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
 def op11_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +60,7 @@ def op11_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return audit.audit(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
 def op13_phrase_collocation_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
