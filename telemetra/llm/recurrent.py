@@ -19,7 +19,7 @@ from telemetra.session import materialize, spread
 
 END = 0
 HIDDEN = 16
-VOCABULARY, POWER = 16, 0.4  # a corpus of n tokens has VOCABULARY * n**POWER words of its own
+VOCABULARY, POWER = 10, 0.4  # a corpus of n tokens has VOCABULARY * n**POWER words of its own
 RARE_SHARE = 8  # and a symbol of rare words for each so many of those, LEAST_RARE at least
 LEAST_RARE = 64
 ENDING = 3  # bytes by which a rare word is given its symbol
@@ -27,8 +27,10 @@ PIECE = 64  # weights that are updated and averaged together
 SLICE = 1024  # pieces that one row carries from a trainer to the averages
 FAN = 64  # trainers whose weights one task adds up
 WINDOW = 24  # steps that errors are carried back
+SEGMENT = 40 * WINDOW  # training cuts longer documents, scoring does not
 LANES = 512  # documents read side by side
 LANE_TOKENS = 2048  # of a trainer, from which it takes one more lane
+GROUP = 4_000_000  # tokens scored side by side, so that long documents run beside others
 ROUNDS = 2  # parts of the training texts after which the trainers' weights are averaged
 TRAINER_TOKENS = 1 << 21  # trainers number 4 times the root of the tokens divided by this
 LOOKUP_WORDS = 500_000  # words whose counts every task holds, if not more are in the vocabulary
@@ -157,13 +159,21 @@ def forward(model: Model, symbols: np.ndarray, fresh: np.ndarray, state: np.ndar
     return hidden, kept, state
 
 
-def shares(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Exponentials and their sums by row. States lie in (-1, 1), so logits stay moderate."""
-    np.minimum(logits, 80, out=logits)
-    power = np.exp(logits)
+def shares(logits: np.ndarray, tame: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials and their sums by row; logits that may be large are held down."""
+    if not tame:
+        np.minimum(logits, 80, out=logits)
+    power = np.exp(logits, out=logits)
     return power, power @ np.ones(logits.shape[1], np.float32)
 
 
+def stays_tame(model: Model) -> bool:
+    """Whether no logit can pass 80: states lie in (-1, 1)."""
+    weights = max(float(np.abs(w).max(initial=0)) for w in (model.words, model.classes))
+    biases = max(float(np.abs(w).max(initial=0)) for w in (model.word_bias, model.class_bias))
+    return weights * model.width + biases < 80
+
+
 def output(model: Model, hidden: np.ndarray, symbols: np.ndarray, grad: Model | None = None):
     """Log-probability of each symbol given the state before it, and the error of the states."""
     # in order of class, so that each class is one slice
@@ -172,9 +182,11 @@ def output(model: Model, hidden: np.ndarray, symbols: np.ndarray, grad: Model |
     hidden, symbols, kind = hidden[order], symbols[order], kind[order]
     cuts = np.searchsorted(kind, np.arange(model.n_classes + 1)).tolist()
     rows = np.arange(len(symbols))
-    logits = hidden @ model.classes + model.class_bias
+    tame = stays_tame(model)
+    logits = hidden @ model.classes
+    logits += model.class_bias
     chosen = logits[rows, kind]
-    power, total = shares(logits)
+    power, total = shares(logits, tame)
     logp = chosen - np.log(total)
     error = None
     if grad is not None:
@@ -194,7 +206,7 @@ def output(model: Model, hidden: np.ndarray, symbols: np.ndarray, grad: Model |
         logits = hidden[own] @ model.words[begin:end].T
         logits += model.word_bias[begin:end]
         chosen = logits[rows[:n], inside]
-        power, total = shares(logits)
+        power, total = shares(logits, tame)
         logp[own] += chosen - np.log(total)
         if grad is not None:
             power /= total[:, None]
@@ -289,34 +301,39 @@ def lanes(lengths: np.ndarray) -> list[list[int]]:
 def windows(symbols: np.ndarray, begin: np.ndarray):
     """Steps x lanes of symbols, first-symbol marks and document numbers, window by window.
 
-    Lanes are in order of length, so the lanes still running are always the first ones.
+    Lanes are in order of length, so the lanes still running are always the first ones. A
+    document number of -1 stands behind the end of a lane.
     """
     lengths = np.diff(begin)
     rows = lanes(lengths)
+    order = np.concatenate(rows).astype(np.int64)
+    # the documents in order of lanes, one after the other
+    ends = np.cumsum(lengths[order])
+    owner = np.repeat(order.astype(np.int32), lengths[order])
+    place = np.arange(len(owner)) - np.repeat(ends - lengths[order], lengths[order])
+    flat = symbols[begin[:-1][owner] + place]
+    fresh = place == 0
     totals = np.array([int(lengths[docs].sum()) for docs in rows])
-    width = int(totals[0])
-    table = np.zeros((len(rows), width), np.int32)
-    fresh = np.zeros((len(rows), width), bool)
-    owner = np.full((len(rows), width), -1, np.int32)
-    for row, docs in enumerate(rows):
-        at = 0
-        for doc in docs:
-            n = int(lengths[doc])
-            table[row, at: at + n] = symbols[begin[doc]: begin[doc + 1]]
-            owner[row, at: at + n] = doc
-            fresh[row, at] = True
-            at += n
-    for at in range(0, width, WINDOW):
+    starts = np.cumsum(totals) - totals
+    for at in range(0, int(totals[0]), WINDOW):
         live = int(np.searchsorted(-totals, -at, "left"))
-        end = min(width, at + WINDOW)
-        yield tuple(np.ascontiguousarray(x[:live, at:end].T) for x in (table, fresh, owner))
+        step = np.arange(at, min(int(totals[0]), at + WINDOW))[:, None]
+        real = step < totals[:live]
+        where = np.where(real, starts[:live] + step, 0)
+        yield flat[where].astype(np.int64), fresh[where] & real, np.where(real, owner[where], -1)
+
+
+def segments(begin: np.ndarray) -> np.ndarray:
+    """Bounds of the documents, the long ones cut, so that no lane runs on alone in training."""
+    pieces = -(-np.diff(begin) // SEGMENT)
+    inside = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    return np.append(np.repeat(begin[:-1], pieces) + inside * SEGMENT, begin[-1])
 
 
 def train(model: Model, optimiser: Adam, symbols: np.ndarray, begin: np.ndarray) -> None:
     state, grad = None, model.like(optimiser.gradient)
     for steps, fresh, owner in windows(symbols, begin):
         state = np.zeros((steps.shape[1], model.width), np.float32) if state is None else state[: steps.shape[1]]
-        steps = steps.astype(np.int64)
         hidden, kept, state = forward(model, steps, fresh, state)
         real = owner.ravel() >= 0
         errors = np.zeros((steps.size, model.width), np.float32)
@@ -330,7 +347,6 @@ def score(model: Model, symbols: np.ndarray, begin: np.ndarray) -> np.ndarray:
     total, state = np.zeros(len(begin) - 1), None
     for steps, fresh, owner in windows(symbols, begin):
         state = np.zeros((steps.shape[1], model.width), np.float32) if state is None else state[: steps.shape[1]]
-        steps = steps.astype(np.int64)
         hidden, _, state = forward(model, steps, fresh, state)
         real = owner.ravel() >= 0
         logp, _ = output(model, hidden.reshape(-1, model.width)[real], steps.ravel()[real])
@@ -421,7 +437,7 @@ def fitted(training: DataFrame, cuts: np.ndarray, counts: np.ndarray, tokens: in
             for _, held in gathered(batches):
                 symbols, begin = joined(held)
                 seen += len(symbols)
-                train(own, optimiser, symbols, begin)
+                train(own, optimiser, symbols, segments(begin))
             moved = np.flatnonzero(optimiser.steps)
             changes = (own.vector - start).reshape(-1, PIECE)
             parts = np.flatnonzero(np.diff(moved // SLICE)) + 1
@@ -587,17 +603,18 @@ def rate(docs: DataFrame) -> DataFrame:
     def run(batches):
         cuts, vector = shared.value
         own = Model(cuts, width, vector)
-        for parts, held in gathered(batches):
+        for parts, held in gathered(batches, GROUP):
             logp, done = score(own, *joined(held)), 0
             for part in parts:
                 yield {c: part.column(c) for c in part.schema.names if c != "symbols"} | {
                     "_network": logp[done: done + part.num_rows]}
                 done += part.num_rows
 
-    scored = arrow_map(
+    # stored, so that the network runs once, whatever the join does
+    scored = materialize(arrow_map(
         texts.drop("_words", "_times", "deal"), run,
         "doc_id long, held_out boolean, _key long, n_tokens long, _known long, _logs double, "
-        "_rare_logs double, _rare long, _network double")
+        "_rare_logs double, _rare long, _network double"), "scored")
     pairs = texts.select("_key", F.explode(F.arrays_zip("_words", "_times")).alias("p")).select(
         "_key", F.col("p._words").alias("word"), F.col("p._times").alias("times"))
     tail = counts.where(_level() < vocabulary.held).select("word", F.col("n").alias("c"))
