@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ("landing", "columns", "fleet", "reports", "upkeep", "learning", "guides", "streams", "kept")
+AREAS = ("landing", "columns", "fleet", "reports", "upkeep", "learning", "guides", "streams", "kept",
+         "indexes")
 
 
 def load_all() -> None:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 BROADCAST_BYTES = 32 << 20
+TEXT_BYTES = 64
 SECONDS_PER_BIN = 86_400
 LEVEL_BINS = 64  # an interval uses the level at which it spans at most this many bins
 LEVELS = 4  # widths of 1, 64, 4,096 and 262,144 fine bins
@@ -29,6 +30,13 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(row).alias("bytes")).first()["bytes"] or 0
 
 
+def row_bytes(schema: T.StructType) -> int:
+    """About the memory a row takes, texts and arrays reckoned at ``TEXT_BYTES``."""
+    return 16 + sum(
+        8 if isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)) else TEXT_BYTES
+        for f in schema)
+
+
 def enrich(
     facts: DataFrame, assets: DataFrame, key: str = "asset_id", measure: bool = True
 ) -> DataFrame:
@@ -79,18 +87,22 @@ def label_by_interval(
     found exactly once. An asset with very many rows and intervals is thereby cut into
     day-sized pieces instead of comparing all its rows with all its intervals in one task.
     Spark cannot see how many rows the bins make, so they are broadcast only after they were
-    measured, and otherwise joined by sorting, where skewed partitions can be split.
+    counted, and otherwise joined by sorting, where skewed partitions can be split. Rows are
+    looked up only at levels that some interval uses.
     """
     seconds = F.unix_seconds(time)
+    bins = interval_bins(intervals, bin_seconds)
+    # one narrow pass tells which levels occur, at most four, and how many rows they have
+    counted = bins.groupBy("_level").agg(F.count(F.lit(1)).alias("n")).collect()
     places = F.array(*[
         F.struct(
             F.lit(level).alias("_level"),
             F.floor(seconds / (bin_seconds * LEVEL_BINS**level)).alias("_bin"))
-        for level in range(LEVELS)
+        for level in sorted(r["_level"] for r in counted) or [0]
     ])
     left = stats.withColumn("_place", F.explode(places)).select(*stats.columns, "_place.*")
-    bins = interval_bins(intervals, bin_seconds)
-    side = F.broadcast(bins) if measured_bytes(bins) <= BROADCAST_BYTES else bins.hint("merge")
+    small = sum(r["n"] for r in counted) * row_bytes(bins.schema) <= BROADCAST_BYTES
+    side = F.broadcast(bins) if small else bins.hint("merge")
     matched = left.join(side, [key, "_level", "_bin"], "inner")
     at = F.unix_micros(time)
     return matched.where(
@@ -109,6 +121,22 @@ def label_by_key(
     return enrich(stats, assets, key).join(intervals, [key])
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, key: str = "asset_id", buckets: int = 64) -> None:
+    """Store a table hashed and sorted by key, so that joins on the key need no shuffle."""
+    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+
+
+def label_by_key_bucketed(
+    spark: SparkSession, stats: str, assets: str, intervals: str, key: str = "asset_id"
+) -> DataFrame:
+    """:func:`label_by_key` over three tables of :func:`write_bucketed`, bucket by bucket.
+
+    All sides lie in the same buckets, in order of the key, so they are merged as they are read.
+    """
+    facts, known, spans = (spark.table(t) for t in (stats, assets, intervals))
+    return facts.join(known.hint("merge"), [key]).join(spans.hint("merge"), [key])
+
+
 def training_rows(
     labelled: DataFrame, features: list[str], key: str = "asset_id", skip_nulls: bool = False
 ) -> DataFrame:

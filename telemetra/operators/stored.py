@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, ty
 
 from telemetra.operators.changes import delete_where
 from telemetra.operators.latest import latest_per_key
+from telemetra.operators.ordering import global_row_number
+from telemetra.session import materialize
 from telemetra.sources.files import list_files
 
 PLACE = "stored_place"
@@ -145,6 +147,28 @@ class StoredTable:
         rows = self.read(places=touched, entry=entry)
         return self._rewrite(entry, "delete", touched, delete_where(rows, condition))
 
+    def append(self, rows: DataFrame, marks: Mapping[str, int] | None = None) -> int:
+        """Add rows as new files; nothing that is stored is read or written."""
+        entry = self.entry()
+        version = entry["version"] + 1
+        held = self._write(rows, entry["place"], version)
+        kept = [(p["place"], p["held"]) for p in entry["parts"]]
+        schema = T.StructType.fromJson(json.loads(entry["row_schema"]))
+        return self._commit(
+            version, "append", entry["keys"], entry["place"], schema, kept + held,
+            {**(entry["marks"] or {}), **(marks or {})})
+
+    def append_numbered(self, rows: DataFrame, order: Sequence[Column], name: str) -> int:
+        """Append rows with dense numbers that go on where the last load ended.
+
+        The highest number is kept in the log entry that makes the rows visible, so a load that
+        died gives its numbers back and none is used twice.
+        """
+        start = self.marks().get(name, 0)
+        numbered = materialize(
+            global_row_number(rows, order, name).withColumn(name, F.col(name) + start), "numbered")
+        return self.append(numbered, {name: start + numbered.count()})
+
     def upsert(self, rows: DataFrame, marks: Mapping[str, int] | None = None) -> int:
         """Rows replace those of the same key and are added where the key is new."""
         return self.replace_keys(rows.select(*self.entry()["keys"]).distinct(), rows, "upsert", marks)

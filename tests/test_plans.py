@@ -19,6 +19,8 @@ EXPENSIVE = {
     "model_metrics", "model_signature", "incremental_status", "incremental_training",
     "incremental_reads", "stream_label_by_interval", "stream_without_copies", "stored_update",
     "stored_update_before", "stored_delete", "stored_upsert", "stored_untouched",
+    "text_index_topk", "text_index_rare_term", "vector_index_recall", "vector_index_self",
+    "row_identity_loads", "checksum_ranges", "sketch_day_ranks", "sketch_fleet_ranks",
 }
 
 
