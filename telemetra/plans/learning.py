@@ -45,13 +45,27 @@ def temporal_split(
     """Mark the earliest rows as train and the rest as test.
 
     ``order`` starts with the time and ends in a unique key. The cut lies exactly at
-    ``int(rows * share)``, found by a distributed row number.
+    ``int(rows * share)``. Rows are counted per time, running sums of the counts tell the time
+    at which the cut falls, and only rows of that time are put in order and numbered; a null
+    time comes first, as in any ascending order. The rows are stored once and read back.
     """
-    numbered = global_row_number(df, [F.col(c) for c in order], "_position")
-    total = numbered.count()
+    time = order[0]
+    stored = materialize(df, "split-rows")
+    counts = stored.groupBy(F.col(time).alias("_time")).agg(F.count(F.lit(1)).alias("_n"))
+    reached = materialize(running_total(counts, [], ["_time"], "_n", "_earlier"), "times")
+    total = reached.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
     cut = int(total * train_share)
-    part = F.when(F.col("_position") <= cut, "train").otherwise("test")
-    return numbered.withColumn("split", part).drop("_position")
+    edge = reached.where((F.col("_earlier") <= cut) & (F.col("_earlier") + F.col("_n") > cut)).first()
+    if edge is None:  # no rows, or all of them train
+        return stored.withColumn("split", F.lit("train"))
+    at = F.lit(edge["_time"]).cast(stored.schema[time].dataType)
+    inside = F.col(time).eqNullSafe(at)
+    early = F.coalesce(F.col(time) < at, F.col(time).isNull())
+    outside = stored.where(~inside).withColumn("split", F.when(early, "train").otherwise("test"))
+    numbered = global_row_number(stored.where(inside), [F.col(c) for c in order], "_position")
+    first = F.col("_position") + edge["_earlier"] <= cut
+    edges = numbered.withColumn("split", F.when(first, "train").otherwise("test")).drop("_position")
+    return outside.unionByName(edges)
 
 
 def fit_ordinals(train: DataFrame, columns: Sequence[str] = TEXT_FEATURES) -> StringIndexerModel:
