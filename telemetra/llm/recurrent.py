@@ -19,7 +19,7 @@ from telemetra.session import materialize, spread
 
 END = 0
 HIDDEN = 16
-VOCABULARY, POWER = 10, 0.4  # a corpus of n tokens has VOCABULARY * n**POWER words of its own
+VOCABULARY, POWER = 6, 0.4  # a corpus of n tokens has VOCABULARY * n**POWER words of its own
 RARE_SHARE = 8  # and a symbol of rare words for each so many of those, LEAST_RARE at least
 LEAST_RARE = 64
 ENDING = 3  # bytes by which a rare word is given its symbol
@@ -30,6 +30,8 @@ WINDOW = 24  # steps that errors are carried back
 SEGMENT = 40 * WINDOW  # training cuts longer documents, scoring does not
 LANES = 512  # documents read side by side
 LANE_TOKENS = 2048  # of a trainer, from which it takes one more lane
+STRIP = 4096  # states that meet all classes at a time
+READ_OUT = 16_384  # states of scored texts that are read out together
 GROUP = 4_000_000  # tokens scored side by side, so that long documents run beside others
 ROUNDS = 2  # parts of the training texts after which the trainers' weights are averaged
 TRAINER_TOKENS = 1 << 21  # trainers number 4 times the root of the tokens divided by this
@@ -130,10 +132,11 @@ class Model:
         return Model(self.cuts, self.width, vector)
 
 
-def forward(model: Model, symbols: np.ndarray, fresh: np.ndarray, state: np.ndarray):
+def forward(model: Model, symbols: np.ndarray, fresh: np.ndarray, state: np.ndarray, keep: bool = True):
     """Hidden states before each symbol; ``symbols`` and ``fresh`` are steps x lanes.
 
-    The state is set to zero where a new document begins. Returns what training needs.
+    The state is set to zero where a new document begins. Returns what training needs, if it is
+    to be kept.
     """
     h, kept = model.width, []
     hidden = np.empty((*symbols.shape, h), np.float32)
@@ -154,7 +157,8 @@ def forward(model: Model, symbols: np.ndarray, fresh: np.ndarray, state: np.ndar
         new = inner @ recalling
         new += driven[t, :, 2 * h:]
         np.tanh(new, out=new)
-        kept.append((gates, inner, new))
+        if keep:
+            kept.append((gates, inner, new))
         state = state + gates[:, h:] * (new - state)
     return hidden, kept, state
 
@@ -183,18 +187,21 @@ def output(model: Model, hidden: np.ndarray, symbols: np.ndarray, grad: Model |
     cuts = np.searchsorted(kind, np.arange(model.n_classes + 1)).tolist()
     rows = np.arange(len(symbols))
     tame = stays_tame(model)
-    logits = hidden @ model.classes
-    logits += model.class_bias
-    chosen = logits[rows, kind]
-    power, total = shares(logits, tame)
-    logp = chosen - np.log(total)
-    error = None
-    if grad is not None:
-        power /= total[:, None]
-        power[rows, kind] -= 1
-        grad.classes += hidden.T @ power
-        grad.class_bias += power.sum(axis=0)
-        error = power @ model.classes.T
+    logp = np.empty(len(symbols), np.float32)
+    error = None if grad is None else np.empty_like(hidden)
+    for at in range(0, len(symbols), STRIP):  # strips stay in the processor's cache
+        part = slice(at, at + STRIP)
+        logits = hidden[part] @ model.classes
+        logits += model.class_bias
+        chosen = logits[rows[: len(logits)], kind[part]]
+        power, total = shares(logits, tame)
+        logp[part] = chosen - np.log(total)
+        if grad is not None:
+            power /= total[:, None]
+            power[rows[: len(power)], kind[part]] -= 1
+            grad.classes += hidden[part].T @ power
+            grad.class_bias += power.sum(axis=0)
+            error[part] = power @ model.classes.T
     bounds = model.cuts.tolist()
     for c in range(model.n_classes):
         begin, end = bounds[c], bounds[c + 1]
@@ -343,14 +350,30 @@ def train(model: Model, optimiser: Adam, symbols: np.ndarray, begin: np.ndarray)
 
 
 def score(model: Model, symbols: np.ndarray, begin: np.ndarray) -> np.ndarray:
-    """Natural log-probability of each document, its state carried through all windows."""
+    """Natural log-probability of each document, its state carried through all windows.
+
+    States of several windows are read out together, so that a long document that runs on
+    alone costs no more reading than others.
+    """
     total, state = np.zeros(len(begin) - 1), None
+    held, size = [], 0
+
+    def read_out() -> None:
+        hidden, steps, owner = (np.concatenate(side) for side in zip(*held))
+        logp, _ = output(model, hidden, steps)
+        np.add(total, np.bincount(owner, logp.astype(np.float64), len(total)), out=total)
+
     for steps, fresh, owner in windows(symbols, begin):
         state = np.zeros((steps.shape[1], model.width), np.float32) if state is None else state[: steps.shape[1]]
-        hidden, _, state = forward(model, steps, fresh, state)
+        hidden, _, state = forward(model, steps, fresh, state, keep=False)
         real = owner.ravel() >= 0
-        logp, _ = output(model, hidden.reshape(-1, model.width)[real], steps.ravel()[real])
-        total += np.bincount(owner.ravel()[real], logp.astype(np.float64), len(total))
+        held.append((hidden.reshape(-1, model.width)[real], steps.ravel()[real], owner.ravel()[real]))
+        size += len(held[-1][1])
+        if size >= READ_OUT:
+            read_out()
+            held, size = [], 0
+    if held:
+        read_out()
     return total
 
 
