@@ -9,24 +9,25 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator, Mapping, Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
+from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from telemetra.operators.arrow import map_columns
-from telemetra.session import materialize
+from telemetra.session import materialize, scratch_path
 
 BINS = 256  # the first is for nulls
-BLOCK_ROWS = 65_536  # rows whose sums one task makes together
+BLOCK_ROWS = 1 << 18  # rows whose sums one task makes together; 6 MB of bins and keys
 CELLS = 1 << 22  # sums of a block that are prepared at a time
 SHRINK = 1.0  # added to every sum of hessians
 LEAST_GAIN = 1e-9
 DIGITS = 9  # to which gains are compared, so that the order of the rows does not decide
-STORE_EVERY = 10  # rounds after which the scores of the rows are stored
+STORE_EVERY = 25  # rounds after which the scores of the rows are stored
 
 
 @dataclass(frozen=True)
@@ -127,14 +128,14 @@ class Tree:
 
     def route(self, bins: np.ndarray, levels: int) -> np.ndarray:
         """Node of each row and class after so many levels."""
-        kind = np.arange(len(self.feature))
-        node = np.zeros((len(bins), len(kind)), np.int64)
-        rows = np.arange(len(bins))[:, None]
-        for _ in range(levels):
-            feature = self.feature[kind, node]
-            right = bins[rows, np.maximum(feature, 0)] > self.cut[kind, node]
-            node = np.where(feature >= 0, 2 * node + 1 + right, node)
-        return node
+        flat, first = bins.ravel(), np.arange(len(bins)) * bins.shape[1]
+        node = np.zeros((len(self.feature), len(bins)), np.int64)
+        for own, split, cut in zip(node, self.feature, self.cut):
+            for _ in range(levels):
+                feature = split.take(own)
+                right = flat.take(first + np.maximum(feature, 0)) > cut.take(own)
+                own[:] = np.where(feature >= 0, 2 * own + 1 + right, own)
+        return node.T
 
     def add(self, scores: np.ndarray, bins: np.ndarray) -> None:
         depth = int(np.log2(self.feature.shape[1] + 1)) - 1
@@ -159,12 +160,14 @@ def sampled(keys: np.ndarray, trial: int, turn: int, share: float) -> np.ndarray
 
 
 def level_sums(bins, labels, scores, tree: Tree, level: int, starts: np.ndarray) -> np.ndarray:
-    """Gradient and hessian sums: (class and node) x (feature and bin) x 2."""
+    """Gradient and hessian sums: (class and node) x (feature and bin) x 2.
+
+    One class and feature at a time, so that the cells in use stay in the processor's cache.
+    """
     classes, features = scores.shape[1], bins.shape[1]
     width, cells = 2**level, int(starts[-1])
-    out = np.zeros((2, classes * width * cells))
+    out = np.zeros((2, classes, width, cells))
     step = max(1, CELLS // (classes * features))
-    offset = np.arange(classes) * width
     for at in range(0, len(bins), step):
         part = slice(at, at + step)
         share = softmax(scores[part])
@@ -172,11 +175,17 @@ def level_sums(bins, labels, scores, tree: Tree, level: int, starts: np.ndarray)
         gradient = share
         gradient[np.arange(len(share)), labels[part]] -= 1
         node = tree.route(bins[part], level) - (width - 1)
-        here = (node >= 0).ravel()
-        cell = ((offset + node) * cells)[:, :, None] + (bins[part] + starts[:-1])[:, None, :]
-        cell = cell.reshape(-1, features)[here].ravel()
-        for i, weight in enumerate((gradient, hessian)):
-            out[i] += np.bincount(cell, np.repeat(weight.ravel()[here], features), out.shape[1])
+        columns = np.ascontiguousarray(bins[part].T)
+        for k in range(classes):
+            here = np.flatnonzero(node[:, k] >= 0)
+            place = node[here, k] * BINS
+            weights = gradient[here, k], hessian[here, k]
+            for f in range(features):
+                cell = place + columns[f].take(here)
+                low, high = starts[f], starts[f + 1]
+                for i, weight in enumerate(weights):
+                    found = np.bincount(cell, weight, width * BINS).reshape(width, BINS)
+                    out[i, k, :, low:high] += found[:, : high - low]
     return np.moveaxis(out.reshape(2, classes * width, cells), 0, -1)
 
 
@@ -264,9 +273,18 @@ class BoostedModel:
 # --- fitting ----------------------------------------------------------------------------
 
 
-def blocks_of(rows: DataFrame, binning: Binning, label: str, block_rows: int) -> tuple[DataFrame, int]:
-    """Rows as blocks ``keys, labels, bins``, dealt by a hash of the row, and their number."""
+def blocks_of(
+    rows: DataFrame, binning: Binning, label: str, block_rows: int, trials: int = 1
+) -> tuple[DataFrame, int]:
+    """Rows as blocks ``keys, labels, bins``, dealt by a hash of the row, and their number.
+
+    If they are more than one, blocks times trials fill all cores equally often.
+    """
     parts = max(1, -(-rows.count() // block_rows))
+    if parts > 1:
+        cores = rows.sparkSession.sparkContext.defaultParallelism
+        rounds = -(-parts * trials // cores)
+        parts = max(parts, -(-rounds * cores // trials))
     keyed = rows.select(
         F.xxhash64(*rows.columns).alias("_key"), F.col(label).cast("string").alias("_label"),
         *binning.features)
@@ -344,112 +362,128 @@ def _grown_apart(blocks: DataFrame, trials: Sequence[Trial], binning: Binning, s
     return [models[i] for i in range(len(trials))]
 
 
-_SPLIT = ("trial int, place int, feature int, cut int, gain double, "
-          "left array<double>, right array<double>")
+@dataclass(frozen=True)
+class _Piece:
+    """The rows of one block as one trial sees them; ``number`` orders the pieces of a trial."""
+
+    trial: int
+    number: int
+    block: tuple[np.ndarray, np.ndarray, np.ndarray]
+    scores: np.ndarray
+
+    def later(self, tree: Tree) -> _Piece:
+        scores = self.scores.copy()
+        tree.add(scores, self.block[2])
+        return replace(self, scores=scores)
+
+
+def _pieces(blocks: DataFrame, trials: Sequence[Trial], features: int, count: int, start: np.ndarray) -> RDD:
+    """Every block once per trial, the pieces of a trial beside each other in few partitions."""
+    context = blocks.sparkSession.sparkContext
+    total = count * len(trials)
+    parts = min(total, 2 * max(context.defaultParallelism, len(trials)))
+
+    def opened(row):
+        at, block = row[1], _opened(row[0], features)
+        for t in range(len(trials)):
+            yield t * count + at, _Piece(t, at, block, np.tile(start, (len(block[0]), 1)))
+
+    dealt = blocks.rdd.zipWithIndex().flatMap(opened)
+    return dealt.partitionBy(parts, lambda place: place * parts // total).values()
 
 
 def _level(
-    blocks: DataFrame, trials: Sequence[Trial], starts: np.ndarray, classes: int, pending: list,
-    trees: dict[int, Tree], level: int, going: list[int], turn: int,
-):
-    """Best splits of one level of all trials in ``going``: one pass, one row per class and node."""
-    shared = blocks.sparkSession.sparkContext.broadcast((pending, trees))
-    features = len(starts) - 1
-
-    def sums(batches):
-        before, now = shared.value
+    pieces: RDD, trials: Sequence[Trial], starts: np.ndarray, trees: dict[int, Tree], level: int,
+    going: Sequence[int], turn: int,
+) -> list[tuple[int, np.ndarray, dict[str, np.ndarray]]]:
+    """Best splits of one level of all trials in ``going``: one pass, by trial, class and node."""
+
+    def sums(held):
         total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for row in batch.to_pylist():
-                keys, labels, bins = _opened(row, features)
-                held = np.frombuffer(row["scores"]).reshape(len(trials), len(keys), classes)
-                for t in going:
-                    scores = held[t].copy()
-                    for earlier in before:
-                        if t in earlier:
-                            earlier[t].add(scores, bins)
-                    seen = sampled(keys, t, turn, trials[t].subsample)
-                    found = level_sums(bins[seen], labels[seen], scores[seen], now[t], level, starts)
-                    total[t] = total[t] + found if t in total else found
+        first: dict[int, int] = {}
+        for piece in held:
+            t = piece.trial
+            if t not in going:
+                continue
+            keys, labels, bins = piece.block
+            seen = sampled(keys, t, turn, trials[t].subsample)
+            found = level_sums(bins[seen], labels[seen], piece.scores[seen], trees[t], level, starts)
+            total[t] = total[t] + found if t in total else found
+            first.setdefault(t, piece.number)
         for t, found in total.items():
-            places = np.flatnonzero(found[:, : starts[1], 1].any(axis=1))
-            yield {"trial": [t] * len(places), "place": places,
-                   "part": [TaskContext.get().partitionId()] * len(places),
-                   "sums": [found[p].tobytes() for p in places]}
-
-    def splits(batches):
-        total: dict[tuple[int, int], np.ndarray] = {}
-        for batch in batches:
-            for row in batch.to_pylist():
-                own = np.frombuffer(row["sums"]).reshape(-1, 2)
-                key = row["trial"], row["place"]
-                total[key] = total[key] + own if key in total else own
-        if total:
-            found = best_splits(np.stack(list(total.values())), starts)
-            trial, place = zip(*total)
-            yield {"trial": trial, "place": place, "feature": found["feature"], "cut": found["cut"],
-                   "gain": found["gain"], "left": list(found["left"]), "right": list(found["right"])}
-
-    partial = map_columns(blocks, sums, "trial int, place int, part int, sums binary")
-    dealt = partial.repartition("trial", "place").sortWithinPartitions("trial", "place", "part")
-    rows = map_columns(dealt, splits, _SPLIT).collect()
-    shared.unpersist()
-    return rows
+            for place in np.flatnonzero(found[:, : starts[1], 1].any(axis=1)):
+                yield (t, int(place)), (first[t], found[place])
+
+    def splits(held):
+        # always added in the same order, so that reruns round alike
+        total: dict[tuple[int, int], list] = {}
+        for key, part in held:
+            total.setdefault(key, []).append(part)
+        by_trial: dict[int, tuple[list, list]] = {}
+        for (t, place), parts in total.items():
+            places, added = by_trial.setdefault(t, ([], []))
+            places.append(place)
+            added.append(sum(found for _, found in sorted(parts, key=lambda p: p[0])))
+        for t, (places, added) in by_trial.items():
+            yield t, np.array(places), best_splits(np.stack(added), starts)
+
+    nodes = sum(trees[t].feature.shape[0] for t in going) * 2**level
+    tasks = min(nodes, pieces.context.defaultParallelism)
+    return pieces.mapPartitions(sums).partitionBy(tasks).mapPartitions(splits).collect()
 
 
 def _grown_together(blocks: DataFrame, trials: Sequence[Trial], binning: Binning, start: np.ndarray):
-    """All trials level by level over all blocks."""
-    features, classes, count = len(binning.features), len(start), len(trials)
-    starts = binning.starts
+    """All trials level by level over all blocks, each level a short job over pieces held by Spark.
 
-    def with_scores(given: DataFrame, pending) -> DataFrame:
-        def run(batches):
-            for batch in batches:
-                for row in batch.to_pylist():
-                    keys, _, bins = _opened(row, features)
-                    if "scores" in row:
-                        scores = np.frombuffer(row["scores"]).reshape(count, len(keys), classes).copy()
-                    else:
-                        scores = np.tile(start, (count, len(keys), 1))
-                    for earlier in pending:
-                        for t, tree in earlier.items():
-                            tree.add(scores[t], bins)
-                    yield {c: [row[c]] for c in ("keys", "labels", "bins")} | {"scores": [scores.tobytes()]}
-
-        return materialize(
-            map_columns(given, run, "keys binary, labels binary, bins binary, scores binary"), "scores")
-
-    scored, pending = with_scores(blocks, []), []
+    A round's trees are added to the scores in the first pass of the next round. Every
+    ``STORE_EVERY`` rounds the pieces are written, which cuts their lineage.
+    """
+    spark, starts = blocks.sparkSession, binning.starts
+    last = max(t.rounds for t in trials)
+    pieces = _pieces(blocks, trials, len(binning.features), blocks.count(), start).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    held = [pieces]
     models: list[list[Tree]] = [[] for _ in trials]
-    for turn in range(max(t.rounds for t in trials)):
+    for turn in range(last):
         active = [i for i, t in enumerate(trials) if turn < t.rounds]
-        trees = {i: Tree(classes, trials[i].depth) for i in active}
+        trees = {i: Tree(len(start), trials[i].depth) for i in active}
         going = active
         for level in range(max(trials[i].depth for i in active)):
             going = [i for i in going if level < trials[i].depth]
             if not going:
                 break
-            rows = _level(scored, trials, starts, classes, pending, trees, level, going, turn)
+            rows = _level(pieces, trials, starts, trees, level, going, turn)
+            while len(held) > 1:  # this round's pieces are held by now, the last round's can go
+                held.pop(0).unpersist()
             split = set()
-            for i in going:
-                own = [r for r in rows if r["trial"] == i]
-                if not own:
-                    continue
-                kind, place = np.divmod(np.array([r["place"] for r in own]), 2**level)
-                trees[i].grow(level, kind, place, {
-                    c: np.array([r[c] for r in own]) for c in ("feature", "cut", "gain", "left", "right")
-                }, trials[i].rate)
-                if any(r["gain"] > LEAST_GAIN for r in own):
+            for i, places, found in rows:
+                kind, place = np.divmod(places, 2**level)
+                trees[i].grow(level, kind, place, found, trials[i].rate)
+                if (found["gain"] > LEAST_GAIN).any():
                     split.add(i)
             going = [i for i in going if i in split]
         for i in active:
             models[i].append(trees[i])
-        pending.append(trees)
-        if len(pending) == STORE_EVERY:
-            scored, pending = with_scores(scored, pending), []
+        if turn + 1 < last:
+            pieces = pieces.filter(partial(_goes_on, turn + 1, trials)).map(partial(_added, trees))
+            if (turn + 1) % STORE_EVERY == 0:
+                path = scratch_path(spark, "scores")
+                pieces.saveAsPickleFile(path)
+                pieces = spark.sparkContext.pickleFile(path, pieces.getNumPartitions())
+            held.append(pieces.persist(StorageLevel.MEMORY_AND_DISK))
+    for rest in held:
+        rest.unpersist()
     return [BoostedModel(binning, t, start, m) for t, m in zip(trials, models)]
 
 
+def _goes_on(turn: int, trials: Sequence[Trial], piece: _Piece) -> bool:
+    return turn < trials[piece.trial].rounds
+
+
+def _added(trees: Mapping[int, Tree], piece: _Piece) -> _Piece:
+    return piece.later(trees[piece.trial])
+
+
 def fit(
     rows: DataFrame, numbers: Sequence[str], texts: Sequence[str], label: str,
     trials: Sequence[Trial], block_rows: int = BLOCK_ROWS,
@@ -464,7 +498,7 @@ def fit(
     binning = learn_binning(rows, numbers, texts, label)
     if not binning.classes:
         raise ValueError("no labelled rows to learn from")
-    blocks, count = blocks_of(rows, binning, label, block_rows)
+    blocks, count = blocks_of(rows, binning, label, block_rows, len(trials))
     counts = {r[0]: r[1] for r in rows.where(F.col(label).isNotNull()).groupBy(
         F.col(label).cast("string")).count().collect()}
     share = np.array([counts[c] for c in binning.classes], float)

@@ -681,6 +681,26 @@ def test_boosting_in_blocks_equals_boosting_in_one_block(spark):
     assert not np.allclose(one[0].trees[1].value[:, :7], one[1].trees[1].value)  # other rows and rates
 
 
+def test_boosting_in_blocks_takes_one_job_a_level(spark):
+    rows_ = labelled_rows(spark)
+    context = spark.sparkContext
+    context.setJobGroup("boosting-jobs", "levels")
+    try:
+        boosting.fit(rows_, ["a", "b"], ["place"], "label", [boosting.Trial(12, 3, 0.2, 0.7)], block_rows=100)
+    finally:
+        context._jsc.clearJobGroup()
+    assert len(context.statusTracker().getJobIdsForGroup("boosting-jobs")) <= 12 * 3 + 20
+
+
+def test_boosting_in_blocks_gives_every_core_a_block(spark):
+    rows_ = labelled_rows(spark)
+    binning = boosting.learn_binning(rows_, ["a", "b"], ["place"], "label")
+    cores = spark.sparkContext.defaultParallelism
+    assert boosting.blocks_of(rows_, binning, "label", 899, 1)[1] == cores
+    assert boosting.blocks_of(rows_, binning, "label", 899, cores)[1] == 2
+    assert boosting.blocks_of(rows_, binning, "label", 900, 1)[1] == 1
+
+
 def test_boosting_against_a_plain_search_of_splits(spark):
     rows_ = labelled_rows(spark, 300)
     model = boosting.fit(rows_, ["a", "b"], ["place"], "label", [boosting.Trial(1, 1, 1.0, 1.0)])[0]
