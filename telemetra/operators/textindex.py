@@ -12,6 +12,7 @@ from telemetra.session import materialize
 
 FOLDERS = 64  # of terms, by hash
 SPAN = 1024  # documents of one span, on average
+SPANS_AT_ONCE = 8  # spans that one task cuts, if the cores have work
 PROBED = 8  # spans that are scored to learn what a document must reach
 
 
@@ -19,8 +20,8 @@ class TextIndex:
     """Postings below ``path``, in segments that are added one by one.
 
     A posting row holds all documents of one span (a hash of the key) that have the term, with
-    their counts and lengths, and beside them the largest count and smallest length. From those
-    follows the most that a document of the span can score, so spans that cannot reach the k
+    their counts and lengths as arrays side by side, and beside them the largest count and
+    smallest length. From those follows the most that a document of the span can score, so spans that cannot reach the k
     best are never opened. A segment counts once its statistics are stored, which is last; one
     that was left unfinished is written over. Keys are unique over all segments.
     """
@@ -38,28 +39,37 @@ class TextIndex:
     def add(self, documents: DataFrame, key: str, text: str) -> int:
         """Index the rows as a new segment and return its number.
 
-        Every whole text is cut into terms once; the counts of a document's terms are merged
-        before they are shuffled.
+        Texts meet once by span and are cut there, so counts and postings need no shuffle of
+        their own; only finished postings are dealt to folders. Keys are read for themselves,
+        and the length of all texts is the sum of the counts that were stored.
         """
         segment = len(self._segments()) + 1
-        cut = materialize(documents.select(F.col(key).alias("key"), terms_of(F.col(text)).alias("terms")), "terms")
-        sizes = cut.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("terms")), F.lit(0)).alias("l")).first()
-        spans = max(1, round(sizes["n"] / SPAN))
-        opened = cut.select(
-            "key", F.pmod(F.xxhash64("key"), F.lit(spans)).cast("int").alias("span"),
-            F.size("terms").alias("length"), F.explode("terms").alias("term"))
+        keys, stored = f"{self.path}/keys/segment={segment}", f"{self.path}/postings/segment={segment}"
+        documents.select(F.col(key).alias("key")).write.mode("overwrite").parquet(keys)
+        n = self.spark.read.parquet(keys).count()
+        spans = max(1, round(n / SPAN))
+        tasks = min(spans, max(2 * self.spark.sparkContext.defaultParallelism, spans // SPANS_AT_ONCE))
+        span = F.pmod(F.xxhash64("key"), F.lit(spans)).cast("int")
+        dealt = documents.select(F.col(key).alias("key"), F.col(text).alias("text")).withColumn(
+            "span", span).repartition(tasks, "span")
+        cut = dealt.select("key", "span", terms_of(F.col("text")).alias("terms"))
+        opened = cut.select("key", "span", F.size("terms").alias("length"), F.explode("terms").alias("term"))
         counts = opened.groupBy("term", "span", "key", "length").agg(F.count(F.lit(1)).alias("count"))
-        postings = counts.groupBy("term", "span").agg(
-            F.collect_list(F.struct("key", "count", "length")).alias("hits"),
-            F.count(F.lit(1)).alias("documents"), F.max("count").alias("most"),
-            F.min("length").alias("least"))
-        placed = postings.withColumn("folder", _folder(F.col("term")))
-        placed.hint("rebalance", "folder").sortWithinPartitions("folder", "term").write.mode(
-            "overwrite").partitionBy("folder").parquet(f"{self.path}/postings/segment={segment}")
-        cut.select("key").write.mode("overwrite").parquet(f"{self.path}/keys/segment={segment}")
-        self.spark.createDataFrame(
-            [(sizes["n"], sizes["l"])], "documents long, length long"
-        ).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/statistics/segment={segment}")
+        postings = counts.groupBy("term", "span").agg(F.collect_list(
+            F.struct("key", F.col("count").cast("int").alias("count"), "length")).alias("hits"))
+        # what follows from the arrays is added behind the last shuffle
+        placed = postings.select(
+            "term", "span", F.col("hits.key").alias("keys"), F.col("hits.count").alias("counts"),
+            F.col("hits.length").alias("lengths"), _folder(F.col("term")).alias("folder"))
+        placed.hint("rebalance", "folder").sortWithinPartitions("folder", "term").withColumns({
+            "documents": F.size("keys").cast("long"), "most": F.array_max("counts").cast("long"),
+            "least": F.array_min("lengths"),
+            "occurrences": F.aggregate("counts", F.lit(0).cast("long"), lambda total, c: total + c),
+        }).write.mode("overwrite").partitionBy("folder").parquet(stored)
+        length = self.spark.read.schema("occurrences long").parquet(stored).agg(
+            F.coalesce(F.sum("occurrences"), F.lit(0))).first()[0]
+        self.spark.createDataFrame([(n, length)], "documents long, length long").coalesce(1).write.mode(
+            "overwrite").parquet(f"{self.path}/statistics/segment={segment}")
         return segment
 
     def asked_terms(self, question: str) -> list[str]:
@@ -137,9 +147,9 @@ class _Search:
 
     def scores(self, spans: DataFrame) -> DataFrame:
         chosen = self.found.join(spans.select("segment", "span"), ["segment", "span"], "left_semi")
-        hits = chosen.select("term", F.explode("hits").alias("h"))
-        return hits.groupBy(F.col("h.key").alias("key")).agg(
-            F.sum(self.part(F.col("h.count"), F.col("h.length"))).alias("similarity"))
+        hits = chosen.select("term", F.explode(F.arrays_zip("keys", "counts", "lengths")).alias("h"))
+        return hits.groupBy(F.col("h.keys").alias("key")).agg(
+            F.sum(self.part(F.col("h.counts"), F.col("h.lengths"))).alias("similarity"))
 
 
 def _folder(term: Column) -> Column:

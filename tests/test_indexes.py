@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import pathlib
 import random
 import re
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from telemetra.functions.search import register_vector_search
 from telemetra.operators import joins, layout, retrieval, stored, textindex, vectorindex
-from telemetra.session import scratch_path
+from telemetra.session import scratch_path, shared_root
 
 UTC = dt.timezone.utc
 
@@ -60,6 +61,29 @@ def test_text_index_reads_only_its_terms_folders(spark, texts):
     assert len({re.search(r"folder=(\d+)", r[0])[1] for r in folders}) == 1
 
 
+def test_text_index_stores_postings_and_keys_only(spark, texts):
+    scratch = pathlib.Path(shared_root(spark), "telemetra")
+    before = {p.name for p in scratch.glob("terms-*")}
+    index, frame = index_of(spark, texts, parts=1)
+    assert {p.name for p in scratch.glob("terms-*")} == before
+    postings = spark.read.parquet(f"{index.path}/postings")
+    assert not any(f.dataType.simpleString().startswith("array<struct") for f in postings.schema)
+    words = sum(len(re.findall(r"\w+", body or "")) for _, body in texts)
+    assert index._segments() == [(1, len(texts), words)]
+    assert postings.agg(F.sum(F.aggregate("counts", F.lit(0), lambda a, c: a + c))).first()[0] == words
+
+
+def test_text_index_takes_texts_without_terms_and_equal_keys(spark):
+    index, _ = index_of(spark, [(1, None), (2, "")], parts=1)
+    assert [r.key for r in index.search("a", 5).collect()] == [1, 2]
+    index = textindex.TextIndex(spark, scratch_path(spark, "index"))
+    index.add(spark.createDataFrame(
+        [(1, "a b"), (1, "b a"), (None, "a a"), (3, "c")], "id long, body string"), "id", "body")
+    hits = spark.read.parquet(f"{index.path}/postings").where("term = 'a'").select(
+        F.explode(F.arrays_zip("keys", "counts", "lengths")).alias("h")).select("h.*").collect()
+    assert {tuple(h) for h in hits} == {(1, 2, 2), (None, 2, 2)}
+
+
 def test_unfinished_segment_does_not_count(spark, texts):
     index, _ = index_of(spark, texts[:50], parts=1)
     spark.createDataFrame([(9, "w0 " * 50)], "key long, term string").write.parquet(f"{index.path}/keys/segment=2")
