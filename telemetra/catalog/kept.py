@@ -244,7 +244,7 @@ def stream_label_by_interval(spark, folder):
             part = part if high is None else part.where(at < high)
             part.write.mode("append").parquet(path)
         stream = labels.label_stream(
-            timed_stream(spark, landed),
+            timed_stream(spark, landed).select("event_id", "asset_id", "event_time"),
             ingest.read_folder(spark, spans, "parquet", schema=STATUS_INTERVAL))
         ingest.finish(ingest.write_stream(stream, checkpoint, target))
     return spark.read.parquet(target).select(

@@ -12,6 +12,8 @@ from telemetra.sources.files import resolve_schema
 from telemetra.sources.rescue import rescue_columns, rescue_json
 from telemetra.streaming.versions import sum_versions, write_versions
 
+CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+
 
 def read_folder(
     spark: SparkSession,
@@ -57,15 +59,21 @@ def write_stream(
 ) -> StreamingQuery:
     """Append to a Parquet folder or a table, exactly once per checkpoint.
 
-    The default drains what is there and stops; ``every`` keeps the job running instead.
+    The default drains what is there and stops; ``every`` keeps the job running instead. A run
+    that stops stores its state as files, as the next one would have to play all changes since
+    the first run again; one that goes on uploads only the changes of each batch.
     """
     writer = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    if table:
-        return writer.format("parquet").toTable(table)
-    if path is None:
+    if not table and path is None:
         raise ValueError("give a path or a table")
-    return writer.format("parquet").start(path)
+    conf = stream.sparkSession.conf
+    before = conf.get(CHANGELOG, None)
+    conf.set(CHANGELOG, str(bool(every)).lower())  # the query takes a copy of the settings
+    try:
+        return writer.format("parquet").toTable(table) if table else writer.format("parquet").start(path)
+    finally:
+        conf.unset(CHANGELOG) if before is None else conf.set(CHANGELOG, before)
 
 
 def ingest_folder(

@@ -266,6 +266,24 @@ def test_copies_leave_one_row_across_files_and_restarts(spark):
     assert got == [1, 2, 3, 4]
 
 
+def test_draining_runs_store_state_and_not_only_changes(spark, tmp_path):
+    """A next run would play back all changes since the first one."""
+    setting = ingest.CHANGELOG
+    before = spark.conf.get(setting, None)
+    landing, checkpoint, target = (str(tmp_path / n) for n in ("in", "check", "out"))
+    for day in (1, 2, 3):
+        spark.createDataFrame(
+            [(i, dt.datetime(2024, 1, day, i)) for i in range(5)], "id int, at timestamp"
+        ).write.mode("append").parquet(landing)
+        stream = ingest.read_folder(spark, landing, "parquet", schema=spark.read.parquet(landing).schema)
+        ingest.finish(ingest.write_stream(
+            ingest.without_copies(stream, ["id", "at"], "at", "1 day"), checkpoint, target))
+    assert spark.read.parquet(target).count() == 15
+    assert spark.conf.get(setting, None) == before
+    state = {p.suffix for p in (tmp_path / "check" / "state").rglob("*") if p.is_file()}
+    assert ".zip" in state and ".changelog" not in state
+
+
 def test_label_stream_drops_old_state(spark):
     readings, spans, target, checkpoint = places(spark, "r", "s", "t", "c")
     base = int(at(0).timestamp())
