@@ -8,10 +8,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from telemetra.session import materialize, pin_settings
 
+BITMAP_BITS = 1 << 15  # bits of one of Spark's bitmaps
+SIFT_BITS = 1 << 28  # 32 MB
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return pin_settings(spark).read.parquet(f"{sf_dir}/{name}.parquet")
@@ -118,6 +121,35 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return now.select(F.col("u").alias("vertex"), F.col("v").alias("root")).unionByName(roots)
 
 
+def sifted(df: DataFrame, place: Column, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``df`` whose ``place`` may be among ``keys``, and those for which it is not.
+
+    ``place`` and the one column of ``keys`` are 64-bit hashes. The keys are marked in bitmaps of
+    16 bits a key, at most ``SIFT_BITS`` in all, so the broadcast is bounded. A few rows pass
+    by chance: the first part is to be joined exactly, the second needs no shuffle.
+    """
+    hashed = F.col(keys.columns[0])
+    stored = keys.where(hashed.isNotNull())
+    bits = min(SIFT_BITS, 1 << max(15, (16 * stored.count()).bit_length()))
+
+    def bit(c: Column) -> Column:
+        return F.pmod(c, F.lit(bits))
+
+    def bucket(c: Column) -> Column:
+        return F.shiftright(bit(c), 15)
+
+    maps = materialize(
+        stored.groupBy(bucket(hashed).alias("_bucket")).agg(
+            F.bitmap_construct_agg(bit(hashed) % BITMAP_BITS).alias("_map")), "bitmaps")
+    placed = df.withColumn("_place", place)
+    at = bit(F.col("_place")) % BITMAP_BITS
+    byte = F.conv(F.hex(F.substring("_map", F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10)
+    joined = placed.join(
+        F.broadcast(maps), bucket(F.col("_place")) == F.col("_bucket"), "left")
+    maybe = F.coalesce(F.getbit(byte.cast("int"), (at % 8).cast("int")) == 1, F.lit(False))
+    return joined.where(maybe).select(*df.columns), joined.where(~maybe).select(*df.columns)
+
+
 def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """Tables of whole groups from batches sorted by the keys, with the bounds of the groups.
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from telemetra.llm import text as tx
+from telemetra.operators.joins import small_side
 from telemetra.operators.ordering import running_total
 from telemetra.session import materialize
 
@@ -49,6 +50,39 @@ def targets(sizes: DataFrame) -> DataFrame:
     )
 
 
+def size(text: str = "text") -> Column:
+    """Words of the text."""
+    return F.coalesce(F.regexp_count(text, F.lit(tx.WORD)), F.lit(0)).cast("bigint")
+
+
+def key() -> Column:
+    """Where a row stands in the random order."""
+    return F.md5(F.concat(F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+
+
+def ordered(docs: DataFrame, carry: Sequence[str]) -> DataFrame:
+    """``carry, size, _key`` with the columns of the source's target and where each row begins."""
+    rows = materialize(docs.select(
+        *carry, F.col("source").alias("_source"), size().alias("size"), key().alias("_key")), "sizes")
+    aims = materialize(
+        targets(rows.groupBy(F.col("_source").alias("source")).agg(F.sum("size").alias("n"))),
+        "targets")
+    aimed = rows.join(aims, F.col("_source").eqNullSafe(F.col("source"))).drop("_source")
+    return running_total(aimed, ["_rank"], ["_key", "size", *carry], "size", "begins")
+
+
+def shares() -> dict[str, Column]:
+    """What the mix takes of a row that begins at ``begins``: words, whole copies, words of a cut one."""
+    zero = F.lit(0).cast("bigint")
+    left = F.col("budget") - F.col("begins")
+    first = F.greatest(zero, F.least(left, F.col("size")))
+    again = F.greatest(zero, F.least(left - F.col("n"), F.col("size")))
+    whole = [((part == F.col("size")) & (part > 0)).cast("int") for part in (first, again)]
+    return {
+        "taken": first + again, "full": whole[0] + whole[1],
+        "cut": F.when(whole[0] == 0, first).when(whole[1] == 0, again).otherwise(zero)}
+
+
 def mix(docs: DataFrame, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Words that the mix takes of each row of ``doc_id, source, text``.
 
@@ -61,49 +95,72 @@ def mix(docs: DataFrame, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
     Returns the columns ``carry``, ``size, source_size, target, taken``, and ``full`` (whole
     copies of the row) and ``cut`` (words of one more, cut copy; 0 for none).
     """
-    rows = materialize(docs.select(
-        *carry, F.col("source").alias("_source"),
-        F.coalesce(F.regexp_count("text", F.lit(tx.WORD)), F.lit(0)).cast("bigint").alias("size"),
-        F.md5(F.concat(F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-        .alias("_key")), "sizes")
-    aims = materialize(
-        targets(rows.groupBy(F.col("_source").alias("source")).agg(F.sum("size").alias("n"))),
-        "targets")
-    aimed = rows.join(aims, F.col("_source").eqNullSafe(F.col("source"))).drop("_source", "source")
-    ordered = running_total(aimed, ["_rank"], ["_key", "size", *carry], "size", "begins")
-    zero = F.lit(0).cast("bigint")
-    left = F.col("budget") - F.col("begins")
-    first = F.greatest(zero, F.least(left, F.col("size")))
-    again = F.greatest(zero, F.least(left - F.col("n"), F.col("size")))
-    whole = [((part == F.col("size")) & (part > 0)).cast("int") for part in (first, again)]
-    return ordered.select(
+    return ordered(docs, carry).select(
         *carry, "size", F.col("n").alias("source_size"), "target",
-        (first + again).alias("taken"), (whole[0] + whole[1]).alias("full"),
-        F.when(whole[0] == 0, first).when(whole[1] == 0, again).otherwise(zero).alias("cut"))
+        *[c.alias(name) for name, c in shares().items()])
+
+
+def edges(docs: DataFrame) -> DataFrame:
+    """Per source where each pass over it stops: ``_rank, source, n, budget, _edges``.
+
+    An edge is ``_key, size, begins`` of the first rows in the order that the pass does not
+    take as a whole, null where it takes all. Rows that tie there have equal sizes.
+    """
+    source = ["_rank", "source", "n", "budget"]
+    ties = ordered(docs, ["doc_id"]).groupBy(*source, "_key", "size").agg(
+        F.min("begins").alias("begins"), F.count(F.lit(1)).alias("_n"))
+    ends = F.col("begins") + F.col("_n") * F.col("size")
+    edge = F.struct("_key", "size", "begins")
+    return materialize(
+        ties.groupBy(*source).agg(F.array(
+            F.min(F.when(ends > F.col("budget"), edge)),
+            F.min(F.when(ends > F.col("budget") - F.col("n"), edge))).alias("_edges")), "edges")
 
 
 def mixed(docs: DataFrame) -> DataFrame:
     """The rows of the mix with the columns of ``docs``: copies as often as taken.
 
     The one copy per source and pass that the budget cuts keeps its first words, joined by
-    blanks. Rows without words are not part of a mix.
+    blanks. Rows without words are not part of a mix. A pass takes every row before its edge as
+    a whole, so texts are neither shuffled nor stored, but for the rows that tie at an edge.
     """
-    stored = materialize(
-        docs.select(F.struct(*docs.columns).alias("_doc"))
-        .withColumn("row_key", F.monotonically_increasing_id()), "mix-rows")
-    fields = stored.select("row_key", "_doc.doc_id", "_doc.source", "_doc.text")
-    taken = mix(fields, ("row_key", "doc_id")).where("taken > 0").select("row_key", "full", "cut")
-    rows = stored.join(taken, "row_key")
+    # one row per source
+    stops = small_side(edges(docs))
+    rows = docs.select(
+        F.struct(*docs.columns).alias("_doc"), F.col("source").alias("_source"), key().alias("_key"))
+    rows = rows.join(stops, F.col("_source").eqNullSafe(F.col("source")))
+    words = size("_doc.text")
+    passes = [F.get("_edges", F.lit(0)), F.get("_edges", F.lit(1))]
+    before, tied = [], []
+    for edge in passes:
+        # conditions one after the other, so that words are counted only where keys are equal
+        before.append(
+            F.when(edge.isNull(), True).when(F.col("_key") != edge["_key"], F.col("_key") < edge["_key"])
+            .otherwise(words < edge["size"]))
+        tied.append(
+            F.when(edge.isNull() | (F.col("_key") != edge["_key"]), False)
+            .otherwise(words == edge["size"]))
+    copies = before[0].cast("int") + before[1].cast("int")
+    plain = rows.where(~tied[0] & ~tied[1] & (copies > 0) & F.col("_doc.text").rlike(tx.WORD)).select(
+        "_doc", F.explode(F.array_repeat(F.lit(True), copies)))
+    close = materialize(
+        rows.where(tied[0] | tied[1]).select(
+            "_doc", "_rank", "_key", words.alias("size"), "n", "budget",
+            F.when(tied[0], passes[0]["begins"]).otherwise(passes[1]["begins"]).alias("_begin"),
+            F.monotonically_increasing_id().alias("row_key")), "mix-edges")
+    ahead = running_total(close, ["_rank", "_key", "size"], ["row_key"], "size", "_ahead")
+    shared = ahead.withColumn("begins", F.col("_begin") + F.col("_ahead")).select(
+        "_doc", *[c.alias(name) for name, c in shares().items()]).where("taken > 0")
     cut = F.array_join(
         F.slice(F.regexp_extract_all("_doc.text", F.lit(tx.WORD), F.lit(0)), 1, F.col("cut").cast("int")), " ")
-    copies = F.filter(
+    texts = F.filter(
         F.concat(
             F.array_repeat(F.col("_doc.text"), F.col("full")),
             F.array(F.when(F.col("cut") > 0, cut))),
         lambda t: t.isNotNull())
-    opened = rows.select("_doc", F.explode(copies).alias("_text"))
-    return opened.select(
-        F.col("_doc").withField("text", F.col("_text")).alias("_doc")).select("_doc.*")
+    opened = shared.select("_doc", F.explode(texts).alias("_text")).select(
+        F.col("_doc").withField("text", F.col("_text")).alias("_doc"))
+    return plain.select("_doc.*").unionByName(opened.select("_doc.*"))
 
 
 def check_sql() -> str:

@@ -10,10 +10,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from telemetra.llm import text as tx
-from telemetra.llm.frames import arrow_map, components, pairs_within, sorted_groups
+from telemetra.llm.frames import arrow_map, components, pairs_within, sifted, sorted_groups
 from telemetra.session import materialize
 
 SHINGLE = 5
@@ -144,13 +144,18 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def texts_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
     """``digest, text`` of the wanted digests: the text of the class's first document."""
-    chosen = classes.join(wanted, "digest").select(
-        F.col("digest").alias("_digest"), F.col("class_id").alias("_id"))
+    chosen = materialize(classes.join(wanted, "digest").select(
+        F.col("digest").alias("_digest"), F.col("class_id").alias("_id")), "chosen")
     rows = docs.select("doc_id", "text", tx.text_digest().alias("digest"))
+    rows, _ = sifted(rows, row_place("digest", "doc_id"), chosen.select(row_place("_digest", "_id")))
     met = (F.col("digest") == F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("_id"))
     return rows.join(chosen, met).select("digest", "text").dropDuplicates(["digest"])
 
 
+def row_place(digest: str, doc_id: str) -> Column:
+    return F.xxhash64(digest, doc_id)
+
+
 def fine(texts: DataFrame) -> DataFrame:
     """``digest, sketch`` of rows of ``digest, text``: one byte of each register's winner."""
 
@@ -233,7 +238,8 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # aggregates are stored before they are joined, so that Spark can split a full bucket
     full = materialize(
         banded.groupBy("key").agg(F.count("digest").alias("_n")).where("_n > 1"), "full-buckets")
-    members = materialize(banded.join(full, "key"), "buckets")
+    likely, _ = sifted(banded, F.col("key"), full.select("key"))
+    members = materialize(likely.join(full, "key"), "buckets")
     reach = members.groupBy("digest").agg(F.sum("_n").alias("_reach"))
     hubs = materialize(members.join(reach, "digest").groupBy("key").agg(
         F.max(F.struct("_reach", "digest")).alias("_hub")).select("key", F.col("_hub.digest").alias("hub")),
@@ -293,13 +299,19 @@ def membership(docs: DataFrame) -> DataFrame:
 def representatives(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` per group of near-duplicates, with the columns of ``docs``.
 
-    Where rows repeat an id with the same text, one of them stays.
+    Where rows repeat an id with the same text, one of them stays. Only rows that go or are
+    repeated, and the few that look like them, are shuffled with their texts.
     """
-    kept = materialize(
-        membership(docs).where("kept")
-        .select(F.col("doc_id").alias("_id"), F.col("text_md5").alias("_md5")).distinct(), "kept")
+    verdicts = materialize(
+        membership(docs).groupBy(F.col("text_md5").alias("_md5"), F.col("doc_id").alias("_id"))
+        .agg(F.bool_or("kept").alias("_kept"), F.count(F.lit(1)).alias("_n")), "kept")
     rows = docs.select(
         F.struct(*docs.columns).alias("_row"), "doc_id",
         F.hex(tx.text_digest()).alias("_digest"))
+    doubtful, kept = sifted(
+        rows, row_place("_digest", "doc_id"),
+        verdicts.where("not _kept or _n > 1").select(row_place("_md5", "_id")))
+    known = verdicts.where("_kept").select("_md5", "_id")
     met = (F.col("_digest") == F.col("_md5")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    return rows.join(kept, met).dropDuplicates(["_digest", "doc_id"]).select("_row.*")
+    single = doubtful.join(known, met).dropDuplicates(["_digest", "doc_id"])
+    return kept.select("_row.*").unionByName(single.select("_row.*"))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from telemetra.llm import text as tx
-from telemetra.llm.frames import arrow_map
+from telemetra.llm.frames import arrow_map, sifted
 from telemetra.session import materialize
 
 PASSAGE = 50  # words that make a passage
@@ -139,8 +139,10 @@ def shared_passages(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = materialize(keyed.select(
         "doc_id", "uid", F.regexp_count("text", F.lit(tx.WORD)).alias("n_words")), "texts")
     first = rows.groupBy("uid").agg(F.min("doc_id").alias("_first"))
-    places = near.groupBy("uid").agg(F.collect_set("at").alias("places")).join(first, "uid")
-    texts = keyed.join(
+    places = materialize(
+        near.groupBy("uid").agg(F.collect_set("at").alias("places")).join(first, "uid"), "places")
+    likely, _ = sifted(keyed, F.col("uid"), places.select("uid"))
+    texts = likely.join(
         places.withColumnRenamed("uid", "_uid"),
         (F.col("uid") == F.col("_uid")) & F.col("doc_id").eqNullSafe(F.col("_first")),
     ).select("uid", "text", "places")
@@ -208,18 +210,22 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without the words that another document holds first.
 
     Cut words go with the blanks after them; ``n_chars``, if there is such a column, is set
-    anew. Rows that lose all their words go, rows that had none stay as they are.
+    anew. Rows that lose all their words go, rows that had none stay as they are. Only rows
+    with cuts, and the few that look like them, are shuffled with their texts.
     """
     cuts = materialize(
         repeated_spans(docs).where("not kept")
         .groupBy(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_uid"))
         .agg(F.sort_array(F.collect_set(F.struct("start_word", "end_word"))).alias("_cuts")),
         "cuts")
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), "text", "doc_id").withColumn(
-        "_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    joined = rows.join(
+    rows = docs.select(
+        F.struct(*docs.columns).alias("_row"), "doc_id",
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash"))
+    touched, whole = sifted(
+        rows, F.xxhash64("_hash", "doc_id"), cuts.select(F.xxhash64("_uid", "_doc")))
+    joined = touched.join(
         cuts, (F.col("_hash") == F.col("_uid")) & F.col("doc_id").eqNullSafe(F.col("_doc")), "left"
-    ).select("_row", "text", "_cuts")
+    ).select("_row", F.col("_row.text").alias("text"), "_cuts")
     schema = T.StructType([
         joined.schema["_row"], T.StructField("_new", T.StringType()),
         T.StructField("_left", T.BooleanType())])
@@ -245,8 +251,10 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             yield {"_row": part.column("_row"), "_new": texts, "_left": left}
 
     done = arrow_map(joined, run, schema).where("_left")
+    every = done.select("_row", "_new").unionByName(
+        whole.select("_row", F.col("_row.text").alias("_new")))
     row = F.col("_row").withField("text", F.col("_new"))
     if "n_chars" in docs.columns:
         row = row.withField(
             "n_chars", F.length("_new").cast(docs.schema["n_chars"].dataType))
-    return done.select(row.alias("_row")).select("_row.*")
+    return every.select(row.alias("_row")).select("_row.*")

@@ -6,11 +6,12 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 from tests.llm import brute
 from telemetra.llm import (
     chat, frames, langid, mixing, near, packing, quality, quantise, recurrent, repeats, sharding,
 )
+from telemetra import session
 from telemetra.llm import text as tx
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept string, digest string"
@@ -259,6 +260,59 @@ def test_mixed_rows_hold_the_words_taken(docs):
     assert +words == +taken
 
 
+def test_sifted_rows_lose_no_key(spark):
+    rows = spark.range(5000).select("id", F.when(F.col("id") > 9, F.xxhash64("id")).alias("h"))
+    for keys in (rows.where("id % 50 = 0").select("h"), rows.where("id < 0").select("h")):
+        maybe, never = frames.sifted(rows, F.col("h"), keys)
+        assert maybe.columns == never.columns == rows.columns
+        held = {r.h for r in keys.collect()} - {None}
+        passed, others = (sorted(r.id for r in part.collect()) for part in (maybe, never))
+        assert sorted(passed + others) == list(range(5000))
+        assert {r.h for r in rows.collect() if r.id in set(others)}.isdisjoint(held)
+        assert len(passed) - len(held) < 1000 and (held or not passed)
+
+
+@pytest.mark.parametrize(("stage", "sifts"), [
+    (quality.filtered, 1), (near.representatives, 3), (repeats.without_repeats, 2), (mixing.mixed, 0)])
+def test_stages_do_not_store_or_shuffle_all_texts(spark, monkeypatch, stage, sifts):
+    random = np.random.default_rng(8)
+    texts = [" ".join(f"{w:x}" for w in random.integers(0, 1 << 40, 300)) for _ in range(400)]
+    texts[1], texts[2], texts[3] = texts[0], texts[0] + " more", "too short"
+    docs = spark.createDataFrame(
+        [(i, t, "en", "ab"[i % 2], 0, "k", "d") for i, t in enumerate(texts)], DOCS).repartition(3).cache()
+    stored, parts = [], []
+
+    def counted(df, label):
+        found = session.materialize(df, label)
+        nested = [f"{c}.{f}" for c in found.columns if isinstance(found.schema[c].dataType, T.StructType)
+                  for f in found.schema[c].dataType.names if f == "text"]
+        for c in [*(c for c in found.columns if c == "text"), *nested]:
+            stored.append(found.agg(F.sum(F.length(c))).first()[0] or 0)
+        return found
+
+    def sift(df, place, keys):
+        maybe, never = frames.sifted(df, place, keys)
+        parts.append(0 if "key" in df.columns else maybe.count())
+        return maybe, never
+
+    for module in (quality, near, repeats, mixing):
+        monkeypatch.setattr(module, "materialize", counted)
+        monkeypatch.setattr(module, "sifted", sift, raising=False)
+    assert stage(docs).count() > 300
+    assert max(stored, default=0) < 0.2 * sum(map(len, texts))
+    assert len(parts) == sifts and max(parts, default=0) < 0.2 * len(texts)
+
+
+def test_mix_cuts_among_rows_that_tie(spark):
+    rows = [(None, "one two three", None, s, 0, "k", "d") for s in "abc" for _ in range(7)]
+    docs = spark.createDataFrame([*rows, (1, None, None, "a", 0, "k", "d")], DOCS).repartition(3)
+    words = Counter()
+    for r in mixing.mixed(docs).collect():
+        words[r.source] += len(brute.words(r.text))
+    aims = {r.source: r.budget for r in mixing.edges(docs).collect()}
+    assert words == aims and sum(aims.values()) in range(93, 97)
+
+
 def test_scores(docs):
     got = recurrent.rate(docs).collect()
 
