@@ -9,8 +9,10 @@ their pieces by looking up the plan with each piece's number among the pieces of
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -45,21 +47,33 @@ class WordIds:
         spelled = self.whole.pre_tokenizer.pre_tokenize_str
         letters = [*range(0x61, 0x7B), *range(0xDF, 0xF7), *range(0xF8, 0x100)]
         self.table = {c: spelled(chr(c))[0][0] for c in letters}
+        self.same = all(self.table[c] == chr(c) for c in range(0x61, 0x7B))
         self.table |= {c - 32: self.table[c] for c in range(0x61, 0x7B)}
-        self.marks = {m: self.full(m) if m else [] for m in ("", ".", ",")}
+        self.codes = [struct.pack("<H", i) for i in range(max(self.whole.get_vocab().values()) + 1)]
+        self.marks = {m: self.coded(self.full(m) if m else []) for m in ("", ".", ",")}
 
     def full(self, word: str) -> list[int]:
         return self.whole.encode(word, add_special_tokens=False).ids
 
+    def coded(self, ids: list[int]) -> bytes:
+        return b"".join([self.codes[i] for i in ids])
+
     def __call__(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
         parts = self.plain.fullmatch(text)
-        if parts:
-            stem = self.model.tokenize(parts[1].translate(self.table))
-            ids = [t.id for t in stem] + self.marks[parts[2]]
-        else:
-            ids = self.full(text)
-        return np.array(ids, "<u2").tobytes()
+        if not parts:
+            return self.coded(self.full(text))
+        stem, mark = parts.groups()
+        if not (self.same and stem.isascii() and stem.islower()):
+            stem = stem.translate(self.table)
+        codes = self.codes
+        return b"".join([codes[t.id] for t in self.model.tokenize(stem)]) + self.marks[mark]
+
+
+@lru_cache(maxsize=2)
+def vocabulary(path: str) -> tx.Vocabulary:
+    """Words that the tasks of one Python worker have met, kept from task to task."""
+    return tx.Vocabulary(WordIds(path), 2)
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
@@ -71,11 +85,11 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -
     path = path or public_tokenizers.path("word_bpe_49k.json")
 
     def run(batches):
-        vocabulary = tx.Vocabulary(WordIds(path), 2)
+        known = vocabulary(path)
         seen: Counter = Counter()
         part = TaskContext.get().partitionId()
         for rows, block in tx.blocks(batches):
-            ids, per_word = vocabulary.ids(block)
+            ids, per_word = known.ids(block)
             end = np.concatenate([[0], np.cumsum(per_word)])[block.first]
             out = {c.split()[0]: [] for c in PIECES.split(", ")}
             for i, doc in enumerate(rows.column("doc_id").to_pylist()):

@@ -121,29 +121,49 @@ def blocks(
 
 
 class Vocabulary:
-    """Fixed-width ids of words, computed once per distinct word and kept up to ``limit``."""
+    """Fixed-width ids of words, computed once per distinct word and kept up to ``limit``.
+
+    Known words lie in arrays in order of their hashes, so a block is looked up at once.
+    """
 
     def __init__(self, encode: Callable[[bytes], bytes], width: int, limit: int = 600_000):
-        self.encode, self.width, self.limit = encode, width, limit
-        self.known: dict[int, bytes] = {}
+        self.encode, self.limit, self.kind = encode, limit, np.dtype(f"<u{width}")
+        self.clear()
+
+    def clear(self) -> None:
+        self.hashes = np.zeros(0, np.uint64)
+        self.begins = self.lengths = np.zeros(0, np.int64)  # of each word's ids in ``codes``
+        self.codes = np.zeros(0, self.kind)
+
+    def places(self, block: Block, hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Where the distinct words are known; those that were not are learned."""
+        place = np.searchsorted(self.hashes, hashes)
+        new = np.ones(len(hashes), bool)
+        inside = place < len(self.hashes)
+        new[inside] = self.hashes[place[inside]] != hashes[inside]
+        if not new.any():
+            return place
+        raw, first = block.data.tobytes(), at[new]
+        found = [self.encode(raw[s:e]) for s, e in zip(
+            block.starts[first].tolist(), block.ends[first].tolist())]
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // self.kind.itemsize
+        begins = len(self.codes) + np.cumsum(lengths) - lengths
+        self.codes = np.concatenate([self.codes, np.frombuffer(b"".join(found), self.kind)])
+        self.hashes = np.insert(self.hashes, place[new], hashes[new])
+        self.begins = np.insert(self.begins, place[new], begins)
+        self.lengths = np.insert(self.lengths, place[new], lengths)
+        return place + np.cumsum(new) - new
 
     def ids(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words of the block in order, and the number of ids of each word."""
         hashes, at, word = np.unique(block.hashes(), return_index=True, return_inverse=True)
-        if len(self.known) > self.limit:
-            self.known.clear()
-        known, found = self.known, []
-        for h, i in zip(hashes.tolist(), at.tolist()):
-            code = known.get(h)
-            if code is None:
-                code = known[h] = self.encode(block.word(i))
-            found.append(code)
-        lengths = np.fromiter(map(len, found), np.int64, len(found)) // self.width
-        ids = np.frombuffer(b"".join(found), f"<u{self.width}")
-        begin = np.cumsum(lengths) - lengths
-        per_word = lengths[word]
+        if len(self.hashes) > self.limit:
+            self.clear()
+        known = self.places(block, hashes, at)[word]
+        per_word = self.lengths[known]
         place = np.cumsum(per_word) - per_word
-        return ids[np.repeat(begin[word] - place, per_word) + np.arange(per_word.sum())], per_word
+        return self.codes[
+            np.repeat(self.begins[known] - place, per_word) + np.arange(per_word.sum())], per_word
 
 
 def text_digest(text: str | Column = "text") -> Column:

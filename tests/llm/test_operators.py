@@ -128,6 +128,20 @@ def test_packing_is_a_round_trip(spark, docs):
         assert sum(n for _, n in parts) <= 4096
 
 
+def test_words_are_encoded_once_per_worker():
+    path = packing.public_tokenizers.path("word_bpe_49k.json")
+    assert packing.vocabulary(path) is packing.vocabulary(path)
+    asked = []
+    encode = packing.WordIds(path)
+    known = tx.Vocabulary(lambda word: asked.append(word) or encode(word), 2, limit=9)
+    for words in (["Straße", "the", "THE", "a.", "the"], ["the", "a.", "x1", "é,"], [], ["zz", *"bcdef"], ["the", "é,"]):
+        ids, per_word = known.ids(tx.Block(pa.array([" ".join(words[:2]), None, " ".join(words[2:])])))
+        plain = [encode.full(w) for w in words]
+        assert ids.tolist() == sum(plain, []) and per_word.tolist() == [len(p) for p in plain]
+    # learned once, but for the two that are asked again after the limit was passed
+    assert Counter(Counter(asked).values()) == {1: 10, 2: 2}
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_packing_plan_uses_every_piece_once_and_fills(seed):
     random = np.random.default_rng(seed)
