@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from telemetra.llm import text as tx
 from telemetra.llm.frames import arrow_map, components, pairs_within, sifted, sorted_groups
@@ -143,13 +143,12 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def texts_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``digest, text`` of the wanted digests: the text of the class's first document."""
-    chosen = materialize(classes.join(wanted, "digest").select(
-        F.col("digest").alias("_digest"), F.col("class_id").alias("_id")), "chosen")
+    """``digest, text`` of the wanted digests; rows other than a class's first are left out early."""
+    chosen = materialize(classes.join(wanted, "digest").select("digest", "class_id"), "chosen")
     rows = docs.select("doc_id", "text", tx.text_digest().alias("digest"))
-    rows, _ = sifted(rows, row_place("digest", "doc_id"), chosen.select(row_place("_digest", "_id")))
-    met = (F.col("digest") == F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    return rows.join(chosen, met).select("digest", "text").dropDuplicates(["digest"])
+    rows, _ = sifted(rows, row_place("digest", "doc_id"), chosen.select(row_place("digest", "class_id")))
+    return rows.select("digest", "text").dropDuplicates(["digest"]).join(
+        chosen.select("digest"), "digest", "left_semi")
 
 
 def row_place(digest: str, doc_id: str) -> Column:
@@ -240,8 +239,9 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         banded.groupBy("key").agg(F.count("digest").alias("_n")).where("_n > 1"), "full-buckets")
     likely, _ = sifted(banded, F.col("key"), full.select("key"))
     members = materialize(likely.join(full, "key"), "buckets")
-    reach = members.groupBy("digest").agg(F.sum("_n").alias("_reach"))
-    hubs = materialize(members.join(reach, "digest").groupBy("key").agg(
+    # at most one row per band and text
+    reach = F.sum("_n").over(Window.partitionBy("digest"))
+    hubs = materialize(members.withColumn("_reach", reach).groupBy("key").agg(
         F.max(F.struct("_reach", "digest")).alias("_hub")).select("key", F.col("_hub.digest").alias("hub")),
         "hubs")
     tried = materialize(
@@ -253,13 +253,14 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     links = materialize(verified(tried, texts), "links").drop("similarity")
     first = components(links)
 
-    grouped = members.join(first.withColumnRenamed("vertex", "digest"), "digest", "left").select(
-        "key", "band", "digest", F.coalesce("root", "digest").alias("root"))
+    grouped = materialize(members.join(first.withColumnRenamed("vertex", "digest"), "digest", "left").select(
+        "key", "band", "digest", F.coalesce("root", "digest").alias("root")), "grouped")
     mixed = materialize(grouped.groupBy("key").agg(
         F.min("root").alias("_l"), F.max("root").alias("_h"),
         F.ceil(F.count("digest") / BLOCK).cast("int").alias("_blocks")).where(
         "_l <> _h").select("key", "_blocks"), "mixed-buckets")
-    open_ = materialize(grouped.join(mixed, "key"), "open-buckets")
+    likely, _ = sifted(grouped, F.col("key"), mixed.select("key"))
+    open_ = materialize(likely.join(mixed, "key"), "open-buckets")
     sketches = materialize(
         fine(texts.join(open_.select("digest").distinct(), "digest")), "fine-sketches")
     told = classes.select("digest", "keys").join(sketches, "digest")

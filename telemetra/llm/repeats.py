@@ -134,6 +134,9 @@ def shared_passages(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         "doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("uid", F.xxhash64("text"))
     found = materialize(suffixes(keyed), "suffixes")
     order = ["key", "uid", "at"]
+    again = materialize(
+        found.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("key"), "keys")
+    found, _ = sifted(found, F.col("key"), again)
     near = materialize(
         alike(found.repartitionByRange(*order).sortWithinPartitions(*order)), "alike")
     rows = materialize(keyed.select(
@@ -151,7 +154,8 @@ def shared_passages(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     groups = materialize(
         held.groupBy("hash", "check").agg(F.min("uid").alias("_low"), F.max("uid").alias("_high"))
         .where("_low <> _high").drop("_high"), "shared-passages")
-    several = held.join(groups, ["hash", "check"]).groupBy("uid").agg(F.collect_set(
+    likely, _ = sifted(held, F.col("hash"), groups.select("hash"))
+    several = likely.join(groups, ["hash", "check"]).groupBy("uid").agg(F.collect_set(
         2 * F.col("start") + (F.col("uid") != F.col("_low")).cast("int")).alias("starts"))
     return rows, materialize(several, "shared")
 
