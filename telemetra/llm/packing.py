@@ -12,7 +12,6 @@ import re
 import struct
 import zlib
 from collections import Counter
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -70,12 +69,6 @@ class WordIds:
         return b"".join([codes[t.id] for t in self.model.tokenize(stem)]) + self.marks[mark]
 
 
-@lru_cache(maxsize=2)
-def vocabulary(path: str) -> tx.Vocabulary:
-    """Words that the tasks of one Python worker have met, kept from task to task."""
-    return tx.Vocabulary(WordIds(path), 2)
-
-
 def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
     """Token pieces of ``doc_id, text``: at most ``capacity`` ids each, cut only if longer.
 
@@ -85,7 +78,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -
     path = path or public_tokenizers.path("word_bpe_49k.json")
 
     def run(batches):
-        known = vocabulary(path)
+        known = tx.Vocabulary(WordIds(path), 2)
         seen: Counter = Counter()
         part = TaskContext.get().partitionId()
         for rows, block in tx.blocks(batches):
