@@ -14,6 +14,8 @@ from telemetra.session import materialize, pin_settings
 
 BITMAP_BITS = 1 << 15  # bits of one of Spark's bitmaps
 SIFT_BITS = 1 << 28  # 32 MB
+TASK_EDGES = 50_000  # of a graph, for which one more task stores a round's tables
+BROADCAST_EDGES = 100_000  # of a graph up to which a round's minima are sent to all tasks
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,25 +97,33 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     only a count and a checksum come to the driver. The minimum over neighbours merges before
     the shuffle and is stored before it is joined, so a hub is a skewed join key at most, which
     adaptive execution can split (it does not where an aggregate and its join share a stage).
+    Tables of a round are stored by as many tasks as its edges need, whatever the number of
+    shuffle partitions, as rounds over few edges would cost their tasks and files alone.
     """
     def tidy(df):
         return df.where(F.col("u") != F.col("v")).distinct()
 
+    def summary(df):
+        return df.agg(F.count("u"), F.sum(F.xxhash64("u", "v") % (1 << 31))).first()
+
     now = materialize(
         tidy(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))), "edges")
-    state = None
-    while True:
+    cores = now.sparkSession.sparkContext.defaultParallelism
+    state = summary(now)
+    while state[0]:
+        tasks = max(cores, -(-state[0] // TASK_EDGES))
+        sent = F.broadcast if state[0] <= BROADCAST_EDGES else (lambda df: df)
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = materialize(both.groupBy("u").agg(F.min("v").alias("_m")).select(
-            "u", F.least("u", "_m").alias("m")), "lowest")
-        large = both.join(lowest, "u").where(F.col("v") > F.col("u")).select(
+            "u", F.least("u", "_m").alias("m")).coalesce(tasks), "lowest")
+        large = both.join(sent(lowest), "u").where(F.col("v") > F.col("u")).select(
             F.col("v").alias("u"), F.col("m").alias("v"))
-        large = materialize(tidy(large), "large-star")
-        least = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "least")
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = materialize(tidy(large).coalesce(tasks), "large-star")
+        least = materialize(large.groupBy("u").agg(F.min("v").alias("m")).coalesce(tasks), "least")
+        small = large.join(sent(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = materialize(
-            tidy(small.unionByName(least.select("u", F.col("m").alias("v")))), "small-star")
-        found = now.agg(F.count("u"), F.sum(F.xxhash64("u", "v") % (1 << 31))).first()
+            tidy(small.unionByName(least.select("u", F.col("m").alias("v")))).coalesce(tasks), "small-star")
+        found = summary(now)
         if found == state:
             break
         state = found

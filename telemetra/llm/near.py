@@ -267,7 +267,9 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     untried = materialize(
         across(open_.join(told, "digest")).join(tried, ["a", "b"], "left_anti"), "cross-pairs")
     more = materialize(verified(untried, texts), "links").drop("similarity")
-    whole = components(links.unionByName(more))
+    # the trees join the same texts as the links they were found by, in fewer rounds
+    trees = first.where("vertex <> root").select(F.col("vertex").alias("a"), F.col("root").alias("b"))
+    whole = components(trees.unionByName(more))
     return rows, classes.select("digest", "class_id").join(
         whole.withColumnRenamed("vertex", "digest"), "digest", "left").select(
         "digest", "class_id", F.coalesce("root", "digest").alias("root"))

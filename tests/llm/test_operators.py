@@ -203,6 +203,34 @@ def test_components_of_chains_and_cycles(spark):
     assert {v for e in edges for v in e if e[0] != e[1]} == set(got)
 
 
+def test_rounds_over_few_edges_take_few_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_root", lambda _: str(tmp_path))
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    edges = [(i, i + 1) for i in range(0, 4000) if i % 7] + [(i, i) for i in range(5)]
+    frame = spark.createDataFrame(edges, "a long, b long")
+    found = []
+    for most in (frames.BROADCAST_EDGES, 0):
+        monkeypatch.setattr(frames, "BROADCAST_EDGES", most)
+        try:
+            for k, v in settings.items():
+                spark.conf.set(k, v)
+            found.append({r.vertex: r.root for r in frames.components(frame).collect()})
+        finally:
+            for k, v in before.items():
+                spark.conf.set(k, v)
+    assert found[0] == found[1] == {v: v - (v - 1) % 7 if v % 7 else v - 6 for e in edges for v in e if e[0] != e[1]}
+    cores = spark.sparkContext.defaultParallelism
+    for name in ("lowest", "large-star", "least", "small-star"):
+        folders = list(tmp_path.glob(f"telemetra/{name}-*"))
+        assert folders and all(len(list(f.glob("part-*"))) <= cores for f in folders)
+
+
+def test_components_of_no_edges(spark):
+    frame = spark.createDataFrame([(3, 3), (None, 2)], "a long, b long")
+    assert frames.components(frame).collect() == []
+
+
 def test_shards(docs):
     got = sharding.shard(docs, 4).collect()
     rows = Counter((i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t, *_ in some_docs())
