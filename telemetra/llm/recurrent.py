@@ -136,31 +136,42 @@ def forward(model: Model, symbols: np.ndarray, fresh: np.ndarray, state: np.ndar
     """Hidden states before each symbol; ``symbols`` and ``fresh`` are steps x lanes.
 
     The state is set to zero where a new document begins. Returns what training needs, if it is
-    to be kept.
+    to be kept. Inside, lanes are the last axis, so that each gate lies in one piece.
     """
     h, kept = model.width, []
-    hidden = np.empty((*symbols.shape, h), np.float32)
-    driven = model.inputs[symbols] @ model.enter + model.bias
-    gating, recalling = np.ascontiguousarray(model.recur[:, : 2 * h]), np.ascontiguousarray(model.recur[:, 2 * h:])
+    hidden = np.empty((len(symbols), h, symbols.shape[1]), np.float32)
+    driven = np.matmul(model.enter.T, model.inputs[symbols].transpose(0, 2, 1))
+    driven += model.bias[:, None]
+    # gates take the exponential of the negative
+    np.negative(driven[:, : 2 * h], out=driven[:, : 2 * h])
+    gating, recalling = -model.recur[:, : 2 * h].T, np.ascontiguousarray(model.recur[:, 2 * h:].T)
     some = fresh.any(axis=1)
+    state = np.ascontiguousarray(state.T)
     for t in range(len(symbols)):
         if some[t]:
-            state = np.where(fresh[t][:, None], np.float32(0), state)
+            state = np.where(fresh[t], np.float32(0), state)
         hidden[t] = state
-        gates = state @ gating
-        gates += driven[t, :, : 2 * h]
-        np.negative(gates, out=gates)
+        gates = gating @ state
+        gates += driven[t, : 2 * h]
         np.exp(gates, out=gates)
         gates += 1
         np.reciprocal(gates, out=gates)
-        inner = gates[:, :h] * state
-        new = inner @ recalling
-        new += driven[t, :, 2 * h:]
+        inner = gates[:h] * state
+        new = recalling @ inner
+        new += driven[t, 2 * h:]
         np.tanh(new, out=new)
         if keep:
-            kept.append((gates, inner, new))
-        state = state + gates[:, h:] * (new - state)
-    return hidden, kept, state
+            kept.append((gates, inner, new, state))
+        after = new - state
+        after *= gates[h:]
+        after += state
+        state = after
+    return np.ascontiguousarray(hidden.transpose(0, 2, 1)), kept, state.T
+
+
+def short(numbers: np.ndarray, end: int) -> np.ndarray:
+    """Numbers below ``end`` in two bytes if they fit, which numpy sorts in linear time."""
+    return numbers.astype(np.uint16) if end <= 1 << 16 else numbers
 
 
 def shares(logits: np.ndarray, tame: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -178,85 +189,103 @@ def stays_tame(model: Model) -> bool:
     return weights * model.width + biases < 80
 
 
+def choice(states: np.ndarray, weights: np.ndarray, chosen: np.ndarray, tame: bool, learn: bool):
+    """Log-probability of the chosen row of ``weights`` for each state.
+
+    Both end in one more column: ones of the states, biases of the weights. For learning also
+    the gradient of the weights and the error of the states; only these are divided by the sums
+    of exponentials, not every exponential.
+    """
+    rows = np.arange(len(states))
+    logits = states @ weights.T
+    logp = logits[rows, chosen]
+    power, total = shares(logits, tame)
+    logp -= np.log(total)
+    if not learn:
+        return logp, None, None
+    power[rows, chosen] -= total
+    total = np.reciprocal(total)[:, None]
+    error = power @ weights[:, :-1]
+    error *= total
+    return logp, power.T @ (states * total), error
+
+
 def output(model: Model, hidden: np.ndarray, symbols: np.ndarray, grad: Model | None = None):
     """Log-probability of each symbol given the state before it, and the error of the states."""
     # in order of class, so that each class is one slice
     kind = model.class_of[symbols]
-    order = np.argsort(kind, kind="stable")
+    order = np.argsort(short(kind, model.n_classes), kind="stable")
     hidden, symbols, kind = hidden[order], symbols[order], kind[order]
+    hidden = np.column_stack([hidden, np.ones(len(hidden), np.float32)])
     cuts = np.searchsorted(kind, np.arange(model.n_classes + 1)).tolist()
-    rows = np.arange(len(symbols))
-    tame = stays_tame(model)
+    tame, learn = stays_tame(model), grad is not None
     logp = np.empty(len(symbols), np.float32)
-    error = None if grad is None else np.empty_like(hidden)
+    error = np.empty((len(symbols), model.width), np.float32) if learn else None
+    classes = np.column_stack([model.classes.T, model.class_bias])
     for at in range(0, len(symbols), STRIP):  # strips stay in the processor's cache
         part = slice(at, at + STRIP)
-        logits = hidden[part] @ model.classes
-        logits += model.class_bias
-        chosen = logits[rows[: len(logits)], kind[part]]
-        power, total = shares(logits, tame)
-        logp[part] = chosen - np.log(total)
-        if grad is not None:
-            power /= total[:, None]
-            power[rows[: len(power)], kind[part]] -= 1
-            grad.classes += hidden[part].T @ power
-            grad.class_bias += power.sum(axis=0)
-            error[part] = power @ model.classes.T
+        logp[part], change, errors = choice(hidden[part], classes, kind[part], tame, learn)
+        if learn:
+            grad.classes += change[:, :-1].T
+            grad.class_bias += change[:, -1]
+            error[part] = errors
     bounds = model.cuts.tolist()
+    words = np.column_stack([model.words, model.word_bias])
     for c in range(model.n_classes):
         begin, end = bounds[c], bounds[c + 1]
-        n = cuts[c + 1] - cuts[c]
-        if not n or end - begin == 1:
+        if cuts[c] == cuts[c + 1] or end - begin == 1:
             continue  # a class of one symbol leaves nothing to choose
         own = slice(cuts[c], cuts[c + 1])
-        inside = symbols[own] - begin
-        logits = hidden[own] @ model.words[begin:end].T
-        logits += model.word_bias[begin:end]
-        chosen = logits[rows[:n], inside]
-        power, total = shares(logits, tame)
-        logp[own] += chosen - np.log(total)
-        if grad is not None:
-            power /= total[:, None]
-            power[rows[:n], inside] -= 1
-            grad.words[begin:end] += power.T @ hidden[own]
-            grad.word_bias[begin:end] += power.sum(axis=0)
-            error[own] += power @ model.words[begin:end]
+        share, change, errors = choice(hidden[own], words[begin:end], symbols[own] - begin, tame, learn)
+        logp[own] += share
+        if learn:
+            grad.words[begin:end] += change[:, :-1]
+            grad.word_bias[begin:end] += change[:, -1]
+            error[own] += errors
     back = np.empty_like(order)
-    back[order] = rows
-    return logp[back], None if error is None else error[back]
+    back[order] = np.arange(len(order))
+    return logp[back], error[back] if learn else None
 
 
 def backward(model: Model, grad: Model, symbols, fresh, hidden, kept, errors) -> None:
     """Errors carried back through the steps of one window."""
     h = model.width
-    later = np.zeros_like(hidden[0])
-    flows = np.empty((*symbols.shape, 3 * h), np.float32)
-    gating, recalling = np.ascontiguousarray(model.recur[:, : 2 * h].T), np.ascontiguousarray(model.recur[:, 2 * h:].T)
+    errors = np.ascontiguousarray(errors.transpose(0, 2, 1))
+    later = np.zeros_like(errors[0])
+    flows = np.empty((len(symbols), 3 * h, symbols.shape[1]), np.float32)
+    gating, recalling = np.ascontiguousarray(model.recur[:, : 2 * h]), np.ascontiguousarray(model.recur[:, 2 * h:])
     some = fresh.any(axis=1)
     for t in range(len(symbols) - 1, -1, -1):
-        gates, inner, new = kept[t]
-        reset, update, state = gates[:, :h], gates[:, h:], hidden[t]
+        gates, inner, new, state = kept[t]
+        reset, update = gates[:h], gates[h:]
+        shut = 1 - gates
         moved = later * update
-        d_new = moved * (1 - new * new)
-        d_inner = d_new @ recalling
         flow = flows[t]
-        flow[:, :h] = d_inner * inner * (1 - reset)
-        flow[:, h: 2 * h] = moved * (new - state) * (1 - update)
-        flow[:, 2 * h:] = d_new
-        later = later - moved
-        later += d_inner * reset
-        later += flow[:, : 2 * h] @ gating
+        d_new = flow[2 * h:]
+        np.multiply(new, new, out=d_new)
+        np.subtract(1, d_new, out=d_new)
+        d_new *= moved
+        d_inner = recalling @ d_new
+        np.multiply(d_inner, inner, out=flow[:h])
+        np.subtract(new, state, out=flow[h: 2 * h])
+        flow[h: 2 * h] *= moved
+        flow[: 2 * h] *= shut
+        later -= moved
+        d_inner *= reset
+        later += d_inner
+        later += gating @ flow[: 2 * h]
         later += errors[t]
         if some[t]:
-            later[fresh[t]] = 0
-    flat = flows.reshape(-1, 3 * h)
+            later[:, fresh[t]] = 0
+    flat = np.ascontiguousarray(flows.transpose(0, 2, 1)).reshape(-1, 3 * h)
     grad.recur[:, : 2 * h] += hidden.reshape(-1, h).T @ flat[:, : 2 * h]
-    grad.recur[:, 2 * h:] += np.concatenate([inner for _, inner, _ in kept]).T @ flat[:, 2 * h:]
+    grad.recur[:, 2 * h:] += np.concatenate([inner for _, inner, _, _ in kept], axis=1) @ flat[:, 2 * h:]
     grad.bias += flat.sum(axis=0)
     grad.enter += model.inputs[symbols.ravel()].T @ flat
-    order = np.argsort(symbols.ravel(), kind="stable")
-    values, at = np.unique(symbols.ravel()[order], return_index=True)
-    grad.inputs[values] += np.add.reduceat((flat @ model.enter.T)[order], at, axis=0)
+    order = np.argsort(short(symbols.ravel(), len(model.inputs)), kind="stable")
+    inside = symbols.ravel()[order]
+    at = np.flatnonzero(np.concatenate([[True], inside[1:] != inside[:-1]]))
+    grad.inputs[inside[at]] += np.add.reduceat((flat @ model.enter.T)[order], at, axis=0)
 
 
 class Adam:

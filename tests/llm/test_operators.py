@@ -429,6 +429,39 @@ def test_network_gradient_and_carried_state():
         assert (loss(far) - loss(near_)) / 0.02 == pytest.approx(grad.vector[at], rel=0.05, abs=0.02)
 
 
+def test_choice_equals_a_plain_softmax():
+    random = np.random.default_rng(8)
+    states = np.column_stack([random.uniform(-1, 1, (50, 6)), np.ones(50)]).astype(np.float32)
+    weights = random.normal(0, 2, (9, 7)).astype(np.float32)
+    chosen = random.integers(0, 9, 50)
+    power = np.exp(states.astype(float) @ weights.T.astype(float))
+    share = power / power.sum(axis=1, keepdims=True)
+    wanted = np.log(share[np.arange(50), chosen])
+    share[np.arange(50), chosen] -= 1
+    for tame in (True, False):
+        logp, change, error = recurrent.choice(states, weights, chosen, tame, True)
+        assert logp == pytest.approx(wanted, abs=1e-5)
+        assert change == pytest.approx(share.T @ states, abs=1e-4)
+        assert error == pytest.approx(share @ weights[:, :-1], abs=1e-4)
+    assert recurrent.choice(states, weights, chosen, True, False)[1:] == (None, None)
+
+
+def test_steps_keep_each_gate_in_one_piece():
+    model = recurrent.Model(np.array([0, 1, 40]))
+    symbols = np.random.default_rng(3).integers(0, 40, (5, 7))
+    zero = np.zeros((7, model.width), np.float32)
+    _, kept, state = recurrent.forward(model, symbols, np.zeros(symbols.shape, bool), zero)
+    assert state.shape == zero.shape
+    assert all(part.flags.c_contiguous and part.shape[1] == 7 for parts in kept for part in parts)
+
+
+@pytest.mark.parametrize("end", [100, 1 << 16, (1 << 16) + 1])
+def test_short_numbers_sort_alike(end):
+    numbers = np.append(np.random.default_rng(2).integers(0, end, 500), [end - 1, 0, end - 1])
+    assert (np.argsort(recurrent.short(numbers, end), kind="stable") == np.argsort(numbers, kind="stable")).all()
+    assert recurrent.short(numbers, end).itemsize == (2 if end <= 1 << 16 else 8)
+
+
 def test_training_beats_the_unigram():
     random = np.random.default_rng(7)
     symbols = np.concatenate([
