@@ -45,13 +45,25 @@ def held_out():
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % FOLDS == HELD_FOLD
 
 
+def groups(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order that sorts the numbers, where each distinct one begins in it, and how often each
+    occurs. Not stable, which numpy's vectorised sort of 64-bit numbers is not either."""
+    order = np.argsort(numbers)
+    inside = numbers.take(order)
+    new = np.ones(len(inside), bool)
+    new[1:] = inside[1:] != inside[:-1]
+    begin = np.flatnonzero(new)
+    return order, begin, np.diff(begin, append=len(inside))
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """``word`` (64-bit hash), ``ending`` (hash of its last letters), ``n`` over all words of the
     rows, merged inside tasks first."""
     def merge(parts):
         hashes, endings, counts = (np.concatenate(side) for side in zip(*parts))
-        values, first, at = np.unique(hashes, return_index=True, return_inverse=True)
-        return values, endings[first], np.bincount(at, counts, len(values)).astype(np.int64)
+        order, begin, _ = groups(hashes)
+        first = order.take(begin)
+        return hashes.take(first), endings.take(first), np.add.reduceat(counts.take(order), begin)
 
     def rows(values, endings, counts):
         return {"word": values.view(np.int64), "ending": endings, "n": counts}
@@ -59,9 +71,12 @@ def word_counts(docs: DataFrame) -> DataFrame:
     def run(batches):
         parts, held = [], 0
         for _, block in tx.blocks(batches, fold=True):
-            values, first, counts = np.unique(block.hashes(), return_index=True, return_counts=True)
-            parts.append((values, endings(block)[first], counts))
-            held += len(values)
+            hashes = block.hashes()
+            order, begin, counts = groups(hashes)
+            first = order.take(begin)
+            if len(first):
+                parts.append((hashes.take(first), endings(block, first), counts))
+                held += len(first)
             if held > 1_500_000:
                 parts = [merge(parts)]
                 held = 2 * len(parts[0][0])
@@ -75,9 +90,10 @@ def word_counts(docs: DataFrame) -> DataFrame:
         F.first("ending").alias("ending"), F.sum("n").alias("n"))
 
 
-def endings(block: tx.Block) -> np.ndarray:
-    """Non-negative hashes of the last bytes of all words."""
-    tails = block.runs.between(np.maximum(block.starts, block.ends - ENDING), block.ends)
+def endings(block: tx.Block, words: np.ndarray | slice = slice(None)) -> np.ndarray:
+    """Non-negative hashes of the last bytes of all words, or of those with these numbers."""
+    starts, ends = block.starts[words], block.ends[words]
+    tails = block.runs.between(np.maximum(starts, ends - ENDING), ends)
     return (tails >> np.uint64(33)).astype(np.int32)
 
 
@@ -132,6 +148,12 @@ class Model:
         return Model(self.cuts, self.width, vector)
 
 
+def begins(fresh: np.ndarray) -> list[np.ndarray]:
+    """Of each step the lanes in which a document begins."""
+    step, lane = np.nonzero(fresh)
+    return np.split(lane, np.searchsorted(step, np.arange(1, len(fresh))))
+
+
 def forward(model: Model, symbols: np.ndarray, fresh: np.ndarray, state: np.ndarray, keep: bool = True):
     """Hidden states before each symbol; ``symbols`` and ``fresh`` are steps x lanes.
 
@@ -140,16 +162,15 @@ def forward(model: Model, symbols: np.ndarray, fresh: np.ndarray, state: np.ndar
     """
     h, kept = model.width, []
     hidden = np.empty((len(symbols), h, symbols.shape[1]), np.float32)
-    driven = np.matmul(model.enter.T, model.inputs[symbols].transpose(0, 2, 1))
-    driven += model.bias[:, None]
     # gates take the exponential of the negative
-    np.negative(driven[:, : 2 * h], out=driven[:, : 2 * h])
+    sign = np.repeat(np.float32([-1, 1]), [2 * h, h])
+    driven = np.matmul((model.enter * sign).T, model.inputs.take(symbols, axis=0).transpose(0, 2, 1))
+    driven += (model.bias * sign)[:, None]
     gating, recalling = -model.recur[:, : 2 * h].T, np.ascontiguousarray(model.recur[:, 2 * h:].T)
-    some = fresh.any(axis=1)
-    state = np.ascontiguousarray(state.T)
-    for t in range(len(symbols)):
-        if some[t]:
-            state = np.where(fresh[t], np.float32(0), state)
+    state = state.T.copy()
+    for t, begun in enumerate(begins(fresh)):
+        if len(begun):
+            state[:, begun] = 0
         hidden[t] = state
         gates = gating @ state
         gates += driven[t, : 2 * h]
@@ -189,23 +210,26 @@ def stays_tame(model: Model) -> bool:
     return weights * model.width + biases < 80
 
 
-def choice(states: np.ndarray, weights: np.ndarray, chosen: np.ndarray, tame: bool, learn: bool):
+def choice(states, weights, chosen, tame: bool, learn: bool, plain: np.ndarray | None = None):
     """Log-probability of the chosen row of ``weights`` for each state.
 
-    Both end in one more column: ones of the states, biases of the weights. For learning also
-    the gradient of the weights and the error of the states; only these are divided by the sums
-    of exponentials, not every exponential.
+    Both end in one more column: ones of the states, biases of the weights; ``plain`` are the
+    weights without it, if they lie in one piece. For learning also the gradient of the weights
+    and the error of the states; only these are divided by the sums of exponentials, not every
+    exponential.
     """
-    rows = np.arange(len(states))
     logits = states @ weights.T
-    logp = logits[rows, chosen]
+    flat = logits.reshape(-1)
+    at = np.arange(0, len(flat), len(weights))
+    at += chosen
+    logp = flat.take(at)
     power, total = shares(logits, tame)
     logp -= np.log(total)
     if not learn:
         return logp, None, None
-    power[rows, chosen] -= total
+    flat[at] -= total
     total = np.reciprocal(total)[:, None]
-    error = power @ weights[:, :-1]
+    error = power @ (weights[:, :-1] if plain is None else plain)
     error *= total
     return logp, power.T @ (states * total), error
 
@@ -213,10 +237,10 @@ def choice(states: np.ndarray, weights: np.ndarray, chosen: np.ndarray, tame: bo
 def output(model: Model, hidden: np.ndarray, symbols: np.ndarray, grad: Model | None = None):
     """Log-probability of each symbol given the state before it, and the error of the states."""
     # in order of class, so that each class is one slice
-    kind = model.class_of[symbols]
+    kind = model.class_of.take(symbols)
     order = np.argsort(short(kind, model.n_classes), kind="stable")
-    hidden, symbols, kind = hidden[order], symbols[order], kind[order]
-    hidden = np.column_stack([hidden, np.ones(len(hidden), np.float32)])
+    symbols, kind = symbols.take(order), kind.take(order)
+    hidden = np.column_stack([hidden.take(order, axis=0), np.ones(len(hidden), np.float32)])
     cuts = np.searchsorted(kind, np.arange(model.n_classes + 1)).tolist()
     tame, learn = stays_tame(model), grad is not None
     logp = np.empty(len(symbols), np.float32)
@@ -230,13 +254,15 @@ def output(model: Model, hidden: np.ndarray, symbols: np.ndarray, grad: Model |
             grad.class_bias += change[:, -1]
             error[part] = errors
     bounds = model.cuts.tolist()
+    inside = symbols - model.cuts.take(kind)
     words = np.column_stack([model.words, model.word_bias])
     for c in range(model.n_classes):
         begin, end = bounds[c], bounds[c + 1]
         if cuts[c] == cuts[c + 1] or end - begin == 1:
             continue  # a class of one symbol leaves nothing to choose
         own = slice(cuts[c], cuts[c + 1])
-        share, change, errors = choice(hidden[own], words[begin:end], symbols[own] - begin, tame, learn)
+        share, change, errors = choice(
+            hidden[own], words[begin:end], inside[own], tame, learn, model.words[begin:end])
         logp[own] += share
         if learn:
             grad.words[begin:end] += change[:, :-1]
@@ -244,7 +270,7 @@ def output(model: Model, hidden: np.ndarray, symbols: np.ndarray, grad: Model |
             error[own] += errors
     back = np.empty_like(order)
     back[order] = np.arange(len(order))
-    return logp[back], error[back] if learn else None
+    return logp.take(back), error.take(back, axis=0) if learn else None
 
 
 def backward(model: Model, grad: Model, symbols, fresh, hidden, kept, errors) -> None:
@@ -254,7 +280,7 @@ def backward(model: Model, grad: Model, symbols, fresh, hidden, kept, errors) ->
     later = np.zeros_like(errors[0])
     flows = np.empty((len(symbols), 3 * h, symbols.shape[1]), np.float32)
     gating, recalling = np.ascontiguousarray(model.recur[:, : 2 * h]), np.ascontiguousarray(model.recur[:, 2 * h:])
-    some = fresh.any(axis=1)
+    begun = begins(fresh)
     for t in range(len(symbols) - 1, -1, -1):
         gates, inner, new, state = kept[t]
         reset, update = gates[:h], gates[h:]
@@ -275,17 +301,17 @@ def backward(model: Model, grad: Model, symbols, fresh, hidden, kept, errors) ->
         later += d_inner
         later += gating @ flow[: 2 * h]
         later += errors[t]
-        if some[t]:
-            later[:, fresh[t]] = 0
+        if len(begun[t]):
+            later[:, begun[t]] = 0
     flat = np.ascontiguousarray(flows.transpose(0, 2, 1)).reshape(-1, 3 * h)
     grad.recur[:, : 2 * h] += hidden.reshape(-1, h).T @ flat[:, : 2 * h]
     grad.recur[:, 2 * h:] += np.concatenate([inner for _, inner, _, _ in kept], axis=1) @ flat[:, 2 * h:]
     grad.bias += flat.sum(axis=0)
-    grad.enter += model.inputs[symbols.ravel()].T @ flat
+    grad.enter += model.inputs.take(symbols.ravel(), axis=0).T @ flat
     order = np.argsort(short(symbols.ravel(), len(model.inputs)), kind="stable")
-    inside = symbols.ravel()[order]
+    inside = symbols.ravel().take(order)
     at = np.flatnonzero(np.concatenate([[True], inside[1:] != inside[:-1]]))
-    grad.inputs[inside[at]] += np.add.reduceat((flat @ model.enter.T)[order], at, axis=0)
+    grad.inputs[inside[at]] += np.add.reduceat((flat @ model.enter.T).take(order, axis=0), at, axis=0)
 
 
 class Adam:
@@ -302,8 +328,11 @@ class Adam:
         """One step along the collected gradient times ``share``, which is cleared."""
         self.step += 1
         pieces = self.gradient.reshape(-1, PIECE)
-        at = np.flatnonzero(pieces.any(axis=1))
+        # by their bits, as sums that begin at zero never give the other zero
+        at = np.flatnonzero(np.bitwise_or.reduce(pieces.view(np.uint64), axis=1))
         parts = [at[k: k + SLICE] for k in range(0, len(at), SLICE)]  # no copy of all weights
+        # pieces side by side are changed where they are
+        parts = [slice(k[0], k[-1] + 1) if k[-1] - k[0] == len(k) - 1 else k for k in parts]
         norm = share * sum(float((pieces[k] ** 2).sum()) for k in parts) ** 0.5
         share *= min(1.0, 1.0 / max(norm, 1e-12))
         rate = RATE / (1 + self.step / 300) ** 0.5
@@ -312,13 +341,23 @@ class Adam:
         for k in parts:
             gradient = pieces[k] * np.float32(share)
             pieces[k] = 0
-            first = self.first[k] * np.float32(0.9) + np.float32(0.1) * gradient
-            second = self.second[k] * np.float32(0.99) + np.float32(0.01) * gradient * gradient
+            first, second = self.first[k], self.second[k]
+            first *= np.float32(0.9)
+            change = np.float32(0.1) * gradient
+            first += change
+            second *= np.float32(0.99)
+            np.multiply(np.float32(0.01), gradient, out=change)
+            change *= gradient
+            second += change
             self.first[k], self.second[k] = first, second
             steps = self.steps[k][:, None]
-            first /= (1 - 0.9**steps).astype(np.float32)
-            second /= (1 - 0.99**steps).astype(np.float32)
-            weights[k] -= np.float32(rate) * first / (np.sqrt(second) + np.float32(1e-8))
+            np.divide(first, (1 - 0.9**steps).astype(np.float32), out=change)
+            change *= np.float32(rate)
+            np.divide(second, (1 - 0.99**steps).astype(np.float32), out=gradient)
+            np.sqrt(gradient, out=gradient)
+            gradient += np.float32(1e-8)
+            change /= gradient
+            weights[k] -= change
 
 
 def lanes(lengths: np.ndarray) -> list[list[int]]:
@@ -354,8 +393,12 @@ def windows(symbols: np.ndarray, begin: np.ndarray):
     for at in range(0, int(totals[0]), WINDOW):
         live = int(np.searchsorted(-totals, -at, "left"))
         step = np.arange(at, min(int(totals[0]), at + WINDOW))[:, None]
+        where = starts[:live] + step
+        if step[-1, 0] < totals[live - 1]:  # no lane ends before the window does
+            yield flat.take(where).astype(np.int64), fresh.take(where), owner.take(where)
+            continue
         real = step < totals[:live]
-        where = np.where(real, starts[:live] + step, 0)
+        where = np.where(real, where, 0)
         yield flat[where].astype(np.int64), fresh[where] & real, np.where(real, owner[where], -1)
 
 
@@ -371,9 +414,12 @@ def train(model: Model, optimiser: Adam, symbols: np.ndarray, begin: np.ndarray)
     for steps, fresh, owner in windows(symbols, begin):
         state = np.zeros((steps.shape[1], model.width), np.float32) if state is None else state[: steps.shape[1]]
         hidden, kept, state = forward(model, steps, fresh, state)
-        real = owner.ravel() >= 0
-        errors = np.zeros((steps.size, model.width), np.float32)
-        _, errors[real] = output(model, hidden.reshape(-1, model.width)[real], steps.ravel()[real], grad)
+        real, states, chosen = owner.ravel() >= 0, hidden.reshape(-1, model.width), steps.ravel()
+        if real.all():
+            _, errors = output(model, states, chosen, grad)
+        else:
+            errors = np.zeros_like(states)
+            _, errors[real] = output(model, states[real], chosen[real], grad)
         backward(model, grad, steps, fresh, hidden, kept, errors.reshape(hidden.shape))
         optimiser.update(model.vector, 1 / max(1, int(real.sum())))
 
@@ -396,7 +442,8 @@ def score(model: Model, symbols: np.ndarray, begin: np.ndarray) -> np.ndarray:
         state = np.zeros((steps.shape[1], model.width), np.float32) if state is None else state[: steps.shape[1]]
         hidden, _, state = forward(model, steps, fresh, state, keep=False)
         real = owner.ravel() >= 0
-        held.append((hidden.reshape(-1, model.width)[real], steps.ravel()[real], owner.ravel()[real]))
+        found = hidden.reshape(-1, model.width), steps.ravel(), owner.ravel()
+        held.append(found if real.all() else tuple(side[real] for side in found))
         size += len(held[-1][1])
         if size >= READ_OUT:
             read_out()
@@ -585,6 +632,19 @@ class Vocabulary:
         return np.where(rare, self.rare[tails % len(self.rare)], symbol), rare, np.where(known, self.counts[at], -1)
 
 
+def looked_up(block: tx.Block, hashes: np.ndarray, vocabulary: Vocabulary):
+    """Which distinct word each word is, and of those the endings and what the vocabulary says.
+
+    Each distinct word of the block is looked up once, in order of the hashes.
+    """
+    order, begin, often = groups(hashes)
+    word = np.empty(len(hashes), np.int64)
+    word[order] = np.repeat(np.arange(len(begin)), often)
+    first = order.take(begin)
+    tails = endings(block, first)
+    return word, tails, vocabulary.coded(hashes.take(first), tails)
+
+
 def coded(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Symbols and count sums of each row, and the words whose counts a join must find."""
     shared = rows.sparkSession.sparkContext.broadcast(vocabulary)
@@ -593,31 +653,33 @@ def coded(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         part, number = TaskContext.get().partitionId(), 0
         for rows_, block in tx.blocks(batches, fold=True):
             held, size = shared.value, len(block)
-            hashes, tails, owner = block.hashes(), endings(block), block.owners()
-            symbol, rare, n = held.coded(hashes, tails)
+            hashes, owner = block.hashes(), block.owners()
+            word, tails, (symbol, rare, n) = looked_up(block, hashes, held)
             known = n >= 0
-            logs = np.log10(np.maximum(n, 0) + 0.5)
+            logs = np.where(known, np.log10(np.maximum(n, 0) + 0.5), 0)
+            shared_logs = np.where(rare, held.rare_logs[tails % len(held.rare)], 0)
+
+            def by_text(values):
+                return np.bincount(owner, values.take(word), size)
+
             begin = block.first + np.arange(size + 1)
             text = np.full(begin[-1], END, "<u4")
-            text[np.arange(len(hashes)) + owner] = symbol
+            text[np.arange(len(hashes)) + owner] = symbol.take(word)
             key = (part << 33) + number + np.arange(size)
             number += size
             # words beyond the shared counts are looked up by a join, once per text
-            open_ = np.flatnonzero(~known)
-            pair = tx.mix(hashes[open_] ^ tx.mix(owner[open_].astype(np.uint64)))
-            _, first, repeat = np.unique(pair, return_index=True, return_counts=True)
-            first = open_[first]
+            open_ = np.flatnonzero(~known.take(word))
+            order, first, repeat = groups(tx.mix(hashes[open_] ^ tx.mix(owner[open_].astype(np.uint64))))
+            first = open_[order.take(first)]
             where = np.argsort(owner[first], kind="stable")
             cuts = np.searchsorted(owner[first][where], np.arange(size + 1))
             looked, often = hashes[first][where].view(np.int64), repeat[where]
             yield {
                 "doc_id": rows_.column("doc_id"), "held_out": rows_.column("held_out"),
                 "_key": key, "n_tokens": block.counts + 1,
-                "_known": np.bincount(owner[known], minlength=size),
-                "_logs": np.bincount(owner[known], logs[known], size),
-                "_rare_logs": np.bincount(owner[known & rare], logs[known & rare], size)
-                - np.bincount(owner[rare], held.rare_logs[tails[rare] % len(held.rare)], size),
-                "_rare": np.bincount(owner[rare], minlength=size),
+                "_known": by_text(known).astype(np.int64), "_logs": by_text(logs),
+                "_rare_logs": by_text(np.where(rare, logs, 0)) - by_text(shared_logs),
+                "_rare": by_text(rare).astype(np.int64),
                 "_words": [looked[a:b] for a, b in zip(cuts[:-1], cuts[1:])],
                 "_times": [often[a:b] for a, b in zip(cuts[:-1], cuts[1:])],
                 "symbols": [text[a:b].tobytes() for a, b in zip(begin[:-1], begin[1:])]}

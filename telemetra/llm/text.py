@@ -41,8 +41,10 @@ class RunHashes:
     def __init__(self, items: np.ndarray):
         n = len(items)
         self._grow(n + 1)
-        self.total = np.zeros(n + 1, np.uint64)
-        np.cumsum(items * self._powers[:n], out=self.total[1:])
+        self.total = np.empty(n + 1, np.uint64)
+        self.total[0] = 0
+        sums = np.multiply(items, self._powers[:n], out=self.total[1:])
+        np.cumsum(sums, out=sums)
 
     @classmethod
     def _grow(cls, n: int) -> None:
@@ -94,7 +96,9 @@ class Block:
     @cached_property
     def runs(self) -> RunHashes:
         """Hashes of any run of the bytes."""
-        return RunHashes(self.data.astype(np.uint64) + np.uint64(1))
+        items = self.data.astype(np.uint64)
+        items += np.uint64(1)
+        return RunHashes(items)
 
     def hashes(self) -> np.ndarray:
         return self.runs.between(self.starts, self.ends)

@@ -462,6 +462,70 @@ def test_short_numbers_sort_alike(end):
     assert recurrent.short(numbers, end).itemsize == (2 if end <= 1 << 16 else 8)
 
 
+@pytest.mark.parametrize("numbers", [[], [7], [3, 1, 3, 2**63, 1, 3]])
+def test_groups_of_equal_numbers(numbers):
+    numbers = np.array(numbers, np.uint64)
+    order, begin, often = recurrent.groups(numbers)
+    values, counts = np.unique(numbers, return_counts=True)
+    assert (numbers[order][begin] == values).all() and (often == counts).all()
+    assert sorted(order) == list(range(len(numbers)))
+
+
+def test_distinct_words_are_looked_up_once():
+    block = tx.Block(pa.array(["b a  b", None, "", "a Bc a zebra"]), fold=True)
+    hashes, asked = block.hashes(), []
+
+    class Vocabulary:
+        def coded(self, hashes, tails):
+            asked.append(hashes)
+            return hashes, tails, tails
+
+    word, tails, (found, _, _) = recurrent.looked_up(block, hashes, Vocabulary())
+    assert len(asked) == 1 and (asked[0] == np.unique(hashes)).all() and len(asked[0]) == 4
+    assert (found[word] == hashes).all()
+    assert (tails[word] == recurrent.endings(block)).all()
+    empty = tx.Block(pa.array([None, ""]))
+    assert [len(x) for x in recurrent.looked_up(empty, empty.hashes(), Vocabulary())[:2]] == [0, 0]
+
+
+def test_updates_of_pieces_side_by_side_and_apart():
+    """Steps of Adam piece by piece; pieces without a gradient stay as they are."""
+    piece, n = recurrent.PIECE, recurrent.SLICE + 40
+    random = np.random.default_rng(4)
+    vector = random.normal(size=n * piece).astype(np.float32)
+    plain = vector.astype(float).reshape(n, piece)
+    optimiser = recurrent.Adam(n * piece)
+    first, second, steps = np.zeros((n, piece)), np.zeros((n, piece)), np.zeros((n, 1))
+    for turn, at in enumerate([np.arange(n), np.arange(0, n, 3), np.arange(5, 30), [2], np.arange(n)], 1):
+        gradient = random.normal(size=(len(at), piece)).astype(np.float32)
+        optimiser.gradient.reshape(n, piece)[at] = gradient
+        optimiser.update(vector, 0.5)
+        own = 0.5 * gradient.astype(float)
+        own *= min(1, 1 / (own**2).sum() ** 0.5)
+        first[at] = 0.9 * first[at] + 0.1 * own
+        second[at] = 0.99 * second[at] + 0.01 * own**2
+        steps[at] += 1
+        rate = recurrent.RATE / (1 + turn / 300) ** 0.5
+        plain[at] -= rate * (first[at] / (1 - 0.9**steps[at])) / (
+            np.sqrt(second[at] / (1 - 0.99**steps[at])) + 1e-8)
+        assert vector.reshape(n, piece) == pytest.approx(plain, abs=1e-4)
+        assert not optimiser.gradient.any()
+
+
+def test_windows_hold_each_symbol_once():
+    """Windows in which all lanes run and windows in which some have ended."""
+    lengths = np.array([70, 0, 1, 24, 48, 49, 300])
+    begin = np.concatenate([[0], np.cumsum(lengths)])
+    symbols = np.arange(begin[-1], dtype=np.int32)
+    seen = []
+    for steps, fresh, owner in recurrent.windows(symbols, begin):
+        real = owner >= 0
+        assert (owner[real] == np.searchsorted(begin, steps[real], "right") - 1).all()
+        assert (fresh == (real & np.isin(steps, begin[:-1]))).all()
+        seen.extend(steps[real])
+    assert sorted(seen) == symbols.tolist()
+
+
 def test_training_beats_the_unigram():
     random = np.random.default_rng(7)
     symbols = np.concatenate([
