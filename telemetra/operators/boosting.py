@@ -2,13 +2,15 @@
 
 Features are cut once into at most 256 quantile bins. Every level of every tree needs only sums of
 gradients and hessians by (trial, class, node, feature, bin), which add up over blocks of rows, so
-one pass over the rows serves all trials and classes of a search. The loss is softmax.
+one pass over the rows serves all trials and classes of a search. Only the lighter child of a split
+is summed from rows, a heavy one is what its parent has besides. The loss is softmax.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Iterator, Mapping, Sequence
+from copy import copy
 from dataclasses import asdict, dataclass, replace
 from functools import partial
 
@@ -22,10 +24,13 @@ from telemetra.operators.arrow import map_columns
 from telemetra.session import materialize, scratch_path
 
 BINS = 256  # the first is for nulls
-BLOCK_ROWS = 1 << 18  # rows whose sums one task makes together; 6 MB of bins and keys
-CELLS = 1 << 22  # sums of a block that are prepared at a time
+BLOCK_ROWS = 1 << 21  # rows whose sums one task makes together; 48 MB of bins, labels and keys
+CHUNK = 1 << 15  # rows of a block that are routed and summed at a time
+DIRECT = 32  # partitions whose sums the driver adds up itself
 SHRINK = 1.0  # added to every sum of hessians
 LEAST_GAIN = 1e-9
+HEAVY = 2.0**-5  # share of a tree's hessian from which a child is taken as its parent less its sibling
+NOISE = 2.0**-46  # share of a tree's sums below which a difference of sums is nothing
 DIGITS = 9  # to which gains are compared, so that the order of the rows does not decide
 STORE_EVERY = 25  # rounds after which the scores of the rows are stored
 
@@ -138,8 +143,11 @@ class Tree:
         return node.T
 
     def add(self, scores: np.ndarray, bins: np.ndarray) -> None:
-        depth = int(np.log2(self.feature.shape[1] + 1)) - 1
-        scores += self.value[np.arange(len(self.feature)), self.route(bins, depth)]
+        scores += self.value[np.arange(len(self.feature)), self.route(bins, depth_of(self))]
+
+
+def depth_of(tree: Tree) -> int:
+    return int(np.log2(tree.feature.shape[1] + 1)) - 1
 
 
 def leaf(sums: np.ndarray) -> np.ndarray:
@@ -159,34 +167,196 @@ def sampled(keys: np.ndarray, trial: int, turn: int, share: float) -> np.ndarray
     return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) * 2.0**-53 < share
 
 
-def level_sums(bins, labels, scores, tree: Tree, level: int, starts: np.ndarray) -> np.ndarray:
-    """Gradient and hessian sums: (class and node) x (feature and bin) x 2.
+@dataclass(frozen=True)
+class Folded:
+    """Bins of rows by column; features that occur in few combinations share one column of codes."""
+
+    codes: np.ndarray  # columns x rows
+    column: np.ndarray  # of each feature
+    bins: np.ndarray  # features x codes: the bin that a code of its column stands for
+
+    def only(self, rows: np.ndarray) -> Folded:
+        return replace(self, codes=self.codes.take(rows, axis=1))
+
 
-    One class and feature at a time, so that the cells in use stay in the processor's cache.
+def folded(bins: np.ndarray) -> Folded:
+    """Features with fewest bins first, each into the first column that stays within ``BINS`` codes.
+
+    A column has the combinations that occur in these rows, so nothing is lost by it.
     """
-    classes, features = scores.shape[1], bins.shape[1]
-    width, cells = 2**level, int(starts[-1])
-    out = np.zeros((2, classes, width, cells))
-    step = max(1, CELLS // (classes * features))
-    for at in range(0, len(bins), step):
-        part = slice(at, at + step)
-        share = softmax(scores[part])
-        hessian = share * (1 - share)
-        gradient = share
-        gradient[np.arange(len(share)), labels[part]] -= 1
-        node = tree.route(bins[part], level) - (width - 1)
-        columns = np.ascontiguousarray(bins[part].T)
-        for k in range(classes):
-            here = np.flatnonzero(node[:, k] >= 0)
-            place = node[here, k] * BINS
-            weights = gradient[here, k], hessian[here, k]
-            for f in range(features):
-                cell = place + columns[f].take(here)
-                low, high = starts[f], starts[f + 1]
-                for i, weight in enumerate(weights):
-                    found = np.bincount(cell, weight, width * BINS).reshape(width, BINS)
-                    out[i, k, :, low:high] += found[:, : high - low]
-    return np.moveaxis(out.reshape(2, classes * width, cells), 0, -1)
+    columns: list[np.ndarray] = []
+    held: list[dict[int, np.ndarray]] = []
+    kinds = [np.count_nonzero(np.bincount(own, minlength=BINS)) for own in bins.T]
+    for f in sorted(range(bins.shape[1]), key=kinds.__getitem__):
+        own = np.ascontiguousarray(bins[:, f])
+        for i, column in enumerate(columns):
+            joint = column * np.intp(BINS) + own
+            there = np.flatnonzero(np.bincount(joint, minlength=BINS * BINS))
+            if len(there) <= BINS:
+                code = np.zeros(BINS * BINS, np.uint8)
+                code[there] = np.arange(len(there))
+                columns[i] = code.take(joint)
+                held[i] = {g: table.take(there // BINS) for g, table in held[i].items()} | {f: there % BINS}
+                break
+        else:
+            columns.append(own)
+            held.append({f: np.arange(BINS)})
+    column, meant = np.zeros(bins.shape[1], np.intp), np.zeros((bins.shape[1], BINS), np.intp)
+    for i, tables in enumerate(held):
+        for f, table in tables.items():
+            column[f], meant[f, : len(table)] = i, table
+    return Folded(np.stack(columns), column, meant)
+
+
+def gradients(scores: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Classes x rows: the gradient as real part, the hessian as imaginary part."""
+    found = np.empty(scores.shape, complex)
+    for at in range(0, len(labels), CHUNK):
+        part = slice(at, at + CHUNK)
+        power = np.exp(scores[:, part] - scores[:, part].max(axis=0))
+        share = power / power.sum(axis=0)
+        found.imag[:, part] = share * (1 - share)
+        share[labels[part], np.arange(share.shape[1])] -= 1
+        found.real[:, part] = share
+    return found
+
+
+def steps(tree: Tree, level: int, rows: Folded) -> tuple[np.ndarray, np.ndarray]:
+    """By class: where the column of each node's split begins, and node x code to the next node.
+
+    Nodes are those down to a level; only those at the level itself go on.
+    """
+    first, size = 2**level - 1, 2 ** (level + 1) - 1
+    feature, cut = tree.feature[:, :size], tree.cut[:, :size]
+    begins = rows.column[np.maximum(feature, 0)] * rows.codes.shape[1]
+    onward = np.empty((len(feature), size, BINS), np.intp)
+    onward[:] = np.arange(size)[:, None]
+    kind, at = np.nonzero(feature[:, first:] >= 0)
+    at += first
+    onward[kind, at] = 2 * at[:, None] + 1 + (rows.bins[feature[kind, at]] > cut[kind, at][:, None])
+    return begins, onward.reshape(len(feature), -1)
+
+
+def step(nodes: np.ndarray, begins: np.ndarray, onward: np.ndarray, rows: Folded, at: int) -> np.ndarray:
+    """The next node of rows from ``at`` on, of one class."""
+    place = begins.take(nodes)
+    place += np.arange(at, at + len(nodes))
+    code = rows.codes.ravel().take(place)
+    np.multiply(nodes, BINS, out=place)
+    place += code
+    return onward.take(place)
+
+
+def routed(tree: Tree, levels: int, rows: Folded) -> Iterator[tuple[slice, list[np.ndarray]]]:
+    """Parts of the rows with their nodes of each class after so many levels."""
+    plans = [steps(tree, level, rows) for level in range(levels)]
+    count = rows.codes.shape[1]
+    for at in range(0, count, CHUNK):
+        part, found = slice(at, min(at + CHUNK, count)), []
+        for k in range(len(tree.feature)):
+            nodes = np.zeros(part.stop - at, np.intp)
+            for begins, onward in plans:
+                nodes = step(nodes, begins[k], onward[k], rows, at)
+            found.append(nodes)
+        yield part, found
+
+
+def sibling(node: np.ndarray) -> np.ndarray:
+    return ((node - 1) ^ 1) + 1  # children are 2i + 1 and 2i + 2
+
+
+class Growth:
+    """A tree as it grows: which nodes need sums, and what their sums make of it."""
+
+    def __init__(self, classes: int, trial: Trial, starts: np.ndarray):
+        self.tree, self.trial, self.starts = Tree(classes, trial.depth), trial, starts
+        self.level = 0
+        # nodes whose sums are asked for, by class; those of ``apart`` tell their sibling's too
+        self.kind, self.node = np.arange(classes), np.zeros(classes, np.intp)
+        self.apart = np.zeros(classes, bool)
+        self.whole: np.ndarray | None = None  # sums of the parents of ``apart``
+        self.heavy = self.noise = np.zeros(classes)
+
+    def slots(self) -> np.ndarray:
+        """By class and node the number of its sums, or -1."""
+        found = np.full((len(self.tree.feature), 2 ** (self.level + 1) - 1), -1, np.intp)
+        found[self.kind, self.node] = np.arange(len(self.node))
+        return found
+
+    def take(self, sums: np.ndarray) -> bool:
+        """Split the nodes of a level by the sums of ``kind`` and ``node``; whether some were split."""
+        kind, node = self.kind, self.node
+        if self.whole is None:
+            self.heavy = HEAVY * sums[:, : self.starts[1], 1].sum(axis=1)
+            self.noise = NOISE * np.abs(sums).sum(axis=(1, 2)) / (len(self.starts) - 1)
+        else:
+            # a cell all of whose rows are in one child must be empty in the other
+            other = kind[self.apart]
+            rest = self.whole - sums[self.apart]
+            rest[(np.abs(rest) <= self.noise[other][:, None, None]).all(axis=2)] = 0
+            kind = np.concatenate([kind, other])
+            node = np.concatenate([node, sibling(node[self.apart])])
+            sums = np.concatenate([sums, rest])
+        found = best_splits(sums, self.starts)
+        self.tree.grow(self.level, kind, node - (2**self.level - 1), found, self.trial.rate)
+        good = np.flatnonzero(found["gain"] > LEAST_GAIN)
+        good = good[np.lexsort((node[good], kind[good]))]
+        kind, left, right = kind[good], found["left"][good, 1], found["right"][good, 1]
+        lighter = 2 * node[good] + 1 + (right < left)
+        apart = np.maximum(left, right) >= self.heavy[kind]
+        order = np.argsort(np.concatenate([kind, kind[~apart]]), kind="stable")
+        self.kind = np.concatenate([kind, kind[~apart]])[order]
+        self.node = np.concatenate([lighter, sibling(lighter[~apart])])[order]
+        self.apart = np.concatenate([apart, apart[~apart]])[order]
+        self.whole = sums[good[apart]]
+        self.level += 1
+        return len(good) > 0
+
+    def asked(self) -> Growth:
+        """Without the sums that were taken."""
+        found = copy(self)
+        found.whole = None
+        return found
+
+    @property
+    def over(self) -> bool:
+        return self.level == self.trial.depth or not len(self.node)
+
+
+def summed(
+    growth: Growth, rows: Folded, weights: np.ndarray, parts: Iterator[tuple[slice, list[np.ndarray]]],
+    seen: np.ndarray | None = None,
+) -> np.ndarray:
+    """Gradient and hessian sums: (nodes that ``growth`` asks for) x (feature and bin) x 2.
+
+    One part, class and column at a time, so that what is in use stays in the processor's cache.
+    """
+    slots, starts = growth.slots(), growth.starts
+    codes = rows.codes
+    cells = np.zeros((len(codes), len(growth.node) * BINS), complex)
+    for part, nodes in parts:
+        for k, own in enumerate(nodes):
+            slot = slots[k].take(own)
+            asked = slot >= 0
+            if seen is not None:
+                asked &= seen[part]
+            here = np.flatnonzero(asked)
+            place = slot.take(here)
+            place *= BINS
+            weight = weights[k, part].take(here)
+            for total, column in zip(cells, codes):
+                np.add.at(total, place + column[part].take(here), weight)
+    cells = cells.reshape(len(codes), -1, BINS)
+    found = np.zeros((len(growth.node), int(starts[-1])), complex)
+    shared = np.bincount(rows.column, minlength=len(codes)) > 1
+    for f, (column, low, high) in enumerate(zip(rows.column, starts, starts[1:])):
+        if not shared[column]:
+            found[:, low:high] = cells[column, :, : high - low]
+            continue
+        order = np.argsort(rows.bins[f], kind="stable")
+        bins, first = np.unique(rows.bins[f][order], return_index=True)
+        found[:, low + bins] = np.add.reduceat(cells[column][:, order], first, axis=1)
+    return found.view(float).reshape(*found.shape, 2)
 
 
 def best_splits(sums: np.ndarray, starts: np.ndarray) -> dict[str, np.ndarray]:
@@ -195,7 +365,8 @@ def best_splits(sums: np.ndarray, starts: np.ndarray) -> dict[str, np.ndarray]:
     feature = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
     before = np.concatenate([np.zeros_like(reach[:, :1]), reach], axis=1)[:, starts[:-1]]
     left = reach - before[:, feature]
-    total = left[:, starts[1] - 1][:, None]
+    # each feature's own total, so that nothing is left behind its last row
+    total = left[:, starts[1:] - 1][:, feature]
     right = total - left
 
     def worth(s: np.ndarray) -> np.ndarray:
@@ -325,41 +496,51 @@ def _opened(row: Mapping[str, bytes], features: int) -> tuple[np.ndarray, np.nda
 def grown(
     block: tuple, trial: Trial, number: int, start: np.ndarray, starts: np.ndarray
 ) -> Iterator[Tree]:
-    """All trees of a trial on rows that are in one block, whose sums need no other block."""
+    """All trees of a trial on rows that are in one block, whose sums need no other block.
+
+    Every row keeps its nodes from level to level, so that it is routed once.
+    """
     keys, labels, bins = block
-    classes = len(start)
-    scores = np.tile(start, (len(keys), 1))
+    rows, classes, count = folded(bins), len(start), len(keys)
+    scores = np.repeat(start[:, None], count, axis=1)
+    nodes = np.empty((classes, count), np.intp)
+
+    def moved(plan: tuple[np.ndarray, np.ndarray] | None):
+        for at in range(0, count, CHUNK):
+            part = slice(at, at + CHUNK)
+            if plan is not None:
+                for own, begins, onward in zip(nodes, *plan):
+                    own[part] = step(own[part], begins, onward, rows, at)
+            yield part, [own[part] for own in nodes]
+
     for turn in range(trial.rounds):
-        tree = Tree(classes, trial.depth)
-        seen = sampled(keys, number, turn, trial.subsample)
-        for level in range(trial.depth):
-            found = best_splits(
-                level_sums(bins[seen], labels[seen], scores[seen], tree, level, starts), starts)
-            kind, place = np.divmod(np.arange(classes * 2**level), 2**level)
-            tree.grow(level, kind, place, found, trial.rate)
-            if not (found["gain"] > LEAST_GAIN).any():
-                break
-        tree.add(scores, bins)
-        yield tree
+        weights, growth, plan = gradients(scores, labels), Growth(classes, trial, starts), None
+        seen = sampled(keys, number, turn, trial.subsample) if trial.subsample < 1 else None
+        nodes[:] = 0
+        while not growth.over:
+            if growth.take(summed(growth, rows, weights, moved(plan), seen)):
+                plan = steps(growth.tree, growth.level - 1, rows)
+            else:
+                plan = None
+        for part, found in moved(plan):
+            for score, value, own in zip(scores, growth.tree.value, found):
+                score[part] += value.take(own)
+        yield growth.tree
 
 
 def _grown_apart(blocks: DataFrame, trials: Sequence[Trial], binning: Binning, start: np.ndarray):
-    """Every trial in a task of its own, over the one block."""
+    """Every trial in a task of its own, over the one block; those with most work begin first."""
     features, starts = len(binning.features), binning.starts
+    order = sorted(range(len(trials)), key=lambda i: -trials[i].rounds * trials[i].depth)
+    turn = {number: at for at, number in enumerate(order)}
 
-    def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                trial = trials[row["trial"]]
-                trees = list(grown(_opened(row, features), trial, row["trial"], start, starts))
-                yield {"trial": [row["trial"]],
-                       "model": [BoostedModel(binning, trial, start, trees).to_json()]}
+    def run(held):
+        for number, row in held:
+            yield number, list(grown(_opened(row, features), trials[number], number, start, starts))
 
-    numbers = F.explode(F.array(*map(F.lit, range(len(trials)))))
-    each = blocks.withColumn("trial", numbers).repartition(len(trials), "trial")
-    rows = map_columns(each, run, "trial int, model string").collect()
-    models = {r["trial"]: BoostedModel.from_json(r["model"]) for r in rows}
-    return [models[i] for i in range(len(trials))]
+    each = blocks.rdd.flatMap(lambda row: [(i, row.asDict()) for i in order])
+    found = dict(each.partitionBy(len(trials), lambda i: turn[i]).mapPartitions(run).collect())
+    return [BoostedModel(binning, t, start, found[i]) for i, t in enumerate(trials)]
 
 
 @dataclass(frozen=True)
@@ -368,114 +549,137 @@ class _Piece:
 
     trial: int
     number: int
-    block: tuple[np.ndarray, np.ndarray, np.ndarray]
+    keys: np.ndarray
+    labels: np.ndarray
+    rows: Folded
     scores: np.ndarray
 
     def later(self, tree: Tree) -> _Piece:
         scores = self.scores.copy()
-        tree.add(scores, self.block[2])
+        for part, nodes in routed(tree, depth_of(tree), self.rows):
+            for score, value, own in zip(scores, tree.value, nodes):
+                score[part] += value.take(own)
         return replace(self, scores=scores)
 
+    def view(self, turn: int, trial: Trial) -> _View:
+        seen = np.flatnonzero(sampled(self.keys, self.trial, turn, trial.subsample))
+        weights = gradients(self.scores, self.labels)
+        return _View(self.trial, self.number, self.rows.only(seen), weights.take(seen, axis=1))
+
+
+@dataclass(frozen=True)
+class _View:
+    """What the levels of one round need of a piece: the rows that its tree sees."""
+
+    trial: int
+    number: int
+    rows: Folded
+    weights: np.ndarray
+
 
 def _pieces(blocks: DataFrame, trials: Sequence[Trial], features: int, count: int, start: np.ndarray) -> RDD:
     """Every block once per trial, the pieces of a trial beside each other in few partitions."""
     context = blocks.sparkSession.sparkContext
     total = count * len(trials)
-    parts = min(total, 2 * max(context.defaultParallelism, len(trials)))
+    parts = min(total, context.defaultParallelism if len(trials) == 1 else
+                2 * max(context.defaultParallelism, len(trials)))
 
     def opened(row):
-        at, block = row[1], _opened(row[0], features)
+        at, (keys, labels, bins) = row[1], _opened(row[0], features)
+        rows = folded(bins)
         for t in range(len(trials)):
-            yield t * count + at, _Piece(t, at, block, np.tile(start, (len(block[0]), 1)))
+            yield t * count + at, _Piece(
+                t, at, keys, labels, rows, np.repeat(start[:, None], len(keys), axis=1))
 
     dealt = blocks.rdd.zipWithIndex().flatMap(opened)
     return dealt.partitionBy(parts, lambda place: place * parts // total).values()
 
 
-def _level(
-    pieces: RDD, trials: Sequence[Trial], starts: np.ndarray, trees: dict[int, Tree], level: int,
-    going: Sequence[int], turn: int,
-) -> list[tuple[int, np.ndarray, dict[str, np.ndarray]]]:
-    """Best splits of one level of all trials in ``going``: one pass, by trial, class and node."""
+def _level(views: RDD, growths: Mapping[int, Growth]) -> dict[int, np.ndarray]:
+    """Sums of one level of all trials in ``growths``, by trial: one pass over the rows.
 
+    Few partitions send their sums to the driver; those of many are added by trial and class first.
+    """
     def sums(held):
         total: dict[int, np.ndarray] = {}
         first: dict[int, int] = {}
-        for piece in held:
-            t = piece.trial
-            if t not in going:
+        for view in held:
+            t = view.trial
+            if t not in growths:
                 continue
-            keys, labels, bins = piece.block
-            seen = sampled(keys, t, turn, trials[t].subsample)
-            found = level_sums(bins[seen], labels[seen], piece.scores[seen], trees[t], level, starts)
+            growth = growths[t]
+            found = summed(growth, view.rows, view.weights, routed(growth.tree, growth.level, view.rows))
             total[t] = total[t] + found if t in total else found
-            first.setdefault(t, piece.number)
+            first.setdefault(t, view.number)
         for t, found in total.items():
-            for place in np.flatnonzero(found[:, : starts[1], 1].any(axis=1)):
-                yield (t, int(place)), (first[t], found[place])
+            kind = growths[t].kind
+            for k in np.unique(kind):
+                yield (t, int(k)), (first[t], found[kind == k])
 
-    def splits(held):
+    def added(held):
         # always added in the same order, so that reruns round alike
         total: dict[tuple[int, int], list] = {}
         for key, part in held:
             total.setdefault(key, []).append(part)
-        by_trial: dict[int, tuple[list, list]] = {}
-        for (t, place), parts in total.items():
-            places, added = by_trial.setdefault(t, ([], []))
-            places.append(place)
-            added.append(sum(found for _, found in sorted(parts, key=lambda p: p[0])))
-        for t, (places, added) in by_trial.items():
-            yield t, np.array(places), best_splits(np.stack(added), starts)
+        for key, parts in total.items():
+            yield key, sum(found for _, found in sorted(parts, key=lambda p: p[0]))
 
-    nodes = sum(trees[t].feature.shape[0] for t in going) * 2**level
-    tasks = min(nodes, pieces.context.defaultParallelism)
-    return pieces.mapPartitions(sums).partitionBy(tasks).mapPartitions(splits).collect()
+    # views look at the nodes of a level only, not at the sums of their parents
+    growths = {t: g.asked() for t, g in growths.items()}
+    found = views.mapPartitions(sums)
+    if views.getNumPartitions() > DIRECT:
+        keys = sum(len(np.unique(g.kind)) for g in growths.values())
+        found = found.partitionBy(min(keys, views.context.defaultParallelism)).mapPartitions(added)
+    by_trial: dict[int, list] = {}
+    for (t, k), total in sorted(added(found.collect()), key=lambda p: p[0]):
+        by_trial.setdefault(t, []).append(total)
+    return {t: np.concatenate(parts) for t, parts in by_trial.items()}
 
 
 def _grown_together(blocks: DataFrame, trials: Sequence[Trial], binning: Binning, start: np.ndarray):
-    """All trials level by level over all blocks, each level a short job over pieces held by Spark.
+    """All trials level by level over all blocks, each level a short job over views held by Spark.
 
-    A round's trees are added to the scores in the first pass of the next round. Every
-    ``STORE_EVERY`` rounds the pieces are written, which cuts their lineage.
+    A round's trees are added to the scores, and the rows of the next round chosen, in the first
+    pass of the next round. Every ``STORE_EVERY`` rounds the pieces are written, which cuts their
+    lineage.
     """
     spark, starts = blocks.sparkSession, binning.starts
     last = max(t.rounds for t in trials)
     pieces = _pieces(blocks, trials, len(binning.features), blocks.count(), start).persist(
         StorageLevel.MEMORY_AND_DISK)
-    held = [pieces]
+    held: list[RDD] = []
     models: list[list[Tree]] = [[] for _ in trials]
     for turn in range(last):
-        active = [i for i, t in enumerate(trials) if turn < t.rounds]
-        trees = {i: Tree(len(start), trials[i].depth) for i in active}
-        going = active
-        for level in range(max(trials[i].depth for i in active)):
-            going = [i for i in going if level < trials[i].depth]
-            if not going:
-                break
-            rows = _level(pieces, trials, starts, trees, level, going, turn)
-            while len(held) > 1:  # this round's pieces are held by now, the last round's can go
+        views = pieces.map(partial(_seen, turn, trials)).persist(StorageLevel.MEMORY_AND_DISK)
+        held += [pieces, views]
+        growths = {i: Growth(len(start), t, starts) for i, t in enumerate(trials) if turn < t.rounds}
+        going = {i: g for i, g in growths.items() if not g.over}
+        while going:
+            found = _level(views, going)
+            while len(held) > 2:  # this round's pieces are held by now, the last round's can go
                 held.pop(0).unpersist()
-            split = set()
-            for i, places, found in rows:
-                kind, place = np.divmod(places, 2**level)
-                trees[i].grow(level, kind, place, found, trials[i].rate)
-                if (found["gain"] > LEAST_GAIN).any():
-                    split.add(i)
-            going = [i for i in going if i in split]
-        for i in active:
-            models[i].append(trees[i])
+            for i, growth in going.items():
+                growth.take(found[i])
+            going = {i: g for i, g in going.items() if not g.over}
+        trees = {i: g.tree for i, g in growths.items()}
+        for i, tree in trees.items():
+            models[i].append(tree)
         if turn + 1 < last:
             pieces = pieces.filter(partial(_goes_on, turn + 1, trials)).map(partial(_added, trees))
             if (turn + 1) % STORE_EVERY == 0:
                 path = scratch_path(spark, "scores")
                 pieces.saveAsPickleFile(path)
                 pieces = spark.sparkContext.pickleFile(path, pieces.getNumPartitions())
-            held.append(pieces.persist(StorageLevel.MEMORY_AND_DISK))
+            pieces.persist(StorageLevel.MEMORY_AND_DISK)
     for rest in held:
         rest.unpersist()
     return [BoostedModel(binning, t, start, m) for t, m in zip(trials, models)]
 
 
+def _seen(turn: int, trials: Sequence[Trial], piece: _Piece) -> _View:
+    return piece.view(turn, trials[piece.trial])
+
+
 def _goes_on(turn: int, trials: Sequence[Trial], piece: _Piece) -> bool:
     return turn < trials[piece.trial].rounds
 
