@@ -9,6 +9,9 @@ is summed from rows, a heavy one is what its parent has besides. The loss is sof
 from __future__ import annotations
 
 import json
+import os
+import shutil
+import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from copy import copy
 from dataclasses import asdict, dataclass, replace
@@ -17,11 +20,11 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import RDD, StorageLevel
+from pyspark import RDD, SparkContext, StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from telemetra.operators.arrow import map_columns
-from telemetra.session import materialize, scratch_path
+from telemetra.session import materialize, mounted, scratch_path
 
 BINS = 256  # the first is for nulls
 BLOCK_ROWS = 1 << 21  # rows whose sums one task makes together; 48 MB of bins, labels and keys
@@ -32,6 +35,7 @@ LEAST_GAIN = 1e-9
 HEAVY = 2.0**-5  # share of a tree's hessian from which a child is taken as its parent less its sibling
 NOISE = 2.0**-46  # share of a tree's sums below which a difference of sums is nothing
 DIGITS = 9  # to which gains are compared, so that the order of the rows does not decide
+PADDING = 1 << 17  # bytes sent with a piece's place: short messages wait for an acknowledgement
 STORE_EVERY = 25  # rounds after which the scores of the rows are stored
 
 
@@ -577,12 +581,15 @@ class _View:
     weights: np.ndarray
 
 
+def _parts(context: SparkContext, trials: int, count: int) -> int:
+    cores = context.defaultParallelism
+    return min(count * trials, cores if trials == 1 else 2 * max(cores, trials))
+
+
 def _pieces(blocks: DataFrame, trials: Sequence[Trial], features: int, count: int, start: np.ndarray) -> RDD:
     """Every block once per trial, the pieces of a trial beside each other in few partitions."""
     context = blocks.sparkSession.sparkContext
-    total = count * len(trials)
-    parts = min(total, context.defaultParallelism if len(trials) == 1 else
-                2 * max(context.defaultParallelism, len(trials)))
+    total, parts = count * len(trials), _parts(context, len(trials), count)
 
     def opened(row):
         at, (keys, labels, bins) = row[1], _opened(row[0], features)
@@ -636,58 +643,168 @@ def _level(views: RDD, growths: Mapping[int, Growth]) -> dict[int, np.ndarray]:
     return {t: np.concatenate(parts) for t, parts in by_trial.items()}
 
 
+class _InSpark:
+    """Pieces and views as Spark holds them, in memory and on disk.
+
+    Every ``STORE_EVERY`` rounds the pieces are written, which cuts their lineage.
+    """
+
+    def __init__(self, blocks: DataFrame, trials: Sequence[Trial], features: int, start: np.ndarray):
+        self.spark, self.trials = blocks.sparkSession, trials
+        self.pieces = _pieces(blocks, trials, features, blocks.count(), start)
+        self.held: list[RDD] = []
+
+    def begin(self, turn: int, trees: Mapping[int, Tree]) -> RDD:
+        if turn:
+            self.pieces = self.pieces.filter(partial(_goes_on, turn, self.trials)).map(partial(_added, trees))
+            if turn % STORE_EVERY == 0:
+                path = scratch_path(self.spark, "scores")
+                self.pieces.saveAsPickleFile(path)
+                self.pieces = self.spark.sparkContext.pickleFile(path, self.pieces.getNumPartitions())
+        self.pieces.persist(StorageLevel.MEMORY_AND_DISK)
+        views = self.pieces.map(partial(_seen, turn, self.trials)).persist(StorageLevel.MEMORY_AND_DISK)
+        self.held += [self.pieces, views]
+        return views
+
+    def begun(self, turn: int) -> RDD:
+        while len(self.held) > 2:  # this round's pieces are held by now, the last round's can go
+            self.held.pop(0).unpersist()
+        return self.held[-1]
+
+    def close(self) -> None:
+        for rest in self.held:
+            rest.unpersist()
+
+
+def _seen(turn: int, trials: Sequence[Trial], piece: _Piece) -> _View:
+    return piece.view(turn, trials[piece.trial])
+
+
+def _goes_on(turn: int, trials: Sequence[Trial], piece: _Piece) -> bool:
+    return turn < trials[piece.trial].rounds
+
+
+def _added(trees: Mapping[int, Tree], piece: _Piece) -> _Piece:
+    return piece.later(trees[piece.trial])
+
+
+class _InFiles:
+    """Pieces and views as files below the shared folder, which tasks map instead of copying.
+
+    Each round writes scores and views of its own, so that a task can run again; those of the
+    round before go when all are written.
+    """
+
+    def __init__(
+        self, blocks: DataFrame, trials: Sequence[Trial], features: int, start: np.ndarray, folder: str
+    ):
+        self.trials, self.start, self.folder = trials, start, folder
+        context = blocks.sparkSession.sparkContext
+        count = blocks.rdd.zipWithIndex().map(partial(_block_written, folder, features)).count()
+        places = [(t, at, bytes(PADDING)) for t in range(len(trials)) for at in range(count)]
+        self.places = context.parallelize(places, _parts(context, len(trials), count))
+
+    def begin(self, turn: int, trees: Mapping[int, Tree]) -> RDD:
+        return self.places.flatMap(
+            partial(_view_written, self.folder, turn, self.trials, self.start, trees))
+
+    def begun(self, turn: int) -> RDD:
+        shutil.rmtree(f"{self.folder}/{turn - 1}", ignore_errors=True)
+        return self.places.flatMap(partial(_view_mapped, self.folder, turn, self.trials))
+
+    def close(self) -> None:
+        shutil.rmtree(self.folder, ignore_errors=True)
+
+
+def _put(folder: str, name: str, **arrays: np.ndarray) -> None:
+    """Write arrays so that readers see whole files only."""
+    os.makedirs(folder, exist_ok=True)
+    for kind, array in arrays.items():
+        own = f"{folder}/.{name}-{kind}-{uuid.uuid4().hex}"
+        with open(own, "wb") as file:
+            np.save(file, array)
+        os.replace(own, f"{folder}/{name}-{kind}.npy")
+
+
+def _mapped(folder: str, name: str, *kinds: str) -> list[np.ndarray]:
+    """Arrays of :func:`_put`; empty ones cannot be mapped and are read."""
+    found = []
+    for kind in kinds:
+        path = f"{folder}/{name}-{kind}.npy"
+        try:
+            found.append(np.asarray(np.load(path, mmap_mode="r")))
+        except ValueError:
+            found.append(np.load(path))
+    return found
+
+
+def _block_written(folder: str, features: int, row: tuple) -> int:
+    keys, labels, bins = _opened(row[0], features)
+    rows = folded(bins)
+    _put(f"{folder}/rows", str(row[1]), keys=keys, labels=labels, codes=rows.codes,
+         column=rows.column, bins=rows.bins)
+    return row[1]
+
+
+def _view_written(
+    folder: str, turn: int, trials: Sequence[Trial], start: np.ndarray, trees: Mapping[int, Tree],
+    place: tuple,
+) -> Iterator[_View]:
+    """Add the last round's tree to the scores of a piece and keep them with the view of this round."""
+    t, at, _ = place
+    if turn >= trials[t].rounds:
+        return
+    keys, labels, *rows = _mapped(f"{folder}/rows", str(at), "keys", "labels", "codes", "column", "bins")
+    if turn:
+        scores, = _mapped(f"{folder}/{turn - 1}", f"{t}-{at}", "scores")
+    else:
+        scores = np.repeat(start[:, None], len(keys), axis=1)
+    piece = _Piece(t, at, keys, labels, Folded(*rows), scores)
+    if turn:
+        piece = piece.later(trees[t])
+    view = piece.view(turn, trials[t])
+    _put(f"{folder}/{turn}", f"{t}-{at}", scores=piece.scores, codes=view.rows.codes, weights=view.weights)
+    yield view
+
+
+def _view_mapped(folder: str, turn: int, trials: Sequence[Trial], place: tuple) -> Iterator[_View]:
+    t, at, _ = place
+    if turn < trials[t].rounds:
+        codes, weights = _mapped(f"{folder}/{turn}", f"{t}-{at}", "codes", "weights")
+        yield _View(t, at, Folded(codes, *_mapped(f"{folder}/rows", str(at), "column", "bins")), weights)
+
+
 def _grown_together(blocks: DataFrame, trials: Sequence[Trial], binning: Binning, start: np.ndarray):
-    """All trials level by level over all blocks, each level a short job over views held by Spark.
+    """All trials level by level over all blocks, each level a short job over the views of a round.
 
     A round's trees are added to the scores, and the rows of the next round chosen, in the first
-    pass of the next round. Every ``STORE_EVERY`` rounds the pieces are written, which cuts their
-    lineage.
+    pass of the next round. Rows are kept in files where all processes reach the shared folder by
+    path, and held by Spark elsewhere.
     """
     spark, starts = blocks.sparkSession, binning.starts
-    last = max(t.rounds for t in trials)
-    pieces = _pieces(blocks, trials, len(binning.features), blocks.count(), start).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    held: list[RDD] = []
+    folder = mounted(spark, scratch_path(spark, "growing"))
+    known = blocks, trials, len(binning.features), start
+    rounds = _InFiles(*known, folder) if folder else _InSpark(*known)
     models: list[list[Tree]] = [[] for _ in trials]
-    for turn in range(last):
-        views = pieces.map(partial(_seen, turn, trials)).persist(StorageLevel.MEMORY_AND_DISK)
-        held += [pieces, views]
+    trees: dict[int, Tree] = {}
+    for turn in range(max(t.rounds for t in trials)):
         growths = {i: Growth(len(start), t, starts) for i, t in enumerate(trials) if turn < t.rounds}
-        going = {i: g for i, g in growths.items() if not g.over}
+        views = rounds.begin(turn, trees)
+        going, first = {i: g for i, g in growths.items() if not g.over}, True
         while going:
             found = _level(views, going)
-            while len(held) > 2:  # this round's pieces are held by now, the last round's can go
-                held.pop(0).unpersist()
+            if first:
+                views, first = rounds.begun(turn), False
             for i, growth in going.items():
                 growth.take(found[i])
             going = {i: g for i, g in going.items() if not g.over}
         trees = {i: g.tree for i, g in growths.items()}
         for i, tree in trees.items():
             models[i].append(tree)
-        if turn + 1 < last:
-            pieces = pieces.filter(partial(_goes_on, turn + 1, trials)).map(partial(_added, trees))
-            if (turn + 1) % STORE_EVERY == 0:
-                path = scratch_path(spark, "scores")
-                pieces.saveAsPickleFile(path)
-                pieces = spark.sparkContext.pickleFile(path, pieces.getNumPartitions())
-            pieces.persist(StorageLevel.MEMORY_AND_DISK)
-    for rest in held:
-        rest.unpersist()
+    rounds.close()
     return [BoostedModel(binning, t, start, m) for t, m in zip(trials, models)]
 
 
-def _seen(turn: int, trials: Sequence[Trial], piece: _Piece) -> _View:
-    return piece.view(turn, trials[piece.trial])
-
-
-def _goes_on(turn: int, trials: Sequence[Trial], piece: _Piece) -> bool:
-    return turn < trials[piece.trial].rounds
-
-
-def _added(trees: Mapping[int, Tree], piece: _Piece) -> _Piece:
-    return piece.later(trees[piece.trial])
-
-
 def fit(
     rows: DataFrame, numbers: Sequence[str], texts: Sequence[str], label: str,
     trials: Sequence[Trial], block_rows: int = BLOCK_ROWS,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,6 +75,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/telemetra/{label}-{uuid.uuid4().hex}"
 
 
+def mounted(spark: SparkSession, path: str) -> str | None:
+    """The plain path of a shared folder that every process reaches as files, if it is one."""
+    parts = urlsplit(path)
+    kind = parts.scheme or urlsplit(
+        spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///").scheme
+    return unquote(parts.path) if kind == "file" else None
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage through a table in the shared folder.
 

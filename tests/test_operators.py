@@ -18,7 +18,7 @@ from telemetra.operators import (
 )
 from telemetra.plans import gold, learning, queue as queues, reports
 from telemetra.schemas import ASSET, PART, QUEUE, READING, STATUS_INTERVAL
-from telemetra.session import materialize, scratch_path, shared_root
+from telemetra.session import materialize, mounted, scratch_path, shared_root
 from telemetra.sources import files, rescue, sinks
 
 UTC = dt.timezone.utc
@@ -682,6 +682,43 @@ def test_boosting_in_blocks_equals_boosting_in_one_block(spark):
     assert not np.allclose(one[0].trees[1].value[:, :7], one[1].trees[1].value)  # other rows and rates
 
 
+def same_trees(one, other):
+    return len(one.trees) == len(other.trees) == one.trial.rounds and all(
+        (s.feature == t.feature).all() and (s.cut == t.cut).all() and np.allclose(s.value, t.value)
+        for s, t in zip(one.trees, other.trees))
+
+
+def test_boosting_in_blocks_maps_rows_from_files(spark, monkeypatch):
+    rows_ = labelled_rows(spark)
+    # the last trial's trees see no row of some blocks
+    trials = [boosting.Trial(5, 3, 0.2, 0.7), boosting.Trial(2, 2, 0.1, 1.0), boosting.Trial(4, 2, 0.1, 0.01)]
+    fit = lambda **named: boosting.fit(rows_, ["a", "b"], ["place"], "label", trials, **named)
+    gone, held, rmtree = [], set(), boosting.shutil.rmtree
+
+    def removed(path, *rest, **named):
+        held.update(spark.sparkContext._jsc.getPersistentRDDs().keySet().toArray())
+        gone.append((pathlib.Path(path), os.path.isdir(path)))
+        rmtree(path, *rest, **named)
+
+    before = set(spark.sparkContext._jsc.getPersistentRDDs().keySet().toArray())
+    monkeypatch.setattr(boosting.shutil, "rmtree", removed)
+    files_ = fit(block_rows=100)
+    folder = gone[-1][0]
+    assert not held - before and not folder.exists() and str(folder).startswith(shared_root(spark))
+    assert [(p.name, there) for p, there in gone[1:-1]] == [(str(turn), True) for turn in range(4)]
+    gone.clear()
+    monkeypatch.setattr(boosting, "mounted", lambda *_: None)
+    in_spark = fit(block_rows=100)
+    assert not gone
+    for one, x, y in zip(fit(), files_, in_spark):
+        assert same_trees(one, x) and same_trees(one, y)
+
+
+def test_folders_that_are_reached_by_path(spark):
+    assert mounted(spark, "file:///tmp/a%20b") == "/tmp/a b" and mounted(spark, "/tmp/c") == "/tmp/c"
+    assert mounted(spark, "file:/tmp/d") == "/tmp/d" and mounted(spark, "hdfs://host/tmp/e") is None
+
+
 def test_boosting_in_blocks_takes_one_job_a_level(spark):
     rows_ = labelled_rows(spark)
     context = spark.sparkContext
